@@ -245,3 +245,183 @@ def feature_table_query(spark, sf):
 
 
 register("feat_table_full", FEATURE_TABLE_SQL)(feature_table_query)
+
+
+# ---------------------------------------------------------------- long form & windows
+
+def _fx(sql, *views):
+    return with_views(sql, "games_v", *views)
+
+
+LONG_COLS = ("id, season, week, start_ts, side, team, opponent, points_scored, points_allowed, "
+             "won, margin, spread, beat_spread")
+
+
+@register("set_unpivot_sides", _fx(f"WITH {BASE_SQL},\n{TEAM_GAMES_SQL}\nSELECT {LONG_COLS} FROM team_games"))
+def q_unpivot(spark, sf):
+    return _long(spark, sf)
+
+
+@register("feat_team_games", _fx(f"WITH {BASE_SQL},\n{TEAM_GAMES_SQL}\nSELECT {LONG_COLS} FROM team_games"))
+def q_team_games(spark, sf):
+    return _long(spark, sf)
+
+
+@register("win_lag_rest_days", _fx(f"WITH {BASE_SQL},\n{REST_SQL}\nSELECT id, home_rest_days, away_rest_days FROM rest"))
+def q_rest(spark, sf):
+    return FT.base_games_with_rest(games_v(spark, sf)).select("id", "home_rest_days", "away_rest_days")
+
+
+def _roll_sql(cols):
+    return _fx(f"WITH {BASE_SQL},\n{TEAM_GAMES_SQL},\n{TEAM_ROLLING_SQL}\n"
+               f"SELECT id, side, team, {', '.join(cols)} FROM team_rolling")
+
+
+def _roll_query(cols):
+    def q(spark, sf):
+        tr = W.team_rolling(_long(spark, sf))
+        return tr.select("id", "side", "team", *cols)
+    return q
+
+
+_R5 = ["avg_points_l5", "avg_allowed_l5", "avg_margin_l5", "win_pct_l5", "ats_pct_l5"]
+_R5C = [c + "_carryover" for c in _R5]
+for _key, _cols in {
+    "win_rolling_l5_season": _R5,
+    "win_rolling_l5_carryover": _R5C,
+    "win_rolling_l3": ["avg_points_l3", "win_pct_l3"],
+    "win_expanding_std": ["season_avg_points", "season_avg_allowed", "season_win_pct"],
+    "win_sum_case": ["wins_l3"],
+    "win_qc_unscored": ["unscored_games_in_l3_window"],
+    "win_games_played": ["games_played"],
+    "feat_team_rolling": list(W.TEAM_ROLLING_COLS),
+}.items():
+    register(_key, _roll_sql(_cols))(_roll_query(_cols))
+
+
+@register("win_sos_cumulative", _fx(
+    f"WITH {BASE_SQL},\n{TEAM_GAMES_SQL},\n{TEAM_ROLLING_SQL},\n{SOS_SQL}\n"
+    "SELECT id, team, sos_rating, sos_sample_size FROM sos"))
+def q_sos_cum(spark, sf):
+    st = FT.with_sos(FT.team_stage(_base(spark, sf)))
+    return st.select("id", "team", "sos_rating", "sos_sample_size")
+
+
+@register("join_opponent_inner", _fx(
+    f"WITH {BASE_SQL},\n{TEAM_GAMES_SQL},\n{TEAM_ROLLING_SQL}\n"
+    "SELECT bg.id, bg.home_team AS team, tr.season_win_pct AS opp_win_pct\n"
+    "FROM base_games bg JOIN team_rolling tr ON tr.id = bg.id AND tr.team = bg.away_team\n"
+    "UNION ALL SELECT bg.id, bg.away_team, tr.season_win_pct\n"
+    "FROM base_games bg JOIN team_rolling tr ON tr.id = bg.id AND tr.team = bg.home_team"))
+def q_opp(spark, sf):
+    st = FT.with_sos(FT.team_stage(_base(spark, sf)))
+    return st.select("id", "team", "opp_win_pct")
+
+
+_LOO_SQL = _fx(
+    f"WITH {BASE_SQL},\n{HOME_LOC_SQL},\n{AWAY_LOC_SQL}\n"
+    "SELECT h.id, h.avg_points AS home_avg_points, h.avg_allowed AS home_avg_allowed, h.win_rate AS home_win_rate,\n"
+    " a.avg_points AS away_avg_points, a.avg_allowed AS away_avg_allowed, a.win_rate AS away_win_rate\n"
+    "FROM home_location_stats h JOIN away_location_stats a ON h.id = a.id")
+
+
+@register("win_leave_one_out", _LOO_SQL)
+def q_loo(spark, sf):
+    return FT.location_splits(games_v(spark, sf))
+
+
+@register("feat_location_splits", _LOO_SQL)
+def q_loc(spark, sf):
+    return FT.location_splits(games_v(spark, sf))
+
+
+@register("feat_base_games", _fx(
+    f"WITH {BASE_SQL},\n{REST_SQL}\nSELECT bg.*, r.home_rest_days, r.away_rest_days "
+    "FROM base_games bg JOIN rest r ON r.id = bg.id"))
+def q_base(spark, sf):
+    return FT.base_games_with_rest(games_v(spark, sf))
+
+
+@register("feat_sos", _fx(
+    f"WITH {BASE_SQL},\n{TEAM_GAMES_SQL},\n{TEAM_ROLLING_SQL},\n{SOS_SQL}\n"
+    "SELECT bg.id,\n"
+    " CASE WHEN COALESCE(hs.sos_sample_size, 0) > 0 AND bg.week > 2 THEN hs.sos_rating ELSE 0.5 END AS home_sos,\n"
+    " CASE WHEN COALESCE(aws.sos_sample_size, 0) > 0 AND bg.week > 2 THEN aws.sos_rating ELSE 0.5 END AS away_sos,\n"
+    " hs.sos_sample_size AS home_sos_sample_size, aws.sos_sample_size AS away_sos_sample_size\n"
+    "FROM base_games bg JOIN sos hs ON hs.id = bg.id AND hs.team = bg.home_team\n"
+    "JOIN sos aws ON aws.id = bg.id AND aws.team = bg.away_team"))
+def q_sos(spark, sf):
+    return FT.sos(games_v(spark, sf))
+
+
+_H2H_RAW = _fx(f"WITH {BASE_SQL},\n{H2H_SQL}\nSELECT id, h2h_games, home_h2h_win_rate, home_h2h_avg_margin FROM h2h_history")
+
+
+@register("agg_h2h", _H2H_RAW)
+def q_h2h(spark, sf):
+    return h2h(_base(spark, sf))
+
+
+@register("join_h2h_theta", _fx(f"WITH {BASE_SQL},\n{H2H_SQL}\nSELECT id, h2h_games FROM h2h_history"))
+def q_h2h_theta(spark, sf):
+    return prior_meetings(_base(spark, sf))
+
+
+@register("feat_h2h", _fx(
+    f"WITH {BASE_SQL},\n{H2H_SQL}\nSELECT id, h2h_games AS h2h_games_count,\n"
+    " COALESCE(home_h2h_win_rate, 0.5) AS home_h2h_win_rate,\n"
+    " COALESCE(home_h2h_avg_margin, 0) AS home_h2h_avg_margin FROM h2h_history"))
+def q_h2h_feat(spark, sf):
+    return h2h_features(_base(spark, sf))
+
+
+@register("feat_spread_quality", with_views(f"WITH {HV_SQL},\n{QUALITY_SQL}\nSELECT * FROM spread_quality",
+                                            "games_v", "odds_v", "corrections_v"))
+def q_quality(spark, sf):
+    g = games_v(spark, sf)
+    return FT.spread_quality(high_variance(spark, sf), corrections_v(g))
+
+
+# ---------------------------------------------------------------- projections of the feature table
+
+def _feature_subset(cols):
+    sql = f"SELECT id, {', '.join(cols)} FROM (\n{FEATURE_TABLE_SQL}\n) ft"
+
+    def q(spark, sf):
+        return feature_table_query(spark, sf).select("id", *cols)
+    return sql, q
+
+
+_SUBSETS = {
+    "feat_result_cfb": ["actual_margin", "spread_result", "home_covered_spread", "push", "team_covered"],
+    "feat_context": ["is_conference_game", "is_neutral_site", "attendance", "same_conference",
+                     "home_elo", "away_elo", "elo_diff", "season_progress", "early_season", "late_season"],
+    "feat_differentials": ["offense_diff_l5", "defense_diff_l5", "form_diff_l5", "margin_diff_l5",
+                           "momentum_diff", "form_diff_l5_carryover", "margin_diff_l5_carryover"],
+    "feat_momentum_quality": ["momentum_data_quality"],
+    "feat_market": ["mode_spread", "mode_spread_open", "spread_movement", "home_favored", "spread_magnitude"],
+    "proj_case_flags": ["is_conference_game", "is_neutral_site", "same_conference", "early_season",
+                        "late_season", "home_favored"],
+    "proj_defaults": ["home_rest_days", "away_rest_days", "home_points_l5", "away_points_l5", "home_sos",
+                      "away_sos", "home_h2h_win_rate", "spread_variance", "spread_data_quality"],
+    "join_left_composite": ["home_games_played", "away_games_played", "home_season_win_pct",
+                            "away_season_win_pct", "home_sos_games", "away_sos_games"],
+    "join_left_id_multi": ["home_at_home_ppg", "away_on_road_ppg", "h2h_games_count",
+                           "home_h2h_avg_margin", "spread_data_quality"],
+    "proj_select_alias": ["season", "week", "home_team", "away_team", "start_ts", "start_central",
+                          "game_date_central", "target", "actual_margin", "rest_advantage"],
+}
+for _key, _cols in _SUBSETS.items():
+    _sql, _q = _feature_subset(_cols)
+    register(_key, _sql)(_q)
+
+
+@register("filt_eligibility", _fx(
+    f"WITH {BASE_SQL},\n{TEAM_GAMES_SQL},\n{TEAM_ROLLING_SQL}\n"
+    "SELECT bg.id, hr.games_played AS home_games_played, ar.games_played AS away_games_played\n"
+    "FROM base_games bg LEFT JOIN team_rolling hr ON hr.id = bg.id AND hr.side = 'home'\n"
+    "LEFT JOIN team_rolling ar ON ar.id = bg.id AND ar.side = 'away'\n"
+    "WHERE (bg.home_points IS NOT NULL AND COALESCE(hr.games_played, 0) >= 3 AND COALESCE(ar.games_played, 0) >= 3)\n"
+    "   OR (bg.home_points IS NULL AND bg.home_elo IS NOT NULL)"))
+def q_eligible(spark, sf):
+    return FT.eligible_rows(games_v(spark, sf))
