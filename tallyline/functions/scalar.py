@@ -83,7 +83,7 @@ def close_to(a, b, tol: float = 0.01) -> Column:
 
 def safe_double(x) -> Column:
     """C5 `proj_safe_cast`: NULL, '' and unparsable -> NULL (never raises)."""
-    return F.try_cast(F.nullif(F.trim(_c(x).cast("string")), F.lit("")), "double") \
+    return F.nullif(F.trim(_c(x).cast("string")), F.lit("")).try_cast("double") \
         if not isinstance(x, (int, float)) else F.lit(float(x))
 
 

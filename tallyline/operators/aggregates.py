@@ -93,7 +93,7 @@ def mode_by_counts(df: DataFrame, key: str, val: str, tie: str = "min", name: st
 
 def mode_spread(df: DataFrame, key: str, val: str, name: str = "mode_spread") -> DataFrame:
     """E7 `agg_mode_min_tie`: NULL/unparsable ignored (safe cast), empty -> NULL."""
-    v = F.try_cast(F.col(val).cast("string"), "double")
+    v = F.col(val).cast("string").try_cast("double")
     return df.groupBy(key).agg(mode_value(v).alias(name))
 
 
@@ -144,8 +144,8 @@ def pick_line_nested(games: DataFrame, lines: str = "lines", preferred: str = "c
     use_pref = pref.isNotNull() & pref["spread"].isNotNull()
     s = F.when(use_pref, pref["spread"]).otherwise(first["spread"])
     o = F.when(use_pref, pref["spreadOpen"]).otherwise(first["spreadOpen"])
-    out = games.select("id", F.try_cast(s.cast("string"), "double").alias("mode_spread"),
-                       F.try_cast(o.cast("string"), "double").alias("mode_spread_open"))
+    out = games.select("id", s.cast("string").try_cast("double").alias("mode_spread"),
+                       o.cast("string").try_cast("double").alias("mode_spread_open"))
     return out.filter(F.col("mode_spread").isNotNull() | F.col("mode_spread_open").isNotNull())
 
 

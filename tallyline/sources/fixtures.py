@@ -72,6 +72,32 @@ def picks_v(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.col("source").alias("rule"), F.col("quality").alias("won")))
 
 
+def quotes_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat quote table in the odds feed's shape (A3 output): each quote
+    carries its event's kick-off and team names; 'home'/'away' outcomes are
+    named by team, as the feed does."""
+    o = odds_v(spark, sf_dir)
+    g = games_v(spark, sf_dir).select(
+        F.col("id").alias("event_id"), F.col("start_ts").alias("commence_time"),
+        F.col("home_team").cast("string").alias("home_team"),
+        F.col("away_team").cast("string").alias("away_team"))
+    j = o.join(g, "event_id")
+    name = (F.when(F.col("outcome_name") == "home", F.col("home_team"))
+             .when(F.col("outcome_name") == "away", F.col("away_team"))
+             .otherwise(F.col("outcome_name")))
+    return j.select("event_id", "commence_time", "home_team", "away_team", "bookmaker", "market",
+                    name.alias("outcome_name"), "outcome_price", "outcome_point", "last_update", "line_no")
+
+
+def named_quotes_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes whose outcome is named by a free-text entity name (part name)."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    return li.join(p, li.l_partkey == p.p_partkey).select(
+        F.col("l_orderkey").alias("event_id"), F.col("l_linenumber").alias("line_no"),
+        F.col("p_name").alias("team_name"))
+
+
 def corrections_v(games: DataFrame) -> DataFrame:
     """Correction registry: a verified spread for every 97th quoted game."""
     return (games.filter(((F.col("id") % 97) == 0) & F.col("mode_spread").isNotNull())
@@ -128,6 +154,18 @@ NAMES_V_SQL = "SELECT p_name AS name FROM part"
 
 DICTIONARY_V_SQL = "SELECT DISTINCT split_part(p_name, ' ', 1) AS team FROM part"
 
+QUOTES_V_SQL = """SELECT o.event_id, g.start_ts AS commence_time,
+ CAST(g.home_team AS VARCHAR) AS home_team, CAST(g.away_team AS VARCHAR) AS away_team,
+ o.bookmaker, o.market,
+ CASE WHEN o.outcome_name = 'home' THEN CAST(g.home_team AS VARCHAR)
+      WHEN o.outcome_name = 'away' THEN CAST(g.away_team AS VARCHAR)
+      ELSE o.outcome_name END AS outcome_name,
+ o.outcome_price, o.outcome_point, o.last_update, o.line_no
+FROM odds_v o JOIN games_v g ON o.event_id = g.id"""
+
+NAMED_QUOTES_V_SQL = """SELECT l_orderkey AS event_id, l_linenumber AS line_no, p_name AS team_name
+FROM lineitem JOIN part ON l_partkey = p_partkey"""
+
 
 def with_views(sql: str, *views: str) -> str:
     """Prefix `sql` with the named fixture views as CTEs (oracle helper)."""
@@ -138,10 +176,15 @@ def with_views(sql: str, *views: str) -> str:
         "corrections_v": CORRECTIONS_V_SQL,
         "names_v": NAMES_V_SQL,
         "dictionary_v": DICTIONARY_V_SQL,
+        "quotes_v": QUOTES_V_SQL,
+        "named_quotes_v": NAMED_QUOTES_V_SQL,
     }
-    need = list(views)
-    if "corrections_v" in need and "games_v" not in need:
-        need.insert(0, "games_v")
+    deps = {"corrections_v": ["games_v"], "quotes_v": ["games_v", "odds_v"]}
+    need: list[str] = []
+    for v in views:
+        for d in deps.get(v, []) + [v]:
+            if d not in need:
+                need.append(d)
     ctes = ",\n".join(f"{v} AS (\n{defs[v]}\n)" for v in need)
     body = sql.strip()
     if body.upper().startswith("WITH "):
