@@ -139,8 +139,8 @@ def pick_line(flat: DataFrame, key: str, pos: str, preferred: str = "consensus",
 def pick_line_nested(games: DataFrame, lines: str = "lines", preferred: str = "consensus") -> DataFrame:
     """E10 on a nested lines array (no shuffle: pure array expressions)."""
     arr = F.col(lines)
-    pref = F.element_at(F.filter(arr, lambda x: x["provider"] == preferred), 1)
-    first = F.element_at(arr, 1)
+    pref = F.try_element_at(F.filter(arr, lambda x: x["provider"] == preferred), F.lit(1))
+    first = F.try_element_at(arr, F.lit(1))
     use_pref = pref.isNotNull() & pref["spread"].isNotNull()
     s = F.when(use_pref, pref["spread"]).otherwise(first["spread"])
     o = F.when(use_pref, pref["spreadOpen"]).otherwise(first["spreadOpen"])
