@@ -550,7 +550,7 @@ def q_local_time(spark, sf):
     return ev.select("event_id", S.local_hhmm(iso, "America/New_York").alias("local_hhmm"))
 
 
-@register("fn_parse_iso", """
+@register("fn_parse_iso_ts", """
 SELECT event_id,
   CASE WHEN event_type = 'error' THEN NULL
        ELSE timezone('UTC', CAST(strftime(ts, '%Y-%m-%dT%H:%M:%S') || 'Z' AS TIMESTAMPTZ)) END AS parsed

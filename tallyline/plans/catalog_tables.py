@@ -1 +1,462 @@
-"""Registered queries."""
+"""Registered queries: sinks and table mutation (B1-B21), pro-league grading
+and the sync chain (J10, J11, J22-J25)."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions import html as H
+from ..operators import grading as GR
+from ..operators import mutation as MU
+from ..operators.aggregates import mode_spread
+from ..operators.consensus import consensus
+from ..session import checkpoint_dir
+from ..sources.fixtures import corrections_v, games_v, odds_v, quotes_v, with_views
+from ..sources.tables import TableStore
+from .catalog_basic import BETTING_SQL, UPDATE_BATCH_SQL, betting_view, quote_pages, update_batch
+from .catalog_quotes import CONSENSUS_CTE
+from .registry import register
+
+AS_OF_NFL = "1998-06-15"
+
+
+def _store(spark) -> TableStore:
+    """A fresh table root under the shared checkpoint folder."""
+    return TableStore(spark, f"{checkpoint_dir(spark)}/tables-{uuid.uuid4().hex[:12]}")
+
+
+def _g(sql, *views):
+    return with_views(sql, "games_v", *views)
+
+
+# ---------------------------------------------------------------- NFL-shaped fixture
+
+NFL_SQL = """nfl AS (
+  SELECT 'G' || CAST(id AS VARCHAR) AS game_id, id, season, week, strftime(start_ts, '%Y-%m-%d') AS gameday,
+    '13:00' AS gametime, CAST(away_team AS VARCHAR) AS away_team, CAST(home_team AS VARCHAR) AS home_team,
+    CAST(away_points AS INTEGER) AS away_score, CAST(home_points AS INTEGER) AS home_score,
+    mode_spread AS spread_line, CAST(30 + id % 25 AS DOUBLE) AS total_line
+  FROM games_v)"""
+
+
+def nfl_v(spark, sf):
+    g = games_v(spark, sf)
+    return g.select(
+        F.concat(F.lit("G"), F.col("id").cast("string")).alias("game_id"), "id", "season", "week",
+        F.date_format("start_ts", "yyyy-MM-dd").alias("gameday"), F.lit("13:00").alias("gametime"),
+        F.col("away_team").cast("string").alias("away_team"), F.col("home_team").cast("string").alias("home_team"),
+        F.col("away_points").cast("int").alias("away_score"), F.col("home_points").cast("int").alias("home_score"),
+        F.col("mode_spread").alias("spread_line"), (30 + F.col("id") % 25).cast("double").alias("total_line"))
+
+
+NFL_COLS = ("game_id, id, season, week, gameday, gametime, away_team, home_team, away_score, home_score, "
+            "spread_line, total_line")
+
+GRADE_SQL = """CASE WHEN home_score IS NOT NULL AND away_score IS NOT NULL THEN home_score - away_score END AS point_differential,
+  CASE WHEN home_score IS NOT NULL AND away_score IS NOT NULL THEN home_score + away_score END AS total_points,
+  CASE WHEN home_score IS NOT NULL AND away_score IS NOT NULL THEN
+    CASE WHEN home_score > away_score THEN 'home_win' WHEN away_score > home_score THEN 'away_win'
+         WHEN home_score = away_score THEN 'tie' END END AS game_result,
+  CASE WHEN home_score IS NOT NULL AND away_score IS NOT NULL THEN
+    CASE WHEN away_score IS NULL OR home_score IS NULL OR spread_line IS NULL THEN NULL
+         WHEN ABS((home_score + (-spread_line)) - away_score) < 0.01 THEN 'push'
+         WHEN (home_score + (-spread_line)) > away_score THEN 'home_covered' ELSE 'away_covered' END END AS spread_result,
+  CASE WHEN home_score IS NOT NULL AND away_score IS NOT NULL THEN
+    CASE WHEN away_score IS NULL OR home_score IS NULL OR total_line IS NULL THEN NULL
+         WHEN (home_score + away_score) > total_line THEN 'over'
+         WHEN (home_score + away_score) < total_line THEN 'under' ELSE 'push' END END AS over_under_result"""
+
+ATS_SQL = """CASE WHEN away_score IS NULL OR home_score IS NULL OR spread_line IS NULL THEN NULL
+       WHEN (home_score + (-spread_line)) > away_score THEN 1 ELSE 0 END AS home_covered,
+  CASE WHEN away_score IS NULL OR home_score IS NULL OR spread_line IS NULL THEN NULL
+       WHEN (home_score + (-spread_line)) > away_score THEN 'HOME'
+       WHEN ABS((home_score + (-spread_line)) - away_score) < 0.01 THEN 'PUSH' ELSE 'AWAY' END AS cover,
+  CASE WHEN away_score IS NULL OR home_score IS NULL OR spread_line IS NULL THEN NULL
+       WHEN ABS((home_score + (-spread_line)) - away_score) < 0.01 THEN 'PUSH'
+       WHEN (home_score + (-spread_line)) > away_score THEN 'HOME_COVERED' ELSE 'AWAY_COVERED' END AS ats_result"""
+
+
+@register("feat_result_nfl", _g(f"WITH {NFL_SQL}\nSELECT {NFL_COLS}, {GRADE_SQL} FROM nfl"))
+def q_grade(spark, sf):
+    return GR.grade_scores(nfl_v(spark, sf))
+
+
+@register("feat_ats_nfl", _g(f"WITH {NFL_SQL}\nSELECT {NFL_COLS}, {ATS_SQL} FROM nfl"))
+def q_ats(spark, sf):
+    return GR.grade_ats(nfl_v(spark, sf))
+
+
+# opening line from the stored pages (I9), as the backfill job obtains it
+OPENING_SQL = """r AS (
+  SELECT event_id, line_no, market, outcome_point,
+    ROW_NUMBER() OVER (PARTITION BY event_id ORDER BY last_update, line_no, bookmaker, outcome_price, outcome_point) AS rn
+  FROM odds_v),
+q AS (SELECT event_id, rn,
+        CASE WHEN market = 'totals' THEN NULL WHEN outcome_point IS NULL THEN 0.0 ELSE -outcome_point END AS v
+      FROM r WHERE rn <= 10 AND line_no % 2 = 1),
+opening AS (SELECT event_id, arg_min(v, rn) AS opening_spread FROM q WHERE v IS NOT NULL GROUP BY event_id)"""
+
+
+def openings(spark, sf):
+    p = quote_pages(spark, sf)
+    return p.select(F.col("event_id").alias("id"), H.opening_value(F.col("html")).alias("opening_spread")) \
+            .filter(F.col("opening_spread").isNotNull())
+
+
+@register("line_movement", _g(f"""WITH {NFL_SQL}, {OPENING_SQL}
+SELECT n.game_id, o.opening_spread, n.spread_line - o.opening_spread AS line_movement,
+  -o.opening_spread AS home_line_open, o.opening_spread AS away_line_open,
+  -n.spread_line AS home_line_close, n.spread_line AS away_line_close
+FROM nfl n JOIN opening o ON o.event_id = n.id WHERE n.spread_line IS NOT NULL""", "odds_v"))
+def q_line_move(spark, sf):
+    n = nfl_v(spark, sf).filter(F.col("spread_line").isNotNull())
+    j = n.join(openings(spark, sf), "id")
+    return GR.line_movement(j).select("game_id", "opening_spread", "line_movement", "home_line_open",
+                                      "away_line_open", "home_line_close", "away_line_close")
+
+
+@register("report_need_backfill", _g(f"""WITH {NFL_SQL}, {OPENING_SQL}
+SELECT season, COUNT(*) AS games_missing FROM (
+  SELECT DISTINCT n.game_id, n.season FROM nfl n LEFT JOIN opening o ON o.event_id = n.id
+  WHERE n.spread_line IS NOT NULL AND o.opening_spread IS NULL) GROUP BY season""", "odds_v"))
+def q_need_backfill(spark, sf):
+    n = nfl_v(spark, sf).filter(F.col("spread_line").isNotNull())
+    missing = n.join(openings(spark, sf), "id", "left_anti").select("game_id", "season").distinct()
+    return missing.groupBy("season").agg(F.count(F.lit(1)).alias("games_missing"))
+
+
+@register("report_recent", _g(f"""WITH {NFL_SQL}
+SELECT 'recent' AS section, gameday, gametime, away_team, home_team, away_score, home_score, spread_line FROM nfl
+WHERE CAST(gameday AS DATE) >= DATE '{AS_OF_NFL}' - INTERVAL 7 DAY AND CAST(gameday AS DATE) <= DATE '{AS_OF_NFL}'
+UNION ALL
+SELECT 'upcoming', gameday, gametime, away_team, home_team, away_score, home_score, spread_line FROM nfl
+WHERE home_score IS NULL AND spread_line IS NOT NULL AND season = 1998"""))
+def q_recent(spark, sf):
+    n = nfl_v(spark, sf)
+    d = F.to_date("gameday")
+    a = F.lit(AS_OF_NFL).cast("date")
+    cols = ["gameday", "gametime", "away_team", "home_team", "away_score", "home_score", "spread_line"]
+    recent = n.filter((d >= F.date_sub(a, 7)) & (d <= a)).select(F.lit("recent").alias("section"), *cols)
+    upcoming = n.filter(F.col("home_score").isNull() & F.col("spread_line").isNotNull()
+                        & (F.col("season") == 1998)).select(F.lit("upcoming").alias("section"), *cols)
+    return recent.unionByName(upcoming).orderBy("section", "gameday", "gametime")
+
+
+# ---------------------------------------------------------------- B1-B5, B19, B20 (sinks)
+
+@register("sink_append", _g("SELECT * FROM games_v UNION ALL SELECT * FROM games_v"))
+def q_append(spark, sf):
+    st = _store(spark)
+    g = games_v(spark, sf)
+    st.append(g, "games")
+    st.append(g, "games")
+    return st.read("games")
+
+
+@register("sink_overwrite", _g("SELECT * FROM games_v WHERE home_classification = 'fbs'"))
+def q_overwrite(spark, sf):
+    st = _store(spark)
+    g = games_v(spark, sf)
+    st.publish(g, "games")
+    st.overwrite(st.read("games").filter(F.col("home_classification") == "fbs"), "games")
+    return st.read("games")
+
+
+@register("sink_ctas", _g("SELECT season, COUNT(*) AS n, COUNT(mode_spread) AS quoted FROM games_v GROUP BY season"))
+def q_ctas(spark, sf):
+    st = _store(spark)
+    g = games_v(spark, sf)
+    st.replace_as(g.groupBy("season").agg(F.count(F.lit(1)).alias("n"), F.count("mode_spread").alias("quoted")),
+                  "coverage")
+    return st.read("coverage")
+
+
+CORRECTIONS_SCHEMA = T.StructType([
+    T.StructField("game_id", T.LongType(), False, {"comment": "game id"}),
+    T.StructField("verified_spread", T.DoubleType(), True, {"comment": "verified closing spread"}),
+    T.StructField("source", T.StringType(), True, {"comment": "where it was verified"}),
+    T.StructField("date_corrected", T.DateType(), True, {"comment": "when"}),
+    T.StructField("notes", T.StringType(), True, {"comment": "free text"}),
+])
+
+
+@register("sink_create_typed", _g("""
+SELECT game_id, verified_spread, CAST(NULL AS VARCHAR) AS source, CAST(NULL AS DATE) AS date_corrected,
+  CAST(NULL AS VARCHAR) AS notes FROM corrections_v""", "corrections_v"))
+def q_create_typed(spark, sf):
+    st = _store(spark)
+    st.ensure_table("corrections", CORRECTIONS_SCHEMA)
+    st.ensure_table("corrections", CORRECTIONS_SCHEMA)      # second call: no-op
+    st.append(corrections_v(games_v(spark, sf)), "corrections")
+    return st.read("corrections")
+
+
+@register("sink_backup", _g("SELECT COUNT(*) AS count FROM games_v"))
+def q_backup(spark, sf):
+    st = _store(spark)
+    st.publish(games_v(spark, sf), "games")
+    _, cnt = st.snapshot("games", "backup")
+    return cnt
+
+
+UPSERT_SQL = f"""WITH {UPDATE_BATCH_SQL}
+SELECT * FROM games_v WHERE id NOT IN (SELECT id FROM batch) UNION ALL SELECT * FROM batch"""
+
+
+@register("create_or_merge", _g(UPSERT_SQL))
+def q_create_or_merge(spark, sf):
+    st = _store(spark)
+    g = games_v(spark, sf)
+    st.upsert_table(g, "games", "id")                # create
+    st.upsert_table(update_batch(g), "games", "id")  # merge
+    return st.read("games")
+
+
+@register("append_dedup", _g(f"""WITH {UPDATE_BATCH_SQL}
+SELECT * FROM games_v UNION ALL SELECT * FROM batch WHERE id NOT IN (SELECT id FROM games_v)"""))
+def q_append_dedup(spark, sf):
+    st = _store(spark)
+    g = games_v(spark, sf)
+    st.publish(g, "games")
+    st.append(MU.append_new(update_batch(g), st.read("games"), "id"), "games")
+    return st.read("games")
+
+
+# ---------------------------------------------------------------- B6-B18, B21 (mutations)
+
+@register("merge_upsert_all", _g(UPSERT_SQL))
+def q_upsert(spark, sf):
+    g = games_v(spark, sf)
+    return MU.merge_upsert(g, update_batch(g), "id")
+
+
+@register("merge_update_cols", _g("""
+SELECT g.* REPLACE (CASE WHEN c.game_id IS NOT NULL THEN c.verified_spread ELSE g.mode_spread END AS mode_spread)
+FROM games_v g LEFT JOIN corrections_v c ON c.game_id = g.id""", "corrections_v"))
+def q_merge_update(spark, sf):
+    g = games_v(spark, sf)
+    src = corrections_v(g).withColumnRenamed("game_id", "id")
+    return MU.merge_update(g, src, "id", {"mode_spread": "verified_spread"})
+
+
+MODE_CTE = """m AS (SELECT event_id, outcome_point AS line_mode FROM (
+  SELECT event_id, outcome_point,
+    ROW_NUMBER() OVER (PARTITION BY event_id ORDER BY COUNT(*) DESC, outcome_point) AS rn
+  FROM odds_v WHERE market = 'spreads' AND outcome_point IS NOT NULL GROUP BY event_id, outcome_point)
+  WHERE rn = 1)"""
+
+
+@register("merge_update_guarded", _g(f"""WITH {MODE_CTE}
+SELECT g.* REPLACE (CASE WHEN m.event_id IS NOT NULL AND g.home_points IS NULL THEN m.line_mode
+                         ELSE g.mode_spread END AS mode_spread)
+FROM games_v g LEFT JOIN m ON m.event_id = g.id""", "odds_v"))
+def q_merge_guarded(spark, sf):
+    g = games_v(spark, sf)
+    m = mode_spread(odds_v(spark, sf).filter(F.col("market") == "spreads"), "event_id", "outcome_point",
+                    name="line_mode").withColumnRenamed("event_id", "id")
+    return MU.merge_update(g, m, "id", {"mode_spread": "line_mode"}, target_pred=F.col("home_points").isNull())
+
+
+@register("merge_from_join", _g(f"""WITH {BETTING_SQL},
+src AS (SELECT g.id, MAX(b.bet_spread) AS bet_spread FROM games_v g JOIN betting b
+  ON g.season = b.season AND g.week = b.week AND CAST(g.start_ts AS DATE) = b.gameday
+  AND g.home_team = b.home_team AND g.away_team = b.away_team GROUP BY g.id)
+SELECT g.* REPLACE (CASE WHEN s.id IS NOT NULL THEN s.bet_spread ELSE g.mode_spread_open END AS mode_spread_open)
+FROM games_v g LEFT JOIN src s ON s.id = g.id"""))
+def q_merge_join(spark, sf):
+    g = games_v(spark, sf)
+    joined = (g.withColumn("gameday", F.to_date("start_ts"))
+              .join(betting_view(g), ["season", "week", "gameday", "home_team", "away_team"])
+              .select("id", "bet_spread"))
+    src = MU.assert_unique(joined, "id", dedupe_by=["bet_spread"])
+    return MU.merge_update(g, src, "id", {"mode_spread_open": "bet_spread"})
+
+
+@register("merge_computed_set", _g(f"""WITH {NFL_SQL},
+src AS (SELECT game_id, strftime(CAST(gameday AS DATE), '%d/%m/%Y') AS gameday_text, {ATS_SQL} FROM nfl)
+SELECT n.*, s.gameday_text, s.home_covered, s.cover, s.ats_result FROM nfl n LEFT JOIN src s ON s.game_id = n.game_id"""))
+def q_merge_computed(spark, sf):
+    n = nfl_v(spark, sf)
+    exprs = dict(GR.ats_columns())
+    exprs["gameday_text"] = F.date_format(F.to_date("gameday"), "dd/MM/yyyy")
+    return MU.merge_update(n, n, "game_id", exprs=exprs)
+
+
+@register("merge_fill_null_only", _g(f"""WITH {CONSENSUS_CTE}
+SELECT g.* REPLACE (COALESCE(g.mode_spread, c.consensus_spread) AS mode_spread)
+FROM games_v g LEFT JOIN consensus c ON c.event_id = g.id""", "quotes_v"))
+def q_fill_null(spark, sf):
+    g = games_v(spark, sf)
+    c = consensus(quotes_v(spark, sf)).select(F.col("event_id").alias("id"), "consensus_spread")
+    return MU.fill_null(g, c, "id", "mode_spread", "consensus_spread")
+
+
+@register("merge_ambiguity_check", _g("""
+SELECT home_team, away_team, COUNT(*) AS n_rows FROM games_v WHERE home_points IS NULL
+GROUP BY home_team, away_team HAVING COUNT(*) > 1"""))
+def q_ambiguity(spark, sf):
+    g = games_v(spark, sf).filter(F.col("home_points").isNull())
+    return MU.assert_unique(g, ["home_team", "away_team"])
+
+
+@register("update_where", _g("""
+SELECT * REPLACE (CASE WHEN home_points > away_points THEN home_elo + 10 ELSE home_elo END AS home_elo) FROM games_v"""))
+def q_update(spark, sf):
+    g = games_v(spark, sf)
+    return MU.update(g, F.col("home_points") > F.col("away_points"), {"home_elo": F.col("home_elo") + 10})
+
+
+@register("update_where_in_subquery", _g("""
+SELECT *, CASE WHEN id IN (SELECT game_id FROM corrections_v) THEN 'VERIFIED' END AS spread_data_quality
+FROM games_v""", "corrections_v"))
+def q_update_in(spark, sf):
+    g = games_v(spark, sf)
+    return MU.update_in(g, corrections_v(g), "id", {"spread_data_quality": F.lit("VERIFIED")}, keys_col="game_id")
+
+
+@register("delete_where", _g("""
+SELECT * FROM games_v WHERE NOT COALESCE(season BETWEEN 1996 AND 1997 AND home_points > 30, FALSE)"""))
+def q_delete(spark, sf):
+    g = games_v(spark, sf)
+    return MU.delete(g, F.col("season").between(1996, 1997) & (F.col("home_points") > 30))
+
+
+@register("insert_select", _g("""
+SELECT * FROM games_v WHERE home_classification = 'fbs'
+UNION ALL SELECT DISTINCT * FROM games_v WHERE home_classification = 'fcs'"""))
+def q_insert(spark, sf):
+    g = games_v(spark, sf)
+    return MU.insert(g.filter(F.col("home_classification") == "fbs"),
+                     g.filter(F.col("home_classification") == "fcs"), distinct=True)
+
+
+@register("refresh_window", _g(f"""WITH {NFL_SQL},
+src AS (SELECT * REPLACE (spread_line + 1 AS spread_line) FROM nfl)
+SELECT * FROM nfl WHERE NOT COALESCE(CAST(gameday AS DATE) BETWEEN DATE '{AS_OF_NFL}' - INTERVAL 7 DAY
+                                      AND DATE '{AS_OF_NFL}' + INTERVAL 7 DAY, FALSE)
+UNION ALL
+SELECT DISTINCT * FROM src WHERE CAST(gameday AS DATE) BETWEEN DATE '{AS_OF_NFL}' - INTERVAL 7 DAY
+                                      AND DATE '{AS_OF_NFL}' + INTERVAL 7 DAY"""))
+def q_refresh(spark, sf):
+    n = nfl_v(spark, sf)
+    src = n.withColumn("spread_line", F.col("spread_line") + 1)
+    return MU.refresh_window(n, src, "gameday", AS_OF_NFL, 7, 7)
+
+
+@register("alter_add_columns", _g("""
+SELECT *, CAST(NULL AS DOUBLE) AS spread_variance, CAST(NULL AS VARCHAR) AS spread_data_quality FROM games_v"""))
+def q_add_cols(spark, sf):
+    g = games_v(spark, sf)
+    return MU.add_columns(g, {"spread_variance": "double", "spread_data_quality": "string", "season": "int"})
+
+
+@register("correction_upsert_apply", _g("""
+WITH upd AS (
+  SELECT game_id, verified_spread + 0.5 AS verified_spread FROM corrections_v WHERE game_id % 2 = 0
+  UNION ALL
+  SELECT id, mode_spread - 1 FROM games_v WHERE week = 15 AND mode_spread IS NOT NULL
+    AND id NOT IN (SELECT game_id FROM corrections_v)),
+reg AS (SELECT * FROM corrections_v WHERE game_id NOT IN (SELECT game_id FROM upd) UNION ALL SELECT * FROM upd)
+SELECT g.* REPLACE (CASE WHEN r.game_id IS NOT NULL THEN r.verified_spread ELSE g.mode_spread END AS mode_spread)
+FROM games_v g LEFT JOIN reg r ON r.game_id = g.id""", "corrections_v"))
+def q_corrections(spark, sf):
+    g = games_v(spark, sf)
+    reg = corrections_v(g)
+    upd = (reg.filter((F.col("game_id") % 2) == 0).withColumn("verified_spread", F.col("verified_spread") + 0.5)
+           .unionByName(MU.append_new(
+               g.filter((F.col("week") == 15) & F.col("mode_spread").isNotNull())
+                .select(F.col("id").alias("game_id"), (F.col("mode_spread") - 1).alias("verified_spread")),
+               reg, "game_id")))
+    _, facts = MU.apply_corrections(g, reg, upd)
+    return facts
+
+
+# ---------------------------------------------------------------- J25 sync chain
+
+NFL_STAGE_SQL = """staging AS (
+  SELECT * REPLACE (home_score + 1 AS home_score, away_score + 1 AS away_score) FROM nfl WHERE id % 5 = 0
+  UNION ALL
+  SELECT * REPLACE ('N' || game_id AS game_id, id + 100000000 AS id) FROM nfl WHERE id % 5 = 0)"""
+
+
+def nfl_staging(n):
+    upd = n.filter((F.col("id") % 5) == 0).withColumns(
+        {"home_score": F.col("home_score") + 1, "away_score": F.col("away_score") + 1})
+    ins = n.filter((F.col("id") % 5) == 0).withColumns(
+        {"game_id": F.concat(F.lit("N"), F.col("game_id")), "id": F.col("id") + 100000000})
+    return upd.unionByName(ins)
+
+
+REPORT_EXTRA = {"point_differential": "int", "spread_result": "string", "bet_spread": "double",
+                "home_covered": "int", "cover": "string", "ats_result": "string"}
+
+
+def sync(source, historical, complete, betting, enhanced, report, as_of):
+    """J25 `nfl_sync_chain`: source -> historical (B6 upsert) -> complete
+    (B7 update of lines and scores) -> derived columns (J10) -> enhanced
+    (B9/B10: MERGE from complete joined with the betting view, computed
+    ATS columns) -> reporting window (B17).  One lazy DAG; the caller
+    publishes whichever states it keeps."""
+    hist = MU.merge_upsert(historical, source, "game_id")
+    comp = MU.merge_update(complete, hist, "game_id",
+                           ["spread_line", "total_line", "away_score", "home_score", "gametime"])
+    comp = GR.grade_scores(comp)
+    src = (comp.withColumn("gameday_d", F.to_date("gameday"))
+           .join(betting.withColumnRenamed("gameday", "gameday_d"),
+                 ["season", "week", "gameday_d", "home_team", "away_team"]))
+    src = MU.assert_unique(src.select("game_id", "spread_line", "away_score", "home_score", "point_differential",
+                                      "spread_result", "bet_spread"), "game_id", dedupe_by=["bet_spread"])
+    ats = GR.ats_columns()
+    enh = MU.merge_update(enhanced, src, "game_id",
+                          ["spread_line", "away_score", "home_score", "point_differential", "spread_result",
+                           "bet_spread"], exprs=ats)
+    return MU.refresh_window(report, enh, "gameday", as_of, 7, 7)
+
+
+@register("nfl_sync_chain", _g(f"""WITH {NFL_SQL}, {NFL_STAGE_SQL},
+hist AS (SELECT * FROM nfl WHERE game_id NOT IN (SELECT game_id FROM staging) UNION ALL SELECT * FROM staging),
+comp0 AS (SELECT n.* REPLACE (
+    CASE WHEN h.game_id IS NOT NULL THEN h.spread_line ELSE n.spread_line END AS spread_line,
+    CASE WHEN h.game_id IS NOT NULL THEN h.total_line ELSE n.total_line END AS total_line,
+    CASE WHEN h.game_id IS NOT NULL THEN h.away_score ELSE n.away_score END AS away_score,
+    CASE WHEN h.game_id IS NOT NULL THEN h.home_score ELSE n.home_score END AS home_score,
+    CASE WHEN h.game_id IS NOT NULL THEN h.gametime ELSE n.gametime END AS gametime)
+  FROM nfl n LEFT JOIN hist h ON h.game_id = n.game_id),
+comp AS (SELECT *, {GRADE_SQL} FROM comp0),
+bet AS (SELECT season, week, gameday, CAST(home_team AS VARCHAR) AS home_team,
+               CAST(away_team AS VARCHAR) AS away_team, bet_spread FROM ({BETTING_SQL.split(' AS (', 1)[1][:-1]})),
+src0 AS (SELECT c.*, b.bet_spread FROM comp c JOIN bet b ON c.season = b.season AND c.week = b.week
+  AND CAST(c.gameday AS DATE) = b.gameday AND c.home_team = b.home_team AND c.away_team = b.away_team),
+src AS (SELECT game_id, arg_max(spread_line, bet_spread) AS spread_line, arg_max(away_score, bet_spread) AS away_score,
+  arg_max(home_score, bet_spread) AS home_score, arg_max(point_differential, bet_spread) AS point_differential,
+  arg_max(spread_result, bet_spread) AS spread_result, MAX(bet_spread) AS bet_spread FROM src0 GROUP BY game_id),
+srcx AS (SELECT *, {ATS_SQL} FROM src),
+enh AS (SELECT n.* REPLACE (
+    CASE WHEN s.game_id IS NOT NULL THEN s.spread_line ELSE n.spread_line END AS spread_line,
+    CASE WHEN s.game_id IS NOT NULL THEN s.away_score ELSE n.away_score END AS away_score,
+    CASE WHEN s.game_id IS NOT NULL THEN s.home_score ELSE n.home_score END AS home_score),
+  CASE WHEN s.game_id IS NOT NULL THEN s.point_differential END AS point_differential,
+  CASE WHEN s.game_id IS NOT NULL THEN s.spread_result END AS spread_result,
+  CASE WHEN s.game_id IS NOT NULL THEN s.bet_spread END AS bet_spread,
+  CASE WHEN s.game_id IS NOT NULL THEN s.home_covered END AS home_covered,
+  CASE WHEN s.game_id IS NOT NULL THEN s.cover END AS cover,
+  CASE WHEN s.game_id IS NOT NULL THEN s.ats_result END AS ats_result
+  FROM nfl n LEFT JOIN srcx s ON s.game_id = n.game_id)
+SELECT *, CAST(NULL AS INTEGER) AS point_differential, CAST(NULL AS VARCHAR) AS spread_result,
+  CAST(NULL AS DOUBLE) AS bet_spread, CAST(NULL AS INTEGER) AS home_covered, CAST(NULL AS VARCHAR) AS cover,
+  CAST(NULL AS VARCHAR) AS ats_result
+FROM nfl WHERE NOT COALESCE(CAST(gameday AS DATE) BETWEEN DATE '{AS_OF_NFL}' - INTERVAL 7 DAY
+                                      AND DATE '{AS_OF_NFL}' + INTERVAL 7 DAY, FALSE)
+UNION ALL
+SELECT DISTINCT * FROM enh WHERE CAST(gameday AS DATE) BETWEEN DATE '{AS_OF_NFL}' - INTERVAL 7 DAY
+                                      AND DATE '{AS_OF_NFL}' + INTERVAL 7 DAY"""))
+def q_sync(spark, sf):
+    n = nfl_v(spark, sf)
+    g = games_v(spark, sf)
+    bet = betting_view(g).withColumns({"home_team": F.col("home_team").cast("string"),
+                                       "away_team": F.col("away_team").cast("string")})
+    report = MU.add_columns(n, REPORT_EXTRA)          # the stale reporting table
+    return sync(nfl_staging(n), n, n, bet, n, report, AS_OF_NFL)
