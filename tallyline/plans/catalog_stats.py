@@ -1 +1,202 @@
-"""Registered queries."""
+"""Registered queries: win rates and Bayesian validation.
+
+Outcomes come from `picks_v` (labelled documents: rule = source, won =
+quality) and, for the season-drift check, from graded games.  The DuckDB
+oracles recompute the Beta quantiles / tail probabilities by fine-grid
+integration (lgamma density, trapezoid CDF, linear interpolation), an
+independent method from the Spark side's continued-fraction UDF; results
+are compared at 4 decimals.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import functions as F
+
+from ..operators import stats as ST
+from ..operators.aggregates import win_rate
+from ..sources.fixtures import games_v, picks_v, with_views
+from .registry import alias, register
+
+BE = ST.BREAKEVEN
+PA = BE * ST.PRIOR_STRENGTH
+PB = (1 - BE) * ST.PRIOR_STRENGTH
+XS = (BE, 0.55, 0.597, 0.60, 0.65)
+
+
+def _d(x: float) -> str:
+    """A float literal DuckDB reads as DOUBLE (not DECIMAL)."""
+    return f"CAST({x!r} AS DOUBLE)"
+
+
+def _p(sql):
+    return with_views(sql, "picks_v")
+
+
+COUNTS_SQL = "counts AS (SELECT rule, CAST(SUM(won) AS BIGINT) AS wins, COUNT(*) AS n FROM picks_v GROUP BY rule)"
+POST_SQL = f"""post AS (SELECT rule, wins, n, {_d(PA)} + wins AS alpha, {_d(PB)} + (n - wins) AS beta,
+  ({_d(PA)} + wins) / ({_d(PA)} + wins + {_d(PB)} + (n - wins)) AS posterior_mean FROM counts)"""
+
+K = 200000
+GRID_SQL = f"""pm AS (SELECT *, alpha / (alpha + beta) AS m,
+    sqrt(alpha * beta / ((alpha + beta) * (alpha + beta) * (alpha + beta + 1))) AS sd FROM post),
+pr AS (SELECT rule, alpha, beta, GREATEST(1e-9, m - 12 * sd) AS lo, LEAST(1 - 1e-9, m + 12 * sd) AS hi FROM pm),
+bd AS (SELECT rule, alpha, beta, lo, (hi - lo) / {K} AS h, k, lo + k * (hi - lo) / {K} AS x FROM pr, range(0, {K + 1}) t(k)),
+bf AS (SELECT *, exp(lgamma(alpha + beta) - lgamma(alpha) - lgamma(beta) + (alpha - 1) * ln(x) + (beta - 1) * ln(1 - x)) AS f
+       FROM bd),
+bc AS (SELECT rule, lo, h, k, x,
+         h * (SUM(f) OVER (PARTITION BY rule ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+              - 0.5 * FIRST_VALUE(f) OVER (PARTITION BY rule ORDER BY k) - 0.5 * f) AS cdf FROM bf)"""
+
+
+def _quantile_sql(q):
+    return f"""(SELECT b1.x + ({_d(q)} - b1.cdf) / (b2.cdf - b1.cdf) * b1.h FROM bc b2 JOIN bc b1
+      ON b1.rule = b2.rule AND b1.k = b2.k - 1
+      WHERE b2.rule = post.rule AND b2.k = (SELECT MIN(k) FROM bc WHERE bc.rule = post.rule AND bc.cdf >= {_d(q)}))"""
+
+
+@register("agg_win_rate", _p("""
+SELECT rule, CAST(SUM(won) AS BIGINT) AS wins, COUNT(*) AS n, SUM(won) / COUNT(*) AS rate FROM picks_v GROUP BY rule
+UNION ALL SELECT 'ALL', CAST(SUM(won) AS BIGINT), COUNT(*), SUM(won) / COUNT(*) FROM picks_v"""))
+def q_win_rate(spark, sf):
+    return win_rate(picks_v(spark, sf))
+
+
+def _post(spark, sf):
+    return ST.beta_posterior(ST.win_counts(picks_v(spark, sf)))
+
+
+@register("stat_beta_posterior", _p(f"WITH {COUNTS_SQL}, {POST_SQL}\nSELECT * FROM post"))
+def q_posterior(spark, sf):
+    return _post(spark, sf)
+
+
+@register("stat_win_rate_by_rule", _p(f"""WITH {COUNTS_SQL}, {POST_SQL}
+SELECT rule, wins, n, ROUND(wins / n, 6) AS raw_rate, ROUND(posterior_mean, 6) AS shrunk_rate FROM post"""))
+def q_rates(spark, sf):
+    return ST.rates(_post(spark, sf))
+
+
+STEP = (0.72 - 0.45) / 499
+
+
+@register("stat_beta_density", _p(f"""WITH {COUNTS_SQL}, {POST_SQL}
+SELECT rule, i, ROUND(0.45 + i * {STEP!r}, 10) AS x,
+  ROUND(exp(lgamma(alpha + beta) - lgamma(alpha) - lgamma(beta) + (alpha - 1) * ln(0.45 + i * {STEP!r})
+            + (beta - 1) * ln(1 - (0.45 + i * {STEP!r}))), 6) AS density
+FROM post, range(0, 500) t(i)"""))
+def q_density(spark, sf):
+    return ST.beta_density(_post(spark, sf))
+
+
+CI_SQL = _p(f"""WITH {COUNTS_SQL}, {POST_SQL}, {GRID_SQL}
+SELECT rule, wins, n, alpha, beta, posterior_mean,
+  ROUND({_quantile_sql(0.025)}, 4) AS lo_95, ROUND({_quantile_sql(0.975)}, 4) AS hi_95,
+  ROUND({_quantile_sql(0.125)}, 4) AS lo_75, ROUND({_quantile_sql(0.875)}, 4) AS hi_75
+FROM post""")
+
+
+@register("stat_credible_interval", CI_SQL)
+def q_ci(spark, sf):
+    return ST.credible_interval(_post(spark, sf))
+
+
+alias("udaf_beta_interval", "stat_credible_interval")
+
+
+@register("stat_prob_at_least", _p(f"""WITH {COUNTS_SQL}, {POST_SQL}, {GRID_SQL},
+xs AS (SELECT post.rule, v.x FROM post, (VALUES {', '.join(f'({_d(x)})' for x in XS)}) v(x)),
+j AS (SELECT xs.rule, xs.x, CAST(floor((xs.x - pr.lo) / ((pr.hi - pr.lo) / {K})) AS BIGINT) AS k0 FROM xs JOIN pr ON pr.rule = xs.rule)
+SELECT j.rule, j.x,
+  ROUND(1 - CASE WHEN j.k0 < 0 THEN 0.0 WHEN j.k0 >= {K} THEN 1.0
+                 ELSE b1.cdf + (j.x - b1.x) / b1.h * (b2.cdf - b1.cdf) END, 4) AS p_at_least
+FROM j LEFT JOIN bc b1 ON b1.rule = j.rule AND b1.k = j.k0 LEFT JOIN bc b2 ON b2.rule = j.rule AND b2.k = j.k0 + 1"""))
+def q_prob(spark, sf):
+    return ST.prob_at_least(_post(spark, sf), XS)
+
+
+@register("stat_ev", _p(f"""WITH {COUNTS_SQL}
+SELECT rule, wins, n, ROUND(wins / n, 6) AS rate, {round(BE, 12)!r} AS breakeven, wins / n > {BE!r} AS beats_breakeven,
+  ROUND(wins / n * {100 / 110!r} - (1 - wins / n), 6) AS ev_per_unit FROM counts"""))
+def q_ev(spark, sf):
+    return ST.ev(ST.win_counts(picks_v(spark, sf)))
+
+
+@register("fn_logit", _p(f"""WITH {COUNTS_SQL}
+SELECT rule, ROUND(CASE WHEN wins > 0 AND wins < n THEN ln((wins / n) / (1 - wins / n)) END, 9) AS logit_rate,
+  ROUND(CASE WHEN wins > 0 AND wins < n THEN 1 / (1 + exp(-ln((wins / n) / (1 - wins / n)))) END, 9) AS expit_logit
+FROM counts"""))
+def q_logit(spark, sf):
+    return ST.logit_rates(ST.win_counts(picks_v(spark, sf)))
+
+
+def season_cover_rates(games):
+    """Home cover (compat test, J9) rate per season over played, quoted games."""
+    g = games.filter(F.col("home_points").isNotNull() & F.col("mode_spread").isNotNull())
+    cov = (F.col("home_points") - F.col("away_points")) > F.col("mode_spread")
+    return g.groupBy("season").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(cov, 1)).alias("wins")) \
+            .withColumn("rate", F.col("wins") / F.col("n"))
+
+
+@register("stat_season_drift", with_views("""
+WITH s AS (SELECT season, COUNT(*) AS n,
+             COUNT(CASE WHEN (home_points - away_points) > mode_spread THEN 1 END) AS wins
+           FROM games_v WHERE home_points IS NOT NULL AND mode_spread IS NOT NULL GROUP BY season),
+r AS (SELECT *, wins / n AS rate FROM s)
+SELECT season, n, wins, rate, LEAD(rate) OVER (ORDER BY season) AS next_rate,
+  COALESCE(rate > 0.55 AND LEAD(rate) OVER (ORDER BY season) < 0.5, FALSE) AS drift_flag FROM r""", "games_v"))
+def q_drift(spark, sf):
+    return ST.season_drift(season_cover_rates(games_v(spark, sf)))
+
+
+# ---------------------------------------------------------------- M6 / M7 (quadrature; same discrete model)
+
+MU0 = math.log(BE / (1 - BE))
+DU = 2 * ST.U_SPAN / (ST.GRID_U - 1)
+DV = ST.V_MAX / ST.GRID_V
+DZ = 2 * ST.Z_SPAN / (ST.GRID_Z - 1)
+
+POOL_SQL = f"""g AS (SELECT rule, wins, n,
+    CASE WHEN wins > 0 THEN wins * ln(wins / n) ELSE 0 END
+    + CASE WHEN wins < n THEN (n - wins) * ln(1 - wins / n) ELSE 0 END AS m_j FROM counts),
+pts AS (SELECT rule, wins, n, m_j, iu, iv, iz,
+    {-ST.U_SPAN!r} + iu * {DU!r} AS u, (iv - 0.5) * {DV!r} AS v, {-ST.Z_SPAN!r} + iz * {DZ!r} AS z
+  FROM g, range(0, {ST.GRID_U}) a(iu), range(1, {ST.GRID_V + 1}) b(iv), range(0, {ST.GRID_Z}) c(iz)),
+th AS (SELECT *, 1 / (1 + exp(-({MU0!r} + 0.3 * u + 0.4 * v * z))) AS th FROM pts),
+ll AS (SELECT *, exp(wins * ln(th) + (n - wins) * ln(1 - th) - m_j - 0.5 * z * z) AS e FROM th),
+cells AS (SELECT rule, iu, iv, SUM(e) AS L, SUM(e * th) AS N FROM ll GROUP BY rule, iu, iv),
+tot AS (SELECT iu, iv, -0.5 * ({-ST.U_SPAN!r} + iu * {DU!r}) * ({-ST.U_SPAN!r} + iu * {DU!r})
+           - 0.5 * ((iv - 0.5) * {DV!r}) * ((iv - 0.5) * {DV!r})
+           + SUM(CASE WHEN L > 0 THEN ln(L) ELSE -1e300 END) AS lp FROM cells GROUP BY iu, iv),
+wr AS (SELECT iu, iv, exp(lp - MAX(lp) OVER ()) AS w_raw FROM tot),
+wts AS (SELECT iu, iv, w_raw / SUM(w_raw) OVER () AS w, {MU0!r} + 0.3 * ({-ST.U_SPAN!r} + iu * {DU!r}) AS mu,
+          0.4 * ((iv - 0.5) * {DV!r}) AS sigma FROM wr)"""
+
+
+@register("stat_partial_pooling", _p(f"""WITH {COUNTS_SQL}, {POOL_SQL},
+theta AS (SELECT c.rule, SUM(w.w * CASE WHEN c.L > 0 THEN c.N / c.L END) AS theta_mean
+          FROM cells c JOIN wts w ON w.iu = c.iu AND w.iv = c.iv GROUP BY c.rule),
+gm AS (SELECT SUM(w * mu) AS mu_mean, SUM(w * sigma) AS sigma_mean FROM wts)
+SELECT counts.rule, counts.wins, counts.n, ROUND(theta.theta_mean, 6) AS theta_mean,
+  ROUND(gm.mu_mean, 6) AS mu_mean, ROUND(gm.sigma_mean, 6) AS sigma_mean
+FROM counts JOIN theta ON theta.rule = counts.rule, gm"""))
+def q_pool(spark, sf):
+    return ST.partial_pooling(ST.win_counts(picks_v(spark, sf)))
+
+
+@register("stat_hdi", _p(f"""WITH {COUNTS_SQL}, {POOL_SQL},
+bins AS (SELECT l.rule, LEAST(CAST(floor(l.th * 1000) AS INTEGER), 999) AS bin,
+           SUM(w.w * l.e / c.L) AS m
+         FROM ll l JOIN cells c ON c.rule = l.rule AND c.iu = l.iu AND c.iv = l.iv
+         JOIN wts w ON w.iu = l.iu AND w.iv = l.iv WHERE c.L > 0 GROUP BY 1, 2),
+cu AS (SELECT rule, bin, ROUND(SUM(m) OVER (PARTITION BY rule ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+                               / SUM(m) OVER (PARTITION BY rule), 12) AS cum FROM bins),
+st AS (SELECT rule, bin AS s, ROUND(COALESCE(LAG(cum) OVER (PARTITION BY rule ORDER BY bin), 0.0) + 0.94, 12) AS target
+       FROM cu),
+hit AS (SELECT st.rule, st.s, MIN(cu.bin) AS e FROM st JOIN cu ON cu.rule = st.rule AND cu.cum >= st.target
+        GROUP BY st.rule, st.s),
+best AS (SELECT rule, s, e, ROW_NUMBER() OVER (PARTITION BY rule ORDER BY e - s, s) AS rn FROM hit)
+SELECT rule, s / 1000.0 AS hdi_lo, (e + 1) / 1000.0 AS hdi_hi FROM best WHERE rn = 1"""))
+def q_hdi(spark, sf):
+    return ST.hdi(ST.win_counts(picks_v(spark, sf)))
