@@ -140,11 +140,17 @@ ROLL5_NAMES = {"points_scored": "avg_points", "points_allowed": "avg_allowed",
 
 
 def team_rolling_exprs() -> list[Column]:
-    """J3 `feat_team_rolling`: F2-F8 for one long-form row."""
+    """J3 `feat_team_rolling`: F2-F8 for one long-form row.
+
+    The carry-over (team-only) window is ordered by (season, ts, id): the
+    same rows in the same order as (ts, id) because a team's seasons do not
+    interleave in time, and it lets Spark serve both the (team) and the
+    (team, season) specs from ONE sort of the partition."""
     ts, t = ("team", "season"), ("team",)
     out = []
     out += rolling_exprs(ROLL5, 5, ts, "", names={c: f"{v}_l5" for c, v in ROLL5_NAMES.items()})
-    out += rolling_exprs(ROLL5, 5, t, "", names={c: f"{v}_l5_carryover" for c, v in ROLL5_NAMES.items()})
+    out += rolling_exprs(ROLL5, 5, t, "", order=("season",) + ORDER,
+                         names={c: f"{v}_l5_carryover" for c, v in ROLL5_NAMES.items()})
     out += rolling_exprs(("points_scored", "won"), 3, ts, "",
                          names={"points_scored": "avg_points_l3", "won": "win_pct_l3"})
     out += expanding_exprs(("points_scored", "points_allowed", "won"), ts,

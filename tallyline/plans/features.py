@@ -108,18 +108,20 @@ def team_features(base: DataFrame, mode: str = "compat") -> DataFrame:
 def spread_quality(disp: DataFrame, corrections: DataFrame, threshold: float = 5.0) -> DataFrame:
     """J7 `feat_spread_quality`: listed games -> VERIFIED if corrected, else
     HIGH_VARIANCE if std >= threshold, else NORMAL; corrections not listed
-    are added with NULL variance as VERIFIED (D6 + D7 + H2)."""
+    are added with NULL variance as VERIFIED.
+
+    The reference writes (listed LEFT JOIN corrections) UNION ALL
+    (corrections LEFT ANTI listed), which scans both inputs twice; the same
+    rows come from ONE full outer join on game_id (correction keys made
+    distinct so nothing fans out)."""
     corr_ids = corrections.select("game_id").distinct().withColumn("_corr", F.lit(True))
-    hv = disp.select("game_id", F.col("std_dev").alias("spread_variance"))
-    listed = hv.join(corr_ids, "game_id", "left").select(
+    hv = disp.select("game_id", F.col("std_dev").alias("spread_variance"), F.lit(True).alias("_hv"))
+    j = hv.join(corr_ids, "game_id", "full_outer")
+    return j.select(
         "game_id", "spread_variance",
         F.when(F.col("_corr").isNotNull(), "VERIFIED")
          .when(F.col("spread_variance") >= threshold, "HIGH_VARIANCE")
          .otherwise("NORMAL").alias("spread_data_quality"))
-    extra = corrections.select("game_id").join(hv.select("game_id"), "game_id", "left_anti").select(
-        "game_id", F.lit(None).cast("double").alias("spread_variance"),
-        F.lit("VERIFIED").alias("spread_data_quality"))
-    return listed.unionByName(extra)
 
 
 def _c0(c: str) -> Column:
@@ -233,7 +235,10 @@ def feature_table(games: DataFrame, disp: DataFrame, corrections: DataFrame,
                   sort: bool = True) -> DataFrame:
     """J16 `feat_table_full`: 82-column feature table (flagship)."""
     games = _ensure_cols(games, OPTIONAL_GAME_COLS)
-    base = base_games(games, classification)
+    # Hash-partition the games by id once: every later join is on id, so the
+    # sort-merge joins reuse this partitioning (no further shuffle of the
+    # wide game rows), and the long form derives from the same exchange.
+    base = base_games(games, classification).repartition("id")
     tf = team_features(base, mode)
     hh = h2h_features(base)
     sq = spread_quality(disp, corrections, quality_threshold).withColumnRenamed("game_id", "id")
