@@ -394,6 +394,29 @@ REPORT_EXTRA = {"point_differential": "int", "spread_result": "string", "bet_spr
                 "home_covered": "int", "cover": "string", "ats_result": "string"}
 
 
+def sync_tables(store: TableStore, source, betting, as_of, names=("historical", "complete", "enhanced", "report")):
+    """J25 as the job runs it: each stage is MERGEd and PUBLISHED as a new
+    table version before the next stage reads it (as the reference commits
+    each MERGE).  Written tables cut the lineage, so a lost executor costs a
+    recompute of one stage, not of the whole chain."""
+    hist_n, comp_n, enh_n, rep_n = names
+    store.publish(MU.merge_upsert(store.read(hist_n), source, "game_id"), hist_n)
+    comp = MU.merge_update(store.read(comp_n), store.read(hist_n), "game_id",
+                           ["spread_line", "total_line", "away_score", "home_score", "gametime"])
+    store.publish(GR.grade_scores(comp), comp_n)
+    comp = store.read(comp_n)
+    src = (comp.withColumn("gameday_d", F.to_date("gameday"))
+           .join(betting.withColumnRenamed("gameday", "gameday_d"),
+                 ["season", "week", "gameday_d", "home_team", "away_team"]))
+    src = MU.assert_unique(src.select("game_id", "spread_line", "away_score", "home_score", "point_differential",
+                                      "spread_result", "bet_spread"), "game_id", dedupe_by=["bet_spread"])
+    store.publish(MU.merge_update(store.read(enh_n), src, "game_id",
+                                  ["spread_line", "away_score", "home_score", "point_differential", "spread_result",
+                                   "bet_spread"], exprs=GR.ats_columns()), enh_n)
+    store.publish(MU.refresh_window(store.read(rep_n), store.read(enh_n), "gameday", as_of, 7, 7), rep_n)
+    return store.read(rep_n)
+
+
 def sync(source, historical, complete, betting, enhanced, report, as_of):
     """J25 `nfl_sync_chain`: source -> historical (B6 upsert) -> complete
     (B7 update of lines and scores) -> derived columns (J10) -> enhanced
@@ -458,5 +481,8 @@ def q_sync(spark, sf):
     g = games_v(spark, sf)
     bet = betting_view(g).withColumns({"home_team": F.col("home_team").cast("string"),
                                        "away_team": F.col("away_team").cast("string")})
-    report = MU.add_columns(n, REPORT_EXTRA)          # the stale reporting table
-    return sync(nfl_staging(n), n, n, bet, n, report, AS_OF_NFL)
+    st = _store(spark)
+    for name in ("historical", "complete", "enhanced"):
+        st.publish(n, name)
+    st.publish(MU.add_columns(n, REPORT_EXTRA), "report")      # the stale reporting table
+    return sync_tables(st, nfl_staging(n), bet, AS_OF_NFL)

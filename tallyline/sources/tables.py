@@ -1,11 +1,13 @@
 """Sinks over versioned Parquet directories.
 
-A table is a directory `<root>/<name>/` holding immutable versions
-`v=00001/`, `v=00002/`, ...; the current version is the highest one whose
-write committed (Spark's `_SUCCESS` marker).  Writers produce version n+1
-while readers keep reading n, so a job may read a table and publish its
-new state in one go (plain overwrite-in-place cannot do that).  Single
-writer per table is assumed.  File-system access goes through Hadoop's
+A table is a directory `<root>/<name>/` holding versions `v=00001/`,
+`v=00002/`, ...; the current version is the highest one whose write
+committed (Spark's `_SUCCESS` marker).  Writers produce version n+1 while
+readers keep reading n, so a job may read a table and publish its new state
+in one go (plain overwrite-in-place cannot do that).  Appends add a
+committed sub-directory to the current version (only the new rows are
+written); readers list the version recursively.  Single writer per table
+is assumed.  File-system access goes through Hadoop's
 FileSystem API, so the same code works on HDFS / object stores / local.
 
 This is path bookkeeping around `DataFrame.write.parquet`, not a storage
@@ -15,6 +17,7 @@ engine: no log, no compaction, no concurrency control.
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -54,11 +57,12 @@ class TableStore:
 
     # -- read / write --------------------------------------------------------
     def read(self, name: str) -> DataFrame:
-        """A6 for stored tables: all files of the current version."""
+        """A6 for stored tables: all files of the current version (its base
+        files and committed appends; in-flight `_temporary` output is hidden)."""
         p = self.current_path(name)
         if p is None:
             raise FileNotFoundError(f"table {name} has no committed version under {self.root}")
-        return self.spark.read.parquet(p)
+        return self.spark.read.option("recursiveFileLookup", "true").parquet(p)
 
     def publish(self, df: DataFrame, name: str) -> str:
         """Write `df` as the next version (B2 overwrite / B3 CTAS)."""
@@ -68,12 +72,19 @@ class TableStore:
         return path
 
     def append(self, df: DataFrame, name: str) -> str:
-        """B1 `sink_append`: current rows + df as a new version (versions stay
-        immutable; only the new rows are rewritten besides a file listing)."""
+        """B1 `sink_append`: write only the new rows, as a committed segment of
+        the current version (cost grows with the appended rows, not with the
+        table)."""
         if not self.exists(name):
             return self.publish(df, name)
-        cur = self.read(name)
-        return self.publish(cur.unionByName(df, allowMissingColumns=True), name)
+        from pyspark.sql import functions as F
+        cur = self.current_path(name)
+        schema = self.spark.read.option("recursiveFileLookup", "true").parquet(cur).schema
+        cols = [F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                for f in schema.fields]                      # INSERT by name; absent columns -> NULL
+        seg = f"{cur}/append-{uuid.uuid4().hex}"
+        df.select(*cols).write.mode("errorifexists").parquet(seg)
+        return seg
 
     def overwrite(self, df: DataFrame, name: str) -> str:
         return self.publish(df, name)
