@@ -49,10 +49,10 @@ def consensus(quotes: DataFrame, order: Sequence[str] = ORDER, home_col: str = "
     is_spread = (mk == "spreads") & (nm == F.col(home_col))
     is_total = (mk == "totals") & (nm == "Over")
     ordk = _order_struct(order)
-    per_book = quotes.groupBy("event_id", "bookmaker").agg(
-        F.first("commence_time", ignorenulls=True).alias("commence_time"),
-        F.first(home_col, ignorenulls=True).alias("home_team"),
-        F.first(away_col, ignorenulls=True).alias("away_team"),
+    # event attributes depend on event_id only: they ride in the grouping key
+    # (no first() aggregates), and the event-level aggregate keeps them too
+    ev = ["event_id", "commence_time", home_col, away_col]
+    per_book = quotes.groupBy(*ev, "bookmaker").agg(
         F.max_by(F.when(is_spread, F.col("outcome_point")), F.when(is_spread, ordk)).alias("spread_pt"),
         F.max(F.when(is_spread, 1)).alias("has_spread"),
         F.max_by(F.when(is_total, F.col("outcome_point")), F.when(is_total, ordk)).alias("total_pt"),
@@ -61,10 +61,7 @@ def consensus(quotes: DataFrame, order: Sequence[str] = ORDER, home_col: str = "
         F.max(F.when((mk == "h2h") & (nm == F.col(home_col)), F.col("outcome_price"))).alias("home_ml"),
         F.max(F.when((mk == "h2h") & (nm == F.col(away_col)), F.col("outcome_price"))).alias("away_ml"),
     )
-    return per_book.groupBy("event_id").agg(
-        F.min("commence_time").alias("game_time"),
-        F.min("home_team").alias("home_team"),
-        F.min("away_team").alias("away_team"),
+    out = per_book.groupBy(*ev).agg(
         mode_value(F.col("spread_pt")).alias("consensus_spread"),
         F.nullif(F.count("has_spread"), F.lit(0)).alias("spread_books"),
         F.max("home_ml").alias("consensus_home_ml"),
@@ -73,6 +70,10 @@ def consensus(quotes: DataFrame, order: Sequence[str] = ORDER, home_col: str = "
         mode_value(F.col("total_pt")).alias("consensus_total"),
         F.nullif(F.count("has_totals"), F.lit(0)).alias("total_books"),
     )
+    return out.select("event_id", F.col("commence_time").alias("game_time"),
+                      F.col(home_col).alias("home_team"), F.col(away_col).alias("away_team"),
+                      "consensus_spread", "spread_books", "consensus_home_ml", "consensus_away_ml",
+                      "h2h_books", "consensus_total", "total_books")
 
 
 def quote_summary(cons: DataFrame) -> DataFrame:

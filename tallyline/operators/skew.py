@@ -1,0 +1,188 @@
+"""Skew-safe team windows.
+
+A window partition is processed by ONE task.  Team-season partitions are
+small in this domain, but if one entity holds a large share of all rows
+its window would run in a single task.  This module gives an exact
+alternative for those entities, with no window partition larger than one
+time bucket of one entity:
+
+1. hot keys: per-key counts against the total (a one-row broadcast); a key
+   is hot when it holds more than `fraction` of the rows, so there are at
+   most 1/fraction hot keys - the hot list has a proven size bound and is
+   broadcast;
+2. prefix numbering: row number and running sums per (partition, time
+   bucket) window, plus the totals of all EARLIER buckets from a window
+   over per-bucket aggregates (one row per bucket);
+3. frames: a ROWS k-preceding aggregate is prefix(rn-1) - prefix(rn-k-1);
+   prefix(rn-k-1) comes from an equi-join on (partition, row number), a
+   unique key, so the join is evenly spread.
+
+Sums of integer-valued columns are exact, so results equal the window plan
+bit for bit; fractional running means (strength of schedule) can differ in
+the last ulp.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+ORDER = ("start_ts", "id")
+UNB = Window.unboundedPreceding
+
+
+def hot_keys(df: DataFrame, key: str, fraction: float) -> DataFrame:
+    """Keys holding more than `fraction` of the rows (at most 1/fraction)."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).withColumn("_one", F.lit(1))
+    total = df.agg(F.count(F.lit(1)).alias("_tot")).withColumn("_one", F.lit(1))
+    return (counts.join(F.broadcast(total), "_one")
+            .filter(F.col("_n") > F.col("_tot") * F.lit(fraction)).select(key))
+
+
+def hot_key_list(df: DataFrame, key: str, fraction: float) -> list:
+    """Planning-time statistic: the hot keys themselves.  One partial
+    aggregate over the key column; the result has at most 1/fraction rows by
+    construction, so bringing it to the driver is bounded (this is a plan
+    choice, like AQE's runtime statistics - no data passes the driver)."""
+    return [r[0] for r in hot_keys(df, key, fraction).collect()]
+
+
+def split_hot(df: DataFrame, key: str, hot: list) -> tuple[DataFrame, DataFrame]:
+    """(rows of ordinary keys, rows of hot keys) for a known hot-key list."""
+    cond = F.col(key).isin(hot)
+    return df.filter(~cond), df.filter(cond)
+
+
+def _bucket(ts: str, days: int) -> Column:
+    return F.floor(F.datediff(F.to_date(F.col(ts)), F.lit("1970-01-01").cast("date")) / F.lit(days))
+
+
+def prefix(df: DataFrame, part: Sequence[str], order: Sequence[str], sums: Sequence[str],
+           tag: str, bucket_days: int = 7, ts: str = "start_ts") -> DataFrame:
+    """Adds `{tag}_rn` (1-based row number in `part` ordered by `order`) and,
+    per column c in `sums`, `{tag}_s_{c}` (running SUM of coalesce(c, 0))
+    and `{tag}_c_{c}` (running COUNT of c), inclusive of the current row."""
+    part = list(part)
+    b = f"_{tag}_b"
+    x = df.withColumn(b, _bucket(ts, bucket_days))
+    w_in = Window.partitionBy(*part, b).orderBy(*order)
+    run = w_in.rowsBetween(UNB, 0)
+    x = x.select("*", F.row_number().over(w_in).alias(f"_{tag}_rn_in"),
+                 *[F.sum(F.coalesce(F.col(c), F.lit(0))).over(run).alias(f"_{tag}_rs_{c}") for c in sums],
+                 *[F.count(c).over(run).alias(f"_{tag}_rc_{c}") for c in sums])
+    tot = x.groupBy(*part, b).agg(
+        F.count(F.lit(1)).alias(f"_{tag}_tn"),
+        *[F.sum(F.coalesce(F.col(c), F.lit(0))).alias(f"_{tag}_ts_{c}") for c in sums],
+        *[F.count(c).alias(f"_{tag}_tc_{c}") for c in sums])
+    wb = Window.partitionBy(*part).orderBy(b).rowsBetween(UNB, -1)       # one row per bucket
+    off = tot.select(*part, b,
+                     F.coalesce(F.sum(f"_{tag}_tn").over(wb), F.lit(0)).alias(f"_{tag}_on"),
+                     *[F.coalesce(F.sum(f"_{tag}_ts_{c}").over(wb), F.lit(0)).alias(f"_{tag}_os_{c}") for c in sums],
+                     *[F.coalesce(F.sum(f"_{tag}_tc_{c}").over(wb), F.lit(0)).alias(f"_{tag}_oc_{c}") for c in sums])
+    j = x.join(off, [*part, b])
+    out = j.withColumns({
+        f"{tag}_rn": F.col(f"_{tag}_on") + F.col(f"_{tag}_rn_in"),
+        **{f"{tag}_s_{c}": F.col(f"_{tag}_os_{c}") + F.col(f"_{tag}_rs_{c}") for c in sums},
+        **{f"{tag}_c_{c}": F.col(f"_{tag}_oc_{c}") + F.col(f"_{tag}_rc_{c}") for c in sums},
+    })
+    return out.drop(b, f"_{tag}_rn_in", f"_{tag}_on", *[f"_{tag}_{k}_{c}" for k in ("rs", "rc", "os", "oc")
+                                                         for c in sums])
+
+
+def with_lookbacks(pref: DataFrame, part: Sequence[str], tag: str, ks: Sequence[int], cols: Sequence[str]) -> DataFrame:
+    """Attach, for each k in `ks`, the given columns of the row k+1 positions
+    earlier in the same partition (NULL when there is none), as `<col>_k<k>`.
+    Every shifted copy is a projection of the SAME prefix table joined on the
+    unique key (partition, row number), so the plan grows linearly."""
+    part = list(part)
+    out = pref
+    for k in ks:
+        look = pref.select(*part, (F.col(f"{tag}_rn") + F.lit(k + 1)).alias(f"{tag}_rn"),
+                           *[F.col(c).alias(f"{c}_k{k}") for c in cols])
+        out = out.join(look, [*part, f"{tag}_rn"], "left")
+    return out
+
+
+def frame_avg(tag: str, c: str, suffix: str) -> Column:
+    """AVG over rows [rn-k, rn-1] from prefixes (NULL when no value)."""
+    s = F.col(f"{tag}_s_{c}") - F.coalesce(F.col(c), F.lit(0)) - F.coalesce(F.col(f"{tag}_s_{c}{suffix}"), F.lit(0))
+    n = F.col(f"{tag}_c_{c}") - F.when(F.col(c).isNotNull(), 1).otherwise(0) \
+        - F.coalesce(F.col(f"{tag}_c_{c}{suffix}"), F.lit(0))
+    return F.when(n > 0, s / n)
+
+
+def frame_sum(tag: str, c: str, suffix: str, empty_null: bool) -> Column:
+    s = F.col(f"{tag}_s_{c}") - F.col(c) - F.coalesce(F.col(f"{tag}_s_{c}{suffix}"), F.lit(0))
+    return F.when(F.col(f"{tag}_rn") > 1, s) if empty_null else F.when(F.col(f"{tag}_rn") > 1, s).otherwise(0)
+
+
+def expanding_avg(tag: str, c: str) -> Column:
+    s = F.col(f"{tag}_s_{c}") - F.coalesce(F.col(c), F.lit(0))
+    n = F.col(f"{tag}_c_{c}") - F.when(F.col(c).isNotNull(), 1).otherwise(0)
+    return F.when(n > 0, s / n)
+
+
+ROLL5 = ("points_scored", "points_allowed", "margin", "won", "beat_spread")
+ROLL5_NAMES = {"points_scored": "avg_points", "points_allowed": "avg_allowed",
+               "margin": "avg_margin", "won": "win_pct", "beat_spread": "ats_pct"}
+
+
+def team_stage_bucketed(long: DataFrame, bucket_days: int = 7) -> DataFrame:
+    """Same columns as the window plan of `plans.features.team_stage`.
+
+    Three independent prefix tables over the same input - (team, season),
+    (team) and (team, side, season) - each joined to its shifted copies on
+    (partition, row number), then combined on the unique key (id, side)."""
+    ts_part, t_part, side_part = ("team", "season"), ("team",), ("team", "side", "season")
+    key = ["id", "side"]
+    x0 = long.withColumns({
+        "_won1": F.when(F.col("won") == 1, 1).otherwise(0),
+        "_unsc": F.when(F.col("points_scored").isNull() | F.col("points_allowed").isNull(), 1).otherwise(0),
+    })
+    season_cols = list(ROLL5) + ["_won1", "_unsc"]
+    p = prefix(x0.select(*key, *ts_part, *ORDER, *season_cols), ts_part, ORDER, season_cols, "p", bucket_days)
+    p = with_lookbacks(p, ts_part, "p", (5, 3), [f"p_{k}_{c}" for k in ("s", "c") for c in season_cols])
+    fp = p.select(*key, *[frame_avg("p", c, "_k5").alias(f"{v}_l5") for c, v in ROLL5_NAMES.items()],
+                  frame_avg("p", "points_scored", "_k3").alias("avg_points_l3"),
+                  frame_avg("p", "won", "_k3").alias("win_pct_l3"),
+                  expanding_avg("p", "points_scored").alias("season_avg_points"),
+                  expanding_avg("p", "points_allowed").alias("season_avg_allowed"),
+                  expanding_avg("p", "won").alias("season_win_pct"),
+                  frame_sum("p", "_won1", "_k3", empty_null=True).cast("bigint").alias("wins_l3"),
+                  frame_sum("p", "_unsc", "_k3", empty_null=False).cast("bigint").alias("unscored_games_in_l3_window"),
+                  (F.col("p_rn") - 1).cast("bigint").alias("games_played"))
+    q = prefix(x0.select(*key, "team", "season", *ORDER, *ROLL5), t_part, ("season",) + ORDER, list(ROLL5), "q",
+               bucket_days)
+    q = with_lookbacks(q, t_part, "q", (5,), [f"q_{k}_{c}" for k in ("s", "c") for c in ROLL5])
+    fq = q.select(*key, *[frame_avg("q", c, "_k5").alias(f"{v}_l5_carryover") for c, v in ROLL5_NAMES.items()])
+    r = prefix(x0.select(*key, *side_part, *ORDER), side_part, ORDER, [], "r", bucket_days)
+    r = with_lookbacks(r, side_part, "r", (0,), ["start_ts"])
+    fr = r.select(*key, F.datediff(F.col("start_ts"), F.col("start_ts_k0")).alias("rest_days"))
+    tot = long.groupBy(*side_part).agg(
+        F.sum("points_scored").alias("_tsum_s"), F.count("points_scored").alias("_tcnt_s"),
+        F.sum("points_allowed").alias("_tsum_a"), F.count("points_allowed").alias("_tcnt_a"),
+        F.sum(F.when(F.col("points_scored") > F.col("points_allowed"), 1).otherwise(0)).alias("_twin"))
+    s, a = F.col("points_scored"), F.col("points_allowed")
+    own_s = F.when(s.isNotNull(), 1).otherwise(0)
+    own_a = F.when(a.isNotNull(), 1).otherwise(0)
+    win = F.when(s > a, 1).otherwise(0)
+    base = long.join(tot, list(side_part)).select(
+        "id", "season", "week", "start_ts", "side", "team",
+        ((F.col("_tsum_s") - F.coalesce(s, F.lit(0))) / F.nullif(F.col("_tcnt_s") - own_s, F.lit(0))).alias("avg_points"),
+        ((F.col("_tsum_a") - F.coalesce(a, F.lit(0))) / F.nullif(F.col("_tcnt_a") - own_a, F.lit(0))).alias("avg_allowed"),
+        ((F.col("_twin") - win) / F.nullif(F.col("_tcnt_s") - own_s, F.lit(0))).alias("win_rate"))
+    out = base.join(fr, key).join(fp, key).join(fq, key)
+    cols = ["id", "season", "week", "start_ts", "side", "team", "rest_days", "avg_points", "avg_allowed", "win_rate"]
+    cols += [c for c in fp.columns if c not in key] + [c for c in fq.columns if c not in key]
+    return out.select(*cols)
+
+
+def cumulative_incl_bucketed(df: DataFrame, col: str, part: Sequence[str], avg_name: str, count_name: str,
+                             bucket_days: int = 7) -> DataFrame:
+    """F9 skew-safe: running AVG/COUNT of `col` including the current row."""
+    x = prefix(df, part, ORDER, [col], "u", bucket_days)
+    s, c = F.col(f"u_s_{col}"), F.col(f"u_c_{col}")
+    return x.withColumns({avg_name: F.when(c > 0, s / c), count_name: c}).drop(
+        "u_rn", f"u_s_{col}", f"u_c_{col}")

@@ -23,6 +23,11 @@ from ..functions.scalar import utc_to_zone
 from ..operators import windows as W
 from ..operators.h2h import h2h_features
 from ..operators.longform import pivot_sides, to_long
+from ..operators.skew import cumulative_incl_bucketed, hot_key_list, split_hot, team_stage_bucketed
+
+# A team holding more than this share of all team-game rows is routed to the
+# skew-safe (bucketed prefix) plan instead of one window partition per team.
+HOT_FRACTION = 0.05
 
 OPTIONAL_GAME_COLS = {
     "conference_game": "boolean",
@@ -65,9 +70,7 @@ def location_splits(games: DataFrame, classification: str | None = "fbs") -> Dat
     return pivot_sides(loo, "id", ["avg_points", "avg_allowed", "win_rate"])
 
 
-def team_stage(base: DataFrame, mode: str = "compat") -> DataFrame:
-    """Long-form window stage: one exchange on team, every per-team feature."""
-    long = to_long(base, mode=mode)
+def _team_windows(long: DataFrame) -> DataFrame:
     return long.select(
         "id", "season", "week", "start_ts", "side", "team",
         W.lag_days("start_ts", ("team", "side", "season"), "rest_days"),
@@ -76,6 +79,33 @@ def team_stage(base: DataFrame, mode: str = "compat") -> DataFrame:
     )
 
 
+def hot_teams(games_base: DataFrame, hot_fraction: float | None) -> list:
+    """Teams holding more than `hot_fraction` of the team-game rows (a
+    bounded list: at most 1/hot_fraction).  Counted on the two team columns
+    only, before any repartitioning."""
+    if hot_fraction is None:
+        return []
+    long = games_base.select(F.explode(F.array("home_team", "away_team")).alias("team"))
+    return hot_key_list(long, "team", hot_fraction)
+
+
+def team_stage(base: DataFrame, mode: str = "compat", hot_fraction: float | None = None,
+               hot_list: list | None = None) -> DataFrame:
+    """Long-form window stage: one exchange on team, every per-team feature.
+
+    With `hot_fraction`, teams holding more than that share of the rows (at
+    most 1/hot_fraction of them) take the skew-safe bucketed plan; the rest
+    keep the window plan.  A `_hot` flag routes the later SOS stage."""
+    long = to_long(base, mode=mode)
+    if hot_list is None:
+        hot_list = hot_teams(base, hot_fraction)
+    if not hot_list:
+        return _team_windows(long)
+    cold, hot = split_hot(long, "team", hot_list)
+    return (_team_windows(cold).withColumn("_hot", F.lit(False))
+            .unionByName(team_stage_bucketed(hot).withColumn("_hot", F.lit(True))))
+
+
 def with_sos(stage: DataFrame, min_week: int = 3, default: float = 0.5) -> DataFrame:
     """J5 `feat_sos`: opponent's pre-game season win% at this game (window on
     id: exactly two rows), then F9 running mean/count including the current
@@ -85,7 +115,14 @@ def with_sos(stage: DataFrame, min_week: int = 3, default: float = 0.5) -> DataF
     home_v = F.max(F.when(F.col("side") == "home", swp)).over(pid)
     away_v = F.max(F.when(F.col("side") == "away", swp)).over(pid)
     s = stage.withColumn("opp_win_pct", F.when(F.col("side") == "home", away_v).otherwise(home_v))
-    s = s.select("*", *W.cumulative_incl("opp_win_pct", ("team", "season"), "sos_rating", "sos_sample_size"))
+    if "_hot" in s.columns:
+        cold = s.filter(~F.col("_hot")).select(
+            "*", *W.cumulative_incl("opp_win_pct", ("team", "season"), "sos_rating", "sos_sample_size"))
+        hot = cumulative_incl_bucketed(s.filter(F.col("_hot")), "opp_win_pct", ("team", "season"),
+                                       "sos_rating", "sos_sample_size")
+        s = cold.unionByName(hot).drop("_hot")
+    else:
+        s = s.select("*", *W.cumulative_incl("opp_win_pct", ("team", "season"), "sos_rating", "sos_sample_size"))
     gate = (F.coalesce(F.col("sos_sample_size"), F.lit(0)) > 0) & (F.col("week") >= min_week)
     return s.withColumn("sos", F.when(gate, F.col("sos_rating")).otherwise(F.lit(default)))
 
@@ -97,9 +134,10 @@ def sos(games: DataFrame, classification: str | None = "fbs") -> DataFrame:
                        ["sos", "sos_sample_size"])
 
 
-def team_features(base: DataFrame, mode: str = "compat") -> DataFrame:
+def team_features(base: DataFrame, mode: str = "compat", hot_fraction: float | None = HOT_FRACTION,
+                  hot_list: list | None = None) -> DataFrame:
     """All per-team features pivoted to one row per game id."""
-    st = with_sos(team_stage(base, mode))
+    st = with_sos(team_stage(base, mode, hot_fraction, hot_list))
     cols = (["rest_days", "avg_points", "avg_allowed", "win_rate", "sos", "sos_sample_size"]
             + list(W.TEAM_ROLLING_COLS))
     return pivot_sides(st, "id", cols)
@@ -232,14 +270,16 @@ def eligible(min_games: int = 3) -> Column:
 def feature_table(games: DataFrame, disp: DataFrame, corrections: DataFrame,
                   classification: str = "fbs", tz: str = "America/Chicago",
                   quality_threshold: float = 5.0, mode: str = "compat",
-                  sort: bool = True) -> DataFrame:
+                  sort: bool = True, hot_fraction: float | None = HOT_FRACTION) -> DataFrame:
     """J16 `feat_table_full`: 82-column feature table (flagship)."""
     games = _ensure_cols(games, OPTIONAL_GAME_COLS)
     # Hash-partition the games by id once: every later join is on id, so the
     # sort-merge joins reuse this partitioning (no further shuffle of the
     # wide game rows), and the long form derives from the same exchange.
-    base = base_games(games, classification).repartition("id")
-    tf = team_features(base, mode)
+    raw_base = base_games(games, classification)
+    hot = hot_teams(raw_base, hot_fraction)
+    base = raw_base.repartition("id")
+    tf = team_features(base, mode, hot_fraction, hot)
     hh = h2h_features(base)
     sq = spread_quality(disp, corrections, quality_threshold).withColumnRenamed("game_id", "id")
     local = utc_to_zone(F.col("start_ts"), tz)

@@ -229,3 +229,20 @@ def test_flatten_odds_fallbacks(spark):
     assert len(rows) == 2                                   # book without markets dropped
     assert {r.outcome_name for r in rows} == {"H", ""}      # missing name -> ''
     assert all(r.last_update is not None for r in rows)     # market falls back to book's last_update
+
+
+def test_bucketed_team_stage_equals_windows(spark):
+    """The skew-safe plan gives the window plan's answers (every team forced hot)."""
+    from tallyline.plans import features as FT
+    from tallyline.sources.fixtures import games_v
+    base = FT.base_games(games_v(spark, "/root/testdata/sf0.001"))
+    a = FT.with_sos(FT.team_stage(base)).drop("opp_win_pct")
+    b = FT.with_sos(FT.team_stage(base, hot_fraction=0.0)).drop("opp_win_pct")
+    assert "_hot" not in b.columns
+    exact = [c for c in a.columns if c not in ("sos_rating", "sos")]
+    assert a.select(*exact).exceptAll(b.select(*exact)).count() == 0
+    assert b.select(*exact).exceptAll(a.select(*exact)).count() == 0
+    ja = {(r.id, r.side): r.sos_rating for r in a.select("id", "side", "sos_rating").collect()}
+    jb = {(r.id, r.side): r.sos_rating for r in b.select("id", "side", "sos_rating").collect()}
+    assert ja.keys() == jb.keys()
+    assert all((ja[k] is None and jb[k] is None) or abs(ja[k] - jb[k]) < 1e-12 for k in ja)
