@@ -652,7 +652,7 @@ def q_title(spark, sf):
 
 @register("fn_json", """
 SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
-  to_json([CAST(json_extract(props, '$.k') AS BIGINT), user_id]) AS k_and_user FROM events""")
+  CAST(to_json([CAST(json_extract(props, '$.k') AS BIGINT), user_id]) AS VARCHAR) AS k_and_user FROM events""")
 def q_json(spark, sf):
     ev = table(spark, sf, "events")
     parsed = F.from_json("props", "k BIGINT")
@@ -668,6 +668,7 @@ def q_array(spark, sf):
     g = o.groupBy("event_id").agg(F.collect_list(F.struct(F.col("line_no"), F.col("outcome_point"))).alias("items"))
     pts = F.transform("items", lambda x: x["outcome_point"])
     nn = S.non_null(pts)
-    return g.select("event_id", F.size("items").alias("n_items"), F.size(nn).alias("n_points"),
+    return g.select("event_id", F.size("items").cast("bigint").alias("n_items"),
+                    F.size(nn).cast("bigint").alias("n_points"),
                     F.array_min(nn).alias("min_point"), F.array_max(nn).alias("max_point"),
                     S.array_mean(pts).alias("mean_point"))

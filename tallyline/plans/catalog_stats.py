@@ -82,9 +82,9 @@ STEP = (0.72 - 0.45) / 499
 
 
 @register("stat_beta_density", _p(f"""WITH {COUNTS_SQL}, {POST_SQL}
-SELECT rule, i, ROUND(0.45 + i * {STEP!r}, 10) AS x,
-  ROUND(exp(lgamma(alpha + beta) - lgamma(alpha) - lgamma(beta) + (alpha - 1) * ln(0.45 + i * {STEP!r})
-            + (beta - 1) * ln(1 - (0.45 + i * {STEP!r}))), 6) AS density
+SELECT rule, CAST(i AS INTEGER) AS i, ROUND({_d(0.45)} + i * {_d(STEP)}, 10) AS x,
+  ROUND(exp(lgamma(alpha + beta) - lgamma(alpha) - lgamma(beta) + (alpha - 1) * ln({_d(0.45)} + i * {_d(STEP)})
+            + (beta - 1) * ln(1 - ({_d(0.45)} + i * {_d(STEP)}))), 6) AS density
 FROM post, range(0, 500) t(i)"""))
 def q_density(spark, sf):
     return ST.beta_density(_post(spark, sf))
@@ -117,7 +117,7 @@ def q_prob(spark, sf):
 
 
 @register("stat_ev", _p(f"""WITH {COUNTS_SQL}
-SELECT rule, wins, n, ROUND(wins / n, 6) AS rate, {round(BE, 12)!r} AS breakeven, wins / n > {BE!r} AS beats_breakeven,
+SELECT rule, wins, n, ROUND(wins / n, 6) AS rate, {_d(round(BE, 12))} AS breakeven, wins / n > {BE!r} AS beats_breakeven,
   ROUND(wins / n * {100 / 110!r} - (1 - wins / n), 6) AS ev_per_unit FROM counts"""))
 def q_ev(spark, sf):
     return ST.ev(ST.win_counts(picks_v(spark, sf)))

@@ -102,3 +102,37 @@ def compare(df, con, sql, show: int = 3) -> tuple[bool, str]:
                 diffcols.add(sc[i])
     return False, (f"{msg} values differ ({sum((cs - cd).values())} rows); cols={sorted(diffcols)[:10]}\n"
                    f"  spark: {only_s[:2]}\n  duck : {only_d[:2]}")
+
+
+def _spark_family(dt) -> str:
+    from pyspark.sql import types as T
+    m = {T.ByteType: "int8", T.ShortType: "int16", T.IntegerType: "int32", T.LongType: "int64",
+         T.FloatType: "float32", T.DoubleType: "float64", T.StringType: "string", T.BooleanType: "bool",
+         T.DateType: "date", T.TimestampNTZType: "timestamp", T.TimestampType: "timestamptz",
+         T.DecimalType: "decimal", T.ArrayType: "list", T.StructType: "struct", T.MapType: "map"}
+    for k, v in m.items():
+        if isinstance(dt, k):
+            return v
+    return type(dt).__name__
+
+
+def _duck_family(t: str) -> str:
+    t = t.upper()
+    if t.endswith("[]"):
+        return "list"
+    if t.startswith("STRUCT"):
+        return "struct"
+    if t.startswith("DECIMAL"):
+        return "decimal"
+    return {"TINYINT": "int8", "SMALLINT": "int16", "INTEGER": "int32", "BIGINT": "int64", "HUGEINT": "int128",
+            "FLOAT": "float32", "DOUBLE": "float64", "VARCHAR": "string", "BOOLEAN": "bool", "DATE": "date",
+            "TIMESTAMP": "timestamp", "TIMESTAMP WITH TIME ZONE": "timestamptz", "UBIGINT": "uint64",
+            "INTEGER[]": "list"}.get(t, t)
+
+
+def type_diffs(df, con, sql) -> list[str]:
+    """Columns whose type family differs between the Spark result and the oracle."""
+    sp = {f.name: _spark_family(f.dataType) for f in df.schema.fields}
+    rel = con.sql(sql)
+    dk = {n: _duck_family(str(t)) for n, t in zip(rel.columns, rel.types)}
+    return [f"{c}: spark {sp[c]} vs duck {dk[c]}" for c in sorted(sp) if c in dk and sp[c] != dk[c]]

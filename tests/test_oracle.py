@@ -9,7 +9,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
-from harness import compare, duck
+from harness import compare, duck, type_diffs
 
 SF = os.environ.get("TALLYLINE_ORACLE_SF", "/root/testdata/sf0.001")
 KEYS = sorted(E.oracle_sql())
@@ -30,6 +30,7 @@ def test_query_matches_oracle(spark, con, key):
     df = E.queries()[key](spark, SF)
     ok, msg = compare(df, con, E.oracle_sql()[key])
     assert ok, msg
+    assert type_diffs(df, con, E.oracle_sql()[key]) == []
 
 
 def test_entry_smoke(spark):
