@@ -42,10 +42,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     d = sc.getCheckpointDir()
     if d:
         return d
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not d:                                   # unset: local runs and tests only
         d = tempfile.mkdtemp(prefix="tallyline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # noqa: BLE001 - a core conf may be read-only at runtime
+            pass
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
