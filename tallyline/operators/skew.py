@@ -33,20 +33,20 @@ ORDER = ("start_ts", "id")
 UNB = Window.unboundedPreceding
 
 
-def hot_keys(df: DataFrame, key: str, fraction: float) -> DataFrame:
-    """Keys holding more than `fraction` of the rows (at most 1/fraction)."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).withColumn("_one", F.lit(1))
-    total = df.agg(F.count(F.lit(1)).alias("_tot")).withColumn("_one", F.lit(1))
-    return (counts.join(F.broadcast(total), "_one")
-            .filter(F.col("_n") > F.col("_tot") * F.lit(fraction)).select(key))
+def hot_keys(df: DataFrame, key: str, fraction: float, total: int) -> DataFrame:
+    """Keys holding more than `fraction` of `total` rows (at most 1/fraction)."""
+    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+            .filter(F.col("_n") > F.lit(total * fraction)).select(key))
 
 
 def hot_key_list(df: DataFrame, key: str, fraction: float) -> list:
-    """Planning-time statistic: the hot keys themselves.  One partial
-    aggregate over the key column; the result has at most 1/fraction rows by
-    construction, so bringing it to the driver is bounded (this is a plan
-    choice, like AQE's runtime statistics - no data passes the driver)."""
-    return [r[0] for r in hot_keys(df, key, fraction).collect()]
+    """Planning-time statistic: the hot keys themselves (a row count, then
+    one partial aggregate over the key column).  The result has at most
+    1/fraction rows by construction, so bringing it to the driver is
+    bounded - a plan choice, like AQE's runtime statistics; no data passes
+    the driver."""
+    total = df.count()
+    return [r[0] for r in hot_keys(df, key, fraction, total).collect()]
 
 
 def split_hot(df: DataFrame, key: str, hot: list) -> tuple[DataFrame, DataFrame]:

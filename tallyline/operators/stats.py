@@ -158,15 +158,14 @@ def partial_pooling(counts: DataFrame, p0: float = BREAKEVEN, s_mu: float = 0.3,
     mu0 = math.log(p0 / (1 - p0))
     cells = _grid_cells(counts, mu0, s_mu, s_sigma)
     wts = _cell_weights(cells, s_mu, s_sigma, mu0)
-    glob = wts.agg(F.sum(F.col("w") * F.col("mu")).alias("mu_mean"),
-                   F.sum(F.col("w") * F.col("sigma")).alias("sigma_mean"))
     ratio = F.when(F.col("L") > 0, F.col("N") / F.col("L"))
-    theta = (cells.join(wts.select("iu", "iv", "w"), ["iu", "iv"])
-             .groupBy("rule").agg(F.sum(F.col("w") * ratio).alias("theta_mean")))
-    # the global (mu, sigma) means are one row: attach it with a keyed
-    # broadcast join (size 1 by construction)
-    g1 = glob.select(F.lit(1).alias("_k"), "*")
-    out = counts.join(theta, "rule").withColumn("_k", F.lit(1)).join(F.broadcast(g1), "_k").drop("_k")
+    # every group's cells cover the whole (mu, sigma) grid, so the global
+    # posterior means of mu and sigma come out of the same per-group sums
+    theta = (cells.join(wts, ["iu", "iv"])
+             .groupBy("rule").agg(F.sum(F.col("w") * ratio).alias("theta_mean"),
+                                  F.sum(F.col("w") * F.col("mu")).alias("mu_mean"),
+                                  F.sum(F.col("w") * F.col("sigma")).alias("sigma_mean")))
+    out = counts.join(theta, "rule")
     return out.select("rule", "wins", "n", F.round("theta_mean", digits).alias("theta_mean"),
                       F.round("mu_mean", digits).alias("mu_mean"), F.round("sigma_mean", digits).alias("sigma_mean"))
 

@@ -159,3 +159,17 @@ def test_late_data_dropped_after_watermark(spark):
     out = {r.window_start.day: (r.n, r.total) for r in store.read("c").collect()}
     assert out == {20: (1, 1.0), 19: (1, 1.0), 10: (1, 1.0), 18: (1, 2.0)}
     assert os.path.isdir(f"{root}/ckpt/commits")
+
+
+def test_no_cross_or_row_udf_anywhere(spark):
+    """No registered query plans a nested-loop / cartesian join or a
+    row-at-a-time Python UDF; Arrow UDFs only in the Beta-quantile queries."""
+    arrow_ok = {"stat_credible_interval", "stat_prob_at_least", "udaf_beta_interval"}
+    for k, q in sorted(E.queries().items()):
+        if k.startswith(("sink_", "stream_", "create_or", "append_dedup", "nfl_sync")):
+            continue                      # these execute writes while building
+        plan = _plan(q(spark, SF))
+        assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan, k
+        assert "BatchEvalPython" not in plan, k
+        if k not in arrow_ok:
+            assert "ArrowEvalPython" not in plan, k
