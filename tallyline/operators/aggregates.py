@@ -172,11 +172,15 @@ def dispersion(df: DataFrame, key: str, val: str, min_std: float = 2.0, min_book
 
 # E12
 def low_confidence(df: DataFrame, key: str, val: str, provider: str, max_books: int = 2) -> DataFrame:
-    """Games with 1..max_books non-null quotes, with their sorted provider list."""
+    """Games with 1..max_books non-null quotes, with the providers of those
+    quotes (one entry per quote, sorted for determinism).  Groups above the
+    cap are dropped by HAVING before any list is kept."""
     v = df.filter(F.col(val).isNotNull())
-    return (v.groupBy(key).agg(F.count(val).alias("sportsbook_count"),
-                               F.sort_array(F.collect_set(provider)).alias("providers"))
-            .filter(F.col("sportsbook_count").between(1, max_books)))
+    low = v.groupBy(key).agg(F.count(val).alias("sportsbook_count")).filter(
+        F.col("sportsbook_count").between(1, max_books))
+    lists = (v.join(low.select(key), key, "left_semi")
+             .groupBy(key).agg(F.sort_array(F.collect_list(provider)).alias("providers")))
+    return low.join(lists, key)
 
 
 # E13
