@@ -160,13 +160,15 @@ def dispersion(df: DataFrame, key: str, val: str, min_std: float = 2.0, min_book
     if provider:
         aggs.append(F.sort_array(F.collect_list(F.struct(F.col(provider), F.col(val)))).alias("quotes"))
     g = v.groupBy(key).agg(*aggs).filter(F.col("sportsbook_count") >= min_books)
-    g = g.filter(F.round("_std", digits) >= min_std)
+    # threshold on the unrounded population std (rounding is for display);
+    # 1e-9 absorbs float noise when the exact std sits on the threshold
+    g = g.filter(F.col("_std") >= F.lit(min_std - 1e-9))
     return g.select(
         F.col(key).alias("game_id"),
         F.round("_std", digits).alias("std_dev"),
         F.round("_mean", digits).alias("mean_spread"),
         "min_spread", "max_spread",
-        (F.col("max_spread") - F.col("min_spread")).alias("spread_range"),
+        F.round(F.col("max_spread") - F.col("min_spread"), digits).alias("spread_range"),
         "sportsbook_count", *(["quotes"] if provider else []))
 
 

@@ -283,7 +283,7 @@ def q_left_case(spark, sf):
 
 
 HV_CTE = """hv AS (SELECT event_id AS game_id FROM odds_v WHERE market = 'spreads' AND outcome_point IS NOT NULL
-  GROUP BY event_id HAVING COUNT(outcome_point) >= 3 AND ROUND(STDDEV_POP(outcome_point), 2) >= 0.5)"""
+  GROUP BY event_id HAVING COUNT(outcome_point) >= 3 AND STDDEV_POP(outcome_point) >= 0.5 - 1e-9)"""
 
 
 @register("join_left_anti", _g(f"""WITH {HV_CTE}
@@ -495,7 +495,7 @@ def q_limit(spark, sf):
 SELECT game_id, std_dev FROM (
   SELECT event_id AS game_id, ROUND(STDDEV_POP(outcome_point), 2) AS std_dev
   FROM odds_v WHERE market = 'spreads' AND outcome_point IS NOT NULL GROUP BY event_id
-  HAVING COUNT(outcome_point) >= 3 AND ROUND(STDDEV_POP(outcome_point), 2) >= 0.5)
+  HAVING COUNT(outcome_point) >= 3 AND STDDEV_POP(outcome_point) >= 0.5 - 1e-9)
 ORDER BY std_dev DESC, game_id LIMIT 20""", "odds_v"))
 def q_topk(spark, sf):
     """20 largest by std; ties keep the smallest id (deterministic)."""

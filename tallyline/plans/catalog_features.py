@@ -141,7 +141,7 @@ HV_SQL = """high_variance AS (
   SELECT event_id AS game_id, ROUND(STDDEV_POP(outcome_point), 2) AS std_dev
   FROM odds_v WHERE market = 'spreads' AND outcome_point IS NOT NULL
   GROUP BY event_id
-  HAVING COUNT(outcome_point) >= 3 AND ROUND(STDDEV_POP(outcome_point), 2) >= 0.5)"""
+  HAVING COUNT(outcome_point) >= 3 AND STDDEV_POP(outcome_point) >= 0.5 - 1e-9)"""
 
 QUALITY_SQL = """spread_quality AS (
   SELECT hv.game_id, hv.std_dev AS spread_variance,
