@@ -70,6 +70,12 @@ NFL_CSV = T.StructType([
 
 # ---------------------------------------------------------------- A1 games
 
+def _json_list_text(arr: Column) -> Column:
+    """Numeric list -> JSON text in the stored format ('[7, 3, 0, 14]':
+    comma + space separators); an empty or missing list -> NULL."""
+    return F.when(F.size(arr) > 0, F.concat(F.lit("["), F.array_join(arr, ", "), F.lit("]")))
+
+
 def conform_games(raw: DataFrame) -> DataFrame:
     """C4 `proj_conform` + C5: raw game records -> the 39-column fact schema.
     Flags default to false; numbers arriving as text are safe-cast (bad ->
@@ -84,7 +90,7 @@ def conform_games(raw: DataFrame) -> DataFrame:
     for s in ("home", "away"):
         cols += [F.col(f"{s}Id").cast("bigint").alias(f"{s}Id"), F.col(f"{s}Team"),
                  F.col(f"{s}Classification"), F.col(f"{s}Conference"), dbl(f"{s}Points").alias(f"{s}Points"),
-                 F.to_json(F.col(f"{s}LineScores")).alias(f"{s}LineScores"),
+                 _json_list_text(F.col(f"{s}LineScores")).alias(f"{s}LineScores"),
                  dbl(f"{s}PostgameWinProbability").alias(f"{s}PostgameWinProbability"),
                  dbl(f"{s}PregameElo").alias(f"{s}PregameElo"), dbl(f"{s}PostgameElo").alias(f"{s}PostgameElo")]
     cols += [dbl("excitementIndex").alias("excitementIndex"), F.lit(None).cast("double").alias("highlights"),

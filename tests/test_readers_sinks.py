@@ -14,7 +14,7 @@ def test_read_games_json_conforms(spark):
     d = tempfile.mkdtemp(prefix="tl-json-")
     rows = [{"id": 1, "season": 2023, "week": 1, "startDate": "2023-09-02T16:00:00.000Z", "completed": True,
              "homeId": 10, "homeTeam": "A", "homeClassification": "fbs", "homePoints": "31",
-             "homeLineScores": ["7", "10"], "awayId": 11, "awayTeam": "B", "awayPoints": "", "attendance": "n/a"},
+             "homeLineScores": [7, 10, 0, 14], "awayLineScores": [], "awayId": 11, "awayTeam": "B", "awayPoints": "", "attendance": "n/a"},
             {"id": 2, "season": 2022, "week": 3}]
     with open(f"{d}/g.json", "w") as f:
         f.write("\n".join(json.dumps(r) for r in rows))
@@ -23,7 +23,8 @@ def test_read_games_json_conforms(spark):
     r = g.collect()[0]
     assert (r.id, r.homeScore, r.awayScore, r.attendance) == (1, 31.0, None, None)   # '' / bad -> NULL
     assert r.neutralSite is False and r.completed is True                             # missing flag -> false
-    assert r.homeTeamId == 10 and r.homeLineScores == '["7","10"]' and r.highlights is None
+    assert r.homeTeamId == 10 and r.homeLineScores == "[7, 10, 0, 14]" and r.highlights is None
+    assert r.awayLineScores is None                                                   # empty list -> NULL
 
 
 def test_read_games_csv_filters(spark):
