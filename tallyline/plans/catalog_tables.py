@@ -486,3 +486,55 @@ def q_sync(spark, sf):
         st.publish(n, name)
     st.publish(MU.add_columns(n, REPORT_EXTRA), "report")      # the stale reporting table
     return sync_tables(st, nfl_staging(n), bet, AS_OF_NFL)
+
+
+# ---------------------------------------------------------------- daily refresh (BASELINE's headline job)
+
+REFRESH_AS_OF = "2001-07-20"
+REFRESH_EXTRA = {"game_date": "date", "start_central": "timestamp_ntz", "game_date_central": "date"}
+
+
+def refresh_inputs(spark, sf):
+    """The day's pulls: every game of the seasons the 7-day window touches,
+    re-scored (late score corrections), and the spread quotes as lines."""
+    from ..sources.readers import seasons_to_scan
+    g = games_v(spark, sf)
+    pull = g.filter(F.col("season").isin(seasons_to_scan(REFRESH_AS_OF))).withColumns(
+        {"home_points": F.col("home_points") + 1, "away_points": F.col("away_points") + 1})
+    o = odds_v(spark, sf).filter(F.col("market") == "spreads")
+    lines = o.select(F.col("event_id").alias("id"),
+                     F.when(F.col("outcome_name") == "home", F.col("outcome_point")).alias("spread"),
+                     F.when(F.col("outcome_name") == "away", F.col("outcome_point")).alias("spread_open"))
+    return g, pull, lines
+
+
+def _mode_sql(name, side):
+    return f"""{name} AS (SELECT id, v FROM (
+  SELECT event_id AS id, outcome_point AS v,
+    ROW_NUMBER() OVER (PARTITION BY event_id ORDER BY COUNT(*) DESC, outcome_point) AS rn
+  FROM odds_v WHERE market = 'spreads' AND outcome_name = '{side}' GROUP BY event_id, outcome_point) WHERE rn = 1)"""
+
+
+@register("daily_refresh", _g(f"""WITH pull AS (SELECT * EXCLUDE (mode_spread, mode_spread_open)
+           REPLACE (home_points + 1 AS home_points, away_points + 1 AS away_points)
+         FROM games_v WHERE season IN (2001) AND start_ts >= TIMESTAMP '2001-07-13 00:00:00'),
+{_mode_sql('sp', 'home')}, {_mode_sql('op', 'away')},
+lm AS (SELECT e.id, sp.v AS mode_spread, op.v AS mode_spread_open
+       FROM (SELECT DISTINCT event_id AS id FROM odds_v WHERE market = 'spreads') e
+       LEFT JOIN sp ON sp.id = e.id LEFT JOIN op ON op.id = e.id),
+src AS (SELECT p.*, lm.mode_spread, lm.mode_spread_open, CAST(p.start_ts AS DATE) AS game_date,
+          timezone('America/Chicago', p.start_ts AT TIME ZONE 'UTC') AS start_central,
+          CAST(timezone('America/Chicago', p.start_ts AT TIME ZONE 'UTC') AS DATE) AS game_date_central
+        FROM pull p LEFT JOIN lm ON lm.id = p.id)
+SELECT *, CAST(NULL AS DATE) AS game_date, CAST(NULL AS TIMESTAMP) AS start_central,
+  CAST(NULL AS DATE) AS game_date_central FROM games_v WHERE id NOT IN (SELECT id FROM src)
+UNION ALL BY NAME SELECT * FROM src""", "odds_v"))
+def q_daily_refresh(spark, sf):
+    """Initial load of the season-partitioned fact table, then one day's
+    incremental refresh (only the touched seasons are rewritten)."""
+    from .refresh import daily_refresh
+    g, pull, lines = refresh_inputs(spark, sf)
+    path = f"{checkpoint_dir(spark)}/refresh-{uuid.uuid4().hex[:12]}/games"
+    MU.add_columns(g, REFRESH_EXTRA).write.partitionBy("season").parquet(path)
+    daily_refresh(spark, path, pull, lines, REFRESH_AS_OF)
+    return spark.read.parquet(path)

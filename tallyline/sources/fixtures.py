@@ -187,6 +187,6 @@ def with_views(sql: str, *views: str) -> str:
                 need.append(d)
     ctes = ",\n".join(f"{v} AS (\n{defs[v]}\n)" for v in need)
     body = sql.strip()
-    if body.upper().startswith("WITH "):
+    if body[:5].upper() in ("WITH ", "WITH\n"):
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"
