@@ -14,15 +14,13 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 from ..sources.fixtures import games_v, odds_v, table, with_views
-from ..sources.tables import TableStore
 from ..streaming import streams as SS
 from .catalog_basic import UPDATE_BATCH_SQL, update_batch
 from .registry import register
 
 
 def _scratch(spark):
-    root = f"{checkpoint_dir(spark)}/streams-{uuid.uuid4().hex[:12]}"
-    return root, TableStore(spark, f"{root}/tables")
+    return f"{checkpoint_dir(spark)}/streams-{uuid.uuid4().hex[:12]}"
 
 
 @register("stream_upsert", with_views(f"""WITH {UPDATE_BATCH_SQL}
@@ -30,19 +28,19 @@ SELECT * FROM games_v WHERE id NOT IN (SELECT id FROM batch) UNION ALL SELECT *
 def q_stream_upsert(spark, sf):
     """L1: the update batch lands as one file per season; the stream applies
     them micro-batch by micro-batch onto the stored games table."""
-    root, store = _scratch(spark)
+    root = _scratch(spark)
     g = games_v(spark, sf)
-    store.publish(g, "games")
+    g.write.partitionBy("season").parquet(f"{root}/games")
     update_batch(g).repartition("season").write.partitionBy("season").parquet(f"{root}/landing")
     schema = spark.read.parquet(f"{root}/landing").schema
     stream = SS.read_landing(spark, f"{root}/landing", schema, max_files=2)
-    SS.stream_upsert(stream, store, "games", ["id"], ["start_ts"], f"{root}/ckpt")
-    return store.read("games").select(*g.columns)
+    SS.stream_upsert(stream, f"{root}/games", ["id"], ["start_ts"], f"{root}/ckpt", "season")
+    return spark.read.parquet(f"{root}/games").select(*g.columns)
 
 
 @register("stream_quote_dedup", with_views("SELECT DISTINCT event_id, bookmaker, market FROM odds_v", "odds_v"))
 def q_stream_dedup(spark, sf):
-    root, _ = _scratch(spark)
+    root = _scratch(spark)
     odds_v(spark, sf).write.parquet(f"{root}/landing")
     schema = spark.read.parquet(f"{root}/landing").schema
     stream = SS.read_landing(spark, f"{root}/landing", schema)
@@ -55,13 +53,13 @@ def q_stream_dedup(spark, sf):
 SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, event_type, COUNT(*) AS n, SUM(value) AS total
 FROM events GROUP BY 1, 2""")
 def q_stream_late(spark, sf):
-    root, store = _scratch(spark)
+    root = _scratch(spark)
     table(spark, sf, "events").withColumn("day", F.to_date("ts")).write.partitionBy("day").parquet(f"{root}/landing")
     schema = spark.read.parquet(f"{root}/landing").schema
     stream = SS.read_landing(spark, f"{root}/landing", schema, max_files=64)
     agg = SS.late_tolerant_counts(stream, "ts", "event_type", "value")
-    SS.windowed_upsert(agg, store, "counts", ["window_start", "event_type"], f"{root}/ckpt")
-    return store.read("counts")
+    SS.windowed_upsert(agg, f"{root}/counts", ["window_start", "event_type"], f"{root}/ckpt")
+    return spark.read.parquet(f"{root}/counts").drop("window_month")
 
 
 @register("stream_line_windows", with_views("""
@@ -73,7 +71,7 @@ SELECT CAST(date_trunc('day', last_update) AS TIMESTAMP) AS window_start, event_
   COUNT(*) AS n_quotes
 FROM odds_v WHERE market = 'spreads' GROUP BY 1, 2""", "odds_v"))
 def q_stream_lines(spark, sf):
-    root, store = _scratch(spark)
+    root = _scratch(spark)
     o = odds_v(spark, sf).filter(F.col("market") == "spreads")
     o.write.parquet(f"{root}/landing")
     schema = spark.read.parquet(f"{root}/landing").schema
@@ -81,5 +79,5 @@ def q_stream_lines(spark, sf):
     agg = SS.line_windows(stream, "last_update", "event_id", "outcome_point",
                           ["last_update", "line_no", "bookmaker", "outcome_price", "outcome_point"],
                           lateness="3650 days")
-    SS.windowed_upsert(agg, store, "lines", ["window_start", "event_id"], f"{root}/ckpt")
-    return store.read("lines")
+    SS.windowed_upsert(agg, f"{root}/lines", ["window_start", "event_id"], f"{root}/ckpt")
+    return spark.read.parquet(f"{root}/lines").drop("window_month")

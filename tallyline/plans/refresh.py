@@ -19,16 +19,13 @@ replacement is per partition (not one atomic swap of the whole table).
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import utc_to_zone
 from ..operators.aggregates import mode_value
-from ..operators.mutation import merge_upsert
-from ..session import checkpoint_dir
 from ..sources.readers import incremental
+from ..sources.tables import upsert_partitions
 
 
 def lines_modes(lines: DataFrame, key: str = "id") -> DataFrame:
@@ -52,27 +49,6 @@ def prepare_pull(games_pull: DataFrame, lines_pull: DataFrame, as_of, lookback_d
     })
 
 
-def upsert_partitions(spark: SparkSession, path: str, src: DataFrame, keys, part_col: str = "season") -> list:
-    """B6/B19 limited to the partitions `src` touches; returns them."""
-    affected = sorted(r[0] for r in src.select(part_col).distinct().collect())
-    try:
-        current = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - first load: nothing stored yet
-        current = None
-    if current is None:
-        src.write.partitionBy(part_col).parquet(path)
-        return affected
-    cur = current.filter(F.col(part_col).isin(affected))           # partition pruning
-    merged = merge_upsert(cur, src.select(*[c for c in src.columns]), keys)
-    stage = f"{checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
-    merged.write.parquet(stage)
-    staged = spark.read.parquet(stage)
-    cols = [c for c in staged.columns if c != part_col] + [part_col]
-    (staged.select(*cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(part_col).parquet(path))
-    return affected
-
-
 def daily_refresh(spark: SparkSession, path: str, games_pull: DataFrame, lines_pull: DataFrame, as_of,
                   lookback_days: int = 7) -> list:
     """The whole refresh; returns the seasons rewritten."""

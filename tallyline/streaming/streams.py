@@ -3,9 +3,10 @@
 The reference polls on a schedule and relies on MERGE / window replace for
 idempotence.  The streaming versions read landing files incrementally,
 keep their progress in a checkpoint under the shared checkpoint folder,
-and write through `foreachBatch` into versioned tables, so a restarted job
-(lost executor, lost driver) resumes from the last committed batch and
-re-applying a batch is harmless (upserts are idempotent).
+and write through `foreachBatch` into partitioned tables with a
+partition-scoped MERGE, so a restarted job (lost executor, lost driver)
+resumes from the last committed batch, re-applying a batch is harmless
+(upserts are idempotent), and a batch costs what it carries.
 
 Event-time columns are cast to TIMESTAMP (with-zone): the driver's
 TIMESTAMP_NTZ is rejected by `withWatermark`.
@@ -19,8 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.mutation import merge_upsert
-from ..sources.tables import TableStore
+from ..sources.tables import upsert_partitions
 
 
 def _run(writer, trigger_once: bool = True):
@@ -46,16 +46,17 @@ def latest_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str])
     return g.select(*keys, *[F.col("_r")[c].alias(c) for c in others])
 
 
-def stream_upsert(stream: DataFrame, store: TableStore, table: str, keys: Sequence[str],
-                  order: Sequence[str], checkpoint: str, max_batches_note: str = "") -> None:
-    """L1 `stream_upsert`: landing files -> latest row per key -> MERGE
-    (B6) into `table`, one new table version per micro-batch."""
+def stream_upsert(stream: DataFrame, path: str, keys: Sequence[str], order: Sequence[str],
+                  checkpoint: str, part_col: str) -> None:
+    """L1 `stream_upsert`: landing files -> latest row per key -> MERGE
+    into the partitioned table at `path`; each micro-batch rewrites only the
+    partitions it touches, so a batch costs what it carries."""
     def apply(batch: DataFrame, batch_id: int) -> None:
-        src = latest_per_key(batch, keys, order)
-        if store.exists(table):
-            store.publish(merge_upsert(store.read(table), src, keys), table)
-        else:
-            store.publish(src, table)
+        batch.persist()
+        try:
+            upsert_partitions(batch.sparkSession, path, latest_per_key(batch, keys, order), keys, part_col)
+        finally:
+            batch.unpersist()
     _run(stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint))
 
 
@@ -69,15 +70,20 @@ def stream_dedup(stream: DataFrame, keys: Sequence[str], ts: str, delay: str, si
          .option("checkpointLocation", checkpoint).outputMode("append"))
 
 
-def windowed_upsert(agg: DataFrame, store: TableStore, table: str, keys: Sequence[str], checkpoint: str) -> None:
+def windowed_upsert(agg: DataFrame, path: str, keys: Sequence[str], checkpoint: str,
+                    window_col: str = "window_start") -> None:
     """Write a windowed aggregate in UPDATE mode: each micro-batch carries the
-    changed windows, merged into `table` by (window, key) - so windows still
-    open at the end of an availableNow run are kept, and re-runs converge."""
+    changed windows, merged by (window, key) into a table partitioned by the
+    window's month (`window_month`) - a batch rewrites only the months it
+    touched, windows still open at the end of an availableNow run are kept,
+    and re-runs converge."""
     def apply(batch: DataFrame, batch_id: int) -> None:
-        if store.exists(table):
-            store.publish(merge_upsert(store.read(table), batch, keys), table)
-        else:
-            store.publish(batch, table)
+        batch.persist()
+        try:
+            src = batch.withColumn("window_month", F.trunc(F.to_date(F.col(window_col)), "month"))
+            upsert_partitions(batch.sparkSession, path, src, list(keys), "window_month")
+        finally:
+            batch.unpersist()
     _run(agg.writeStream.outputMode("update").foreachBatch(apply).option("checkpointLocation", checkpoint))
 
 
