@@ -29,15 +29,25 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        jvm = spark._jvm  # noqa: SLF001 - Hadoop FS handle for listing/marker checks
-        self._Path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._Path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
+        try:  # Hadoop FS handle (HDFS / object stores / local) for listing and markers
+            jvm = spark._jvm  # noqa: SLF001
+            self._Path = jvm.org.apache.hadoop.fs.Path
+            self._fs = self._Path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
+        except Exception:  # noqa: BLE001 - no JVM handle (e.g. Spark Connect): local paths only
+            self._fs = None
 
     # -- paths -------------------------------------------------------------
     def _dir(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def versions(self, name: str) -> list[int]:
+        if self._fs is None:
+            import os
+            d = self._dir(name).removeprefix("file:")
+            if not os.path.isdir(d):
+                return []
+            return sorted(int(m.group(1)) for e in os.listdir(d) if (m := _V.match(e))
+                          and os.path.exists(os.path.join(d, e, "_SUCCESS")))
         p = self._Path(self._dir(name))
         if not self._fs.exists(p):
             return []
