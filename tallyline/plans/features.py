@@ -270,8 +270,13 @@ def eligible(min_games: int = 3) -> Column:
 def feature_table(games: DataFrame, disp: DataFrame, corrections: DataFrame,
                   classification: str = "fbs", tz: str = "America/Chicago",
                   quality_threshold: float = 5.0, mode: str = "compat",
-                  sort: bool = True, hot_fraction: float | None = HOT_FRACTION) -> DataFrame:
-    """J16 `feat_table_full`: 82-column feature table (flagship)."""
+                  sort: bool = True, hot_fraction: float | None = HOT_FRACTION,
+                  cut_lineage: bool = False) -> DataFrame:
+    """J16 `feat_table_full`: 82-column feature table (flagship).
+
+    `cut_lineage=True` checkpoints the per-game team features (reliable
+    checkpoint into `spark.checkpoint.dir`), so a lost executor late in the
+    job re-reads them instead of recomputing every window stage."""
     games = _ensure_cols(games, OPTIONAL_GAME_COLS)
     # Hash-partition the games by id once: every later join is on id, so the
     # sort-merge joins reuse this partitioning (no further shuffle of the
@@ -280,6 +285,10 @@ def feature_table(games: DataFrame, disp: DataFrame, corrections: DataFrame,
     hot = hot_teams(raw_base, hot_fraction)
     base = raw_base.repartition("id")
     tf = team_features(base, mode, hot_fraction, hot)
+    if cut_lineage:
+        from ..session import checkpoint_dir
+        checkpoint_dir(games.sparkSession)
+        tf = tf.checkpoint(eager=True)
     hh = h2h_features(base)
     sq = spread_quality(disp, corrections, quality_threshold).withColumnRenamed("game_id", "id")
     local = utc_to_zone(F.col("start_ts"), tz)

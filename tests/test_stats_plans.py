@@ -171,3 +171,15 @@ def test_no_cross_or_row_udf_anywhere(spark):
         assert "BatchEvalPython" not in plan, k
         if k not in arrow_ok:
             assert "ArrowEvalPython" not in plan, k
+
+
+@given(st.lists(st.sampled_from([-3.0, -2.5, -1.0, 0.0, 1.5]), min_size=1, max_size=9))
+@settings(max_examples=10, deadline=None)
+def test_mode_is_an_input(spark, vals):
+    from tallyline.operators import aggregates as A
+    df = spark.createDataFrame([(1, i, v) for i, v in enumerate(vals)], "k int, pos int, v double")
+    m = A.mode_by_counts(df, "k", "v").collect()[0]["mode"]
+    assert m in vals and vals.count(m) == max(vals.count(x) for x in vals)
+    line = A.mode_or_median(df, "k", "v", ["pos"]).collect()[0]["line"]
+    if len(set(vals)) < len(vals):
+        assert line in vals

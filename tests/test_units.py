@@ -246,3 +246,26 @@ def test_bucketed_team_stage_equals_windows(spark):
     jb = {(r.id, r.side): r.sos_rating for r in b.select("id", "side", "sos_rating").collect()}
     assert ja.keys() == jb.keys()
     assert all((ja[k] is None and jb[k] is None) or abs(ja[k] - jb[k]) < 1e-12 for k in ja)
+
+
+def test_corrected_modes(spark, g):
+    """Q1/Q2 switches: corrected cover test and earlier-games-only splits."""
+    from tallyline.plans import features as FT
+    rows = {r.id: r for r in g.select("id", *FT.grade_margin_cols("corrected")).collect()}
+    assert rows[1].home_covered_spread == 1          # won by 7 as a 3-point favourite: 7 - 3 > 0
+    assert rows[5].home_covered_spread == 0          # lost by 4 getting 1.5
+    long = W.leave_one_out_corrected(to_long(g))
+    loo = {(r.id, r.team): r.avg_points for r in long.collect()}
+    assert loo[(1, 1)] is None                       # first home game: nothing earlier
+    assert loo[(3, 1)] == 21.0                       # earlier home game only (not later ones)
+
+
+def test_flagship_lineage_cut(spark):
+    from tallyline.plans.features import feature_table
+    from tallyline.plans.catalog_features import high_variance
+    from tallyline.sources.fixtures import corrections_v, games_v
+    sf = "/root/testdata/sf0.001"
+    gg = games_v(spark, sf)
+    a = feature_table(gg, high_variance(spark, sf), corrections_v(gg))
+    b = feature_table(gg, high_variance(spark, sf), corrections_v(gg), cut_lineage=True)
+    assert a.exceptAll(b).count() == 0 and b.count() == a.count()
