@@ -109,14 +109,15 @@ def mode_or_median(df: DataFrame, key: str, val: str, order: Sequence[str],
     pos = F.struct(*[F.col(c) for c in order], F.col(val))
     v = df.filter(F.col(val).isNotNull())
     per_val = v.groupBy(key, val).agg(F.count(F.lit(1)).alias("_n"), F.min(pos).alias("_first"))
-    # winner: max count, then earliest first occurrence
+    # one pass over the quotes: the winner (max count, then earliest first
+    # occurrence), the distinct/count test and the median - the median from
+    # the per-value counts via percentile's frequency argument
     win = per_val.groupBy(key).agg(
         F.min_by(F.col(val), F.struct(-F.col("_n"), F.col("_first"))).alias("_mode"),
-        F.sum("_n").alias("_total"), F.count(F.lit(1)).alias("_distinct"))
-    med = v.groupBy(key).agg(F.percentile(F.col(val), 0.5).alias("_median"))
-    j = win.join(med, key)
-    return j.select(key, F.when(F.col("_distinct") == F.col("_total"), F.col("_median"))
-                    .otherwise(F.col("_mode")).alias(name), F.col("_total").alias("n_quotes"))
+        F.sum("_n").alias("_total"), F.count(F.lit(1)).alias("_distinct"),
+        F.percentile(F.col(val), 0.5, F.col("_n")).alias("_median"))
+    return win.select(key, F.when(F.col("_distinct") == F.col("_total"), F.col("_median"))
+                      .otherwise(F.col("_mode")).alias(name), F.col("_total").alias("n_quotes"))
 
 
 # E10

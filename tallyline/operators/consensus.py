@@ -95,12 +95,13 @@ def live_spread(quotes: DataFrame, teams: DataFrame, order: Sequence[str] = ("bo
     all the event's quotes; unknown teams dropped (D15 inner lookup);
     events with no away-side spread quote dropped."""
     t = teams.select(F.col(team_key).alias("_k"), F.col(abbr).alias("_abbr"))
-    ev = quotes.select("event_id", "home_team", "away_team").dropDuplicates(["event_id"])
+    # one aggregate per event for its teams and book count (one pass)
+    ev = quotes.groupBy("event_id").agg(F.min("home_team").alias("home_team"), F.min("away_team").alias("away_team"),
+                                        F.count_distinct("bookmaker").alias("num_books"))
     ev = (ev.join(t.withColumnRenamed("_k", "home_team").withColumnRenamed("_abbr", "home_team_abbr"), "home_team")
             .join(t.withColumnRenamed("_k", "away_team").withColumnRenamed("_abbr", "away_team_abbr"), "away_team"))
     away_q = quotes.filter((F.col("market") == "spreads") & (F.col("outcome_name") == F.col("away_team")))
     line = mode_or_median(away_q, "event_id", "outcome_point", order, name="spread_line").drop("n_quotes")
-    books = quotes.groupBy("event_id").agg(F.count_distinct("bookmaker").alias("num_books"))
-    return (ev.join(line, "event_id").join(books, "event_id")
+    return (ev.join(line, "event_id")
             .select("event_id", "away_team_abbr", "home_team_abbr", "away_team", "home_team",
                     "spread_line", "num_books"))
