@@ -278,12 +278,8 @@ def feature_table(games: DataFrame, disp: DataFrame, corrections: DataFrame,
     checkpoint into `spark.checkpoint.dir`), so a lost executor late in the
     job re-reads them instead of recomputing every window stage."""
     games = _ensure_cols(games, OPTIONAL_GAME_COLS)
-    # Hash-partition the games by id once: every later join is on id, so the
-    # sort-merge joins reuse this partitioning (no further shuffle of the
-    # wide game rows), and the long form derives from the same exchange.
-    raw_base = base_games(games, classification)
-    hot = hot_teams(raw_base, hot_fraction)
-    base = raw_base.repartition("id")
+    base = base_games(games, classification)
+    hot = hot_teams(base, hot_fraction)
     tf = team_features(base, mode, hot_fraction, hot)
     if cut_lineage:
         from ..session import checkpoint_dir
@@ -292,7 +288,13 @@ def feature_table(games: DataFrame, disp: DataFrame, corrections: DataFrame,
     hh = h2h_features(base)
     sq = spread_quality(disp, corrections, quality_threshold).withColumnRenamed("game_id", "id")
     local = utc_to_zone(F.col("start_ts"), tz)
-    j = (base.join(tf, "id", "left").join(hh, "id", "left").join(sq, "id", "left"))
+    # Only the copy of the games that feeds the id joins is shuffled by id
+    # (a sort-merge join needs exactly that shuffle; tf already comes out of
+    # a hash aggregate on id).  The long form and the h2h branch read the
+    # games directly - sharing one explicit repartition between branches
+    # would not be reused (each branch prunes different columns) and would
+    # shuffle the games once per branch.
+    j = (base.repartition("id").join(tf, "id", "left").join(hh, "id", "left").join(sq, "id", "left"))
     rest_h = F.coalesce(F.col("home_rest_days"), F.lit(7))
     rest_a = F.coalesce(F.col("away_rest_days"), F.lit(7))
     sos_h, sos_a = F.col("home_sos"), F.col("away_sos")
