@@ -15,8 +15,7 @@ from ..operators import names as N
 from ..operators import quality as Q
 from ..sources import dimensions as DIM
 from ..sources import readers as R
-from ..sources.fixtures import (GAMES_V_SQL, corrections_v, dictionary_v, games_v, names_v, odds_v,
-                                table, with_views)
+from ..sources.fixtures import corrections_v, dictionary_v, games_v, names_v, odds_v, table, with_views
 from .catalog_features import high_variance
 from .catalog_quotes import RESOLVE_SQL
 from .registry import alias, register
