@@ -392,6 +392,20 @@ def nfl_staging(n):
 
 REPORT_EXTRA = {"point_differential": "int", "spread_result": "string", "bet_spread": "double",
                 "home_covered": "int", "cover": "string", "ats_result": "string"}
+COMPLETE_EXTRA = {"point_differential": "int", "total_points": "int", "game_result": "string",
+                  "spread_result": "string", "over_under_result": "string"}
+
+
+def nfl_tables(spark, n):
+    """The four stale season-partitioned tables of the sync chain (initial
+    load; every table carries its derived columns from the start)."""
+    root = f"{checkpoint_dir(spark)}/nfl-{uuid.uuid4().hex[:12]}"
+    paths = {k: f"{root}/{k}" for k in ("historical", "complete", "enhanced", "report")}
+    n.write.partitionBy("season").parquet(paths["historical"])
+    MU.add_columns(n, COMPLETE_EXTRA).write.partitionBy("season").parquet(paths["complete"])
+    MU.add_columns(n, REPORT_EXTRA).write.partitionBy("season").parquet(paths["enhanced"])
+    MU.add_columns(n, REPORT_EXTRA).write.partitionBy("season").parquet(paths["report"])
+    return paths
 
 
 def sync_tables(store: TableStore, source, betting, as_of, names=("historical", "complete", "enhanced", "report")):
@@ -417,6 +431,41 @@ def sync_tables(store: TableStore, source, betting, as_of, names=("historical",
     return store.read(rep_n)
 
 
+def sync_partitioned(spark, paths: dict, source, betting, as_of, part_col: str = "season"):
+    """J25 on season-partitioned tables: each stage rewrites only the seasons
+    the day's source touches (the report: only the seasons inside the
+    [as_of-7, as_of+7] window).  The touched seasons are a handful of values,
+    collected as plan parameters."""
+    from ..sources.tables import rewrite_partitions, upsert_partitions
+    rd = spark.read.parquet
+    affected = upsert_partitions(spark, paths["historical"], source, "game_id", part_col)
+
+    def in_aff(df):
+        return df.filter(F.col(part_col).isin(affected))
+
+    rewrite_partitions(spark, paths["complete"], affected, lambda cur: GR.grade_scores(MU.merge_update(
+        cur, in_aff(rd(paths["historical"])), "game_id",
+        ["spread_line", "total_line", "away_score", "home_score", "gametime"])), part_col)
+
+    def enhance(cur):
+        comp = in_aff(rd(paths["complete"]))
+        src = (comp.withColumn("gameday_d", F.to_date("gameday"))
+               .join(betting.withColumnRenamed("gameday", "gameday_d"),
+                     ["season", "week", "gameday_d", "home_team", "away_team"]))
+        src = MU.assert_unique(src.select("game_id", "spread_line", "away_score", "home_score", "point_differential",
+                                          "spread_result", "bet_spread"), "game_id", dedupe_by=["bet_spread"])
+        return MU.merge_update(cur, src, "game_id", ["spread_line", "away_score", "home_score",
+                                                     "point_differential", "spread_result", "bet_spread"],
+                               exprs=GR.ats_columns())
+    rewrite_partitions(spark, paths["enhanced"], affected, enhance, part_col)
+    a = F.lit(str(as_of)).cast("date")
+    in_win = F.to_date("gameday").between(F.date_sub(a, 7), F.date_add(a, 7))
+    win_seasons = sorted(r[0] for r in rd(paths["enhanced"]).filter(in_win).select(part_col).distinct().collect())
+    rewrite_partitions(spark, paths["report"], win_seasons, lambda cur: MU.refresh_window(
+        cur, rd(paths["enhanced"]).filter(F.col(part_col).isin(win_seasons)), "gameday", as_of, 7, 7), part_col)
+    return rd(paths["report"])
+
+
 def sync(source, historical, complete, betting, enhanced, report, as_of):
     """J25 `nfl_sync_chain`: source -> historical (B6 upsert) -> complete
     (B7 update of lines and scores) -> derived columns (J10) -> enhanced
@@ -481,11 +530,9 @@ def q_sync(spark, sf):
     g = games_v(spark, sf)
     bet = betting_view(g).withColumns({"home_team": F.col("home_team").cast("string"),
                                        "away_team": F.col("away_team").cast("string")})
-    st = _store(spark)
-    for name in ("historical", "complete", "enhanced"):
-        st.publish(n, name)
-    st.publish(MU.add_columns(n, REPORT_EXTRA), "report")      # the stale reporting table
-    return sync_tables(st, nfl_staging(n), bet, AS_OF_NFL)
+    paths = nfl_tables(spark, n)
+    return sync_partitioned(spark, paths, nfl_staging(n), bet, AS_OF_NFL).select(*NFL_COLS.split(", "),
+                                                                                *REPORT_EXTRA)
 
 
 # ---------------------------------------------------------------- daily refresh (BASELINE's headline job)

@@ -125,30 +125,37 @@ class TableStore:
         return self.publish(merge_upsert(self.read(name), df, keys), name)
 
 
-def upsert_partitions(spark: SparkSession, path: str, src: DataFrame, keys, part_col: str = "season") -> list:
-    """B6/B19 on a partitioned Parquet table, limited to the partitions `src`
-    touches: read those partitions only (pruning), MERGE, stage the result
-    under the shared checkpoint folder (cuts the lineage from the files about
-    to be replaced), then dynamic partition overwrite.  The touched partition
-    values are a plan parameter (a handful per batch); returns them."""
+def rewrite_partitions(spark: SparkSession, path: str, affected: list, fn, part_col: str = "season") -> None:
+    """Replace the `affected` partitions of the Parquet table at `path` with
+    fn(rows of those partitions).  Reads only those partitions (pruning),
+    stages the result under the shared checkpoint folder (cuts the lineage
+    from the files about to be replaced), then dynamic partition overwrite.
+    `fn` must keep `part_col` and must not move rows outside `affected`; a
+    partition `fn` leaves empty keeps its old files (dynamic overwrite
+    replaces only partitions present in the output)."""
     from pyspark.sql import functions as F
 
-    from ..operators.mutation import merge_upsert
     from ..session import checkpoint_dir
-    affected = sorted(r[0] for r in src.select(part_col).distinct().collect())
-    try:
-        current = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - first load: nothing stored yet
-        current = None
-    if current is None:
-        src.write.partitionBy(part_col).parquet(path)
-        return affected
-    cur = current.filter(F.col(part_col).isin(affected))           # partition pruning
-    merged = merge_upsert(cur, src.select(*[c for c in src.columns]), keys)
+    cur = spark.read.parquet(path).filter(F.col(part_col).isin(affected))
+    new = fn(cur)
     stage = f"{checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
-    merged.write.parquet(stage)
+    new.write.parquet(stage)
     staged = spark.read.parquet(stage)
     cols = [c for c in staged.columns if c != part_col] + [part_col]
     (staged.select(*cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(part_col).parquet(path))
+
+
+def upsert_partitions(spark: SparkSession, path: str, src: DataFrame, keys, part_col: str = "season") -> list:
+    """B6/B19 on a partitioned Parquet table, limited to the partitions `src`
+    touches (a handful of values per batch - collected as a plan parameter);
+    creates the table on first use.  Returns the touched partitions."""
+    from ..operators.mutation import merge_upsert
+    affected = sorted(r[0] for r in src.select(part_col).distinct().collect())
+    try:
+        spark.read.parquet(path)
+    except Exception:  # noqa: BLE001 - first load: nothing stored yet
+        src.write.partitionBy(part_col).parquet(path)
+        return affected
+    rewrite_partitions(spark, path, affected, lambda cur: merge_upsert(cur, src, keys), part_col)
     return affected
