@@ -68,3 +68,23 @@ def test_table_store_versions(spark):
     assert cnt.collect()[0][0] == 3 and os.path.isdir(path)
     st.upsert_table(spark.createDataFrame([(1, 100), (9, 9)], "id long, v long"), "t", "id")
     assert {r.id: r.v for r in st.read("t").collect()} == {0: 0, 1: 100, 2: 4, 9: 9}
+
+
+def test_lines_json_and_python_literal(spark):
+    """A2 accepts both JSON and Python-literal text (None/True/False tokens)."""
+    text = spark.createDataFrame([
+        (1, '[{"provider": "consensus", "spread": "-3.5", "spreadOpen": null}]'),
+        (2, "[{'provider': 'x', 'spread': -7, 'spreadOpen': None}]"),
+        (3, "not a list")], "id long, lines string")
+    flat = {r.id: (r.provider, r.spread, r.spread_open) for r in R.explode_lines(R.parse_lines(text)).collect()}
+    assert flat == {1: ("consensus", -3.5, None), 2: ("x", -7.0, None)}
+
+
+def test_union_drop_empty_to_null(spark):
+    from tallyline.functions.scalar import empty_to_null
+    a = spark.createDataFrame([(1, "")], "id int, s string")
+    b = spark.createDataFrame([(2, 5)], "id int, n int")
+    u = R.union_seasons([a, None, b])
+    assert sorted(u.columns) == ["id", "n", "s"] and u.count() == 2
+    assert empty_to_null(a).collect()[0].s is None
+    assert a.drop("s", "not_there").columns == ["id"]
