@@ -1,17 +1,19 @@
 """The game feature table (flagship query).
 
-Plan shape (see `explain` in tests/test_plans.py):
+Plan shape (PLANS.md; checked in tests/test_stats_plans.py):
 
   games --filter(class)--> base
   base --inline(home,away)--> long          (one scan, 2 rows per game)
   long --Exchange hash(team)--> one Window stage computing rest days (F1),
         location leave-one-out (F10) and all rolling/expanding features
         (F2-F8) over (team,side,season), (team,season), (team)
+        [teams holding > HOT_FRACTION of the rows: operators/skew.py]
   --Exchange hash(id)--> opponent's pre-game season win% (window on id)
-  --Exchange hash(team)--> strength of schedule (F9)
+  --Exchange hash(team, season)--> strength of schedule (F9)
   --Exchange hash(id)--> pivot to one row per game (hash aggregate)
   h2h: aggregate per (pair, season) -> range window -> equi join (no pairs)
-  base ⋈ team feats ⋈ h2h ⋈ quality on id: joins share hash(id)
+  base --Exchange hash(id)--> ⋈ team feats ⋈ h2h ⋈ quality on id
+  --Exchange range--> ORDER BY season, week, start, id
 """
 
 from __future__ import annotations
