@@ -269,3 +269,22 @@ def test_flagship_lineage_cut(spark):
     a = feature_table(gg, high_variance(spark, sf), corrections_v(gg))
     b = feature_table(gg, high_variance(spark, sf), corrections_v(gg), cut_lineage=True)
     assert a.exceptAll(b).count() == 0 and b.count() == a.count()
+
+
+def test_flagship_skew_route_end_to_end(spark):
+    """The whole feature table through the skew-safe route (every team
+    forced hot) equals the window plan."""
+    from tallyline.plans.catalog_features import high_variance
+    from tallyline.plans.features import feature_table
+    from tallyline.sources.fixtures import corrections_v, games_v
+    sf = "/root/testdata/sf0.001"
+    gg = games_v(spark, sf)
+    a = feature_table(gg, high_variance(spark, sf), corrections_v(gg), sort=False)
+    b = feature_table(gg, high_variance(spark, sf), corrections_v(gg), sort=False, hot_fraction=0.0)
+    sos = ["home_sos", "away_sos", "sos_diff"]
+    exact = [c for c in a.columns if c not in sos]
+    assert a.select(*exact).exceptAll(b.select(*exact)).count() == 0
+    ra = {r.id: r for r in a.select("id", *sos).collect()}
+    rb = {r.id: r for r in b.select("id", *sos).collect()}
+    assert ra.keys() == rb.keys()
+    assert all(abs(ra[k][c] - rb[k][c]) < 1e-12 for k in ra for c in sos)
