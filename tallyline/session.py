@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -43,16 +44,32 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if d:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not d:                                   # unset: local runs and tests only
-        d = tempfile.mkdtemp(prefix="tallyline-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", d)
-        except Exception:  # noqa: BLE001 - a core conf may be read-only at runtime
-            pass
+    if not d:
+        if sc.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = tempfile.mkdtemp(prefix="tallyline-ckpt-")      # one machine: tests and local runs
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give every Python worker this package (once per context), so that
+    functions run on executors import wherever the driver was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tallyline_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tallyline-zip-"), "tallyline.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.join("tallyline", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    sc._tallyline_shipped = True
+
+
 def build_session(master: str | None = None, app: str = "tallyline",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
