@@ -40,3 +40,97 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
     AND n_repeat_words <= 0.5 * n_words AND stops >= 0.01 * n_words AS kept
 FROM v
 """
+
+# Every document position is tried with every window length that the benchmark has.
+op4_winnowing = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w FROM documents),
+b AS (SELECT item_id, {WORDS} AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS g
+  FROM (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i
+        FROM b WHERE len(w) > 0)),
+place AS (
+  SELECT r, n, w, unnest(range(1, len(w) - n + 2)) AS i
+  FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n),
+hit AS (
+  SELECT r, i, p.n, item_id FROM place AS p JOIN win ON p.n = win.n AND array_to_string(w[i:i + p.n - 1], ' ') = g),
+cov AS (SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS j FROM hit) GROUP BY r),
+its AS (
+  SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT r, item_id::VARCHAR AS id FROM hit WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN cov USING (r) LEFT JOIN its USING (r)
+"""
+
+# The same targets, quotas and seeded blocks; words are taken block by block and document by document.
+op6_sainte_lague = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, len({TOKENS})::BIGINT AS size FROM documents),
+s0 AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+s1 AS (
+  SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS pos, sum(source_size) OVER ()::BIGINT AS total FROM s0),
+s2 AS (SELECT *, [3, 1, 2][pos % 3 + 1] AS weight, 2 * source_size AS cap FROM s1),
+s3 AS (
+  SELECT *, cap / weight AS ratio,
+    (1.5::DOUBLE * total - coalesce(sum(cap) OVER q, 0)::BIGINT)
+      / (sum(weight) OVER () - coalesce(sum(weight) OVER q, 0))::BIGINT AS lv
+  FROM s2 WINDOW q AS (ORDER BY cap / weight, pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+lv AS (SELECT coalesce(arg_min(lv, (ratio, pos)), 0) AS l FROM s3 WHERE lv <= ratio),
+s AS (
+  SELECT source, pos, source_size, least(cap::DOUBLE, l * weight) AS target,
+    ceil(source_size / greatest(65536, ceil(total / 16384)))::BIGINT AS n_shards FROM s3, lv),
+dealt AS (
+  SELECT r, doc_id, size, pos, source_size, target, own,
+    ('0x' || substr(own, 1, 8))::BIGINT % greatest(n_shards, 1) AS shard
+  FROM (SELECT r, doc_id, size, source, md5('mix-1:' || coalesce(doc_id::VARCHAR, '-')) AS own FROM d) AS x
+  JOIN s ON x.source IS NOT DISTINCT FROM s.source),
+line AS (
+  SELECT *, sum(size) OVER (PARTITION BY pos, shard ORDER BY own, doc_id, size ROWS UNBOUNDED PRECEDING)::BIGINT AS stop
+  FROM dealt),
+sh0 AS (
+  SELECT pos, shard, sum(size)::BIGINT AS words, any_value(target) AS target, any_value(source_size) AS ss
+  FROM dealt GROUP BY pos, shard HAVING sum(size) > 0),
+sh1 AS (
+  SELECT *, (words + 63) // 64 AS blocks, floor(target * ((words + 63) // 64) / ss * 1024)::BIGINT AS want FROM sh0),
+sh2 AS (
+  SELECT *, count(*) OVER () AS n, sum(want) OVER ()::BIGINT AS want_all, (sum(want) OVER ()::BIGINT + 512) // 1024 AS seats
+  FROM sh1),
+sh3 AS (
+  SELECT *,
+    least(greatest(floor(want * (seats - n / 2 - 1) / greatest(want_all, 1) + 0.5), 0), 2 * blocks)::BIGINT AS sure,
+    least(greatest(floor(want * (seats + n / 2 + 1) / greatest(want_all, 1) + 0.5), 0), 2 * blocks)::BIGINT AS most
+  FROM sh2),
+cand AS (
+  SELECT pos, shard, want, unnest(range(sure, most)) AS k, seats - (SELECT sum(sure) FROM sh3)::BIGINT AS o FROM sh3),
+won AS (
+  SELECT pos, shard, count(*) AS won FROM (
+    SELECT *, row_number() OVER (ORDER BY want / (2 * k + 1) DESC, pos, shard, k) AS rk FROM cand)
+  WHERE rk <= o GROUP BY pos, shard),
+q AS (SELECT sh3.pos, sh3.shard, words, blocks, sure + coalesce(won, 0) AS quota FROM sh3 LEFT JOIN won USING (pos, shard)),
+b AS (
+  SELECT *, row_number() OVER (PARTITION BY pos, shard ORDER BY md5('mix-1:' || pos || ':' || shard || ':' || block), block)
+    AS turn FROM (SELECT *, unnest(range(0, blocks)) AS block FROM q)),
+t AS (
+  SELECT pos, shard, (block * words) // blocks AS lo, ((block + 1) * words) // blocks AS hi,
+    quota // blocks + (turn <= quota % blocks)::BIGINT AS times FROM b),
+taken AS (
+  SELECT r, sum((least(stop, hi) - greatest(stop - size, lo)) * times)::BIGINT AS taken
+  FROM line JOIN t ON line.pos = t.pos AND line.shard = t.shard AND lo < stop AND hi > stop - size GROUP BY r)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken FROM line LEFT JOIN taken USING (r)
+"""
+
+# Prefixes are compared as whole rendered strings.
+op3_snapshot_collapse = """
+WITH t AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, 'user') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+l AS (
+  SELECT conv_id, row_number() OVER w AS pos, '<|' || role || '|>' || chr(10) || text || chr(10) AS line
+  FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+p AS (
+  SELECT conv_id, pos, count(*) OVER (PARTITION BY conv_id) AS n,
+    string_agg(line, '') OVER (PARTITION BY conv_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS upto FROM l),
+h AS (SELECT n, upto, min(conv_id) AS conv_id, count(*) AS n_copies FROM p WHERE pos = n GROUP BY n, upto)
+SELECT conv_id, n::BIGINT AS n_turns, n_copies::BIGINT AS n_copies, upto AS rendered FROM h
+WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.pos < p.n AND p.pos = h.n AND p.upto = h.upto)
+"""

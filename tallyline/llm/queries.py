@@ -9,9 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import oracles
-from .common import ready, table
+from .common import held_out, ready, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -34,3 +35,76 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality_rules import quality_rules
     return quality_rules(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@register
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base phrases, template labels and coverage for every document."""
+    from .license_scan import license_scan
+    return license_scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@register
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FTRL score of every document; labels only from rows not held out."""
+    from . import toxicity
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@register
+def op5_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CNN quality score of every document; labels only from rows not held out."""
+    from . import byte_cnn
+    docs = table(spark, sf_dir, "documents")
+    model = byte_cnn.train(docs, table(spark, sf_dir, "labels"))
+    return byte_cnn.score(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@register
+def op7_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    from .minhash import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register
+def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    from .decontaminate import decontaminate
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def tokenizer_path() -> str:
+    """The vocabulary file of the token-file queries, where the public tokenizers are installed."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@register
+def op8_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of all documents, read back."""
+    from .token_planes import token_files
+    return token_files(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@register
+def op3_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maximal conversations of the whole log, rendered."""
+    from .chat import format_chats
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
+@register
+def op6_sainte_lague(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    from .mixing import mix
+    return mix(table(spark, sf_dir, "documents"))
+
+
+@register
+def op10_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    from .sharding import shard
+    return shard(table(spark, sf_dir, "documents"))
