@@ -16,13 +16,13 @@ what the network says of it.  With no labelled rows the score is 0.5 for all.
 Rows are scored one by one, so repeated rows get equal scores.
 """
 
-from __future__ import annotations
-
 import io
 from collections.abc import Callable
+from typing import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField
 
@@ -144,6 +144,19 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", rows:
     return fit_in_one_task(labelled(docs, labels, label_col, rows), fit, max_bytes)
 
 
+def score_column(spark: SparkSession, model: bytes, text: Column) -> Column:
+    """The score as a column expression, so that a filter moves only the text to Python."""
+    shared = spark.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        fn = scorer(shared.value)
+        for s in batches:
+            yield pd.Series(fn(s.tolist())[0], dtype="float64")
+
+    return run(text.cast("string").cast("binary"))
+
+
 def score(df: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text",
           threshold: float = 0.3) -> DataFrame:
     """(id, score, predicted) for every row of `df`."""
