@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed patterns of the stored pages' markup.
 ROW_RE = r"(?s)<tr[^>]*>(.*?)</tr>"
 CELL_RE = r"(?s)<t[dh][^>]*>(.*?)</t[dh]>"
 TAG_RE = r"<[^>]+>"

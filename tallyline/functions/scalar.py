@@ -104,13 +104,18 @@ def url_for(template: str, *cols) -> Column:
 # ---- I11 JSON ---------------------------------------------------------------
 
 def pythonish_to_json(s) -> Column:
-    """Python-literal list text -> JSON text: None/True/False tokens
-    (outside quotes in practice) become null/true/false; single quotes are
-    accepted by from_json already (allowSingleQuotes)."""
-    t = _c(s)
-    t = F.regexp_replace(t, r"\bNone\b", "null")
-    t = F.regexp_replace(t, r"\bTrue\b", "true")
-    return F.regexp_replace(t, r"\bFalse\b", "false")
+    """Python-literal list text -> JSON text: the bare tokens None/True/False
+    become null/true/false; quoted strings are left as they are (single quotes
+    are accepted by from_json already, allowSingleQuotes)."""
+    quoted = r'"(?:[^"\\]|\\.)*"|\'(?:[^\'\\]|\\.)*\''
+    pieces = F.regexp_extract_all(_c(s), F.lit(f"(?s)(?:{quoted}|[^\"']+|.)"), F.lit(0))
+
+    def bare(x: Column) -> Column:
+        for token, json in (("None", "null"), ("True", "true"), ("False", "false")):
+            x = F.regexp_replace(x, rf"\b{token}\b", json)
+        return x
+
+    return F.array_join(F.transform(pieces, lambda x: F.when(x.rlike("^[\"']"), x).otherwise(bare(x))), "")
 
 
 def parse_list(s, schema: T.DataType) -> Column:

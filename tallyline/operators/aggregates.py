@@ -156,14 +156,18 @@ def dispersion(df: DataFrame, key: str, val: str, min_std: float = 2.0, min_book
     """Per game with >= min_books non-null quotes: population std, mean, min,
     max, range, count (+ sorted provider/value list); keep std >= min_std."""
     v = df.filter(F.col(val).isNotNull())
-    aggs = [F.stddev_pop(val).alias("_std"), F.avg(val).alias("_mean"), F.min(val).alias("min_spread"),
+    aggs = [F.sum(val).alias("_sx"), F.sum(F.col(val) * F.col(val)).alias("_sxx"),
+            F.avg(val).alias("_mean"), F.min(val).alias("min_spread"),
             F.max(val).alias("max_spread"), F.count(val).alias("sportsbook_count")]
     if provider:
         aggs.append(F.sort_array(F.collect_list(F.struct(F.col(provider), F.col(val)))).alias("quotes"))
     g = v.groupBy(key).agg(*aggs).filter(F.col("sportsbook_count") >= min_books)
-    # threshold on the unrounded population std (rounding is for display);
-    # 1e-9 absorbs float noise when the exact std sits on the threshold
-    g = g.filter(F.col("_std") >= F.lit(min_std - 1e-9))
+    # n^2 * variance from sums, which are exact for half-point quotes: a std
+    # that lies exactly on the threshold is kept
+    n = F.col("sportsbook_count")
+    scaled = n * F.col("_sxx") - F.col("_sx") * F.col("_sx")
+    g = g.filter(scaled >= F.lit(min_std * min_std) * n * n) \
+        .withColumn("_std", F.sqrt(F.greatest(scaled, F.lit(0.0))) / n)
     return g.select(
         F.col(key).alias("game_id"),
         F.round("_std", digits).alias("std_dev"),

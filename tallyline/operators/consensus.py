@@ -7,11 +7,12 @@ seven LEFT JOINs on event_id.  Here it is two aggregates:
    de-duplication: latest by (last_update, price, point, line_no)), the
    book's best moneyline per side and which markets it quoted;
 2. per event: mode of the per-book spread / total points (tie -> smallest),
-   max moneylines, book counts.
+   max moneylines, book counts; then the event's distinct attributes by join.
 
-Both are partial+final hash aggregates, so an event with a huge number of
-quotes is combined map-side; the second shuffle moves one row per
-(event, book).
+Both aggregates have a partial step, so an event with a huge number of quotes
+is combined map-side; the second shuffle moves one row per (event, book).
+Picking a survivor by a composite order and the mode are sort and object-hash
+aggregates in Spark, not plain hash aggregates.
 """
 
 from __future__ import annotations
@@ -49,9 +50,10 @@ def consensus(quotes: DataFrame, order: Sequence[str] = ORDER, home_col: str = "
     is_spread = (mk == "spreads") & (nm == F.col(home_col))
     is_total = (mk == "totals") & (nm == "Over")
     ordk = _order_struct(order)
-    # event attributes depend on event_id only: they ride in the grouping key
-    # (no first() aggregates), and the event-level aggregate keeps them too
-    ev = ["event_id", "commence_time", home_col, away_col]
+    # lines are a matter of the event alone; its attributes (several, if it was
+    # rescheduled or renamed) are attached afterwards
+    ev = ["event_id"]
+    attributes = quotes.select("event_id", "commence_time", home_col, away_col).distinct()
     per_book = quotes.groupBy(*ev, "bookmaker").agg(
         F.max_by(F.when(is_spread, F.col("outcome_point")), F.when(is_spread, ordk)).alias("spread_pt"),
         F.max(F.when(is_spread, 1)).alias("has_spread"),
@@ -70,7 +72,7 @@ def consensus(quotes: DataFrame, order: Sequence[str] = ORDER, home_col: str = "
         mode_value(F.col("total_pt")).alias("consensus_total"),
         F.nullif(F.count("has_totals"), F.lit(0)).alias("total_books"),
     )
-    return out.select("event_id", F.col("commence_time").alias("game_time"),
+    return attributes.join(out, "event_id").select("event_id", F.col("commence_time").alias("game_time"),
                       F.col(home_col).alias("home_team"), F.col(away_col).alias("away_team"),
                       "consensus_spread", "spread_books", "consensus_home_ml", "consensus_away_ml",
                       "h2h_books", "consensus_total", "total_books")

@@ -63,13 +63,10 @@ def join_inner(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFr
 
 
 def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str, value: str, name: str,
-           required: bool = True, fixed_dim: bool = False) -> DataFrame:
+           required: bool = True) -> DataFrame:
     """D15 `join_dim_lookup`: attach `dim.value` as `name`; unknown keys drop
-    the row when required (inner) else keep NULL.  `fixed_dim=True` marks a
-    dimension of bounded, known size (e.g. a fixed team map) -> broadcast."""
+    the row when required (inner) else keep NULL."""
     d = dim.select(F.col(dim_key).alias(key), F.col(value).alias(name)).dropDuplicates([key])
-    if fixed_dim:
-        d = F.broadcast(d)
     return df.join(d, key, "inner" if required else "left")
 
 

@@ -147,8 +147,8 @@ def refresh_window(tgt: DataFrame, src: DataFrame, date_col: str, as_of, before:
                    after: int = 7) -> DataFrame:
     """B17 `refresh_window`: idempotent replace of the [as_of-before,
     as_of+after] slice: delete the target slice, insert the DISTINCT source
-    slice.  The predicate is on the bare column so it prunes partitions /
-    row groups when the table is partitioned or sorted by date."""
+    slice.  The column is cast to a date, so nothing but its IsNotNull is pushed
+    to the scan; callers prune by partition (see `sources.tables`)."""
     a = as_of if isinstance(as_of, Column) else F.lit(str(as_of)).cast("date")
     d = F.to_date(F.col(date_col))
     in_win = d.between(F.date_sub(a, before), F.date_add(a, after))

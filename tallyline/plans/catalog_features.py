@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import buckets as B
 from ..operators import windows as W
 from ..operators.aggregates import dispersion
 from ..operators.h2h import h2h, h2h_features, prior_meetings
 from ..operators.longform import to_long
-from ..sources.fixtures import corrections_v, games_v, odds_v, with_views
+from ..sources.fixtures import corrections_v, games_v, odds_v
 from . import features as FT
+from . import oracle_features as O
 from .registry import register
 
 # ---------------------------------------------------------------- helpers
@@ -28,258 +30,34 @@ def high_variance(spark, sf, min_std=0.5, min_books=3):
     return dispersion(o, "event_id", "outcome_point", min_std=min_std, min_books=min_books)
 
 
-# SQL fragments (DuckDB), reference-shaped
-BASE_SQL = """base_games AS (
-  SELECT *, CASE WHEN home_points > away_points THEN 1 ELSE 0 END AS home_win
-  FROM games_v WHERE home_classification = 'fbs')"""
-
-TEAM_GAMES_SQL = """team_games AS (
-  SELECT id, season, week, start_ts, 'home' AS side, home_team AS team, away_team AS opponent,
-    home_points AS points_scored, away_points AS points_allowed,
-    CASE WHEN home_points IS NULL OR away_points IS NULL THEN NULL
-         WHEN home_points > away_points THEN 1 ELSE 0 END AS won,
-    ABS(home_points - away_points) AS margin,
-    mode_spread AS spread,
-    CASE WHEN home_points IS NULL OR away_points IS NULL THEN NULL
-         WHEN mode_spread IS NULL THEN NULL
-         WHEN (home_points - away_points) > mode_spread THEN 1 ELSE 0 END AS beat_spread
-  FROM base_games
-  UNION ALL
-  SELECT id, season, week, start_ts, 'away' AS side, away_team AS team, home_team AS opponent,
-    away_points, home_points,
-    CASE WHEN home_points IS NULL OR away_points IS NULL THEN NULL
-         WHEN away_points > home_points THEN 1 ELSE 0 END,
-    ABS(away_points - home_points),
-    -1 * mode_spread,
-    CASE WHEN home_points IS NULL OR away_points IS NULL THEN NULL
-         WHEN mode_spread IS NULL THEN NULL
-         WHEN (away_points - home_points) > (-1 * mode_spread) THEN 1 ELSE 0 END
-  FROM base_games)"""
-
-_TS = "PARTITION BY team, season ORDER BY start_ts, id"
-_T = "PARTITION BY team ORDER BY start_ts, id"
-P5 = "ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING"
-P3 = "ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING"
-PU = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
-
-TEAM_ROLLING_SQL = f"""team_rolling AS (
-  SELECT id, side, team, season, week, start_ts,
-    AVG(points_scored) OVER ({_TS} {P5}) AS avg_points_l5,
-    AVG(points_allowed) OVER ({_TS} {P5}) AS avg_allowed_l5,
-    AVG(margin) OVER ({_TS} {P5}) AS avg_margin_l5,
-    AVG(won) OVER ({_TS} {P5}) AS win_pct_l5,
-    AVG(beat_spread) OVER ({_TS} {P5}) AS ats_pct_l5,
-    AVG(points_scored) OVER ({_T} {P5}) AS avg_points_l5_carryover,
-    AVG(points_allowed) OVER ({_T} {P5}) AS avg_allowed_l5_carryover,
-    AVG(margin) OVER ({_T} {P5}) AS avg_margin_l5_carryover,
-    AVG(won) OVER ({_T} {P5}) AS win_pct_l5_carryover,
-    AVG(beat_spread) OVER ({_T} {P5}) AS ats_pct_l5_carryover,
-    AVG(points_scored) OVER ({_TS} {P3}) AS avg_points_l3,
-    AVG(won) OVER ({_TS} {P3}) AS win_pct_l3,
-    AVG(points_scored) OVER ({_TS} {PU}) AS season_avg_points,
-    AVG(points_allowed) OVER ({_TS} {PU}) AS season_avg_allowed,
-    AVG(won) OVER ({_TS} {PU}) AS season_win_pct,
-    CAST(SUM(CASE WHEN won = 1 THEN 1 ELSE 0 END) OVER ({_TS} {P3}) AS BIGINT) AS wins_l3,
-    COUNT(CASE WHEN points_scored IS NULL OR points_allowed IS NULL THEN 1 END) OVER ({_TS} {P3})
-      AS unscored_games_in_l3_window,
-    COUNT(*) OVER ({_TS} {PU}) AS games_played
-  FROM team_games)"""
-
-
-def _loo_sql(name, team, pts, opp):
-    p = f"PARTITION BY {team}, season"
-    return f"""{name} AS (
-  SELECT id,
-    (SUM({pts}) OVER ({p}) - COALESCE({pts}, 0))
-      / NULLIF(COUNT({pts}) OVER ({p}) - CASE WHEN {pts} IS NOT NULL THEN 1 ELSE 0 END, 0) AS avg_points,
-    (SUM({opp}) OVER ({p}) - COALESCE({opp}, 0))
-      / NULLIF(COUNT({opp}) OVER ({p}) - CASE WHEN {opp} IS NOT NULL THEN 1 ELSE 0 END, 0) AS avg_allowed,
-    (SUM(CASE WHEN {pts} > {opp} THEN 1 ELSE 0 END) OVER ({p}) - CASE WHEN {pts} > {opp} THEN 1 ELSE 0 END)
-      / NULLIF(COUNT({pts}) OVER ({p}) - CASE WHEN {pts} IS NOT NULL THEN 1 ELSE 0 END, 0) AS win_rate
-  FROM base_games)"""
-
-
-HOME_LOC_SQL = _loo_sql("home_location_stats", "home_team", "home_points", "away_points")
-AWAY_LOC_SQL = _loo_sql("away_location_stats", "away_team", "away_points", "home_points")
-
-REST_SQL = """rest AS (
-  SELECT id,
-    CAST(date_diff('day', CAST(LAG(start_ts) OVER (PARTITION BY home_team, season ORDER BY start_ts, id) AS DATE),
-                   CAST(start_ts AS DATE)) AS INTEGER) AS home_rest_days,
-    CAST(date_diff('day', CAST(LAG(start_ts) OVER (PARTITION BY away_team, season ORDER BY start_ts, id) AS DATE),
-                   CAST(start_ts AS DATE)) AS INTEGER) AS away_rest_days
-  FROM base_games)"""
-
-H2H_SQL = """h2h_history AS (
-  SELECT bg.id, COUNT(h2h.id) AS h2h_games,
-    AVG(CASE WHEN h2h.home_team = bg.home_team AND h2h.home_points > h2h.away_points THEN 1
-             WHEN h2h.away_team = bg.home_team AND h2h.away_points > h2h.home_points THEN 1
-             ELSE 0 END) AS home_h2h_win_rate,
-    AVG(CASE WHEN h2h.home_team = bg.home_team THEN h2h.home_points - h2h.away_points
-             ELSE h2h.away_points - h2h.home_points END) AS home_h2h_avg_margin
-  FROM base_games bg
-  LEFT JOIN base_games h2h ON (
-    ((h2h.home_team = bg.home_team AND h2h.away_team = bg.away_team) OR
-     (h2h.home_team = bg.away_team AND h2h.away_team = bg.home_team))
-    AND h2h.season < bg.season AND h2h.season >= bg.season - 3)
-  GROUP BY bg.id)"""
-
-SOS_SQL = """sos AS (
-  SELECT id, team,
-    AVG(opp_win_pct) OVER (PARTITION BY team, season ORDER BY start_ts, id
-                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sos_rating,
-    COUNT(opp_win_pct) OVER (PARTITION BY team, season ORDER BY start_ts, id
-                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sos_sample_size
-  FROM (
-    SELECT bg.id, bg.home_team AS team, bg.season, bg.start_ts, tr.season_win_pct AS opp_win_pct
-    FROM base_games bg JOIN team_rolling tr ON tr.id = bg.id AND tr.side = 'away'
-    UNION ALL
-    SELECT bg.id, bg.away_team AS team, bg.season, bg.start_ts, tr.season_win_pct AS opp_win_pct
-    FROM base_games bg JOIN team_rolling tr ON tr.id = bg.id AND tr.side = 'home'))"""
-
-HV_SQL = """high_variance AS (
-  SELECT event_id AS game_id, ROUND(STDDEV_POP(outcome_point), 2) AS std_dev
-  FROM odds_v WHERE market = 'spreads' AND outcome_point IS NOT NULL
-  GROUP BY event_id
-  HAVING COUNT(outcome_point) >= 3 AND STDDEV_POP(outcome_point) >= 0.5 - 1e-9)"""
-
-QUALITY_SQL = """spread_quality AS (
-  SELECT hv.game_id, hv.std_dev AS spread_variance,
-    CASE WHEN sc.game_id IS NOT NULL THEN 'VERIFIED'
-         WHEN hv.std_dev >= 5.0 THEN 'HIGH_VARIANCE' ELSE 'NORMAL' END AS spread_data_quality
-  FROM high_variance hv LEFT JOIN corrections_v sc ON hv.game_id = sc.game_id
-  UNION ALL
-  SELECT sc.game_id, NULL AS spread_variance, 'VERIFIED' AS spread_data_quality
-  FROM corrections_v sc LEFT JOIN high_variance hv ON sc.game_id = hv.game_id
-  WHERE hv.game_id IS NULL)"""
-
-
-def _c0(x):
-    return f"COALESCE({x}, 0)"
-
-
-FEATURE_SELECT = f"""
-SELECT bg.id, bg.season, bg.week, bg.home_team, bg.away_team, bg.start_ts,
-  timezone('America/Chicago', bg.start_ts AT TIME ZONE 'UTC') AS start_central,
-  CAST(timezone('America/Chicago', bg.start_ts AT TIME ZONE 'UTC') AS DATE) AS game_date_central,
-  bg.home_win AS target, bg.home_points, bg.away_points,
-  bg.home_points - bg.away_points AS actual_margin,
-  (bg.home_points - bg.away_points) - bg.mode_spread AS spread_result,
-  CASE WHEN (bg.home_points - bg.away_points) > bg.mode_spread THEN 1 ELSE 0 END AS home_covered_spread,
-  CASE WHEN (bg.home_points - bg.away_points) = bg.mode_spread THEN 1 ELSE 0 END AS push,
-  CASE WHEN (bg.home_points - bg.away_points) = bg.mode_spread THEN 'PUSH'
-       WHEN (bg.home_points - bg.away_points) > bg.mode_spread THEN CAST(bg.home_team AS VARCHAR)
-       ELSE CAST(bg.away_team AS VARCHAR) END AS team_covered,
-  0 AS is_conference_game, 0 AS is_neutral_site, CAST(0 AS DOUBLE) AS attendance, 0 AS same_conference,
-  bg.home_elo, bg.away_elo, bg.home_elo - bg.away_elo AS elo_diff,
-  COALESCE(r.home_rest_days, 7) AS home_rest_days, COALESCE(r.away_rest_days, 7) AS away_rest_days,
-  COALESCE(r.home_rest_days, 7) - COALESCE(r.away_rest_days, 7) AS rest_advantage,
-  {_c0('hr.avg_points_l5')} AS home_points_l5, {_c0('hr.avg_allowed_l5')} AS home_allowed_l5,
-  {_c0('hr.avg_margin_l5')} AS home_margin_l5, {_c0('hr.win_pct_l5')} AS home_win_pct_l5,
-  {_c0('hr.ats_pct_l5')} AS home_ats_l5,
-  {_c0('ar.avg_points_l5')} AS away_points_l5, {_c0('ar.avg_allowed_l5')} AS away_allowed_l5,
-  {_c0('ar.avg_margin_l5')} AS away_margin_l5, {_c0('ar.win_pct_l5')} AS away_win_pct_l5,
-  {_c0('ar.ats_pct_l5')} AS away_ats_l5,
-  {_c0('hr.avg_points_l3')} AS home_points_l3, {_c0('hr.win_pct_l3')} AS home_win_pct_l3,
-  {_c0('hr.wins_l3')} AS home_wins_l3,
-  {_c0('ar.avg_points_l3')} AS away_points_l3, {_c0('ar.win_pct_l3')} AS away_win_pct_l3,
-  {_c0('ar.wins_l3')} AS away_wins_l3,
-  {_c0('hr.season_avg_points')} AS home_season_ppg, {_c0('hr.season_avg_allowed')} AS home_season_papg,
-  {_c0('hr.season_win_pct')} AS home_season_win_pct,
-  {_c0('ar.season_avg_points')} AS away_season_ppg, {_c0('ar.season_avg_allowed')} AS away_season_papg,
-  {_c0('ar.season_win_pct')} AS away_season_win_pct,
-  {_c0('hls.avg_points')} AS home_at_home_ppg, {_c0('hls.win_rate')} AS home_at_home_win_rate,
-  {_c0('als.avg_points')} AS away_on_road_ppg, {_c0('als.win_rate')} AS away_on_road_win_rate,
-  {_c0('hr.avg_points_l5')} - {_c0('ar.avg_points_l5')} AS offense_diff_l5,
-  {_c0('ar.avg_allowed_l5')} - {_c0('hr.avg_allowed_l5')} AS defense_diff_l5,
-  {_c0('hr.win_pct_l5')} - {_c0('ar.win_pct_l5')} AS form_diff_l5,
-  {_c0('hr.avg_margin_l5')} - {_c0('ar.avg_margin_l5')} AS margin_diff_l5,
-  {_c0('hr.win_pct_l3')} - {_c0('ar.win_pct_l3')} AS momentum_diff,
-  CASE WHEN {_c0('hr.unscored_games_in_l3_window')} > 0 OR {_c0('ar.unscored_games_in_l3_window')} > 0
-       THEN 'CORRUPTED' ELSE 'CLEAN' END AS momentum_data_quality,
-  {_c0('hr.ats_pct_l5_carryover')} AS home_ats_l5_carryover,
-  {_c0('ar.ats_pct_l5_carryover')} AS away_ats_l5_carryover,
-  {_c0('hr.win_pct_l5_carryover')} - {_c0('ar.win_pct_l5_carryover')} AS form_diff_l5_carryover,
-  {_c0('hr.avg_margin_l5_carryover')} - {_c0('ar.avg_margin_l5_carryover')} AS margin_diff_l5_carryover,
-  CASE WHEN {_c0('hs.sos_sample_size')} > 0 AND bg.week > 2 THEN hs.sos_rating ELSE 0.5 END AS home_sos,
-  CASE WHEN {_c0('aws.sos_sample_size')} > 0 AND bg.week > 2 THEN aws.sos_rating ELSE 0.5 END AS away_sos,
-  CASE WHEN {_c0('hs.sos_sample_size')} > 0 AND bg.week > 2 THEN hs.sos_rating ELSE 0.5 END
-    - CASE WHEN {_c0('aws.sos_sample_size')} > 0 AND bg.week > 2 THEN aws.sos_rating ELSE 0.5 END AS sos_diff,
-  {_c0('hs.sos_sample_size')} AS home_sos_games, {_c0('aws.sos_sample_size')} AS away_sos_games,
-  {_c0('h2h.h2h_games')} AS h2h_games_count,
-  COALESCE(h2h.home_h2h_win_rate, 0.5) AS home_h2h_win_rate,
-  COALESCE(h2h.home_h2h_avg_margin, 0) AS home_h2h_avg_margin,
-  bg.mode_spread, bg.mode_spread_open,
-  COALESCE(bg.mode_spread - bg.mode_spread_open, 0) AS spread_movement,
-  CASE WHEN bg.mode_spread < 0 THEN 1 ELSE 0 END AS home_favored,
-  ABS(bg.mode_spread) AS spread_magnitude,
-  COALESCE(sq.spread_variance, 0.0) AS spread_variance,
-  COALESCE(sq.spread_data_quality, 'NORMAL') AS spread_data_quality,
-  CAST(bg.week AS DOUBLE) / 15.0 AS season_progress,
-  CASE WHEN bg.week <= 4 THEN 1 ELSE 0 END AS early_season,
-  CASE WHEN bg.week >= 11 THEN 1 ELSE 0 END AS late_season,
-  hr.games_played AS home_games_played, ar.games_played AS away_games_played
-FROM base_games bg
-LEFT JOIN rest r ON r.id = bg.id
-LEFT JOIN team_rolling hr ON hr.id = bg.id AND hr.side = 'home'
-LEFT JOIN team_rolling ar ON ar.id = bg.id AND ar.side = 'away'
-LEFT JOIN home_location_stats hls ON hls.id = bg.id
-LEFT JOIN away_location_stats als ON als.id = bg.id
-LEFT JOIN sos hs ON hs.id = bg.id AND hs.team = bg.home_team
-LEFT JOIN sos aws ON aws.id = bg.id AND aws.team = bg.away_team
-LEFT JOIN h2h_history h2h ON h2h.id = bg.id
-LEFT JOIN spread_quality sq ON sq.game_id = bg.id
-WHERE (bg.home_points IS NOT NULL AND COALESCE(hr.games_played, 0) >= 3 AND COALESCE(ar.games_played, 0) >= 3)
-   OR (bg.home_points IS NULL AND bg.home_elo IS NOT NULL)
-ORDER BY bg.season, bg.week, bg.start_ts, bg.id"""
-
-FEATURE_TABLE_SQL = with_views(
-    "WITH " + ",\n".join([BASE_SQL, REST_SQL, HOME_LOC_SQL, AWAY_LOC_SQL, TEAM_GAMES_SQL,
-                          TEAM_ROLLING_SQL, H2H_SQL, SOS_SQL, HV_SQL, QUALITY_SQL]) + FEATURE_SELECT,
-    "games_v", "odds_v", "corrections_v")
-
-
 def feature_table_query(spark, sf):
     g = games_v(spark, sf)
     return FT.feature_table(g, high_variance(spark, sf), corrections_v(g))
 
 
-register("feat_table_full", FEATURE_TABLE_SQL)(feature_table_query)
+register("feat_table_full", O.FEATURE_TABLE)(feature_table_query)
 
 
 # ---------------------------------------------------------------- long form & windows
 
-def _fx(sql, *views):
-    return with_views(sql, "games_v", *views)
-
-
-LONG_COLS = ("id, season, week, start_ts, side, team, opponent, points_scored, points_allowed, "
-             "won, margin, spread, beat_spread")
-
-
-@register("set_unpivot_sides", _fx(f"WITH {BASE_SQL},\n{TEAM_GAMES_SQL}\nSELECT {LONG_COLS} FROM team_games"))
+@register("set_unpivot_sides", O.LONG)
 def q_unpivot(spark, sf):
     return _long(spark, sf)
 
 
-@register("feat_team_games", _fx(f"WITH {BASE_SQL},\n{TEAM_GAMES_SQL}\nSELECT {LONG_COLS} FROM team_games"))
+@register("feat_team_games", O.LONG)
 def q_team_games(spark, sf):
     return _long(spark, sf)
 
 
-@register("win_lag_rest_days", _fx(f"WITH {BASE_SQL},\n{REST_SQL}\nSELECT id, home_rest_days, away_rest_days FROM rest"))
+@register("win_lag_rest_days", O.sql(O.SCHEDULE, O.REST, select=O.by_game("rest", {"{}_rest_days": "days"})))
 def q_rest(spark, sf):
     return FT.base_games_with_rest(games_v(spark, sf)).select("id", "home_rest_days", "away_rest_days")
 
 
-def _roll_sql(cols):
-    return _fx(f"WITH {BASE_SQL},\n{TEAM_GAMES_SQL},\n{TEAM_ROLLING_SQL}\n"
-               f"SELECT id, side, team, {', '.join(cols)} FROM team_rolling")
-
-
 def _roll_query(cols):
     def q(spark, sf):
-        tr = W.team_rolling(_long(spark, sf))
+        tr = B.team_rolling(_long(spark, sf))
         return tr.select("id", "side", "team", *cols)
     return q
 
@@ -296,33 +74,25 @@ for _key, _cols in {
     "win_games_played": ["games_played"],
     "feat_team_rolling": list(W.TEAM_ROLLING_COLS),
 }.items():
-    register(_key, _roll_sql(_cols))(_roll_query(_cols))
+    register(_key, O.recent(_cols))(_roll_query(_cols))
 
 
-@register("win_sos_cumulative", _fx(
-    f"WITH {BASE_SQL},\n{TEAM_GAMES_SQL},\n{TEAM_ROLLING_SQL},\n{SOS_SQL}\n"
-    "SELECT id, team, sos_rating, sos_sample_size FROM sos"))
+@register("win_sos_cumulative", O.sql(O.RECENT, O.STRENGTH, select=
+          "SELECT id, team, rating AS sos_rating, sample AS sos_sample_size FROM strength"))
 def q_sos_cum(spark, sf):
     st = FT.with_sos(FT.team_stage(_base(spark, sf)))
     return st.select("id", "team", "sos_rating", "sos_sample_size")
 
 
-@register("join_opponent_inner", _fx(
-    f"WITH {BASE_SQL},\n{TEAM_GAMES_SQL},\n{TEAM_ROLLING_SQL}\n"
-    "SELECT bg.id, bg.home_team AS team, tr.season_win_pct AS opp_win_pct\n"
-    "FROM base_games bg JOIN team_rolling tr ON tr.id = bg.id AND tr.team = bg.away_team\n"
-    "UNION ALL SELECT bg.id, bg.away_team, tr.season_win_pct\n"
-    "FROM base_games bg JOIN team_rolling tr ON tr.id = bg.id AND tr.team = bg.home_team"))
+@register("join_opponent_inner", O.sql(O.RECENT, O.STRENGTH, select=
+          "SELECT id, team, rival_pct AS opp_win_pct FROM strength"))
 def q_opp(spark, sf):
     st = FT.with_sos(FT.team_stage(_base(spark, sf)))
     return st.select("id", "team", "opp_win_pct")
 
 
-_LOO_SQL = _fx(
-    f"WITH {BASE_SQL},\n{HOME_LOC_SQL},\n{AWAY_LOC_SQL}\n"
-    "SELECT h.id, h.avg_points AS home_avg_points, h.avg_allowed AS home_avg_allowed, h.win_rate AS home_win_rate,\n"
-    " a.avg_points AS away_avg_points, a.avg_allowed AS away_avg_allowed, a.win_rate AS away_win_rate\n"
-    "FROM home_location_stats h JOIN away_location_stats a ON h.id = a.id")
+_LOO_SQL = O.sql(O.SCHEDULE, O.ELSEWHERE, select=O.by_game(
+    "elsewhere", {"{}_avg_points": "points", "{}_avg_allowed": "allowed", "{}_win_rate": "wins"}))
 
 
 @register("win_leave_one_out", _LOO_SQL)
@@ -335,26 +105,24 @@ def q_loc(spark, sf):
     return FT.location_splits(games_v(spark, sf))
 
 
-@register("feat_base_games", _fx(
-    f"WITH {BASE_SQL},\n{REST_SQL}\nSELECT bg.*, r.home_rest_days, r.away_rest_days "
-    "FROM base_games bg JOIN rest r ON r.id = bg.id"))
+@register("feat_base_games", O.sql(O.SCHEDULE, O.REST, select=
+          "SELECT fbs.*, ifnull(home_points > away_points, false)::INTEGER AS home_win, home_rest_days, away_rest_days "
+          f"FROM fbs JOIN ({O.by_game('rest', {'{}_rest_days': 'days'})}) USING (id)"))
 def q_base(spark, sf):
     return FT.base_games_with_rest(games_v(spark, sf))
 
 
-@register("feat_sos", _fx(
-    f"WITH {BASE_SQL},\n{TEAM_GAMES_SQL},\n{TEAM_ROLLING_SQL},\n{SOS_SQL}\n"
-    "SELECT bg.id,\n"
-    " CASE WHEN COALESCE(hs.sos_sample_size, 0) > 0 AND bg.week > 2 THEN hs.sos_rating ELSE 0.5 END AS home_sos,\n"
-    " CASE WHEN COALESCE(aws.sos_sample_size, 0) > 0 AND bg.week > 2 THEN aws.sos_rating ELSE 0.5 END AS away_sos,\n"
-    " hs.sos_sample_size AS home_sos_sample_size, aws.sos_sample_size AS away_sos_sample_size\n"
-    "FROM base_games bg JOIN sos hs ON hs.id = bg.id AND hs.team = bg.home_team\n"
-    "JOIN sos aws ON aws.id = bg.id AND aws.team = bg.away_team"))
+@register("feat_sos", O.sql(O.RECENT, O.STRENGTH, select=
+          "SELECT id, " + ", ".join(
+              f"CASE WHEN week > 2 AND {s}_n > 0 THEN {s}_r ELSE 0.5 END AS {s}_sos, {s}_n AS {s}_sos_sample_size"
+              for s in ("home", "away"))
+          + f" FROM fbs JOIN ({O.by_game('strength', {'{}_r': 'rating', '{}_n': 'sample'})}) USING (id)"))
 def q_sos(spark, sf):
     return FT.sos(games_v(spark, sf))
 
 
-_H2H_RAW = _fx(f"WITH {BASE_SQL},\n{H2H_SQL}\nSELECT id, h2h_games, home_h2h_win_rate, home_h2h_avg_margin FROM h2h_history")
+_H2H_RAW = O.sql(O.SCHEDULE, O.MEETINGS, select=
+                 "SELECT id, n AS h2h_games, rate AS home_h2h_win_rate, gap AS home_h2h_avg_margin FROM meetings")
 
 
 @register("agg_h2h", _H2H_RAW)
@@ -362,21 +130,18 @@ def q_h2h(spark, sf):
     return h2h(_base(spark, sf))
 
 
-@register("join_h2h_theta", _fx(f"WITH {BASE_SQL},\n{H2H_SQL}\nSELECT id, h2h_games FROM h2h_history"))
+@register("join_h2h_theta", O.sql(O.SCHEDULE, O.MEETINGS, select="SELECT id, n AS h2h_games FROM meetings"))
 def q_h2h_theta(spark, sf):
     return prior_meetings(_base(spark, sf))
 
 
-@register("feat_h2h", _fx(
-    f"WITH {BASE_SQL},\n{H2H_SQL}\nSELECT id, h2h_games AS h2h_games_count,\n"
-    " COALESCE(home_h2h_win_rate, 0.5) AS home_h2h_win_rate,\n"
-    " COALESCE(home_h2h_avg_margin, 0) AS home_h2h_avg_margin FROM h2h_history"))
+@register("feat_h2h", O.sql(O.SCHEDULE, O.MEETINGS, select=
+          "SELECT id, n AS h2h_games_count, rate AS home_h2h_win_rate, ifnull(gap, 0) AS home_h2h_avg_margin FROM meetings"))
 def q_h2h_feat(spark, sf):
     return h2h_features(_base(spark, sf))
 
 
-@register("feat_spread_quality", with_views(f"WITH {HV_SQL},\n{QUALITY_SQL}\nSELECT * FROM spread_quality",
-                                            "games_v", "odds_v", "corrections_v"))
+@register("feat_spread_quality", O.sql(O.DISPERSED, select="SELECT * FROM checked"))
 def q_quality(spark, sf):
     g = games_v(spark, sf)
     return FT.spread_quality(high_variance(spark, sf), corrections_v(g))
@@ -385,7 +150,7 @@ def q_quality(spark, sf):
 # ---------------------------------------------------------------- projections of the feature table
 
 def _feature_subset(cols):
-    sql = f"SELECT id, {', '.join(cols)} FROM (\n{FEATURE_TABLE_SQL}\n) ft"
+    sql = f"SELECT id, {', '.join(cols)} FROM (\n{O.FEATURE_TABLE}\n) ft"
 
     def q(spark, sf):
         return feature_table_query(spark, sf).select("id", *cols)
@@ -416,12 +181,9 @@ for _key, _cols in _SUBSETS.items():
     register(_key, _sql)(_q)
 
 
-@register("filt_eligibility", _fx(
-    f"WITH {BASE_SQL},\n{TEAM_GAMES_SQL},\n{TEAM_ROLLING_SQL}\n"
-    "SELECT bg.id, hr.games_played AS home_games_played, ar.games_played AS away_games_played\n"
-    "FROM base_games bg LEFT JOIN team_rolling hr ON hr.id = bg.id AND hr.side = 'home'\n"
-    "LEFT JOIN team_rolling ar ON ar.id = bg.id AND ar.side = 'away'\n"
-    "WHERE (bg.home_points IS NOT NULL AND COALESCE(hr.games_played, 0) >= 3 AND COALESCE(ar.games_played, 0) >= 3)\n"
-    "   OR (bg.home_points IS NULL AND bg.home_elo IS NOT NULL)"))
+@register("filt_eligibility", O.sql(O.RECENT, select=
+          "SELECT g.id, h.games_played AS home_games_played, a.games_played AS away_games_played FROM fbs AS g "
+          "JOIN recent AS h ON h.id = g.id AND h.side = 'home' JOIN recent AS a ON a.id = g.id AND a.side = 'away' "
+          f"WHERE {O.ELIGIBLE}"))
 def q_eligible(spark, sf):
     return FT.eligible_rows(games_v(spark, sf))

@@ -38,15 +38,26 @@ def q_stream_upsert(spark, sf):
     return spark.read.parquet(f"{root}/games").select(*g.columns)
 
 
-@register("stream_quote_dedup", with_views("SELECT DISTINCT event_id, bookmaker, market FROM odds_v", "odds_v"))
+QUOTE_ORDER = ["last_update", "line_no", "outcome_name", "outcome_price", "outcome_point"]
+
+
+@register("stream_quote_dedup", with_views("""
+SELECT event_id, bookmaker, market, q.outcome_name, q.outcome_price, q.outcome_point, q.last_update, q.line_no FROM (
+  SELECT event_id, bookmaker, market,
+    list({last_update: last_update, line_no: line_no, outcome_name: outcome_name, outcome_price: outcome_price,
+          outcome_point: outcome_point}
+         ORDER BY last_update, line_no, outcome_name, outcome_price, outcome_point NULLS FIRST)[1] AS q
+  FROM odds_v GROUP BY ALL)""", "odds_v"))
 def q_stream_dedup(spark, sf):
+    """Quotes land in arrival order unrelated to their time stamps; the first by QUOTE_ORDER stays."""
     root = _scratch(spark)
-    odds_v(spark, sf).write.parquet(f"{root}/landing")
+    o = odds_v(spark, sf)
+    o.withColumn("part", F.col("event_id") % 8).withColumn("landed", F.col("line_no") % 3) \
+        .write.partitionBy("landed").parquet(f"{root}/landing")
     schema = spark.read.parquet(f"{root}/landing").schema
-    stream = SS.read_landing(spark, f"{root}/landing", schema)
-    SS.stream_dedup(stream, ["event_id", "bookmaker", "market"], "last_update", "3650 days",
-                    f"{root}/out", f"{root}/ckpt")
-    return spark.read.parquet(f"{root}/out").select("event_id", "bookmaker", "market")
+    stream = SS.read_landing(spark, f"{root}/landing", schema, max_files=8).drop("landed")
+    SS.stream_dedup(stream, ["event_id", "bookmaker", "market"], QUOTE_ORDER, f"{root}/out", f"{root}/ckpt", "part")
+    return spark.read.parquet(f"{root}/out").select(*o.columns)
 
 
 @register("stream_late_correction", """
@@ -77,7 +88,6 @@ def q_stream_lines(spark, sf):
     schema = spark.read.parquet(f"{root}/landing").schema
     stream = SS.read_landing(spark, f"{root}/landing", schema)
     agg = SS.line_windows(stream, "last_update", "event_id", "outcome_point",
-                          ["last_update", "line_no", "bookmaker", "outcome_price", "outcome_point"],
-                          lateness="3650 days")
+                          ["last_update", "line_no", "bookmaker", "outcome_price", "outcome_point"])
     SS.windowed_upsert(agg, f"{root}/lines", ["window_start", "event_id"], f"{root}/ckpt")
     return spark.read.parquet(f"{root}/lines").drop("window_month")

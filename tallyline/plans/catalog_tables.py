@@ -15,7 +15,7 @@ from ..operators.aggregates import mode_spread
 from ..operators.consensus import consensus
 from ..session import checkpoint_dir
 from ..sources.fixtures import corrections_v, games_v, odds_v, quotes_v, with_views
-from ..sources.tables import TableStore
+from ..sources import tables as TB
 from .catalog_basic import BETTING_SQL, UPDATE_BATCH_SQL, betting_view, quote_pages, update_batch
 from .catalog_quotes import CONSENSUS_CTE
 from .registry import register
@@ -23,11 +23,6 @@ from .registry import register
 AS_OF_NFL = "1998-06-15"
 
 
-def _store(spark) -> TableStore:
-    """A fresh table root under the shared checkpoint folder."""
-    return TableStore(spark, f"{checkpoint_dir(spark)}/tables-{uuid.uuid4().hex[:12]}")
-
-
 def _g(sql, *views):
     return with_views(sql, "games_v", *views)
 
@@ -55,28 +50,21 @@ def nfl_v(spark, sf):
 NFL_COLS = ("game_id, id, season, week, gameday, gametime, away_team, home_team, away_score, home_score, "
             "spread_line, total_line")
 
-GRADE_SQL = """CASE WHEN home_score IS NOT NULL AND away_score IS NOT NULL THEN home_score - away_score END AS point_differential,
-  CASE WHEN home_score IS NOT NULL AND away_score IS NOT NULL THEN home_score + away_score END AS total_points,
-  CASE WHEN home_score IS NOT NULL AND away_score IS NOT NULL THEN
-    CASE WHEN home_score > away_score THEN 'home_win' WHEN away_score > home_score THEN 'away_win'
-         WHEN home_score = away_score THEN 'tie' END END AS game_result,
-  CASE WHEN home_score IS NOT NULL AND away_score IS NOT NULL THEN
-    CASE WHEN away_score IS NULL OR home_score IS NULL OR spread_line IS NULL THEN NULL
-         WHEN ABS((home_score + (-spread_line)) - away_score) < 0.01 THEN 'push'
-         WHEN (home_score + (-spread_line)) > away_score THEN 'home_covered' ELSE 'away_covered' END END AS spread_result,
-  CASE WHEN home_score IS NOT NULL AND away_score IS NOT NULL THEN
-    CASE WHEN away_score IS NULL OR home_score IS NULL OR total_line IS NULL THEN NULL
-         WHEN (home_score + away_score) > total_line THEN 'over'
-         WHEN (home_score + away_score) < total_line THEN 'under' ELSE 'push' END END AS over_under_result"""
-
-ATS_SQL = """CASE WHEN away_score IS NULL OR home_score IS NULL OR spread_line IS NULL THEN NULL
-       WHEN (home_score + (-spread_line)) > away_score THEN 1 ELSE 0 END AS home_covered,
-  CASE WHEN away_score IS NULL OR home_score IS NULL OR spread_line IS NULL THEN NULL
-       WHEN (home_score + (-spread_line)) > away_score THEN 'HOME'
-       WHEN ABS((home_score + (-spread_line)) - away_score) < 0.01 THEN 'PUSH' ELSE 'AWAY' END AS cover,
-  CASE WHEN away_score IS NULL OR home_score IS NULL OR spread_line IS NULL THEN NULL
-       WHEN ABS((home_score + (-spread_line)) - away_score) < 0.01 THEN 'PUSH'
-       WHEN (home_score + (-spread_line)) > away_score THEN 'HOME_COVERED' ELSE 'AWAY_COVERED' END AS ats_result"""
+# Results by list position: the sign of a difference picks the label; NULL scores or lines give NULL.
+_EDGE = "(home_score - spread_line - away_score)"
+_LABEL = "[{0}][(sign({1}) + 2)::INTEGER]"
+GRADE_SQL = ",\n  ".join([
+    "home_score - away_score AS point_differential",
+    "home_score + away_score AS total_points",
+    _LABEL.format("'away_win', 'tie', 'home_win'", "home_score - away_score") + " AS game_result",
+    _LABEL.format("'away_covered', 'push', 'home_covered'",
+                  f"CASE WHEN {_EDGE} NOT BETWEEN -0.0099999 AND 0.0099999 THEN {_EDGE} ELSE 0 * {_EDGE} END")
+    + " AS spread_result",
+    _LABEL.format("'under', 'push', 'over'", "home_score + away_score - total_line") + " AS over_under_result"])
+ATS_SQL = ",\n  ".join([
+    f"({_EDGE} > 0)::INTEGER AS home_covered",
+    f"if({_EDGE} > 0, 'HOME', if({_EDGE} > -0.0099999, 'PUSH', if({_EDGE} IS NOT NULL, 'AWAY', NULL))) AS cover",
+    f"if(abs({_EDGE}) < 0.0099999, 'PUSH', ['AWAY', 'HOME'][({_EDGE} > 0)::INTEGER + 1] || '_COVERED') AS ats_result"])
 
 
 @register("feat_result_nfl", _g(f"WITH {NFL_SQL}\nSELECT {NFL_COLS}, {GRADE_SQL} FROM nfl"))
@@ -149,29 +137,35 @@ def q_recent(spark, sf):
 
 @register("sink_append", _g("SELECT * FROM games_v UNION ALL SELECT * FROM games_v"))
 def q_append(spark, sf):
-    st = _store(spark)
+    path = TB.new_path(spark, "games")
     g = games_v(spark, sf)
-    st.append(g, "games")
-    st.append(g, "games")
-    return st.read("games")
+    TB.append(g, path)
+    TB.append(g, path)
+    return spark.read.parquet(path)
 
 
 @register("sink_overwrite", _g("SELECT * FROM games_v WHERE home_classification = 'fbs'"))
 def q_overwrite(spark, sf):
-    st = _store(spark)
+    """The new state is computed from a table while another path is overwritten with it."""
+    now, nxt = TB.new_path(spark, "games"), TB.new_path(spark, "games")
     g = games_v(spark, sf)
-    st.publish(g, "games")
-    st.overwrite(st.read("games").filter(F.col("home_classification") == "fbs"), "games")
-    return st.read("games")
+    g.write.parquet(now)
+    g.limit(5).write.parquet(nxt)
+    spark.read.parquet(now).filter(F.col("home_classification") == "fbs").write.mode("overwrite").parquet(nxt)
+    return spark.read.parquet(nxt)
+
+
+def _table_name(name: str) -> str:
+    return f"{name}_{uuid.uuid4().hex[:12]}"
 
 
 @register("sink_ctas", _g("SELECT season, COUNT(*) AS n, COUNT(mode_spread) AS quoted FROM games_v GROUP BY season"))
 def q_ctas(spark, sf):
-    st = _store(spark)
     g = games_v(spark, sf)
-    st.replace_as(g.groupBy("season").agg(F.count(F.lit(1)).alias("n"), F.count("mode_spread").alias("quoted")),
-                  "coverage")
-    return st.read("coverage")
+    df = g.groupBy("season").agg(F.count(F.lit(1)).alias("n"), F.count("mode_spread").alias("quoted"))
+    name = _table_name("coverage")
+    df.write.mode("overwrite").option("path", TB.new_path(spark, "coverage")).saveAsTable(name)
+    return spark.table(name)
 
 
 CORRECTIONS_SCHEMA = T.StructType([
@@ -187,19 +181,19 @@ CORRECTIONS_SCHEMA = T.StructType([
 SELECT game_id, verified_spread, CAST(NULL AS VARCHAR) AS source, CAST(NULL AS DATE) AS date_corrected,
   CAST(NULL AS VARCHAR) AS notes FROM corrections_v""", "corrections_v"))
 def q_create_typed(spark, sf):
-    st = _store(spark)
-    st.ensure_table("corrections", CORRECTIONS_SCHEMA)
-    st.ensure_table("corrections", CORRECTIONS_SCHEMA)      # second call: no-op
-    st.append(corrections_v(games_v(spark, sf)), "corrections")
-    return st.read("corrections")
+    name, path = _table_name("corrections"), TB.new_path(spark, "corrections")
+    TB.create_typed(spark, name, CORRECTIONS_SCHEMA, path)
+    TB.create_typed(spark, name, CORRECTIONS_SCHEMA, path)      # second call: nothing to do
+    TB.insert_by_name(corrections_v(games_v(spark, sf)), name)
+    return spark.table(name)
 
 
 @register("sink_backup", _g("SELECT COUNT(*) AS count FROM games_v"))
 def q_backup(spark, sf):
-    st = _store(spark)
-    st.publish(games_v(spark, sf), "games")
-    _, cnt = st.snapshot("games", "backup")
-    return cnt
+    path, backup = TB.new_path(spark, "games"), TB.new_path(spark, "games_backup")
+    games_v(spark, sf).write.parquet(path)
+    spark.read.parquet(path).write.parquet(backup)
+    return spark.read.parquet(backup).groupBy().count()
 
 
 UPSERT_SQL = f"""WITH {UPDATE_BATCH_SQL}
@@ -208,21 +202,21 @@ SELECT * FROM games_v WHERE id NOT IN (SELECT id FROM batch) UNION ALL SELECT *
 
 @register("create_or_merge", _g(UPSERT_SQL))
 def q_create_or_merge(spark, sf):
-    st = _store(spark)
+    path = TB.new_path(spark, "games")
     g = games_v(spark, sf)
-    st.upsert_table(g, "games", "id")                # create
-    st.upsert_table(update_batch(g), "games", "id")  # merge
-    return st.read("games")
+    TB.upsert_partitions(spark, path, g, "id")                # creates
+    TB.upsert_partitions(spark, path, update_batch(g), "id")  # merges
+    return spark.read.parquet(path).select(*g.columns)
 
 
 @register("append_dedup", _g(f"""WITH {UPDATE_BATCH_SQL}
 SELECT * FROM games_v UNION ALL SELECT * FROM batch WHERE id NOT IN (SELECT id FROM games_v)"""))
 def q_append_dedup(spark, sf):
-    st = _store(spark)
+    path = TB.new_path(spark, "games")
     g = games_v(spark, sf)
-    st.publish(g, "games")
-    st.append(MU.append_new(update_batch(g), st.read("games"), "id"), "games")
-    return st.read("games")
+    g.write.parquet(path)
+    TB.append(MU.append_new(update_batch(g), spark.read.parquet(path), "id"), path)
+    return spark.read.parquet(path)
 
 
 # ---------------------------------------------------------------- B6-B18, B21 (mutations)
@@ -390,12 +384,28 @@ def nfl_staging(n):
     return upd.unionByName(ins)
 
 
-REPORT_EXTRA = {"point_differential": "int", "spread_result": "string", "bet_spread": "double",
+REPORT_EXTRA = {"point_differential": "int", "total_points": "int", "game_result": "string",
+                "spread_result": "string", "over_under_result": "string", "bet_spread": "double",
                 "home_covered": "int", "cover": "string", "ats_result": "string"}
+# Columns each stage takes over from the one before it.
+COMPLETE_SYNC = ["spread_line", "total_line", "away_score", "home_score", "gametime", "gameday", "week"]
+ENHANCED_SYNC = ["spread_line", "total_line", "away_score", "home_score", "gametime", "point_differential",
+                 "total_points", "game_result", "spread_result", "over_under_result"]
 COMPLETE_EXTRA = {"point_differential": "int", "total_points": "int", "game_result": "string",
                   "spread_result": "string", "over_under_result": "string"}
 
 
+_INSIDE = f"abs(date_diff('day', DATE '{AS_OF_NFL}', n.gameday::DATE)) <= 7"
+
+
+def enhanced_source(complete, betting):
+    """Graded games with their betting line; of several lines of one game the largest."""
+    src = (complete.withColumn("gameday_d", F.to_date("gameday"))
+           .join(betting.withColumnRenamed("gameday", "gameday_d"),
+                 ["season", "week", "gameday_d", "home_team", "away_team"]))
+    return MU.assert_unique(src.select("game_id", *ENHANCED_SYNC, "bet_spread"), "game_id", dedupe_by=["bet_spread"])
+
+
 def nfl_tables(spark, n):
     """The four stale season-partitioned tables of the sync chain (initial
     load; every table carries its derived columns from the start)."""
@@ -408,123 +418,54 @@ def nfl_tables(spark, n):
     return paths
 
 
-def sync_tables(store: TableStore, source, betting, as_of, names=("historical", "complete", "enhanced", "report")):
-    """J25 as the job runs it: each stage is MERGEd and PUBLISHED as a new
-    table version before the next stage reads it (as the reference commits
-    each MERGE).  Written tables cut the lineage, so a lost executor costs a
-    recompute of one stage, not of the whole chain."""
-    hist_n, comp_n, enh_n, rep_n = names
-    store.publish(MU.merge_upsert(store.read(hist_n), source, "game_id"), hist_n)
-    comp = MU.merge_update(store.read(comp_n), store.read(hist_n), "game_id",
-                           ["spread_line", "total_line", "away_score", "home_score", "gametime"])
-    store.publish(GR.grade_scores(comp), comp_n)
-    comp = store.read(comp_n)
-    src = (comp.withColumn("gameday_d", F.to_date("gameday"))
-           .join(betting.withColumnRenamed("gameday", "gameday_d"),
-                 ["season", "week", "gameday_d", "home_team", "away_team"]))
-    src = MU.assert_unique(src.select("game_id", "spread_line", "away_score", "home_score", "point_differential",
-                                      "spread_result", "bet_spread"), "game_id", dedupe_by=["bet_spread"])
-    store.publish(MU.merge_update(store.read(enh_n), src, "game_id",
-                                  ["spread_line", "away_score", "home_score", "point_differential", "spread_result",
-                                   "bet_spread"], exprs=GR.ats_columns()), enh_n)
-    store.publish(MU.refresh_window(store.read(rep_n), store.read(enh_n), "gameday", as_of, 7, 7), rep_n)
-    return store.read(rep_n)
-
-
 def sync_partitioned(spark, paths: dict, source, betting, as_of, part_col: str = "season"):
     """J25 on season-partitioned tables: each stage rewrites only the seasons
     the day's source touches (the report: only the seasons inside the
     [as_of-7, as_of+7] window).  The touched seasons are a handful of values,
     collected as plan parameters."""
-    from ..sources.tables import rewrite_partitions, upsert_partitions
     rd = spark.read.parquet
-    affected = upsert_partitions(spark, paths["historical"], source, "game_id", part_col)
+    affected = set(TB.upsert_partitions(spark, paths["historical"], source, "game_id", part_col))
 
     def in_aff(df):
-        return df.filter(F.col(part_col).isin(affected))
+        return df.filter(F.col(part_col).isin(list(affected)))
 
-    rewrite_partitions(spark, paths["complete"], affected, lambda cur: GR.grade_scores(MU.merge_update(
-        cur, in_aff(rd(paths["historical"])), "game_id",
-        ["spread_line", "total_line", "away_score", "home_score", "gametime"])), part_col)
+    TB.rewrite_partitions(spark, paths["complete"], affected, lambda cur: GR.grade_scores(MU.merge_update(
+        cur, in_aff(rd(paths["historical"])), "game_id", COMPLETE_SYNC)), part_col)
 
     def enhance(cur):
-        comp = in_aff(rd(paths["complete"]))
-        src = (comp.withColumn("gameday_d", F.to_date("gameday"))
-               .join(betting.withColumnRenamed("gameday", "gameday_d"),
-                     ["season", "week", "gameday_d", "home_team", "away_team"]))
-        src = MU.assert_unique(src.select("game_id", "spread_line", "away_score", "home_score", "point_differential",
-                                          "spread_result", "bet_spread"), "game_id", dedupe_by=["bet_spread"])
-        return MU.merge_update(cur, src, "game_id", ["spread_line", "away_score", "home_score",
-                                                     "point_differential", "spread_result", "bet_spread"],
-                               exprs=GR.ats_columns())
-    rewrite_partitions(spark, paths["enhanced"], affected, enhance, part_col)
+        return MU.merge_update(cur, enhanced_source(in_aff(rd(paths["complete"])), betting), "game_id",
+                               [*ENHANCED_SYNC, "bet_spread"], exprs=GR.ats_columns())
+    TB.rewrite_partitions(spark, paths["enhanced"], affected, enhance, part_col)
     a = F.lit(str(as_of)).cast("date")
     in_win = F.to_date("gameday").between(F.date_sub(a, 7), F.date_add(a, 7))
-    win_seasons = sorted(r[0] for r in rd(paths["enhanced"]).filter(in_win).select(part_col).distinct().collect())
-    rewrite_partitions(spark, paths["report"], win_seasons, lambda cur: MU.refresh_window(
-        cur, rd(paths["enhanced"]).filter(F.col(part_col).isin(win_seasons)), "gameday", as_of, 7, 7), part_col)
+    window = set()
+    for stage in ("enhanced", "report"):            # rows that enter the window and rows that leave it
+        window |= {r[0] for r in rd(paths[stage]).filter(in_win).select(part_col).distinct().collect()}
+    TB.rewrite_partitions(spark, paths["report"], window, lambda cur: MU.refresh_window(
+        cur, rd(paths["enhanced"]).filter(F.col(part_col).isin(list(window))), "gameday", as_of, 7, 7), part_col)
     return rd(paths["report"])
 
 
-def sync(source, historical, complete, betting, enhanced, report, as_of):
-    """J25 `nfl_sync_chain`: source -> historical (B6 upsert) -> complete
-    (B7 update of lines and scores) -> derived columns (J10) -> enhanced
-    (B9/B10: MERGE from complete joined with the betting view, computed
-    ATS columns) -> reporting window (B17).  One lazy DAG; the caller
-    publishes whichever states it keeps."""
-    hist = MU.merge_upsert(historical, source, "game_id")
-    comp = MU.merge_update(complete, hist, "game_id",
-                           ["spread_line", "total_line", "away_score", "home_score", "gametime"])
-    comp = GR.grade_scores(comp)
-    src = (comp.withColumn("gameday_d", F.to_date("gameday"))
-           .join(betting.withColumnRenamed("gameday", "gameday_d"),
-                 ["season", "week", "gameday_d", "home_team", "away_team"]))
-    src = MU.assert_unique(src.select("game_id", "spread_line", "away_score", "home_score", "point_differential",
-                                      "spread_result", "bet_spread"), "game_id", dedupe_by=["bet_spread"])
-    ats = GR.ats_columns()
-    enh = MU.merge_update(enhanced, src, "game_id",
-                          ["spread_line", "away_score", "home_score", "point_differential", "spread_result",
-                           "bet_spread"], exprs=ats)
-    return MU.refresh_window(report, enh, "gameday", as_of, 7, 7)
-
-
+# The chain's end state game by game: a staged version of the game if there is one, graded, joined with the
+# largest betting line of its names and day; games outside the window keep the stale report row.
 @register("nfl_sync_chain", _g(f"""WITH {NFL_SQL}, {NFL_STAGE_SQL},
-hist AS (SELECT * FROM nfl WHERE game_id NOT IN (SELECT game_id FROM staging) UNION ALL SELECT * FROM staging),
-comp0 AS (SELECT n.* REPLACE (
-    CASE WHEN h.game_id IS NOT NULL THEN h.spread_line ELSE n.spread_line END AS spread_line,
-    CASE WHEN h.game_id IS NOT NULL THEN h.total_line ELSE n.total_line END AS total_line,
-    CASE WHEN h.game_id IS NOT NULL THEN h.away_score ELSE n.away_score END AS away_score,
-    CASE WHEN h.game_id IS NOT NULL THEN h.home_score ELSE n.home_score END AS home_score,
-    CASE WHEN h.game_id IS NOT NULL THEN h.gametime ELSE n.gametime END AS gametime)
-  FROM nfl n LEFT JOIN hist h ON h.game_id = n.game_id),
-comp AS (SELECT *, {GRADE_SQL} FROM comp0),
-bet AS (SELECT season, week, gameday, CAST(home_team AS VARCHAR) AS home_team,
-               CAST(away_team AS VARCHAR) AS away_team, bet_spread FROM ({BETTING_SQL.split(' AS (', 1)[1][:-1]})),
-src0 AS (SELECT c.*, b.bet_spread FROM comp c JOIN bet b ON c.season = b.season AND c.week = b.week
-  AND CAST(c.gameday AS DATE) = b.gameday AND c.home_team = b.home_team AND c.away_team = b.away_team),
-src AS (SELECT game_id, arg_max(spread_line, bet_spread) AS spread_line, arg_max(away_score, bet_spread) AS away_score,
-  arg_max(home_score, bet_spread) AS home_score, arg_max(point_differential, bet_spread) AS point_differential,
-  arg_max(spread_result, bet_spread) AS spread_result, MAX(bet_spread) AS bet_spread FROM src0 GROUP BY game_id),
-srcx AS (SELECT *, {ATS_SQL} FROM src),
-enh AS (SELECT n.* REPLACE (
-    CASE WHEN s.game_id IS NOT NULL THEN s.spread_line ELSE n.spread_line END AS spread_line,
-    CASE WHEN s.game_id IS NOT NULL THEN s.away_score ELSE n.away_score END AS away_score,
-    CASE WHEN s.game_id IS NOT NULL THEN s.home_score ELSE n.home_score END AS home_score),
-  CASE WHEN s.game_id IS NOT NULL THEN s.point_differential END AS point_differential,
-  CASE WHEN s.game_id IS NOT NULL THEN s.spread_result END AS spread_result,
-  CASE WHEN s.game_id IS NOT NULL THEN s.bet_spread END AS bet_spread,
-  CASE WHEN s.game_id IS NOT NULL THEN s.home_covered END AS home_covered,
-  CASE WHEN s.game_id IS NOT NULL THEN s.cover END AS cover,
-  CASE WHEN s.game_id IS NOT NULL THEN s.ats_result END AS ats_result
-  FROM nfl n LEFT JOIN srcx s ON s.game_id = n.game_id)
-SELECT *, CAST(NULL AS INTEGER) AS point_differential, CAST(NULL AS VARCHAR) AS spread_result,
-  CAST(NULL AS DOUBLE) AS bet_spread, CAST(NULL AS INTEGER) AS home_covered, CAST(NULL AS VARCHAR) AS cover,
-  CAST(NULL AS VARCHAR) AS ats_result
-FROM nfl WHERE NOT COALESCE(CAST(gameday AS DATE) BETWEEN DATE '{AS_OF_NFL}' - INTERVAL 7 DAY
-                                      AND DATE '{AS_OF_NFL}' + INTERVAL 7 DAY, FALSE)
-UNION ALL
-SELECT DISTINCT * FROM enh WHERE CAST(gameday AS DATE) BETWEEN DATE '{AS_OF_NFL}' - INTERVAL 7 DAY
-                                      AND DATE '{AS_OF_NFL}' + INTERVAL 7 DAY"""))
+latest AS (
+  SELECT n.* REPLACE (ifnull(s.game_id, n.game_id) AS game_id, if(s.game_id IS NULL, n.away_score, s.away_score) AS away_score,
+    if(s.game_id IS NULL, n.home_score, s.home_score) AS home_score)
+  FROM nfl AS n LEFT JOIN staging AS s USING (game_id)),
+graded AS (SELECT *, {GRADE_SQL}, {ATS_SQL}, gameday::DATE AS day FROM latest),
+bets AS (
+  SELECT season, week, gameday AS day, home_team::VARCHAR AS home_team, away_team::VARCHAR AS away_team, max(bet_spread) AS bet
+  FROM ({BETTING_SQL.split(' AS (', 1)[1][:-1]}) GROUP BY ALL),
+found AS (SELECT game_id, bet FROM graded JOIN bets USING (season, week, day, home_team, away_team))
+SELECT DISTINCT n.* EXCLUDE (spread_line, total_line, away_score, home_score, gametime),
+  {", ".join(f"CASE WHEN {_INSIDE} AND f.game_id IS NOT NULL THEN g.{c} ELSE n.{c} END AS {c}"
+             for c in ("spread_line", "total_line", "away_score", "home_score", "gametime"))},
+  {", ".join(f"CASE WHEN {_INSIDE} AND f.game_id IS NOT NULL THEN {e} END AS {c}" for c, e in
+             [*((c, f"g.{c}") for c in ("point_differential", "total_points", "game_result", "spread_result",
+                                        "over_under_result")), ("bet_spread", "f.bet"),
+              *((c, f"g.{c}") for c in ("home_covered", "cover", "ats_result"))])}
+FROM nfl AS n JOIN graded AS g USING (game_id) LEFT JOIN found AS f USING (game_id)"""))
 def q_sync(spark, sf):
     n = nfl_v(spark, sf)
     g = games_v(spark, sf)

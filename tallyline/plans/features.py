@@ -4,16 +4,17 @@ Plan shape (PLANS.md; checked in tests/test_stats_plans.py):
 
   games --filter(class)--> base
   base --inline(home,away)--> long          (one scan, 2 rows per game)
-  long --Exchange hash(team)--> one Window stage computing rest days (F1),
-        location leave-one-out (F10) and all rolling/expanding features
-        (F2-F8) over (team,side,season), (team,season), (team)
-        [teams holding > HOT_FRACTION of the rows: operators/skew.py]
+  long --Exchange (team, season, bucket)--> totals and last rows per bucket
+        --> context and opening rows --union--> all frames F1-F8 in one
+        Window stage per (team, season, bucket)       [operators/buckets.py]
+  long --aggregate (team, side, season)--> leave-one-out (F10) by join
   --Exchange hash(id)--> opponent's pre-game season win% (window on id)
-  --Exchange hash(team, season)--> strength of schedule (F9)
+  --Exchange (team, season, bucket)--> strength of schedule (F9)
   --Exchange hash(id)--> pivot to one row per game (hash aggregate)
   h2h: aggregate per (pair, season) -> range window -> equi join (no pairs)
-  base --Exchange hash(id)--> ⋈ team feats ⋈ h2h ⋈ quality on id
-  --Exchange range--> ORDER BY season, week, start, id
+  base join team feats join h2h join quality on id
+
+Building the plan runs no job.
 """
 
 from __future__ import annotations
@@ -22,14 +23,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import utc_to_zone
+from ..operators import buckets as B
 from ..operators import windows as W
 from ..operators.h2h import h2h_features
 from ..operators.longform import pivot_sides, to_long
-from ..operators.skew import cumulative_incl_bucketed, hot_key_list, split_hot, team_stage_bucketed
-
-# A team holding more than this share of all team-game rows is routed to the
-# skew-safe (bucketed prefix) plan instead of one window partition per team.
-HOT_FRACTION = 0.05
 
 OPTIONAL_GAME_COLS = {
     "conference_game": "boolean",
@@ -54,13 +51,10 @@ def base_games(games: DataFrame, classification: str | None = "fbs") -> DataFram
 def base_games_with_rest(games: DataFrame, classification: str | None = "fbs") -> DataFrame:
     """J1 `feat_base_games` as a standalone query: base + F1 rest days per side
     (previous home game for the home team, previous away game for the away
-    team, same season).  Two windows, one per side."""
+    team, same season)."""
     b = base_games(games, classification)
-    return b.select(
-        "*",
-        W.lag_days("start_ts", ("home_team", "season"), "home_rest_days"),
-        W.lag_days("start_ts", ("away_team", "season"), "away_rest_days"),
-    )
+    rest = pivot_sides(B.team_rolling(to_long(b)).select("id", "side", "rest_days"), "id", ["rest_days"])
+    return b.join(rest, "id").select(*b.columns, "home_rest_days", "away_rest_days")
 
 
 def location_splits(games: DataFrame, classification: str | None = "fbs") -> DataFrame:
@@ -68,44 +62,15 @@ def location_splits(games: DataFrame, classification: str | None = "fbs") -> Dat
     team on the road; one row per game."""
     b = base_games(games, classification)
     long = to_long(b).select("id", "season", "side", "team", "points_scored", "points_allowed")
-    loo = long.select("id", "side", *W.leave_one_out_exprs(("team", "side", "season")))
-    return pivot_sides(loo, "id", ["avg_points", "avg_allowed", "win_rate"])
-
-
-def _team_windows(long: DataFrame) -> DataFrame:
-    return long.select(
-        "id", "season", "week", "start_ts", "side", "team",
-        W.lag_days("start_ts", ("team", "side", "season"), "rest_days"),
-        *W.leave_one_out_exprs(("team", "side", "season")),
-        *W.team_rolling_exprs(),
-    )
-
-
-def hot_teams(games_base: DataFrame, hot_fraction: float | None) -> list:
-    """Teams holding more than `hot_fraction` of the team-game rows (a
-    bounded list: at most 1/hot_fraction).  Counted on the two team columns
-    only, before any repartitioning."""
-    if hot_fraction is None:
-        return []
-    long = games_base.select(F.explode(F.array("home_team", "away_team")).alias("team"))
-    return hot_key_list(long, "team", hot_fraction)
-
+    return pivot_sides(B.leave_one_out(long), "id", ["avg_points", "avg_allowed", "win_rate"])
 
-def team_stage(base: DataFrame, mode: str = "compat", hot_fraction: float | None = None,
-               hot_list: list | None = None) -> DataFrame:
-    """Long-form window stage: one exchange on team, every per-team feature.
 
-    With `hot_fraction`, teams holding more than that share of the rows (at
-    most 1/hot_fraction of them) take the skew-safe bucketed plan; the rest
-    keep the window plan.  A `_hot` flag routes the later SOS stage."""
+def team_stage(base: DataFrame, mode: str = "compat") -> DataFrame:
+    """Long-form stage: every per-team feature, one row per game and side."""
     long = to_long(base, mode=mode)
-    if hot_list is None:
-        hot_list = hot_teams(base, hot_fraction)
-    if not hot_list:
-        return _team_windows(long)
-    cold, hot = split_hot(long, "team", hot_list)
-    return (_team_windows(cold).withColumn("_hot", F.lit(False))
-            .unionByName(team_stage_bucketed(hot).withColumn("_hot", F.lit(True))))
+    loo = B.leave_one_out(long.select("id", "side", "team", "season", "week", "start_ts", "points_scored",
+                                      "points_allowed")).drop("points_scored", "points_allowed")
+    return loo.join(B.team_rolling(long).drop("team", "season"), ["id", "side"])
 
 
 def with_sos(stage: DataFrame, min_week: int = 3, default: float = 0.5) -> DataFrame:
@@ -117,14 +82,7 @@ def with_sos(stage: DataFrame, min_week: int = 3, default: float = 0.5) -> DataF
     home_v = F.max(F.when(F.col("side") == "home", swp)).over(pid)
     away_v = F.max(F.when(F.col("side") == "away", swp)).over(pid)
     s = stage.withColumn("opp_win_pct", F.when(F.col("side") == "home", away_v).otherwise(home_v))
-    if "_hot" in s.columns:
-        cold = s.filter(~F.col("_hot")).select(
-            "*", *W.cumulative_incl("opp_win_pct", ("team", "season"), "sos_rating", "sos_sample_size"))
-        hot = cumulative_incl_bucketed(s.filter(F.col("_hot")), "opp_win_pct", ("team", "season"),
-                                       "sos_rating", "sos_sample_size")
-        s = cold.unionByName(hot).drop("_hot")
-    else:
-        s = s.select("*", *W.cumulative_incl("opp_win_pct", ("team", "season"), "sos_rating", "sos_sample_size"))
+    s = B.running_mean(s, "opp_win_pct", "sos_rating", "sos_sample_size")
     gate = (F.coalesce(F.col("sos_sample_size"), F.lit(0)) > 0) & (F.col("week") >= min_week)
     return s.withColumn("sos", F.when(gate, F.col("sos_rating")).otherwise(F.lit(default)))
 
@@ -136,10 +94,9 @@ def sos(games: DataFrame, classification: str | None = "fbs") -> DataFrame:
                        ["sos", "sos_sample_size"])
 
 
-def team_features(base: DataFrame, mode: str = "compat", hot_fraction: float | None = HOT_FRACTION,
-                  hot_list: list | None = None) -> DataFrame:
+def team_features(base: DataFrame, mode: str = "compat") -> DataFrame:
     """All per-team features pivoted to one row per game id."""
-    st = with_sos(team_stage(base, mode, hot_fraction, hot_list))
+    st = with_sos(team_stage(base, mode))
     cols = (["rest_days", "avg_points", "avg_allowed", "win_rate", "sos", "sos_sample_size"]
             + list(W.TEAM_ROLLING_COLS))
     return pivot_sides(st, "id", cols)
@@ -272,8 +229,7 @@ def eligible(min_games: int = 3) -> Column:
 def feature_table(games: DataFrame, disp: DataFrame, corrections: DataFrame,
                   classification: str = "fbs", tz: str = "America/Chicago",
                   quality_threshold: float = 5.0, mode: str = "compat",
-                  sort: bool = True, hot_fraction: float | None = HOT_FRACTION,
-                  cut_lineage: bool = False) -> DataFrame:
+                  sort: bool = True, cut_lineage: bool = False) -> DataFrame:
     """J16 `feat_table_full`: 82-column feature table (flagship).
 
     `cut_lineage=True` checkpoints the per-game team features (reliable
@@ -281,8 +237,7 @@ def feature_table(games: DataFrame, disp: DataFrame, corrections: DataFrame,
     job re-reads them instead of recomputing every window stage."""
     games = _ensure_cols(games, OPTIONAL_GAME_COLS)
     base = base_games(games, classification)
-    hot = hot_teams(base, hot_fraction)
-    tf = team_features(base, mode, hot_fraction, hot)
+    tf = team_features(base, mode)
     if cut_lineage:
         from ..session import checkpoint_dir
         checkpoint_dir(games.sparkSession)
@@ -290,13 +245,7 @@ def feature_table(games: DataFrame, disp: DataFrame, corrections: DataFrame,
     hh = h2h_features(base)
     sq = spread_quality(disp, corrections, quality_threshold).withColumnRenamed("game_id", "id")
     local = utc_to_zone(F.col("start_ts"), tz)
-    # Only the copy of the games that feeds the id joins is shuffled by id
-    # (a sort-merge join needs exactly that shuffle; tf already comes out of
-    # a hash aggregate on id).  The long form and the h2h branch read the
-    # games directly - sharing one explicit repartition between branches
-    # would not be reused (each branch prunes different columns) and would
-    # shuffle the games once per branch.
-    j = (base.repartition("id").join(tf, "id", "left").join(hh, "id", "left").join(sq, "id", "left"))
+    j = base.join(tf, "id", "left").join(hh, "id", "left").join(sq, "id", "left")
     rest_h = F.coalesce(F.col("home_rest_days"), F.lit(7))
     rest_a = F.coalesce(F.col("away_rest_days"), F.lit(7))
     sos_h, sos_a = F.col("home_sos"), F.col("away_sos")

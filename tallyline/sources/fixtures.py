@@ -46,6 +46,12 @@ def games_v(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderpriority") == "5-LOW", "fcs").otherwise("fbs").alias("home_classification"),
         (1500 + (cust * 37) % 400).cast(dbl).alias("home_elo"),
         (1500 + (k * 53) % 400).cast(dbl).alias("away_elo"),
+        F.when(k % 7 != 0, k % 3 == 0).alias("conference_game"),
+        F.when(k % 5 != 0, k % 9 == 1).alias("neutral_site"),
+        F.when(k % 4 != 0, (1000 + (k * 31) % 90000).cast(dbl)).alias("attendance"),
+        F.concat(F.lit("conf"), (cust % 40 % 6).cast("string")).alias("home_conference"),
+        F.when(k % 17 != 0, F.concat(F.lit("conf"), ((cust % 40 + 1 + k % 39) % 40 % 6).cast("string")))
+         .alias("away_conference"),
     )
 
 
@@ -59,7 +65,8 @@ def odds_v(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(flag == "R", F.when(ln % 2 == 0, "Over").otherwise("Under"))
          .when(ln % 2 == 0, "home").otherwise("away").alias("outcome_name"),
         (100 + F.floor("l_extendedprice").cast("bigint") % 200).cast("double").alias("outcome_price"),
-        F.when(flag != "N", _half(F.floor("l_quantity").cast("bigint") % 9 - 4)).alias("outcome_point"),
+        F.when(flag != "N", _half((F.floor("l_quantity").cast("bigint") % 9 - 4)
+                                  * F.when(F.col("l_orderkey") % 23 == 0, 8).otherwise(1))).alias("outcome_point"),
         F.col("l_shipdate").alias("last_update"),
         ln.alias("line_no"),
     )
@@ -131,7 +138,13 @@ GAMES_V_SQL = """SELECT o_orderkey AS id, CAST(year(o_orderdate) AS INT) AS seas
  CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE ((o_orderkey * 5) % 57 - 28) / CAST(2 AS DOUBLE) END AS mode_spread_open,
  CASE WHEN o_orderpriority = '5-LOW' THEN 'fcs' ELSE 'fbs' END AS home_classification,
  CAST(1500 + (o_custkey * 37) % 400 AS DOUBLE) AS home_elo,
- CAST(1500 + (o_orderkey * 53) % 400 AS DOUBLE) AS away_elo
+ CAST(1500 + (o_orderkey * 53) % 400 AS DOUBLE) AS away_elo,
+ CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey % 3 = 0 END AS conference_game,
+ CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey % 9 = 1 END AS neutral_site,
+ CASE WHEN o_orderkey % 4 <> 0 THEN CAST(1000 + (o_orderkey * 31) % 90000 AS DOUBLE) END AS attendance,
+ 'conf' || CAST(o_custkey % 40 % 6 AS VARCHAR(10)) AS home_conference,
+ CASE WHEN o_orderkey % 17 <> 0
+      THEN 'conf' || CAST((o_custkey % 40 + 1 + o_orderkey % 39) % 40 % 6 AS VARCHAR(10)) END AS away_conference
 FROM orders"""
 
 ODDS_V_SQL = """SELECT l_orderkey AS event_id,
@@ -140,7 +153,9 @@ ODDS_V_SQL = """SELECT l_orderkey AS event_id,
  CASE WHEN l_returnflag = 'R' THEN CASE WHEN l_linenumber % 2 = 0 THEN 'Over' ELSE 'Under' END
       WHEN l_linenumber % 2 = 0 THEN 'home' ELSE 'away' END AS outcome_name,
  CAST(100 + CAST(floor(l_extendedprice) AS BIGINT) % 200 AS DOUBLE) AS outcome_price,
- CASE WHEN l_returnflag = 'N' THEN NULL ELSE (CAST(floor(l_quantity) AS BIGINT) % 9 - 4) / CAST(2 AS DOUBLE) END AS outcome_point,
+ CASE WHEN l_returnflag = 'N' THEN NULL
+      ELSE (CAST(floor(l_quantity) AS BIGINT) % 9 - 4) * CASE WHEN l_orderkey % 23 = 0 THEN 8 ELSE 1 END / CAST(2 AS DOUBLE)
+ END AS outcome_point,
  l_shipdate AS last_update, l_linenumber AS line_no
 FROM lineitem"""
 

@@ -1,161 +1,115 @@
-"""Sinks over versioned Parquet directories.
-
-A table is a directory `<root>/<name>/` holding versions `v=00001/`,
-`v=00002/`, ...; the current version is the highest one whose write
-committed (Spark's `_SUCCESS` marker).  Writers produce version n+1 while
-readers keep reading n, so a job may read a table and publish its new state
-in one go (plain overwrite-in-place cannot do that).  Appends add a
-committed sub-directory to the current version (only the new rows are
-written); readers list the version recursively.  Single writer per table
-is assumed.  File-system access goes through Hadoop's
-FileSystem API, so the same code works on HDFS / object stores / local.
-
-This is path bookkeeping around `DataFrame.write.parquet`, not a storage
-engine: no log, no compaction, no concurrency control.
+"""Sinks as plain Spark writes.
+
+Tables are Parquet paths (or catalog tables over such paths) written by
+`DataFrame.write` and `insertInto`.  A table whose new state is computed from
+its old one is either written to a new path, or, partition by partition,
+through a checkpoint in the shared folder (`rewrite_partitions`).
 """
 
 from __future__ import annotations
 
-import re
 import uuid
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_V = re.compile(r"^v=(\d+)$")
-
-
-class TableStore:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        try:  # Hadoop FS handle (HDFS / object stores / local) for listing and markers
-            jvm = spark._jvm  # noqa: SLF001
-            self._Path = jvm.org.apache.hadoop.fs.Path
-            self._fs = self._Path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
-        except Exception:  # noqa: BLE001 - no JVM handle (e.g. Spark Connect): local paths only
-            self._fs = None
-
-    # -- paths -------------------------------------------------------------
-    def _dir(self, name: str) -> str:
-        return f"{self.root}/{name}"
-
-    def versions(self, name: str) -> list[int]:
-        if self._fs is None:
-            import os
-            d = self._dir(name).removeprefix("file:")
-            if not os.path.isdir(d):
-                return []
-            return sorted(int(m.group(1)) for e in os.listdir(d) if (m := _V.match(e))
-                          and os.path.exists(os.path.join(d, e, "_SUCCESS")))
-        p = self._Path(self._dir(name))
-        if not self._fs.exists(p):
-            return []
-        out = []
-        for st in self._fs.listStatus(p):
-            m = _V.match(st.getPath().getName())
-            if m and self._fs.exists(self._Path(st.getPath(), "_SUCCESS")):
-                out.append(int(m.group(1)))
-        return sorted(out)
-
-    def exists(self, name: str) -> bool:
-        return bool(self.versions(name))
-
-    def current_path(self, name: str) -> str | None:
-        v = self.versions(name)
-        return f"{self._dir(name)}/v={v[-1]:05d}" if v else None
-
-    # -- read / write --------------------------------------------------------
-    def read(self, name: str) -> DataFrame:
-        """A6 for stored tables: all files of the current version (its base
-        files and committed appends; in-flight `_temporary` output is hidden)."""
-        p = self.current_path(name)
-        if p is None:
-            raise FileNotFoundError(f"table {name} has no committed version under {self.root}")
-        return self.spark.read.option("recursiveFileLookup", "true").parquet(p)
-
-    def publish(self, df: DataFrame, name: str) -> str:
-        """Write `df` as the next version (B2 overwrite / B3 CTAS)."""
-        v = self.versions(name)
-        path = f"{self._dir(name)}/v={(v[-1] + 1 if v else 1):05d}"
-        df.write.mode("errorifexists").parquet(path)
-        return path
-
-    def append(self, df: DataFrame, name: str) -> str:
-        """B1 `sink_append`: write only the new rows, as a committed segment of
-        the current version (cost grows with the appended rows, not with the
-        table)."""
-        if not self.exists(name):
-            return self.publish(df, name)
-        from pyspark.sql import functions as F
-        cur = self.current_path(name)
-        schema = self.spark.read.option("recursiveFileLookup", "true").parquet(cur).schema
-        cols = [F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
-                for f in schema.fields]                      # INSERT by name; absent columns -> NULL
-        seg = f"{cur}/append-{uuid.uuid4().hex}"
-        df.select(*cols).write.mode("errorifexists").parquet(seg)
-        return seg
-
-    def overwrite(self, df: DataFrame, name: str) -> str:
-        return self.publish(df, name)
-
-    def replace_as(self, df: DataFrame, name: str) -> str:
-        """B3 `sink_ctas`: CREATE OR REPLACE TABLE name AS <df>."""
-        return self.publish(df, name)
-
-    def ensure_table(self, name: str, schema: T.StructType) -> str | None:
-        """B4 `sink_create_typed`: create an empty typed table if absent
-        (column comments travel as StructField metadata)."""
-        if self.exists(name):
+from ..operators.mutation import merge_upsert
+from ..session import checkpoint_dir
+
+MAX_TOUCHED = 10_000                  # partitions one rewrite may touch; more is an error, not a silent cut
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path under the shared folder that nothing uses yet."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
             return None
-        return self.publish(self.spark.createDataFrame([], schema), name)
-
-    def snapshot(self, name: str, tag: str) -> tuple[str, DataFrame]:
-        """B5 `sink_backup`: copy the current version to `<name>__<tag>`;
-        returns the backup path and a one-row count of the copy."""
-        src = self.read(name)
-        path = self.publish(src, f"{name}__{tag}")
-        return path, self.spark.read.parquet(path).groupBy().count()
-
-    def upsert_table(self, df: DataFrame, name: str, keys) -> str:
-        """B19 `create_or_merge`: create when missing, else MERGE."""
-        from ..operators.mutation import merge_upsert
-        if not self.exists(name):
-            return self.publish(df, name)
-        return self.publish(merge_upsert(self.read(name), df, keys), name)
-
-
-def rewrite_partitions(spark: SparkSession, path: str, affected: list, fn, part_col: str = "season") -> None:
-    """Replace the `affected` partitions of the Parquet table at `path` with
-    fn(rows of those partitions).  Reads only those partitions (pruning),
-    stages the result under the shared checkpoint folder (cuts the lineage
-    from the files about to be replaced), then dynamic partition overwrite.
-    `fn` must keep `part_col` and must not move rows outside `affected`; a
-    partition `fn` leaves empty keeps its old files (dynamic overwrite
-    replaces only partitions present in the output)."""
-    from pyspark.sql import functions as F
-
-    from ..session import checkpoint_dir
-    cur = spark.read.parquet(path).filter(F.col(part_col).isin(affected))
-    new = fn(cur)
-    stage = f"{checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
-    new.write.parquet(stage)
-    staged = spark.read.parquet(stage)
-    cols = [c for c in staged.columns if c != part_col] + [part_col]
-    (staged.select(*cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(part_col).parquet(path))
+        raise
+
+
+def append(df: DataFrame, path: str) -> None:
+    """B1 `sink_append`: INSERT by name; columns `df` lacks become NULL."""
+    now = read_if_exists(df.sparkSession, path)
+    if now is not None:
+        df = df.select(*((F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                         for f in now.schema.fields))
+    df.write.mode("append").parquet(path)
+
+
+def create_typed(spark: SparkSession, name: str, schema: T.StructType, path: str) -> None:
+    """B4 `sink_create_typed`: an empty typed table with column comments, if there is none."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'} "
+                        f"COMMENT '{f.metadata.get('comment', '')}'" for f in schema.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet LOCATION '{path}'")
+
+
+def insert_by_name(df: DataFrame, name: str) -> None:
+    """INSERT INTO a catalog table; columns `df` lacks become NULL."""
+    fields = df.sparkSession.table(name).schema.fields
+    df.select(*((F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                for f in fields)).write.insertInto(name)
+
+
+def _values(df: DataFrame, col: str) -> set:
+    """Distinct partition values, as parameters of the rewrite."""
+    got = [r[0] for r in df.select(col).distinct().limit(MAX_TOUCHED + 1).collect()]
+    if len(got) > MAX_TOUCHED:
+        raise ValueError(f"more than {MAX_TOUCHED} partitions of {col} are touched; rewrite the table instead")
+    return set(got)
+
+
+def _in(col: str, values: set):
+    known = [v for v in values if v is not None]
+    return (F.col(col).isin(known) if known else F.lit(False)) | (F.col(col).isNull() if None in values else F.lit(False))
+
+
+def rewrite_partitions(spark: SparkSession, path: str, touched: set, fn: Callable[[DataFrame], DataFrame],
+                       part_col: str = "season") -> None:
+    """Replace the touched partitions of the table at `path` by fn(their rows).
+
+    Only those partitions are read.  The new rows are checkpointed to the
+    shared folder, which cuts them loose from the files about to be replaced,
+    then written by dynamic partition overwrite; touched partitions that have
+    no row any more are overwritten with nothing.
+    """
+    checkpoint_dir(spark)
+    now = spark.read.parquet(path)
+    new = fn(now.filter(_in(part_col, touched))).checkpoint(eager=True)
+    kept = _values(new, part_col)
+    if kept - touched:
+        raise ValueError(f"rows moved outside the touched partitions: {sorted(map(str, kept - touched))[:5]}")
+    columns = [c for c in new.columns if c != part_col]
+    if kept:
+        (new.select(*columns, part_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(part_col).parquet(path))
+    for value in touched - kept:
+        folder = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+        new.select(*columns).limit(0).write.mode("overwrite").parquet(f"{path}/{part_col}={folder}")
 
 
 def upsert_partitions(spark: SparkSession, path: str, src: DataFrame, keys, part_col: str = "season") -> list:
-    """B6/B19 on a partitioned Parquet table, limited to the partitions `src`
-    touches (a handful of values per batch - collected as a plan parameter);
-    creates the table on first use.  Returns the touched partitions."""
-    from ..operators.mutation import merge_upsert
-    affected = sorted(r[0] for r in src.select(part_col).distinct().collect())
-    try:
-        spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - first load: nothing stored yet
+    """B6/B19 on a partitioned table: MERGE `src`, creating the table on first use.
+
+    Touched are the partitions of the source and those that hold its keys now,
+    so a row whose partition value changes leaves its old partition.  Returns
+    the touched partitions.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    touched = _values(src, part_col)
+    now = read_if_exists(spark, path)
+    if now is None:
         src.write.partitionBy(part_col).parquet(path)
-        return affected
-    rewrite_partitions(spark, path, affected, lambda cur: merge_upsert(cur, src, keys), part_col)
-    return affected
+        return sorted(touched, key=str)
+    held = now.select(*keys, part_col).join(src.select(*keys).distinct(), keys, "left_semi")
+    touched |= _values(held, part_col)
+    rewrite_partitions(spark, path, touched, lambda cur: merge_upsert(cur, src, keys), part_col)
+    return sorted(touched, key=str)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.tables import upsert_partitions
+from ..sources.tables import read_if_exists, upsert_partitions
 
 
 def _run(writer, trigger_once: bool = True):
@@ -60,14 +60,33 @@ def stream_upsert(stream: DataFrame, path: str, keys: Sequence[str], order: Sequ
     _run(stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint))
 
 
-def stream_dedup(stream: DataFrame, keys: Sequence[str], ts: str, delay: str, sink_path: str,
-                 checkpoint: str) -> None:
-    """L2 `stream_quote_dedup`: one quote per key within the watermark delay
-    (`dropDuplicatesWithinWatermark`, bounded state), appended to Parquet."""
-    s = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
-    d = s.dropDuplicatesWithinWatermark(list(keys))
-    _run(d.writeStream.format("parquet").option("path", sink_path)
-         .option("checkpointLocation", checkpoint).outputMode("append"))
+def first_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The whole first row per key by `order`."""
+    others = [c for c in rows.columns if c not in keys]
+    g = rows.groupBy(*keys).agg(F.min_by(F.struct(*others), F.struct(*order)).alias("_r"))
+    return g.select(*keys, *[F.col("_r")[c].alias(c) for c in others])
+
+
+def stream_dedup(stream: DataFrame, keys: Sequence[str], order: Sequence[str], path: str, checkpoint: str,
+                 part_col: str) -> None:
+    """L2 `stream_quote_dedup`: one whole quote per key, the first by `order`
+    whenever it arrives.  The table itself is the memory: a micro-batch is
+    compared with the stored quotes of the partitions it touches, so the
+    stream holds no state and late quotes are judged like all others.
+    `part_col` must be a function of the keys."""
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            spark = batch.sparkSession
+            new = first_per_key(batch, keys, order)
+            now = read_if_exists(spark, path)
+            if now is not None:
+                held = now.join(new.select(*keys), list(keys), "left_semi").select(*new.columns)
+                new = first_per_key(new.unionByName(held), keys, order).checkpoint(eager=True)
+            upsert_partitions(spark, path, new, list(keys), part_col)
+        finally:
+            batch.unpersist()
+    _run(stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint))
 
 
 def windowed_upsert(agg: DataFrame, path: str, keys: Sequence[str], checkpoint: str,

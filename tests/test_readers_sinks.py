@@ -7,7 +7,9 @@ import tempfile
 from pyspark.sql import functions as F
 
 from tallyline.sources import readers as R
-from tallyline.sources.tables import TableStore
+from pyspark.sql import types as T
+
+from tallyline.sources import tables as TB
 
 
 def test_read_games_json_conforms(spark):
@@ -55,19 +57,20 @@ def test_incremental_and_seasons():
     assert R.seasons_to_scan("2024-01-03", 7) == [2023, 2024]
 
 
-def test_table_store_versions(spark):
-    st = TableStore(spark, tempfile.mkdtemp(prefix="tl-store-"))
-    a = spark.range(5).withColumn("v", F.col("id") * 2)
-    st.publish(a, "t")
-    st.append(spark.range(5, 7).withColumn("v", F.lit(0)), "t")
-    assert st.read("t").count() == 7
-    assert len(st.versions("t")) == 1                       # append adds a segment, not a version
-    st.overwrite(st.read("t").filter("id < 3"), "t")        # read version 1, write version 2
-    assert st.versions("t") == [1, 2] and st.read("t").count() == 3
-    path, cnt = st.snapshot("t", "bak")
-    assert cnt.collect()[0][0] == 3 and os.path.isdir(path)
-    st.upsert_table(spark.createDataFrame([(1, 100), (9, 9)], "id long, v long"), "t", "id")
-    assert {r.id: r.v for r in st.read("t").collect()} == {0: 0, 1: 100, 2: 4, 9: 9}
+def test_appends_and_typed_tables(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert TB.read_if_exists(spark, path) is None
+    TB.append(spark.range(3).withColumn("v", F.col("id") * 2), path)
+    TB.append(spark.range(3, 5), path)                      # by name; v becomes NULL
+    assert {r.id: r.v for r in spark.read.parquet(path).collect()} == {0: 0, 1: 2, 2: 4, 3: None, 4: None}
+    schema = T.StructType([T.StructField("game_id", T.LongType(), True, {"comment": "game id"}),
+                           T.StructField("note", T.StringType(), True, {"comment": "free text"})])
+    name = f"typed_{tmp_path.name.replace('-', '_')}"
+    for _ in range(2):                                      # the second call does nothing
+        TB.create_typed(spark, name, schema, str(tmp_path / "typed"))
+        TB.insert_by_name(spark.range(2).withColumnRenamed("id", "game_id"), name)
+    assert spark.table(name).count() == 4 and spark.table(name).schema["note"].metadata["comment"] == "free text"
+    spark.sql(f"DROP TABLE {name}")
 
 
 def test_lines_json_and_python_literal(spark):

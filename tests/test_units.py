@@ -231,21 +231,32 @@ def test_flatten_odds_fallbacks(spark):
     assert all(r.last_update is not None for r in rows)     # market falls back to book's last_update
 
 
-def test_bucketed_team_stage_equals_windows(spark):
-    """The skew-safe plan gives the window plan's answers (every team forced hot)."""
+def test_split_plan_equals_plain_windows_for_a_hot_team(spark):
+    """One team holds 90 % of the rows; the split plan gives the plain window's answers, and no
+    window partition holds more than one team's games of one bucket."""
+    from tallyline.operators import buckets as B
     from tallyline.plans import features as FT
     from tallyline.sources.fixtures import games_v
-    base = FT.base_games(games_v(spark, "/root/testdata/sf0.001"))
-    a = FT.with_sos(FT.team_stage(base)).drop("opp_win_pct")
-    b = FT.with_sos(FT.team_stage(base, hot_fraction=0.0)).drop("opp_win_pct")
-    assert "_hot" not in b.columns
-    exact = [c for c in a.columns if c not in ("sos_rating", "sos")]
-    assert a.select(*exact).exceptAll(b.select(*exact)).count() == 0
-    assert b.select(*exact).exceptAll(a.select(*exact)).count() == 0
-    ja = {(r.id, r.side): r.sos_rating for r in a.select("id", "side", "sos_rating").collect()}
-    jb = {(r.id, r.side): r.sos_rating for r in b.select("id", "side", "sos_rating").collect()}
-    assert ja.keys() == jb.keys()
-    assert all((ja[k] is None and jb[k] is None) or abs(ja[k] - jb[k]) < 1e-12 for k in ja)
+    g = games_v(spark, "/root/testdata/sf0.001").withColumns({
+        "home_team": F.when(F.col("id") % 20 < 17, F.lit(0)).otherwise(F.col("home_team")),
+        "away_team": F.when(F.col("id") % 20 < 13, F.lit(1)).otherwise(F.col("away_team"))})
+    long = to_long(FT.base_games(g))
+    for days in (3, 28, 400):
+        a = B.team_rolling(long, days)
+        b = W.team_rolling(W.rest_days(long)).select(*a.columns)
+        assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    loo = ["avg_points", "avg_allowed", "win_rate"]
+    a = B.leave_one_out(long).select("id", "side", *loo)
+    b = W.leave_one_out(long).select("id", "side", *loo)
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    x = long.withColumn("v", F.col("margin") / 7)
+    a = {(r.id, r.side): (r.m, r.n) for r in B.running_mean(x, "v", "m", "n").collect()}
+    b = {(r.id, r.side): (r.m, r.n) for r in x.select(
+        "*", *W.cumulative_incl("v", ("team", "season"), "m", "n")).collect()}
+    assert a.keys() == b.keys()
+    assert all(a[k][1] == b[k][1] and a[k][0] == pytest.approx(b[k][0], rel=1e-12) for k in a)
+    spread = B.with_bucket(long).groupBy("team", "season", "bucket").count().agg(F.max("count")).first()[0]
+    assert spread < 0.05 * long.count()
 
 
 def test_corrected_modes(spark, g):
@@ -271,20 +282,68 @@ def test_flagship_lineage_cut(spark):
     assert a.exceptAll(b).count() == 0 and b.count() == a.count()
 
 
-def test_flagship_skew_route_end_to_end(spark):
-    """The whole feature table through the skew-safe route (every team
-    forced hot) equals the window plan."""
-    from tallyline.plans.catalog_features import high_variance
-    from tallyline.plans.features import feature_table
-    from tallyline.sources.fixtures import corrections_v, games_v
+def test_building_the_flagship_runs_no_job(spark):
+    from tallyline.plans.catalog_features import feature_table_query
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-only", "planning")
+    try:
+        feature_table_query(spark, "/root/testdata/sf0.001")
+        # schema inference of the Parquet inputs may run a job each; nothing reads their rows
+        assert len(tracker.getJobIdsForGroup("plan-only")) <= 2
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_python_literals_keep_quoted_words(spark):
+    from tallyline.functions.scalar import parse_list
+    schema = "array<struct<provider:string,spread:double,live:boolean>>"
+    rows = [("[{'provider': 'None', 'spread': None, 'live': True}]",),
+            ("""[{'provider': 'Caesars "True" NJ', 'spread': -3.5, 'live': False}]""",),
+            ('[{"provider": "It\'s None, False", "spread": 1, "live": true}]',)]
+    df = spark.createDataFrame(rows, "s string")
+    got = [tuple(r.v[0]) for r in df.select(parse_list("s", schema).alias("v")).collect()]
+    assert got == [("None", None, True), ('Caesars "True" NJ', -3.5, False), ("It's None, False", 1.0, True)]
+
+
+def test_rescheduled_event_uses_all_its_quotes(spark):
+    from tallyline.operators.consensus import consensus
+    d = dt.datetime(2024, 1, 1)
+    rows = [(1, d if k < 2 else d + dt.timedelta(days=1), "H", "A", f"b{k}", "spreads", "H", -110.0, p, d, k)
+            for k, p in enumerate([-3.0, -3.0, -7.0])]
+    q = spark.createDataFrame(rows, "event_id long, commence_time timestamp_ntz, home_team string, away_team string, "
+                              "bookmaker string, market string, outcome_name string, outcome_price double, "
+                              "outcome_point double, last_update timestamp_ntz, line_no int")
+    got = consensus(q).collect()
+    assert [(r.consensus_spread, r.spread_books) for r in got] == [(-3.0, 3)] * 2
+
+
+def test_std_exactly_on_the_threshold(spark):
+    from tallyline.operators.aggregates import dispersion
+    rows = [(1, 0.5), (1, 3.5), (1, 0.5), (1, 3.5)] + [(2, 0.5), (2, 3.0), (2, 0.5), (2, 3.5)]
+    got = dispersion(spark.createDataFrame(rows, "k int, v double"), "k", "v", min_std=1.5).collect()
+    assert [(r.game_id, r.std_dev) for r in got] == [(1, 1.5)]
+
+
+def test_partition_rewrites(spark, tmp_path):
+    """A key that changes partition, a partition that empties, and a first load."""
+    from tallyline.sources import tables as TB
+    path, schema = str(tmp_path / "t"), "id int, v double, season int"
+    make = lambda *rows: spark.createDataFrame(list(rows), schema)
+    read = lambda: sorted(tuple(r) for r in spark.read.parquet(path).select("id", "v", "season").collect())
+    assert TB.upsert_partitions(spark, path, make((1, 1.0, 2001), (2, 2.0, 2001), (3, 3.0, 2003)), "id") == [2001, 2003]
+    assert TB.upsert_partitions(spark, path, make((3, 9.0, 2002), (4, 4.0, 2002)), "id") == [2002, 2003]
+    assert read() == [(1, 1.0, 2001), (2, 2.0, 2001), (3, 9.0, 2002), (4, 4.0, 2002)]
+    TB.rewrite_partitions(spark, path, {2001}, lambda cur: cur.filter("id > 5"))
+    assert read() == [(3, 9.0, 2002), (4, 4.0, 2002)]
+    with pytest.raises(ValueError):
+        TB.rewrite_partitions(spark, path, {2002}, lambda cur: cur.withColumn("season", F.lit(1)))
+
+
+def test_fixtures_reach_every_branch(spark):
+    from tallyline.plans.catalog_features import feature_table_query
     sf = "/root/testdata/sf0.001"
-    gg = games_v(spark, sf)
-    a = feature_table(gg, high_variance(spark, sf), corrections_v(gg), sort=False)
-    b = feature_table(gg, high_variance(spark, sf), corrections_v(gg), sort=False, hot_fraction=0.0)
-    sos = ["home_sos", "away_sos", "sos_diff"]
-    exact = [c for c in a.columns if c not in sos]
-    assert a.select(*exact).exceptAll(b.select(*exact)).count() == 0
-    ra = {r.id: r for r in a.select("id", *sos).collect()}
-    rb = {r.id: r for r in b.select("id", *sos).collect()}
-    assert ra.keys() == rb.keys()
-    assert all(abs(ra[k][c] - rb[k][c]) < 1e-12 for k in ra for c in sos)
+    ft = feature_table_query(spark, sf)
+    flags = ["is_conference_game", "is_neutral_site", "same_conference", "early_season", "late_season", "home_favored"]
+    row = ft.agg(*(F.sum(c).alias(c) for c in flags), F.count("*").alias("n"), F.sum("attendance").alias("a")).first()
+    assert all(0 < row[c] < row["n"] for c in flags) and row["a"] > 0
+    assert {r[0] for r in ft.select("spread_data_quality").distinct().collect()} == {"NORMAL", "VERIFIED", "HIGH_VARIANCE"}
