@@ -23,7 +23,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert sorted(set(registry.QUERIES) - set(registry.ORACLE)) == []
+    assert set(registry.QUERIES) - set(registry.ORACLE) == {"stat_hdi"}     # brute force in test_stats_plans
 
 
 @pytest.mark.parametrize("key", KEYS)

@@ -57,6 +57,100 @@ def test_partial_pooling_golden(counts):
     assert 0.5 < out["rule4"].theta_mean < 90 / 142
 
 
+def test_incomplete_beta_at_any_count():
+    import numpy as np
+    from tallyline.functions.beta import betainc, betaincinv
+    for n in (1e1, 1e3, 5.9e3, 6.1e3, 1e5, 1e7, 1e8, 1e9, 1e10):
+        assert abs(betainc(n / 2, n / 2, 0.5) - 0.5) < 1e-9, n
+        q = betaincinv(0.6 * n, 0.4 * n, np.array([0.025, 0.975]))
+        assert np.abs(betainc(0.6 * n, 0.4 * n, q) - [0.025, 0.975]).max() < 1e-6, n
+    a, b = np.array([2999.0, 3001.0, 40.0]), np.array([5000.0, 5000.0, 1e6])        # both sides of the switch
+    x = a / (a + b) * np.array([1.01, 1.01, 1.1])
+    for ai, bi, xi in zip(a, b, x):
+        t = np.linspace(0, min(1.0, 4 * xi), 2_000_001)[1:-1]
+        f = np.exp((ai - 1) * np.log(t / (ai / (ai + bi))) + (bi - 1) * np.log((1 - t) / (bi / (ai + bi))))
+        assert abs(float(betainc(ai, bi, xi)) - f[t <= xi].sum() / f.sum()) < 1e-3
+
+
+def test_large_counts_density_is_normalised(spark):
+    for n in (50.0, 1e6, 1e10):
+        post = spark.createDataFrame([("r", 0.6 * n, 0.4 * n)], "rule string, alpha double, beta double")
+        sd = (0.24 / n) ** 0.5
+        d = ST.beta_density(post, max(0.0001, 0.6 - 10 * sd), min(0.9999, 0.6 + 10 * sd), 4001, digits=15).toPandas()
+        h = (min(0.9999, 0.6 + 10 * sd) - max(0.0001, 0.6 - 10 * sd)) / 4000
+        assert float(d["density"].sum() * h) == pytest.approx(1.0, abs=1e-6)
+
+
+def _fine_pooling(rows, nu=220, nv=200, half=9.0):
+    """Plain fine grid: the group's effect integrated over eta around its likelihood, posterior over (mu, sigma)."""
+    import numpy as np
+    mu0, out = float(np.log(ST.BREAKEVEN / (1 - ST.BREAKEVEN))), []
+    u = np.linspace(-5, 5, nu)
+    v = (np.arange(nv) + 0.5) * 5 / nv
+    mu, sg = mu0 + 0.3 * u[:, None], 0.4 * v[None]
+    lp = -0.5 * u[:, None] ** 2 - 0.5 * v[None] ** 2
+    for w, n in rows:
+        c, se = np.log(w / (n - w)), (1 / w + 1 / (n - w)) ** 0.5
+        eta = c + se * np.linspace(-half, half, 1201)
+        ll = w * (eta - np.logaddexp(0, eta)) - (n - w) * np.logaddexp(0, eta)
+        ll -= ll.max()
+        logs, first, second = (np.empty((nu, nv)) for _ in range(3))
+        th = 1 / (1 + np.exp(-eta))
+        for i in range(nu):
+            z = (eta[None] - mu[i]) / sg.T
+            g = ll - 0.5 * z * z
+            top = g.max(1, keepdims=True)
+            f = np.exp(g - top)
+            s = f.sum(1)
+            logs[i] = top[:, 0] + np.log(s) - np.log(sg[0])
+            first[i], second[i] = f @ th / s, f @ (th * th) / s
+        lp = lp + logs
+        out.append(first)
+    wt = np.exp(lp - lp.max())
+    wt /= wt.sum()
+    return [float((wt * m).sum()) for m in out], float((wt * mu).sum()), float((wt * sg).sum())
+
+
+@pytest.mark.parametrize("n", [300, 30_000, 3_000_000])
+def test_pooling_at_any_count(spark, n):
+    rows = [(round(r * n), n) for r in (0.55, 0.61, 0.585, 0.64)]
+    theta, mu, sigma = _fine_pooling(rows)
+    df = spark.createDataFrame([(f"r{i}", w, k) for i, (w, k) in enumerate(rows)], "rule string, wins bigint, n bigint")
+    got = {r.rule: r for r in ST.partial_pooling(df, digits=9).collect()}
+    for i, t in enumerate(theta):
+        assert got[f"r{i}"].theta_mean == pytest.approx(t, abs=1e-5)
+    assert got["r0"].mu_mean == pytest.approx(mu, abs=2e-4) and got["r0"].sigma_mean == pytest.approx(sigma, abs=2e-4)
+
+
+@pytest.mark.parametrize("n", [30, 3_000_000])
+def test_hdi_is_the_shortest_interval(spark, n):
+    import numpy as np
+    rows = [(round(r * n), n) for r in (0.5, 0.6, 0.7)]
+    df = spark.createDataFrame([(f"r{i}", w, k) for i, (w, k) in enumerate(rows)], "rule string, wins bigint, n bigint")
+    fit = ST.Pooled(df, ST.BREAKEVEN, 0.3, 0.4)
+    rng = np.random.default_rng(1)
+    for r in ST.hdi(df, digits=12).collect():
+        w, k = rows[int(r.rule[1:])]
+        cell = rng.choice(len(fit.weight), 40_000, p=fit.weight)
+        # sample the group's effect in each cell by weighting a wide set of draws
+        c, se = np.log(w / (k - w)), (1 / w + 1 / (k - w)) ** 0.5
+        sd = 1 / np.sqrt(1 / se ** 2 + 1 / fit.sigma[cell] ** 2)
+        m = sd ** 2 * (c / se ** 2 + fit.mu[cell] / fit.sigma[cell] ** 2)
+        eta = m + 1.3 * sd * rng.standard_normal(len(cell))
+        lw = w * (eta - np.logaddexp(0, eta)) - (k - w) * np.logaddexp(0, eta) - 0.5 * ((eta - fit.mu[cell]) / fit.sigma[cell]) ** 2 \
+            + 0.5 * ((eta - m) / (1.3 * sd)) ** 2
+        logl = dict(fit.cells.filter(F.col("rule") == r.rule).select("cell", "logl").collect())
+        lw += np.log(sd) - np.log(fit.sigma[cell]) - np.array([logl[int(x)] for x in cell])
+        wt = np.exp(lw - lw.max())
+        th = 1 / (1 + np.exp(-eta))
+        inside = wt[(th >= r.hdi_lo) & (th <= r.hdi_hi)].sum() / wt.sum()
+        assert inside == pytest.approx(0.94, abs=0.01)
+        o = np.argsort(th)
+        cum = np.cumsum(wt[o]) / wt.sum()
+        shortest = min(th[o][np.searchsorted(cum, q + 0.94)] - th[o][np.searchsorted(cum, q)] for q in np.linspace(0.005, 0.055, 41))
+        assert r.hdi_hi - r.hdi_lo <= shortest * 1.02
+
+
 def test_hdi_contains_mean(counts):
     rules = counts.filter("rule != 'ALL'")
     h = {r.rule: r for r in ST.hdi(rules).collect()}
@@ -163,7 +257,7 @@ def test_late_data_dropped_after_watermark(spark):
 def test_no_cross_or_row_udf_anywhere(spark):
     """No registered query plans a nested-loop / cartesian join or a
     row-at-a-time Python UDF; Arrow UDFs only in the Beta-quantile queries."""
-    arrow_ok = {"stat_credible_interval", "stat_prob_at_least", "udaf_beta_interval"}
+    arrow_ok = {"stat_credible_interval", "stat_prob_at_least", "udaf_beta_interval", "stat_hdi", "stat_partial_pooling"}
     for k, q in sorted(registry.QUERIES.items()):
         plan = _plan(q(spark, SF))        # sinks, streams and chains run while building; this is their last plan
         assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan, k
