@@ -1,3 +1,3 @@
 """Sources and sinks: readers (A1-A5), fixture views over the driver's
-tables, fixed dimensions (A7), versioned / partition-scoped Parquet tables
+tables, fixed dimensions (A7), Parquet sinks, partition rewrites
 (B1-B5, B19, partition-scoped MERGE)."""

@@ -96,15 +96,6 @@ def quotes_v(spark: SparkSession, sf_dir: str) -> DataFrame:
                     name.alias("outcome_name"), "outcome_price", "outcome_point", "last_update", "line_no")
 
 
-def named_quotes_v(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quotes whose outcome is named by a free-text entity name (part name)."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    return li.join(p, li.l_partkey == p.p_partkey).select(
-        F.col("l_orderkey").alias("event_id"), F.col("l_linenumber").alias("line_no"),
-        F.col("p_name").alias("team_name"))
-
-
 def corrections_v(games: DataFrame) -> DataFrame:
     """Correction registry: a verified spread for every 97th quoted game."""
     return (games.filter(((F.col("id") % 97) == 0) & F.col("mode_spread").isNotNull())
@@ -178,10 +169,6 @@ QUOTES_V_SQL = """SELECT o.event_id, g.start_ts AS commence_time,
  o.outcome_price, o.outcome_point, o.last_update, o.line_no
 FROM odds_v o JOIN games_v g ON o.event_id = g.id"""
 
-NAMED_QUOTES_V_SQL = """SELECT l_orderkey AS event_id, l_linenumber AS line_no, p_name AS team_name
-FROM lineitem JOIN part ON l_partkey = p_partkey"""
-
-
 def with_views(sql: str, *views: str) -> str:
     """Prefix `sql` with the named fixture views as CTEs (oracle helper)."""
     defs = {
@@ -192,7 +179,6 @@ def with_views(sql: str, *views: str) -> str:
         "names_v": NAMES_V_SQL,
         "dictionary_v": DICTIONARY_V_SQL,
         "quotes_v": QUOTES_V_SQL,
-        "named_quotes_v": NAMED_QUOTES_V_SQL,
     }
     deps = {"corrections_v": ["games_v"], "quotes_v": ["games_v", "odds_v"]}
     need: list[str] = []
