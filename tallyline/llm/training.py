@@ -30,7 +30,8 @@ def labelled(docs: DataFrame, labels: DataFrame, label_col: str, rows: int, seed
 def fit_in_one_task(sample: DataFrame, fit: Callable[[list[tuple[bytes, int]]], bytes], max_bytes: int) -> bytes:
     """Train on a bounded sample in one executor task; returns the model.
 
-    The task takes the rows in key order until `max_bytes` of text.
+    The task takes the rows in key order until `max_bytes` of text; no rows
+    give the untrained model.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = sorted((k, t, y) for b in batches
@@ -44,4 +45,5 @@ def fit_in_one_task(sample: DataFrame, fit: Callable[[list[tuple[bytes, int]]],
             used += len(t)
         yield pa.RecordBatch.from_arrays([pa.array([fit(taken)], pa.binary())], ["model"])
 
-    return bytes(sample.repartition(1).mapInArrow(run, "model binary").first()["model"])
+    row = sample.repartition(1).mapInArrow(run, "model binary").first()
+    return bytes(row["model"]) if row else fit([])          # an empty sample may start no task

@@ -10,13 +10,12 @@ from util import EDGE_TEXTS, docs_frame, empty, read
 
 def direct(texts):
     """Ids of whole texts by the library, the end id appended."""
-    from tokenizers import Tokenizer
-    t = Tokenizer.from_file(tokenizer_path())
+    t = T.encoder_of(tokenizer_path()).tokenizer
     return [np.array(e.ids + [1], "<u4") for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
 def own(texts):
-    return T.WordEncoder(tokenizer_path()).batch([None if x is None else x.encode() for x in texts])
+    return T.encoder_of(tokenizer_path()).batch([None if x is None else x.encode() for x in texts])
 
 
 def test_ids_equal_the_library_on_whole_texts():
