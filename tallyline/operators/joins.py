@@ -2,9 +2,7 @@
 
 Join strategy is left to Catalyst/AQE: sort-merge by default, converted to
 a broadcast hash join only when the measured (runtime) size of a side is
-under `spark.sql.autoBroadcastJoinThreshold`.  Explicit `broadcast()` is
-used only for the fixed dimension tables of `sources.dimensions`, whose
-size is bounded by construction.
+under `spark.sql.autoBroadcastJoinThreshold`.  Nothing here forces a broadcast.
 """
 
 from __future__ import annotations

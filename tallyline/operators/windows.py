@@ -7,8 +7,10 @@ spec adds a sort, not a shuffle.  Order is always (ts, id): the reference
 orders by time only, which makes ROWS frames non-deterministic on ties (Q9).
 
 Frames are ROWS frames, so the window operator streams the sorted
-partition and spills through Spark's external row buffer; groups are
-bounded by games per team (and per season).
+partition and spills through Spark's external row buffer, but a partition is
+one task.  The registered queries and the feature table use the split plan of
+`operators.buckets`; these are the plain building blocks, and its yardstick in
+the tests.
 """
 
 from __future__ import annotations
