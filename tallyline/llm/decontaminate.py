@@ -91,10 +91,11 @@ def _tested(words: Column, hashes: dict[int, list[int]]) -> Column:
     parts = [F.array().cast(PLACES)]
     if SPAN in hashes:
         parts.append(F.when(F.size(words) >= SPAN, let(_grams(words, K), long_spans)).otherwise(parts[0]))
-    for n in sorted(set(hashes) - {SPAN}):
-        hit = F.transform(_grams(words, n), lambda h, i, n=n: F.when(h.isin(hashes[n]), i))
-        parts.append(_places(F.filter(hit, lambda i: i.isNotNull()), n))
-    return F.concat(*parts)
+    def short_spans(n: int) -> Column:
+        hit = F.transform(_grams(words, n), lambda h, i: F.when(h.isin(hashes[n]), i))
+        return _places(F.filter(hit, lambda i: i.isNotNull()), n)
+
+    return F.concat(*parts, *(short_spans(n) for n in sorted(set(hashes) - {SPAN})))
 
 
 def _by_set(words: DataFrame, hashes: dict[int, list[int]]) -> DataFrame:
@@ -113,18 +114,20 @@ def _by_join(words: DataFrame, known: DataFrame, lengths: list[int]) -> DataFram
                         lo.cast("int").alias("lo"), ctx.alias("ctx"))
 
     w, none = F.col("w"), F.lit(None)
-    parts = [F.array(mark(F.xxhash64("rid"), none, 0, none, none.cast("array<string>")))]
-    for n in lengths:
+
+    def seeds(g: Column) -> Column:
+        keep = F.filter(F.transform(g, lambda h, i: i), lambda i: _is_smallest(g, g[i], i))
+        return F.transform(keep, lambda i: mark(
+            g[i], i, SPAN, F.greatest(i - WINDOW + 1, F.lit(0)),
+            F.slice(w, F.greatest(i - WINDOW + 1, F.lit(0)) + 1, 2 * SPAN)))
+
+    def marks(n: int) -> Column:
         if n == SPAN:
-            def seeds(g: Column) -> Column:
-                keep = F.filter(F.transform(g, lambda h, i: i), lambda i: _is_smallest(g, g[i], i))
-                return F.transform(keep, lambda i: mark(
-                    g[i], i, SPAN, F.greatest(i - WINDOW + 1, F.lit(0)),
-                    F.slice(w, F.greatest(i - WINDOW + 1, F.lit(0)) + 1, 2 * SPAN)))
-            marks = let(_grams(w, K), seeds)
-        else:
-            marks = F.transform(_grams(w, n), lambda h, i, n=n: mark(h, i, n, i, F.slice(w, i + 1, n)))
-        parts.append(F.when(F.size(w) >= n, marks).otherwise(F.array().cast(MARKS)))
+            return let(_grams(w, K), seeds)
+        return F.transform(_grams(w, n), lambda h, i: mark(h, i, n, i, F.slice(w, i + 1, n)))
+
+    own = F.array(mark(F.xxhash64("rid"), none, 0, none, none.cast("array<string>"))).cast(MARKS)
+    parts = [own, *(F.when(F.size(w) >= n, marks(n)).otherwise(F.array().cast(MARKS)) for n in lengths)]
     flat = words.select("rid", "id", F.size("w").alias("n_words"), F.explode(F.concat(*parts)).alias("m")) \
         .select("rid", "id", "n_words", "m.*")
     met = flat.join(known.withColumn("known", F.lit(True)), ["h", "len"], "left").filter("known OR len = 0")
