@@ -28,6 +28,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,7 @@ from .common import scratch
 
 MAGIC = b"TLPLANE1"
 BLOCK, FILE_IDS, END_ID = 1 << 16, 1 << 20, 1
-CACHE_WORDS = 300_000                 # words whose ids a task remembers
+CACHE_WORDS = 300_000                 # words in each of the two generations a worker remembers
 
 
 class WordEncoder:
@@ -48,47 +49,66 @@ class WordEncoder:
 
     Such a tokenizer treats text between ASCII spaces on its own, so a text's
     ids are those of its space-separated words, each encoded by the library
-    once and remembered.  The vocabulary lower-cases, so ASCII words are looked
-    up lower-cased; a run of punctuation (no apostrophe) after an ASCII letter
-    begins a new piece, so it is remembered apart.  Words that may hold a
-    special token are always encoded as they stand.
+    once and remembered (words not met since the last change of generation are
+    forgotten).  The vocabulary lower-cases, so words of letters are remembered
+    lower-cased (A-Z); ASCII punctuation other than the apostrophe begins a new
+    piece after a letter, so it is remembered apart.  A word of letters is one
+    piece, closed by one end token, so many of them can be encoded as one
+    text and told apart; ASCII letters need the model alone, no normaliser.
+    Words that may hold a special token are always encoded as they stand.
     """
 
-    _cut = re.compile(rb"(?<=[a-z])(?=[!-&(-/:-@\[-`{-~])")
-    _plain = re.compile(rb"[a-z]+\Z")
+    # Not after U+0130, whose lower case ends in a combining mark.
+    _cut = re.compile(r"(?<=[^\W\d_\u0130])(?=[!-&(-/:-@\[-`{-~])")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
+        self.letters = Tokenizer(self.tokenizer.model)
+        self.letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.ends = np.zeros(1 + max(self.tokenizer.get_vocab().values()), bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
         self.known: dict[bytes, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.older: dict[bytes, bytes] = {}
+
+    @staticmethod
+    def _ids(tokenizer, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _parts(self, word: bytes) -> list[bytes]:
+        """The word's parts, in the form they are remembered in."""
+        if b"<|" in word:
+            return [word]
+        return [p.encode().lower() if p.isascii() or p.isalpha() else p.encode() for p in self._cut.split(word.decode())]
+
+    def _learn_together(self, tokenizer, words: list[bytes]) -> None:
+        """Learn words of letters, many to a text; those of a text with other pieces stay unknown."""
+        for i in range(0, len(words), 256):
+            some = words[i:i + 256]
+            ids = self._ids(tokenizer, [b" ".join(some).decode()])[0]
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(some):
+                self.known.update((w, x.tobytes()) for w, x in zip(some, np.split(ids, cuts[:-1])))
 
     def _learn(self, words: set[bytes]) -> None:
-        parts = {w: self._cut.split(w) if w.isascii() and b"<|" not in w else [w] for w in words}
-        new = {p for ps in parts.values() for p in ps if p not in self.known}
-        plain = [p for p in new if self._plain.match(p)]
-        for i in range(0, len(plain), 256):
-            some = plain[i:i + 256]
-            ids = np.array(self._encode([b" ".join(some).decode()])[0], "<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1       # a word of letters is one piece, closed by one end token
-            if len(cuts) == len(some):
-                self.known.update((p, x.tobytes()) for p, x in zip(some, np.split(ids, cuts[:-1])))
+        again = words & self.older.keys()
+        self.known.update((w, self.older[w]) for w in again)
+        parts = {w: self._parts(w) for w in words - again}
+        needed = {p for ps in parts.values() for p in ps if p not in self.known}
+        self.known.update((p, self.older[p]) for p in needed & self.older.keys())
+        new = sorted(needed - self.older.keys())
+        self._learn_together(self.letters, [p for p in new if p.isascii() and p.isalpha()])
+        self._learn_together(self.tokenizer, [p for p in new if not p.isascii() and p.decode().isalpha()])
         rest = [p for p in new if p not in self.known]
-        for p, ids in zip(rest, self._encode([p.decode() for p in rest])):
-            self.known[p] = np.array(ids, "<u4").tobytes()
+        self.known.update((p, x.tobytes()) for p, x in zip(rest, self._ids(self.tokenizer, [p.decode() for p in rest])))
         for w, ps in parts.items():
-            if len(ps) > 1:
-                self.known[w] = b"".join([self.known[p] for p in ps])
+            self.known[w] = b"".join([self.known[p] for p in ps])
 
     def batch(self, texts: list[bytes | None]) -> list[bytes]:
         if len(self.known) > CACHE_WORDS:
-            self.known.clear()
+            self.older, self.known = self.known, {}
         split = []
         for t in texts:
             t = t or b""
@@ -105,6 +125,12 @@ class WordEncoder:
         return [b"".join([known[w] for w in words]) for words in split]
 
 
+@lru_cache(maxsize=2)
+def encoder_of(path: str) -> WordEncoder:
+    """One encoder per worker process: its memory serves all tasks that run there."""
+    return WordEncoder(path)
+
+
 def pack_block(ids: np.ndarray) -> list[bytes]:
     """Compressed bit planes of one block, lowest bit first, none above the highest set bit."""
     planes = max(1, int(ids.max()).bit_length()) if len(ids) else 0
@@ -175,7 +201,7 @@ def write_files(df: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id"
     end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = WordEncoder(tokenizer), TaskContext.get().partitionId()
+        encoder, part = encoder_of(tokenizer), TaskContext.get().partitionId()
         seq, first, docs, streams, held = 0, 0, [], [], 0
 
         def close():
