@@ -64,7 +64,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keyed = docs.select(_key().alias(KEY), "text", "source")
     u = F.pmod(F.xxhash64(F.lit(29), KEY), F.lit(1 << 20)) / F.lit(float(1 << 20))
     times = mixing.mix(keyed, KEY).filter("taken > 0").select(
-        KEY, F.floor(F.col("taken") / F.col("size") + u).cast("int").alias("__times")).filter("__times > 0")
+        KEY, F.floor(F.col("taken") / F.greatest("size", F.lit(1)) + u).cast("int").alias("__times")).filter("__times > 0")
     times = stored(times.groupBy(KEY).agg(F.max("__times").alias("__times")), "times")
     return (docs.withColumn(KEY, _key()).join(times, KEY)
             .withColumn("__copy", F.explode(F.sequence(F.lit(1), "__times"))).select(docs.columns))
