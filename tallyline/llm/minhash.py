@@ -8,14 +8,15 @@ LANES neighbouring entries.  BANDS bands of ROWS coordinates make buckets: two
 sets of Jaccard 0.8 share none with probability 3e-6.
 
 Equal sets become one representative first (a group of copies of any size is
-one row from there on).  In every bucket the member whose shingles are most
-shared is the pivot; all members are checked against it exactly, and verified
+one row from there on).  In every bucket the member that meets most others in
+its buckets is the pivot; members are checked against it exactly, and verified
 links make components.  Buckets that still span several components then give
-the remaining pairs of different components, tested the same way; a pair is
-skipped only where exact bounds on the intersection (sizes, and shingles that
-no other member of a large bucket has) or 38 of 160 differing one-bit
-coordinates (probability 2e-7 at 0.8) rule a link out.  So near copies of one
-text cost a row each, not a pair each, and no link is capped.
+the remaining pairs of different components, tested the same way.  A pair is
+skipped only where a link is ruled out: by exact bounds on the intersection
+(sizes; what either member lacks of a pivot both were checked against, kept as
+a bitmap, and the little they hold outside it), or by more than 38 of 160
+differing one-bit coordinates (probability 2e-7 at 0.8).  So near copies of
+one text cost a row each, not a pair each, and no link is capped.
 
 Defined results: a text without words has an empty set and no links: its
 component is its own id.  A row with a null id has its counts, a null
@@ -40,7 +41,8 @@ SHINGLE, PERCENT = 4, 80
 BANDS, ROWS = 32, 5
 LANES, UNIVERSE, SEED = BANDS * ROWS, 1 << 20, 5
 MAX_DIFFERING_BITS = 38
-LARGE_BUCKET = 64                     # from here on, shared shingles are counted (a cost choice, not a cap)
+WORDS = 8                             # 64-bit words of the bitmaps of lacked shingles
+LARGE_BUCKET = 64                     # from here on, every member is checked against the pivot (a cost choice, not a cap)
 BROADCAST_ROWS = 200_000              # ids broadcast up to here (about 16 MB), joined by shuffle beyond
 
 SIGNATURE = [StructField("n_shingles", LongType()), StructField("set_key", BinaryType()),
@@ -111,33 +113,71 @@ def _sets(docs: DataFrame, reps: DataFrame, rids: DataFrame, id_col: str, text_c
     return stored(made.filter("key = set_key").select("rid", "shingles").dropDuplicates(["rid"]), "sets")
 
 
-def _shared_counts(sets: DataFrame) -> DataFrame:
-    """(rid, s): how many of its shingles some other set of the table holds as well."""
-    flat = sets.select("rid", F.explode("shingles").alias("h"))
-    shared = flat.groupBy("h").agg(F.count("*").alias("c")).filter("c > 1").select("h")
-    return flat.join(shared, "h", "left_semi").groupBy("rid").agg(F.count("*").alias("s"))
-
-
 def _may_link(x: str, y: str) -> Column:
-    """False only where the two sets cannot reach the similarity."""
+    """False only where sizes or one-bit coordinates rule the similarity out."""
     c = lambda side, name: F.col(f"{side}.{name}")
-    most = F.least(c(x, "s"), c(y, "s"))
     differing = sum((F.bit_count(c(x, "bits")[i].bitwiseXOR(c(y, "bits")[i])) for i in range(3)), F.lit(0))
-    return ((100 * most >= PERCENT * (c(x, "n") + c(y, "n") - most)) & (differing <= MAX_DIFFERING_BITS))
+    return ((100 * F.least(c(x, "n"), c(y, "n")) >= PERCENT * F.greatest(c(x, "n"), c(y, "n")))
+            & (differing <= MAX_DIFFERING_BITS))
+
+
+def _bitmap(hashes: Column) -> Column:
+    """Each hash sets one of 64 * WORDS bits: as many bits as hashes at most."""
+    def word(k: int) -> Column:
+        none = F.lit(0).cast("long")
+        bit = lambda h: F.when(
+            F.shiftrightunsigned(h, 6).bitwiseAND(WORDS - 1) == k,
+            F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(63).cast("int"))).otherwise(none)
+        return F.aggregate(hashes, none, lambda acc, h: acc.bitwiseOR(bit(h)))
+    return F.array(*map(word, range(WORDS)))
 
 
-def _verified(pairs: DataFrame, docs, reps, id_col, text_col) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the similarity."""
+def _may_link_beside_pivot(x: str, y: str) -> Column:
+    """False only where what two members lack of a pivot both were checked against rules a link out.
+
+    |x & y| = |pivot| - |lacked by x or y| + |x & y outside the pivot|.  The bitmap has at most a bit for
+    each lacked shingle; `beside` bounds what a member can share outside the pivot.
+    """
+    c = lambda side, name: F.col(f"{side}.{name}")
+    lacked = sum((F.bit_count(c(x, "lacks")[k].bitwiseOR(c(y, "lacks")[k])) for k in range(WORDS)), F.lit(0))
+    most = c(x, "pivot_n") - lacked + F.least(c(x, "beside"), c(y, "beside"))
+    possible = 100 * most >= PERCENT * (c(x, "n") + c(y, "n") - most)
+    same = (c(x, "near") == c(y, "near")) & (c(x, "counted") == c(y, "counted"))
+    return F.when(same, possible).otherwise(F.lit(True))
+
+
+def _beside(seen: DataFrame) -> DataFrame:
+    """`seen` with beside and counted: how many shingles outside its pivot a set can share with another.
+
+    For sets at least half of which lies in the pivot (counted), those outside that a second such set of the
+    same pivot has as well; for the others, all outside.
+    """
+    counted = 2 * F.size("extra") <= F.col("common") + F.size("extra")
+    flat = seen.filter(counted).select("rid", "near", F.explode("extra").alias("h"))
+    shared = flat.groupBy("near", "h").agg(F.count("*").alias("c")).filter("c > 1").select("near", "h")
+    held = flat.join(shared, ["near", "h"], "left_semi").groupBy("rid").agg(F.count("*").alias("shared"))
+    return seen.join(held, "rid", "left").select(
+        "rid", "near", "common", "lacks", "pivot_n", counted.alias("counted"),
+        F.when(counted, F.coalesce("shared", F.lit(0))).otherwise(F.size("extra")).alias("beside"))
+
+
+def _checked(pairs: DataFrame, docs, reps, id_col, text_col) -> DataFrame:
+    """(a, b, linked, common, lacks, extra) from full sets: does the pair reach the similarity, how many
+    shingles have both, a bitmap of what b lacks of a, and what b has beside a."""
     pairs = stored(pairs.distinct(), "pairs")
     if pairs.isEmpty():
-        return pairs
+        return pairs.select("a", "b", F.lit(True).alias("linked"), F.lit(0).alias("common"),
+                            F.array().cast("array<bigint>").alias("lacks"),
+                            F.array().cast("array<bigint>").alias("extra"))
     both = pairs.select(F.col("a").alias("rid")).unionAll(pairs.select(F.col("b").alias("rid")))
     sets = _sets(docs, reps, both, id_col, text_col)
     x = sets.select(F.col("rid").alias("a"), F.col("shingles").alias("sa"))
     y = sets.select(F.col("rid").alias("b"), F.col("shingles").alias("sb"))
-    common = F.size(F.array_intersect("sa", "sb"))
-    return stored(pairs.join(x, "a").join(y, "b").filter(
-        100 * common >= PERCENT * (F.size("sa") + F.size("sb") - common)).select("a", "b"), "links")
+    met = pairs.join(x, "a").join(y, "b").withColumn("common", F.size(F.array_intersect("sa", "sb")))
+    linked = 100 * F.col("common") >= PERCENT * (F.size("sa") + F.size("sb") - F.col("common"))
+    return stored(met.select("a", "b", linked.alias("linked"), "common",
+                             _bitmap(F.array_except("sa", "sb")).alias("lacks"),
+                             F.array_except("sb", "sa").alias("extra")), "checked")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -153,40 +193,42 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     counts = flat.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
     members = stored(flat.join(counts, "bucket"), "members")
 
-    large = members.filter(F.col("members") >= LARGE_BUCKET).select("rid").distinct()
-    members = members.join(reps.select("rid", "n", "bits"), "rid")
-    if large.isEmpty():
-        members = members.withColumn("s", F.col("n"))
-    else:
-        in_large = _shared_counts(_sets(docs, reps, large, id_col, text_col)).withColumnRenamed("s", "shared")
-        members = (members.join(large.withColumn("is_large", F.lit(True)).join(in_large, "rid", "left"), "rid", "left")
-                   .withColumn("s", F.when(F.col("is_large") & (F.col("members") >= LARGE_BUCKET),
-                                           F.coalesce("shared", F.lit(0))).otherwise(F.col("n")))
-                   .drop("is_large", "shared"))
-    members = stored(members, "members")
-
-    pivots = members.groupBy("bucket").agg(
-        F.min(F.struct((-F.col("s") / F.col("n")).alias("rank"), "rid", "n", "s", "bits")).alias("p"),
-        F.min("n").alias("least_n")).select("bucket", "least_n", "p.*").drop("rank")
+    # How many others a set meets in its buckets; the set most others resemble meets most.
+    met = members.groupBy("rid").agg(F.sum("members").alias("met"))
+    members = stored(members.join(met, "rid").join(reps.select("rid", "n", "bits"), "rid"), "members")
+    pivots = members.groupBy("bucket").agg(F.min(F.struct(
+        (-F.col("met")).alias("rank"), "rid", "n", "bits")).alias("p")).select("bucket", "p.*").drop("rank")
     first = (members.alias("x").join(pivots.alias("y"), "bucket")
-             .filter((F.col("x.rid") != F.col("y.rid")) & _may_link("x", "y"))
-             .select(F.least("x.rid", "y.rid").alias("a"), F.greatest("x.rid", "y.rid").alias("b")))
-    links = _verified(first, docs, reps, id_col, text_col)
+             .filter((F.col("x.rid") != F.col("y.rid")) & ((F.col("x.members") >= LARGE_BUCKET) | _may_link("x", "y")))
+             .select(F.col("y.rid").alias("a"), F.col("x.rid").alias("b")))
+    checked = _checked(first, docs, reps, id_col, text_col)
+    links = checked.filter("linked").select("a", "b")
     comp = stored(components(links), "components")
 
+    # Of the pivots a set was checked against the one that meets most; such a pivot counts itself as well.
+    rank = members.select(F.col("rid").alias("a"), F.col("met"), F.col("n").alias("pivot_n")).distinct()
+    itself = checked.select("a").distinct().join(rank, "a").select(
+        "a", F.col("a").alias("b"), F.col("pivot_n").cast("int").alias("common"),
+        F.array_repeat(F.lit(0).cast("long"), WORDS).alias("lacks"), F.array().cast("array<bigint>").alias("extra"),
+        "met", "pivot_n")
+    seen = checked.select("a", "b", "common", "lacks", "extra").join(rank, "a").unionByName(itself).groupBy(
+        F.col("b").alias("rid")).agg(F.max(F.struct("met", (-F.col("a")).alias("a"), "common", "lacks", "extra", "pivot_n"))
+                                     .alias("t")).select("rid", (-F.col("t.a")).alias("near"), "t.common", "t.lacks",
+                                                         "t.extra", "t.pivot_n")
+    seen = _beside(stored(seen, "seen"))
+
     # Pairs of different components that some bucket still holds together.
-    lone = 100 * F.col("s") >= PERCENT * (F.col("n") + F.col("least_n") - F.col("s"))
-    left = (members.join(pivots.select("bucket", "least_n", F.col("rid").alias("pivot")), "bucket").filter(lone)
+    left = (members.join(pivots.select("bucket", F.col("rid").alias("pivot")), "bucket").filter("rid <> pivot")
             .join(comp.select(F.col("node").alias("rid"), "comp"), "rid", "left")
             .join(comp.select(F.col("node").alias("pivot"), F.col("comp").alias("main")), "pivot", "left")
             .withColumns({"comp": F.coalesce("comp", "rid"), "main": F.coalesce("main", "pivot")}))
-    left = stored(left.filter("rid <> pivot"), "left")
+    left = stored(left.join(seen, "rid", "left"), "left")
     outside = left.filter("comp <> main")
     rest = (outside.alias("x").join(left.alias("y"), "bucket")
-            .filter((F.col("x.comp") != F.col("y.comp")) & _may_link("x", "y")
+            .filter((F.col("x.comp") != F.col("y.comp")) & _may_link("x", "y") & _may_link_beside_pivot("x", "y")
                     & ((F.col("y.comp") == F.col("y.main")) | (F.col("x.rid") < F.col("y.rid"))))
             .select(F.least("x.rid", "y.rid").alias("a"), F.greatest("x.rid", "y.rid").alias("b")))
-    more = _verified(rest, docs, reps, id_col, text_col)
+    more = _checked(rest, docs, reps, id_col, text_col).filter("linked").select("a", "b")
     if not more.isEmpty():
         comp = stored(components(links.unionAll(more)), "components")
 
