@@ -19,6 +19,7 @@ from tallyline.llm.common import ready, scratch, stored, table
 from tallyline.llm.queries import tokenizer_path
 
 QUALITY_THRESHOLD = 0.3
+SHINGLE = 5                           # words of a shingle in the near-dedup stage; op7's contract has 4
 BROADCAST_ROWS = 200_000              # decisions (24 bytes each) broadcast up to here, joined by shuffle beyond
 KEY = "__document"
 
@@ -42,11 +43,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.filter(byte_cnn.score_column(spark, model, F.col("text")) >= QUALITY_THRESHOLD)
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str, shingle: int = minhash.SHINGLE) -> DataFrame:
     """One document of each near-duplicate component, the smallest."""
     ready(spark)
     keyed = docs.select(_key().alias(KEY), "text")
-    return _without(docs, minhash.near_duplicates(keyed, KEY).filter("NOT kept"))
+    return _without(docs, minhash.near_duplicates(keyed, KEY, shingle=shingle).filter("NOT kept"))
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """near_dedup() by shingles of SHINGLE words."""
+    return near_dedup(spark, docs, sf_dir, SHINGLE)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -78,7 +84,7 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 STAGES = [
     ("quality classifier", quality),
-    ("MinHash near-dedup", near_dedup),
+    ("MinHash near-dedup", near_dedup_stage),
     ("benchmark decontamination", decontamination),
     ("mixing sources to target weights", mixture),
     ("token-ID / binary output", token_output),

@@ -1,6 +1,7 @@
 """Near-duplicate documents by circulant MinHash, bands and exact Jaccard.
 
-A document's set is its distinct 4-word shingles.  Two permutations give all
+A document's set is its distinct shingles of `shingle` words (4 in the query's
+contract, the default; the pipeline's stage takes 5).  Two permutations give all
 signature coordinates: the first spreads a shingle's hash over UNIVERSE
 places, the second is read there and at the next LANES - 1 places (its
 circular shifts), so a signature is the minimum over a document's shingles of
@@ -68,8 +69,8 @@ def set_key(s: np.ndarray) -> bytes | None:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
 
 
-def signer():
-    """Function from texts to the SIGNATURE columns."""
+def signer(k: int = SHINGLE):
+    """Function from texts to the SIGNATURE columns, over k-word shingles."""
     rng = np.random.default_rng(SEED)
     spread = rng.permutation(UNIVERSE)
     values = rng.permutation(UNIVERSE).astype(np.int32)
@@ -78,7 +79,7 @@ def signer():
     salt = rng.integers(1, 1 << 62, (BANDS, 1), np.uint64)
 
     def one(text):
-        s = shingles(text)
+        s = shingles(text, k)
         if not len(s):
             return 0, None, None, None
         at = spread[(s >> shift).astype(np.int64)]
@@ -96,12 +97,12 @@ def signer():
     return lambda batch: [list(c) for c in zip(*map(one, batch))] or [[] for _ in SIGNATURE]
 
 
-def _set_of(text):
-    s = shingles(text)
+def _set_of(text, k):
+    s = shingles(text, k)
     return len(s), set_key(s), s.view(np.int64)
 
 
-def _sets(docs: DataFrame, reps: DataFrame, rids: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _sets(docs: DataFrame, reps: DataFrame, rids: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
     """(rid, shingles) of the representatives named in `rids`, from their texts."""
     want = reps.join(rids.select("rid").distinct(), "rid", "left_semi").select("rid", "first_doc", "set_key")
     want = stored(want, "want")
@@ -109,7 +110,7 @@ def _sets(docs: DataFrame, reps: DataFrame, rids: DataFrame, id_col: str, text_c
         want = F.broadcast(want)
     texts = docs.select(F.col(id_col).alias("first_doc"), F.col(text_col).alias("text")).join(want, "first_doc")
     made = map_texts(texts, ["rid", "set_key"], "text", SET,
-                     lambda: lambda batch: [list(c) for c in zip(*map(_set_of, batch))] or [[] for _ in SET])
+                     lambda: lambda batch: [list(c) for c in zip(*(_set_of(t, k) for t in batch))] or [[] for _ in SET])
     return stored(made.filter("key = set_key").select("rid", "shingles").dropDuplicates(["rid"]), "sets")
 
 
@@ -161,7 +162,7 @@ def _beside(seen: DataFrame) -> DataFrame:
         F.when(counted, F.coalesce("shared", F.lit(0))).otherwise(F.size("extra")).alias("beside"))
 
 
-def _checked(pairs: DataFrame, docs, reps, id_col, text_col) -> DataFrame:
+def _checked(pairs: DataFrame, docs, reps, id_col, text_col, k) -> DataFrame:
     """(a, b, linked, common, lacks, extra) from full sets: does the pair reach the similarity, how many
     shingles have both, a bitmap of what b lacks of a, and what b has beside a."""
     pairs = stored(pairs.distinct(), "pairs")
@@ -170,7 +171,7 @@ def _checked(pairs: DataFrame, docs, reps, id_col, text_col) -> DataFrame:
                             F.array().cast("array<bigint>").alias("lacks"),
                             F.array().cast("array<bigint>").alias("extra"))
     both = pairs.select(F.col("a").alias("rid")).unionAll(pairs.select(F.col("b").alias("rid")))
-    sets = _sets(docs, reps, both, id_col, text_col)
+    sets = _sets(docs, reps, both, id_col, text_col, k)
     x = sets.select(F.col("rid").alias("a"), F.col("shingles").alias("sa"))
     y = sets.select(F.col("rid").alias("b"), F.col("shingles").alias("sb"))
     met = pairs.join(x, "a").join(y, "b").withColumn("common", F.size(F.array_intersect("sa", "sb")))
@@ -180,9 +181,10 @@ def _checked(pairs: DataFrame, docs, reps, id_col, text_col) -> DataFrame:
                              F.array_except("sb", "sa").alias("extra")), "checked")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id, kept) for every row of `docs`."""
-    sig = stored(map_texts(docs, [id_col], text_col, SIGNATURE, signer), "signatures")
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    shingle: int = SHINGLE) -> DataFrame:
+    """(id, n_shingles, component_id, kept) for every row of `docs`, by shingles of `shingle` words."""
+    sig = stored(map_texts(docs, [id_col], text_col, SIGNATURE, lambda: signer(shingle)), "signatures")
     reps = (sig.filter(F.col("set_key").isNotNull() & F.col(id_col).isNotNull())
             .groupBy("set_key").agg(F.min(id_col).alias("first_doc"), F.first("n_shingles").alias("n"),
                                     F.first("bands").alias("bands"), F.first("bits").alias("bits"))
@@ -201,7 +203,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = (members.alias("x").join(pivots.alias("y"), "bucket")
              .filter((F.col("x.rid") != F.col("y.rid")) & ((F.col("x.members") >= LARGE_BUCKET) | _may_link("x", "y")))
              .select(F.col("y.rid").alias("a"), F.col("x.rid").alias("b")))
-    checked = _checked(first, docs, reps, id_col, text_col)
+    checked = _checked(first, docs, reps, id_col, text_col, shingle)
     links = checked.filter("linked").select("a", "b")
     comp = stored(components(links), "components")
 
@@ -228,7 +230,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .filter((F.col("x.comp") != F.col("y.comp")) & _may_link("x", "y") & _may_link_beside_pivot("x", "y")
                     & ((F.col("y.comp") == F.col("y.main")) | (F.col("x.rid") < F.col("y.rid"))))
             .select(F.least("x.rid", "y.rid").alias("a"), F.greatest("x.rid", "y.rid").alias("b")))
-    more = _checked(rest, docs, reps, id_col, text_col).filter("linked").select("a", "b")
+    more = _checked(rest, docs, reps, id_col, text_col, shingle).filter("linked").select("a", "b")
     if not more.isEmpty():
         comp = stored(components(links.unionAll(more)), "components")
 
