@@ -6,7 +6,9 @@ columns they were given, so stages work with extra columns of any name.
 
 Defined results: a document is a row's (doc_id, hash of its text), so null
 ids and ids used twice are no obstacle; rows equal in both are one document
-and share its fate.  Null texts are empty texts.  Empty input: empty output.
+and share its fate, and the near-dedup stage leaves one row of it: the first
+by its other columns written as JSON.  Null texts are empty texts.  Empty
+input: empty output.
 """
 
 from __future__ import annotations
@@ -50,9 +52,27 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str, shingle: int =
     return _without(docs, minhash.near_duplicates(keyed, KEY, shingle=shingle).filter("NOT kept"))
 
 
+def one_row_each(docs: DataFrame) -> DataFrame:
+    """One row of each document: the rows of keys that occur once, and one row of each repeated key.
+
+    Only keys are counted over all rows, and only rows of repeated keys are aggregated, with a partial step,
+    so a key that holds a third of all rows is a row a task by then.
+    """
+    keyed = docs.withColumn(KEY, _key())
+    repeated = stored(keyed.groupBy(KEY).agg(F.count("*").alias("n")).filter("n > 1").select(KEY), "repeated")
+    n = repeated.count()
+    if not n:
+        return docs
+    known = F.broadcast(repeated) if n <= BROADCAST_ROWS else repeated
+    others = [F.col(c) for c in docs.columns if c != "text"]
+    row, order = F.struct(*docs.columns), F.to_json(F.struct(F.col("text").isNull().alias("null_text"), *others))
+    first = keyed.join(known, KEY, "left_semi").groupBy(KEY).agg(F.min_by(row, order).alias(KEY + "_row"))
+    return keyed.join(known, KEY, "left_anti").select(docs.columns).unionByName(first.select(KEY + "_row.*"))
+
+
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """near_dedup() by shingles of SHINGLE words."""
-    return near_dedup(spark, docs, sf_dir, SHINGLE)
+    """near_dedup() by shingles of SHINGLE words, then one row of each document kept."""
+    return one_row_each(near_dedup(spark, docs, sf_dir, SHINGLE))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 import corpus_pipeline as P
 import test_minhash
-from util import read, tokens
+from pyspark.sql import functions as F
+from util import docs_frame, read, tokens
 
 SF = "/root/testdata/sf0.001"
 STAGE = dict(P.STAGES)["MinHash near-dedup"]
@@ -23,3 +24,28 @@ def test_stage_links_on_five_words(ready, monkeypatch):
     got = STAGE(ready, ready.read.parquet(f"{SF}/documents.parquet"), SF)
     assert sorted(r.doc_id for r in got.select("doc_id").collect()) == sorted(five)
     assert five - four == {185, 192}
+
+
+def test_stage_keeps_one_row_of_a_repeated_document(ready):
+    """A repeated row, null-id copies of one text on a third of all rows, a table loaded twice; other columns differ."""
+    frame = docs_frame(ready)
+    kept = sorted((r.doc_id is None, r.doc_id or 0) for r in STAGE(ready, frame, SF).collect())
+    assert kept == [(False, i) for i in range(14) if i not in (6, 12)] + [(True, 0)]
+
+    hot = ready.range(900).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("the very same words in a row")).otherwise(
+            F.concat_ws(" ", *(F.xxhash64("id", F.lit(i)).cast("string") for i in range(8)))).alias("text"),
+        F.concat(F.lit("s"), F.col("id") % 4).alias("source"), F.lit(None).cast("string").alias("lang"))
+    for docs, n in ((hot, 601), (hot.unionAll(hot).repartition(5), 601)):
+        got = STAGE(ready, docs, SF)
+        assert got.columns == docs.columns
+        rows = got.collect()
+        assert len(rows) == n and len({r.doc_id for r in rows}) == n
+        assert [r.source for r in rows if r.doc_id is None] == ["s0"]
+
+
+def test_repeats_beyond_the_broadcast(ready, monkeypatch):
+    monkeypatch.setattr(P, "BROADCAST_ROWS", 0)
+    docs = docs_frame(ready)
+    assert P.one_row_each(docs.unionAll(docs)).count() == 15
