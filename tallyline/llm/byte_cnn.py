@@ -141,7 +141,7 @@ def scorer(model: bytes) -> Callable[[list], list]:
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", rows: int = TRAIN_ROWS,
           max_bytes: int = TRAIN_BYTES) -> bytes:
-    return fit_in_one_task(labelled(docs, labels, label_col, rows), fit, max_bytes)
+    return fit_in_one_task(labelled(docs, labels, label_col, rows, max_bytes), fit)
 
 
 def score_column(spark: SparkSession, model: bytes, text: Column) -> Column:

@@ -85,7 +85,7 @@ def scorer(model: bytes) -> Callable[[list], list]:
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", rows: int = TRAIN_ROWS,
           max_bytes: int = TRAIN_BYTES) -> bytes:
-    return fit_in_one_task(labelled(docs, labels, label_col, rows), fit, max_bytes)
+    return fit_in_one_task(labelled(docs, labels, label_col, rows, max_bytes), fit)
 
 
 def score(df: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text",
