@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,14 +40,50 @@ def ready(spark: SparkSession) -> SparkSession:
     """Session options, and the package on every worker."""
     configure(spark)
     ship_package(spark)
-    # Batches of texts: a batch of long documents must fit beside the heap.
+    # Batches of texts must fit beside the heap.  Plans read these options when they run, so they stay set.
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     return spark
 
 
+def _folder(spark: SparkSession, path: str):
+    """The path and its file system, as Hadoop objects."""
+    jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(jsc.hadoopConfiguration())
+
+
 def scratch(spark: SparkSession, tag: str) -> str:
-    """A fresh folder under the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark)}/llm-{tag}-{uuid.uuid4().hex}"
+    """A path to be written under the shared checkpoint folder; it is deleted when the driver ends, if not by discard()."""
+    top = f"{checkpoint_dir(spark)}/llm-{tag}-{uuid.uuid4().hex}"
+    folder, files = _folder(spark, top)
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    for held in _HELD:
+        held.append(top)
+    return f"{top}/data"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete what was written at a path of scratch()."""
+    folder, files = _folder(spark, path.removesuffix("/data"))
+    files.delete(folder, True)
+
+
+_HELD: list[list[str]] = []
+
+
+@contextmanager
+def cleared(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at the end of the block, all scratch paths made in it: for jobs whose output is written by then."""
+    made: list[str] = []
+    _HELD.append(made)
+    try:
+        yield
+    finally:
+        _HELD.remove(made)
+        for path in made:
+            discard(spark, path)
 
 
 def stored(df: DataFrame, tag: str) -> DataFrame:

@@ -134,3 +134,19 @@ h AS (SELECT n, upto, min(conv_id) AS conv_id, count(*) AS n_copies FROM p WHERE
 SELECT conv_id, n::BIGINT AS n_turns, n_copies::BIGINT AS n_copies, upto AS rendered FROM h
 WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.pos < p.n AND p.pos = h.n AND p.upto = h.upto)
 """
+
+# Lines are compared as text; documents are rows.
+op12_line_runs = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (
+  SELECT r, i, ls[i] AS line, translate(trim(ls[i], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT r, ls, unnest(range(1, len(ls) + 1)) AS i FROM d)),
+c AS (SELECT k FROM l WHERE k <> '' GROUP BY k HAVING count(DISTINCT r) >= 10),
+m AS (SELECT l.*, c.k IS NOT NULL AS gone FROM l LEFT JOIN c ON l.k = c.k),
+g AS (
+  SELECT r, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+    coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS kept FROM m GROUP BY r)
+SELECT doc_id, n_lines::BIGINT AS n_lines, n_dropped::BIGINT AS n_dropped, sha256(kept) AS kept_sha256
+FROM d JOIN g USING (r)
+"""

@@ -108,3 +108,13 @@ def op10_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document."""
     from .sharding import shard
     return shard(table(spark, sf_dir, "documents"))
+
+
+@register
+def op12_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines that ten documents or more hold."""
+    from . import line_dedup
+    path = f"{sf_dir}/documents.parquet"
+    common = line_dedup.common_lines(spark, line_dedup.file_batches(spark, path))
+    return line_dedup.drop_lines(spark.read.parquet(path), common).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
