@@ -150,3 +150,24 @@ g AS (
 SELECT doc_id, n_lines::BIGINT AS n_lines, n_dropped::BIGINT AS n_dropped, sha256(kept) AS kept_sha256
 FROM d JOIN g USING (r)
 """
+
+# Every document that shares a term with an item is scored in full.
+op13_nra_search = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w FROM documents),
+tf AS (SELECT r, t, count(*)::BIGINT AS tf FROM (SELECT r, unnest(w) AS t FROM d) GROUP BY r, t),
+c AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0),
+q AS (
+  SELECT i, item_id, t, count(*)::BIGINT AS times FROM (
+    SELECT i, item_id, unnest({WORDS}) AS t FROM (SELECT row_number() OVER () AS i, * FROM
+      (SELECT DISTINCT item_id, text FROM benchmark))) GROUP BY ALL),
+wt AS (
+  SELECT t, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM tf, c WHERE t IN (SELECT t FROM q) GROUP BY t, n_docs),
+m AS (SELECT r, doc_id, 75 + (25 * len(w)::BIGINT * n_docs) // n_terms AS m FROM d, c WHERE len(w) > 0),
+s AS (
+  SELECT i, item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM q JOIN wt USING (t) JOIN tf USING (t) JOIN m USING (r) GROUP BY i, item_id, r, doc_id),
+k AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+  FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 20
+"""

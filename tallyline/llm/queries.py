@@ -118,3 +118,10 @@ def op12_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     common = line_dedup.common_lines(spark, line_dedup.file_batches(spark, path))
     return line_dedup.drop_lines(spark.read.parquet(path), common).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register
+def op13_nra_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents for every benchmark item."""
+    from .lexical_search import search
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
