@@ -171,3 +171,44 @@ k AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NU
   FROM s WHERE score > 0)
 SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 20
 """
+
+# Nodes are whole prefixes as lists; every node adds its figures to each node on its path.  The CRC-32 of an id's
+# decimal digits is taken bit by bit: each digit's code, then eight shifts (marked -1).
+op11_veb_trie = r"""
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+      sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos,
+    [coalesce(role, ''), coalesce(text, '')] AS said
+  FROM conversations WHERE conv_id IS NOT NULL),
+n AS (SELECT conv_id, count(*) AS len FROM t GROUP BY conv_id),
+h AS (
+  SELECT conv_id, len, conv_id - conv_id % 20 AS base, xor(list_reduce(
+      list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+        lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END),
+    4294967295) % 4 AS h FROM n),
+p AS (SELECT h.*, least(h, coalesce(n.len, 0)) AS copied FROM h LEFT JOIN n ON n.conv_id = h.base),
+s AS (
+  SELECT p.conv_id, pos - h + copied AS pos, said FROM p JOIN t ON t.conv_id = p.conv_id AND pos > h
+  UNION ALL SELECT p.conv_id, pos, said FROM p JOIN t ON t.conv_id = base AND pos <= copied),
+x AS (SELECT conv_id, pos AS depth, said, list(said) OVER (PARTITION BY conv_id ORDER BY pos) AS prefix FROM s),
+nm AS (SELECT conv_id, depth, said, min(conv_id) OVER (PARTITION BY prefix) AS name FROM x
+  UNION ALL SELECT conv_id, 0, NULL, (SELECT min(conv_id) FROM p) FROM p),
+v AS (
+  SELECT name, depth, count(*) AS n_convs,
+    (count(*) - 1) * len(regexp_extract_all(any_value(said)[2], '[^\x20\x09-\x0D]+')) AS tokens
+  FROM nm GROUP BY name, depth),
+up AS (SELECT v.name, v.depth, nm.name AS parent FROM v JOIN nm ON nm.conv_id = v.name AND nm.depth = v.depth - 1),
+ch AS (SELECT parent AS name, depth - 1 AS depth, count(*) AS n_children FROM up GROUP BY ALL),
+sub AS (
+  SELECT nm.name, nm.depth, count(*) FILTER (n_children IS NULL) AS n_leaves, sum(coalesce(tokens, 0)) AS saved
+  FROM v LEFT JOIN ch USING (name, depth) JOIN nm ON nm.conv_id = v.name AND nm.depth <= v.depth GROUP BY ALL),
+e AS (
+  SELECT name, depth, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+  FROM nm WHERE depth = (SELECT count(*) FROM s WHERE s.conv_id = nm.conv_id) GROUP BY ALL)
+SELECT name AS conv_id, depth::BIGINT AS depth, parent AS parent_conv_id, n_convs::BIGINT AS n_convs,
+  coalesce(n_children, 0)::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens,
+  sha256(coalesce(ids, '')) AS ends_sha256
+FROM v LEFT JOIN up USING (name, depth) LEFT JOIN ch USING (name, depth) JOIN sub USING (name, depth)
+LEFT JOIN e USING (name, depth)
+"""

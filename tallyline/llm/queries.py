@@ -125,3 +125,12 @@ def op13_nra_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best documents for every benchmark item."""
     from .lexical_search import search
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register
+def op11_veb_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of the rebuilt conversations."""
+    from . import prefix_trie as trie
+    from .common import stored
+    turns = stored(trie.ordered(table(spark, sf_dir, "conversations")), "ordered")
+    return trie.prefix_trie(*trie.rebuilt(turns, trie.lengths(turns)))
