@@ -187,8 +187,7 @@ def q_star_plus(spark, sf):
 
 
 @register("proj_drop", _g("""
-SELECT id, season, week, start_ts, home_team, away_team, home_points, away_points, mode_spread,
-  mode_spread_open, home_classification FROM games_v"""))
+SELECT * EXCLUDE (home_elo, away_elo) FROM games_v"""))
 def q_drop(spark, sf):
     return games_v(spark, sf).drop("home_elo", "away_elo", "not_a_column")
 

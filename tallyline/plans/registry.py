@@ -41,4 +41,4 @@ def alias(key: str, target: str) -> None:
 
 def load_all() -> None:
     from . import (catalog_features, catalog_basic, catalog_quotes,  # noqa: F401
-                   catalog_tables, catalog_stats, catalog_streams, catalog_live)
+                   catalog_tables, catalog_stats, catalog_streams, catalog_live, catalog_models)
