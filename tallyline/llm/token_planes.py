@@ -5,7 +5,8 @@ tokenizer, closed with an end id and written as files of about FILE_IDS ids
 that hold whole documents.  In a file the ids are cut into blocks of BLOCK
 ids; each block is transposed into bit planes (plane p has bit p of every id),
 each plane is compressed with zstandard, and the file starts with an index of
-its blocks and documents, so a reader can fetch one block, or one document.
+its blocks and documents, so a reader (PlaneFile) can fetch one block, or one
+document.
 
 File layout (little-endian): MAGIC; u32 x 4: block size, blocks, documents,
 bytes of the compressed document table; per block u32 ids, u32 planes, u64
@@ -17,12 +18,17 @@ protocol then covers lost executors); the columns beside the image are the
 table's chunk index: part, place in the part, first id, ids, documents.
 
 Defined results: null and empty text encode to the end id alone.  Rows with a
-null id come first; rows of equal id are ordered by a hash of their text.  An
-empty table gives an empty table of files.
+null id come first; rows of equal id are ordered by a hash of their text, and
+rows equal in both, whose ids are the same, lie in any order and part anywhere
+(a salt is the last sort key, so copies of one row that are a third of the
+table are many tasks).  A text of any length is encoded whole, in one file.
+Only the two columns named are read, so extra columns of any name do no harm.
+An empty table gives an empty table of files.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -41,94 +47,124 @@ from .common import scratch
 
 MAGIC = b"TLPLANE1"
 BLOCK, FILE_IDS, END_ID = 1 << 16, 1 << 20, 1
-CACHE_WORDS = 300_000                 # words in each of the two generations a worker remembers
-
-
-class WordEncoder:
-    """Ids of whole texts, as little-endian u32 bytes, by a tokenizer that drops white space.
-
-    Such a tokenizer treats text between ASCII spaces on its own, so a text's
-    ids are those of its space-separated words, each encoded by the library
-    once and remembered (words not met since the last change of generation are
-    forgotten).  The vocabulary lower-cases, so words of letters are remembered
-    lower-cased (A-Z); ASCII punctuation other than the apostrophe begins a new
-    piece after a letter, so it is remembered apart.  A word of letters is one
-    piece, closed by one end token, so many of them can be encoded as one
-    text and told apart; ASCII letters need the model alone, no normaliser.
-    Words that may hold a special token are always encoded as they stand.
+CACHE_PIECES = 250_000                # pieces in each of the two generations a worker remembers
+
+
+class PieceEncoder:
+    """Ids of whole texts, as little-endian u32 bytes, equal to the library's.
+
+    A tokenizer whose file says that it normalises by NFC, one space for white
+    space and lower case, cuts by PATTERN and closes words with an end token
+    treats every piece of that pattern on its own.  Texts of ASCII and of
+    letters and signs that NFC leaves alone (PLAIN) are lower-cased and cut
+    here by the same pattern, and each piece's ids are taken from the library
+    once and remembered (pieces not met since the last change of generation
+    are forgotten).  In other texts this holds for their plain words between
+    ASCII white space; their other words, and words that may hold a special
+    token, are given to the library as they stand.  A run of letters is one
+    piece, closed by one end token, so many of them are encoded as one text and
+    told apart; ASCII letters need the model alone, no normaliser.
+
+    Any other tokenizer encodes whole texts.  Memory: about 200 bytes for each
+    of the two generations' CACHE_PIECES pieces, 100 MB.
     """
 
-    # Not after U+0130, whose lower case ends in a combining mark.
-    _cut = re.compile(r"(?<=[^\W\d_\u0130])(?=[!-&(-/:-@\[-`{-~])")
+    # The tokenizer file's own normaliser and pattern.
+    NORMALIZER = {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    # Letters that are their own NFC form and have a lower case of one letter; signs that are neither letters nor digits.
+    LETTERS = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e"
+    SIGNS = "\u00a1\u00a7\u00ab\u00b0\u00b7\u00bb\u00bf\u2013\u2014\u2018\u2019\u201c-\u201e\u2026\u20ac"
+
+    _plain = re.compile(f"[\0-\x7f{LETTERS}{SIGNS}]*")
+    # PATTERN for lower-cased plain text.
+    _piece = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{LETTERS}]+|[0-9]|[^\t-\r 0-9a-z{LETTERS}]+")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
-        self.letters = Tokenizer(self.tokenizer.model)
-        self.letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-        self.ends = np.zeros(1 + max(self.tokenizer.get_vocab().values()), bool)
-        for token, i in self.tokenizer.get_vocab().items():
-            self.ends[i] = token.endswith("</w>")
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        self.by_piece = self._is_known(json.loads(self.tokenizer.to_str()))
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        if self.by_piece:
+            self.letters = Tokenizer(self.tokenizer.model)
+            self.letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            self.ends = np.zeros(1 + max(self.tokenizer.get_vocab().values()), bool)
+            for token, i in self.tokenizer.get_vocab().items():
+                self.ends[i] = token.endswith("</w>")
+
+    @classmethod
+    def _is_known(cls, made: dict) -> bool:
+        cut = made["pre_tokenizer"] or {}
+        steps = cut.get("pretokenizers") or [{}]
+        return (made["normalizer"] == cls.NORMALIZER and made["post_processor"] is None
+                and [x.get("type") for x in steps] == ["Split", "ByteLevel"]
+                and steps[0].get("pattern") == {"Regex": cls.PATTERN} and steps[0].get("behavior") == "Removed"
+                and steps[0].get("invert") is True and not steps[1].get("add_prefix_space")
+                and not steps[1].get("use_regex") and made["model"].get("end_of_word_suffix") == "</w>"
+                and made["model"]["type"] == "BPE" and not made["model"].get("dropout")
+                and made["truncation"] is None and made["padding"] is None
+                and all(t["content"].startswith("<|") and not (t["lstrip"] or t["rstrip"] or t["normalized"])
+                        for t in made["added_tokens"]))
 
     @staticmethod
     def _ids(tokenizer, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _parts(self, word: bytes) -> list[bytes]:
-        """The word's parts, in the form they are remembered in."""
-        if b"<|" in word:
-            return [word]
-        return [p.encode().lower() if p.isascii() or p.isalpha() else p.encode() for p in self._cut.split(word.decode())]
-
-    def _learn_together(self, tokenizer, words: list[bytes]) -> None:
-        """Learn words of letters, many to a text; those of a text with other pieces stay unknown."""
-        for i in range(0, len(words), 256):
-            some = words[i:i + 256]
-            ids = self._ids(tokenizer, [b" ".join(some).decode()])[0]
-            cuts = np.flatnonzero(self.ends[ids]) + 1
+    def _learn_together(self, tokenizer, runs: list[str]) -> None:
+        """Learn runs of letters, many to a text; those of a text with other pieces stay unknown."""
+        for i in range(0, len(runs), 256):
+            some = runs[i:i + 256]
+            ids = self._ids(tokenizer, [" ".join(some)])[0]
+            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
             if len(cuts) == len(some):
-                self.known.update((w, x.tobytes()) for w, x in zip(some, np.split(ids, cuts[:-1])))
-
-    def _learn(self, words: set[bytes]) -> None:
-        again = words & self.older.keys()
-        self.known.update((w, self.older[w]) for w in again)
-        parts = {w: self._parts(w) for w in words - again}
-        needed = {p for ps in parts.values() for p in ps if p not in self.known}
-        self.known.update((p, self.older[p]) for p in needed & self.older.keys())
-        new = sorted(needed - self.older.keys())
-        self._learn_together(self.letters, [p for p in new if p.isascii() and p.isalpha()])
-        self._learn_together(self.tokenizer, [p for p in new if not p.isascii() and p.decode().isalpha()])
+                raw = ids.tobytes()
+                self.known.update((w, raw[4 * a:4 * b]) for w, a, b in zip(some, [0, *cuts], cuts))
+
+    def _learn(self, new: set[str]) -> None:
+        again = new & self.older.keys()
+        self.known.update((p, self.older[p]) for p in again)
+        runs = [p for p in new - again if p.isalpha()]
+        self._learn_together(self.letters, [p for p in runs if p.isascii()])
+        self._learn_together(self.tokenizer, [p for p in runs if not p.isascii() and self._plain.fullmatch(p)])
         rest = [p for p in new if p not in self.known]
-        self.known.update((p, x.tobytes()) for p, x in zip(rest, self._ids(self.tokenizer, [p.decode() for p in rest])))
-        for w, ps in parts.items():
-            self.known[w] = b"".join([self.known[p] for p in ps])
+        self.known.update((p, x.tobytes()) for p, x in zip(rest, self._ids(self.tokenizer, rest)))
+
+    def _pieces(self, text: bytes | None) -> list[str]:
+        """What the text's ids are put together from."""
+        if not text:
+            return []
+        whole = text.decode()
+        if self._plain.fullmatch(whole) and "<|" not in whole:
+            return self._piece.findall(whole.lower())
+        out: list[str] = []
+        for word in text.split():
+            word = word.decode()
+            if self._plain.fullmatch(word) and "<|" not in word:
+                out += self._piece.findall(word.lower())
+            else:
+                out.append(word)
+        return out
 
     def batch(self, texts: list[bytes | None]) -> list[bytes]:
-        if len(self.known) > CACHE_WORDS:
+        if not self.by_piece:
+            return [x.tobytes() for x in self._ids(self.tokenizer, [(t or b"").decode() for t in texts])]
+        if len(self.known) > CACHE_PIECES:
             self.older, self.known = self.known, {}
-        split = []
-        for t in texts:
-            t = t or b""
-            if b"<|" in t:
-                split.append([w.lower() if w.isascii() and b"<|" not in w else w for w in t.split()])
-            elif t.isascii():
-                split.append(t.lower().split())
-            else:
-                split.append([w.lower() if w.isascii() else w for w in t.split()])
-        new = set().union(*split).difference(self.known) if split else set()
+        split = [self._pieces(t) for t in texts]
+        new = set().union(*split).difference(self.known)
         if new:
             self._learn(new)
-        known = self.known
-        return [b"".join([known[w] for w in words]) for words in split]
+        known = self.known.__getitem__
+        return [b"".join(map(known, pieces)) for pieces in split]
 
 
 @lru_cache(maxsize=2)
-def encoder_of(path: str) -> WordEncoder:
+def encoder_of(path: str) -> PieceEncoder:
     """One encoder per worker process: its memory serves all tasks that run there."""
-    return WordEncoder(path)
+    return PieceEncoder(path)
 
 
 def pack_block(ids: np.ndarray) -> list[bytes]:
@@ -166,27 +202,45 @@ def pack_file(ids: np.ndarray, doc_ids: list[int | None], lengths: list[int]) ->
     return b"".join([head, index, table, *(p for b in blocks for p in b)])
 
 
+class PlaneFile:
+    """Reader of one file image: the index is read at once, planes of a block only when it is asked for."""
+
+    def __init__(self, image: bytes):
+        if image[:8] != MAGIC:
+            raise ValueError("not a plane file")
+        self.image = image
+        self.block, n_blocks, n_docs, n_table = struct.unpack_from("<4I", image, 8)
+        at, self.blocks = 24, []                                         # (ids, offset, bytes of every plane)
+        for _ in range(n_blocks):
+            n, planes, where = struct.unpack_from("<2IQ", image, at)
+            self.blocks.append((n, where, struct.unpack_from(f"<{planes}I", image, at + 16)))
+            at += 16 + 4 * planes
+        table = zstandard.ZstdDecompressor().decompress(image[at:at + n_table])
+        own = np.frombuffer(table, "<i8", n_docs).tolist()
+        has = np.frombuffer(table, np.uint8, n_docs, 8 * n_docs)
+        self.doc_ids = [d if h else None for d, h in zip(own, has)]
+        self.lengths = np.frombuffer(table, "<u4", n_docs, 9 * n_docs)
+        self.stops = np.cumsum(self.lengths, dtype=np.int64)
+
+    def ids_of_block(self, k: int) -> np.ndarray:
+        n, where, sizes = self.blocks[k]
+        ends = np.cumsum((where, *sizes)).tolist()
+        return unpack_block([self.image[a:b] for a, b in zip(ends, ends[1:])], n)
+
+    def ids_of_document(self, place: int) -> np.ndarray:
+        """Ids of the document at a place of the file, from the blocks that hold it."""
+        stop = int(self.stops[place])
+        start = stop - int(self.lengths[place])
+        first = start // self.block
+        parts = [self.ids_of_block(k) for k in range(first, -(-stop // self.block))]
+        return np.concatenate(parts or [np.zeros(0, "<u4")])[start - first * self.block:stop - first * self.block]
+
+
 def unpack_file(image: bytes) -> tuple[np.ndarray, list[int | None], np.ndarray]:
     """(ids, document ids, ids per document)."""
-    if image[:8] != MAGIC:
-        raise ValueError("not a plane file")
-    _, n_blocks, n_docs, n_table = struct.unpack_from("<4I", image, 8)
-    at, parts = 24, []
-    for _ in range(n_blocks):
-        n, planes, where = struct.unpack_from("<2IQ", image, at)
-        sizes = struct.unpack_from(f"<{planes}I", image, at + 16)
-        at += 16 + 4 * planes
-        raw = []
-        for size in sizes:
-            raw.append(image[where:where + size])
-            where += size
-        parts.append(unpack_block(raw, n))
-    table = zstandard.ZstdDecompressor().decompress(image[at:at + n_table])
-    own = np.frombuffer(table, "<i8", n_docs).tolist()
-    has = np.frombuffer(table, np.uint8, n_docs, 8 * n_docs)
-    lengths = np.frombuffer(table, "<u4", n_docs, 9 * n_docs)
-    return (np.concatenate(parts) if parts else np.zeros(0, "<u4"),
-            [d if h else None for d, h in zip(own, has)], lengths)
+    file = PlaneFile(image)
+    parts = [file.ids_of_block(k) for k in range(len(file.blocks))]
+    return np.concatenate(parts) if parts else np.zeros(0, "<u4"), file.doc_ids, file.lengths
 
 
 FILES = "part int, seq int, first_id long, n_ids long, n_docs long, image binary"
@@ -223,9 +277,10 @@ def write_files(df: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id"
         if docs:
             yield close()
 
-    order = [F.col("id"), F.xxhash64("text")]
+    order = ["id", "hash", "salt"]
     src = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    (src.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(encode, FILES)
+    src = src.withColumns({"hash": F.xxhash64("text"), "salt": F.rand(3)})
+    (src.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "text").mapInArrow(encode, FILES)
      .write.option("compression", "none").parquet(path))
 
 

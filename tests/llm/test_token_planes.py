@@ -32,8 +32,9 @@ def test_ids_equal_the_library_on_any_text(texts):
 
 
 def test_cache_is_bounded_and_harmless(monkeypatch):
-    monkeypatch.setattr(T, "CACHE_WORDS", 10)
-    e = T.WordEncoder(tokenizer_path())
+    monkeypatch.setattr(T, "CACHE_PIECES", 10)
+    e = T.PieceEncoder(tokenizer_path())
+    assert e.by_piece
     texts = ["alpha beta, gamma!", "beta delta... alpha", "it's Alpha-beta"] * 3
     assert [e.batch([t.encode()])[0] for t in texts] == [b[:-1].tobytes() for b in direct(texts)]
 
@@ -56,6 +57,31 @@ def test_file_round_trip(monkeypatch):
     assert (back == ids).all() and docs == [5, None, -7, 2**60, 0, 9] and n.tolist() == lengths
 
 
+    file = T.PlaneFile(T.pack_file(ids, [5, None, -7, 2**60, 0, 9], lengths))
+    stops = np.cumsum(lengths)
+    for k, (n, stop) in enumerate(zip(lengths, stops)):                  # one document, one block at a time
+        assert (file.ids_of_document(k) == ids[stop - n:stop]).all() and len(file.ids_of_document(k)) == n
+    assert (file.ids_of_block(3) == ids[192:256]).all()
+
+
+def test_other_tokenizers_encode_whole_texts():
+    import public_tokenizers
+    e = T.PieceEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["  Two  spaces, It's\n", "", "É日本"]
+    want = [np.array(x.ids, "<u4").tobytes() for x in e.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert not e.by_piece and e.batch([t.encode() for t in texts]) == want
+
+
+def test_copies_of_one_row_are_many_tasks(ready):
+    hot = ready.range(0, 6000, 1, 6).selectExpr("7L AS doc_id", "'one text of which a third of all rows are copies' AS text")
+    rest = ready.range(0, 12000, 1, 6).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    path = T.scratch(ready, "planes")
+    T.write_files(hot.unionByName(rest), path, tokenizer_path())
+    per_part = [r["n"] for r in ready.read.parquet(path).groupBy("part").agg({"n_docs": "sum"})
+                .withColumnRenamed("sum(n_docs)", "n").collect()]
+    assert sum(per_part) == 18000 and (len(per_part) == 1 or max(per_part) < 2 * sorted(per_part)[len(per_part) // 2])
+
+
 def check(spark, docs, texts):
     """texts: (doc_id, text) in the order of the files."""
     rows = T.token_files(docs, tokenizer_path()).orderBy("start").collect()
