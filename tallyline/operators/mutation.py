@@ -1,9 +1,8 @@
 """Table mutation as DataFrame -> DataFrame functions.
 
 Plain Parquet tables have no MERGE/UPDATE/DELETE, so each operation here
-returns the NEW table state as a DataFrame; `sources.tables` publishes it
-as a new version (readers never see a half-written table, and a job can
-read version n while writing n+1).  Every operation is one plan:
+returns the NEW table state as a DataFrame; `sources.tables` publishes it,
+as a new path or partition by partition.  Every operation is one plan:
 
 * merge / update-from-source : one join on the key (sort-merge, or a
   broadcast chosen by AQE from measured sizes), then a projection;
@@ -43,14 +42,40 @@ def assert_unique(src: DataFrame, keys, dedupe_by: Sequence[str] | None = None)
     return src.groupBy(*ks).agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") > 1)
 
 
+def unique_source(src: DataFrame, keys) -> DataFrame:
+    """B12 inside a plan: `src`, or an error when it runs if a key has several rows.
+
+    A partial aggregate on the keys, in the partitioning the join that follows
+    needs.  Rows with a NULL in their key match nothing, are no ambiguity and
+    are all kept.  `assert_unique(..., dedupe_by=...)` is the way to choose among
+    rows instead.
+    """
+    ks = _keys(keys)
+    others = [c for c in src.columns if c not in ks]
+    missing = F.lit(False)
+    for k in ks:
+        missing = missing | F.col(k).isNull()
+    solo = F.when(missing, F.monotonically_increasing_id())               # a group of its own for every such row
+    g = src.groupBy(*ks, solo.alias("__solo")).agg(
+        F.count(F.lit(1)).alias("__n"), F.any_value(F.struct(F.lit(0).alias("__0"), *others)).alias("__row"))
+    named = F.concat_ws(", ", *(F.concat(F.lit(f"{k} = "), F.col(k).cast("string")) for k in ks))
+    several = F.raise_error(F.concat(F.lit("MERGE: "), F.col("__n").cast("string"), F.lit(" source rows for "), named))
+    row = F.when(F.col("__n") > 1, several).otherwise(F.col("__row"))
+    checked = g.select(*ks, row.alias("__row"))
+    return checked.select(*[F.col(c) if c in ks else F.col("__row")[c].alias(c) for c in src.columns],
+                          F.col("__row.__0").alias("__checked"))
+
+
 def merge_upsert(tgt: DataFrame, src: DataFrame, keys, preserve_non_null: bool = False) -> DataFrame:
     """B6 `merge_upsert_all`: WHEN MATCHED UPDATE SET * / WHEN NOT MATCHED
     INSERT *.  One full outer join on the key.  Columns the source lacks
     keep the target value (Q11); `preserve_non_null=True` keeps the target
-    value where the source has NULL (Q10 'corrected')."""
+    value where the source has NULL (Q10 'corrected').  Several source rows of
+    one key are an error when the plan runs (B12)."""
     ks = _keys(keys)
-    s = src.select(*[F.col(c).alias(f"s__{c}") if c not in ks else F.col(c) for c in src.columns]) \
-           .withColumn(_M, F.lit(True))
+    s = unique_source(src, ks).select(
+        *[F.col(c).alias(f"s__{c}") if c not in ks else F.col(c) for c in src.columns],
+        (F.col("__checked") == 0).alias(_M))
     t = tgt.withColumn("__in_t", F.lit(True))
     j = t.join(s, ks, "full_outer")
     cols = []
@@ -80,15 +105,15 @@ def merge_update(tgt: DataFrame, src: DataFrame, keys, cols: Sequence[str] | Map
                   SET: CASE, date formatting ...), evaluated before the join.
     target_pred : extra ON-clause predicate on the TARGET (B8: only rows
                   with home_score IS NULL); NULL counts as not matched.
-    Source keys must be unique (see `assert_unique`); a NULL source value
-    overwrites the target (plain SET semantics)."""
+    Several source rows of one key are an error when the plan runs (B12); a
+    NULL source value overwrites the target (plain SET semantics)."""
     ks = _keys(keys)
     mapping = {c: c for c in (cols or [])} if not isinstance(cols, Mapping) else dict(cols)
     exprs = dict(exprs or {})
     sel = [F.col(k) for k in ks]
     sel += [F.col(sc).alias(f"s__{tc}") for tc, sc in mapping.items()]
     sel += [e.alias(f"s__{tc}") for tc, e in exprs.items()]
-    s = src.select(*sel).withColumn(_M, F.lit(True))
+    s = unique_source(src.select(*sel), ks).withColumn(_M, F.col("__checked") == 0).drop("__checked")
     j = tgt.join(s, ks, "left")
     hit = F.col(_M).isNotNull()
     if target_pred is not None:
@@ -108,6 +133,7 @@ def fill_null(tgt: DataFrame, src: DataFrame, keys, col: str, src_col: str | Non
     NULL and the source has a value."""
     ks = _keys(keys)
     s = src.select(*ks, F.col(src_col or col).alias("__fill")).filter(F.col("__fill").isNotNull())
+    s = unique_source(s, ks).drop("__checked")
     j = tgt.join(s, ks, "left")
     return j.select(*[F.coalesce(F.col(c), F.col("__fill")).alias(c) if c == col else F.col(c)
                       for c in tgt.columns])

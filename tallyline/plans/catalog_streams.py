@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
+from ..sources.tables import create_partitioned
 from ..sources.fixtures import games_v, odds_v, table, with_views
 from ..streaming import streams as SS
 from .catalog_basic import UPDATE_BATCH_SQL, update_batch
@@ -30,7 +31,7 @@ def q_stream_upsert(spark, sf):
     them micro-batch by micro-batch onto the stored games table."""
     root = _scratch(spark)
     g = games_v(spark, sf)
-    g.write.partitionBy("season").parquet(f"{root}/games")
+    create_partitioned(g, f"{root}/games", "id")
     update_batch(g).repartition("season").write.partitionBy("season").parquet(f"{root}/landing")
     schema = spark.read.parquet(f"{root}/landing").schema
     stream = SS.read_landing(spark, f"{root}/landing", schema, max_files=2)
@@ -61,16 +62,19 @@ def q_stream_dedup(spark, sf):
 
 
 @register("stream_late_correction", """
-SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, event_type, COUNT(*) AS n, SUM(value) AS total
+SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, event_type, COUNT(*) FILTER (event_id % 9 < 8) AS n,
+  SUM(value) FILTER (event_id % 9 < 8) AS total, COUNT(*) FILTER (event_id % 9 = 8) AS n_refused
 FROM events GROUP BY 1, 2""")
 def q_stream_late(spark, sf):
+    """Every event lands 0 to 8 days after its day; those of 8 days are refused.  Files are read in any order."""
     root = _scratch(spark)
-    table(spark, sf, "events").withColumn("day", F.to_date("ts")).write.partitionBy("day").parquet(f"{root}/landing")
+    events = table(spark, sf, "events")
+    landed = F.date_add(F.to_date("ts"), (F.col("event_id") % 9).cast("int"))
+    events.withColumn("landed", landed).write.partitionBy("landed").parquet(f"{root}/landing")
     schema = spark.read.parquet(f"{root}/landing").schema
-    stream = SS.read_landing(spark, f"{root}/landing", schema, max_files=64)
-    agg = SS.late_tolerant_counts(stream, "ts", "event_type", "value")
-    SS.windowed_upsert(agg, f"{root}/counts", ["window_start", "event_type"], f"{root}/ckpt")
-    return spark.read.parquet(f"{root}/counts").drop("window_month")
+    stream = SS.read_landing(spark, f"{root}/landing", schema, max_files=16)
+    SS.late_corrections(stream, "ts", "landed", "event_type", "value", f"{root}/counts", f"{root}/refused", f"{root}/ckpt")
+    return SS.corrected_counts(spark, f"{root}/counts", f"{root}/refused", "ts", "event_type")
 
 
 @register("stream_line_windows", with_views("""

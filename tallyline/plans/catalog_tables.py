@@ -411,7 +411,7 @@ def nfl_tables(spark, n):
     load; every table carries its derived columns from the start)."""
     root = f"{checkpoint_dir(spark)}/nfl-{uuid.uuid4().hex[:12]}"
     paths = {k: f"{root}/{k}" for k in ("historical", "complete", "enhanced", "report")}
-    n.write.partitionBy("season").parquet(paths["historical"])
+    TB.create_partitioned(n, paths["historical"], "game_id")
     MU.add_columns(n, COMPLETE_EXTRA).write.partitionBy("season").parquet(paths["complete"])
     MU.add_columns(n, REPORT_EXTRA).write.partitionBy("season").parquet(paths["enhanced"])
     MU.add_columns(n, REPORT_EXTRA).write.partitionBy("season").parquet(paths["report"])
@@ -440,7 +440,7 @@ def sync_partitioned(spark, paths: dict, source, betting, as_of, part_col: str =
     in_win = F.to_date("gameday").between(F.date_sub(a, 7), F.date_add(a, 7))
     window = set()
     for stage in ("enhanced", "report"):            # rows that enter the window and rows that leave it
-        window |= {r[0] for r in rd(paths[stage]).filter(in_win).select(part_col).distinct().collect()}
+        window |= TB.values_of(rd(paths[stage]).filter(in_win), part_col)
     TB.rewrite_partitions(spark, paths["report"], window, lambda cur: MU.refresh_window(
         cur, rd(paths["enhanced"]).filter(F.col(part_col).isin(list(window))), "gameday", as_of, 7, 7), part_col)
     return rd(paths["report"])
@@ -523,6 +523,6 @@ def q_daily_refresh(spark, sf):
     from .refresh import daily_refresh
     g, pull, lines = refresh_inputs(spark, sf)
     path = f"{checkpoint_dir(spark)}/refresh-{uuid.uuid4().hex[:12]}/games"
-    MU.add_columns(g, REFRESH_EXTRA).write.partitionBy("season").parquet(path)
+    TB.create_partitioned(MU.add_columns(g, REFRESH_EXTRA), path, "id")
     daily_refresh(spark, path, pull, lines, REFRESH_AS_OF)
     return spark.read.parquet(path)

@@ -3,18 +3,20 @@
 The reference pulls the last week plus all future games, computes the mode
 line per game, left-joins lines onto scores, adds local-time columns and
 MERGEs into the fact table, so a day touches ~100-200 of ~11,000 games.
-Here the fact table is Parquet partitioned by season, and the upsert
-rewrites ONLY the partitions the pull touches:
+Here the fact table is Parquet partitioned by season, and the upsert reads
+and rewrites only the seasons the pull touches:
 
-1. affected seasons = distinct seasons of the pull (a handful of values -
-   bounded by the calendar, collected as a plan parameter);
+1. touched seasons = those of the pull (a handful of values, bounded by the
+   calendar) and those that hold its keys now, looked up in the key index
+   beside the table (`sources.tables.KeyIndex`), in the buckets of the pull's
+   keys: a game whose season changed leaves its old season;
 2. read just those partitions (partition pruning), MERGE the pull (B6);
 3. stage the merged partitions under the shared checkpoint folder (cuts
    the lineage from the files about to be replaced), then dynamic
    partition overwrite from the stage.
 
-Cost grows with the touched seasons, not with the table.  Partition
-replacement is per partition (not one atomic swap of the whole table).
+No other season is read (`tests/test_units.py` breaks their files).
+Partitions are replaced one by one, not the whole table in one swap.
 """
 
 from __future__ import annotations

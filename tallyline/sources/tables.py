@@ -1,4 +1,4 @@
-"""Sinks as plain Spark writes.
+"""Sinks as plain Spark writes.
 
 Tables are Parquet paths (or catalog tables over such paths) written by
 `DataFrame.write` and `insertInto`.  A table whose new state is computed from
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.mutation import merge_upsert
+from ..operators.mutation import merge_upsert, unique_source
 from ..session import checkpoint_dir
 
 MAX_TOUCHED = 10_000                  # partitions one rewrite may touch; more is an error, not a silent cut
@@ -59,7 +59,7 @@ def insert_by_name(df: DataFrame, name: str) -> None:
                 for f in fields)).write.insertInto(name)
 
 
-def _values(df: DataFrame, col: str) -> set:
+def values_of(df: DataFrame, col: str) -> set:
     """Distinct partition values, as parameters of the rewrite."""
     got = [r[0] for r in df.select(col).distinct().limit(MAX_TOUCHED + 1).collect()]
     if len(got) > MAX_TOUCHED:
@@ -67,49 +67,151 @@ def _values(df: DataFrame, col: str) -> set:
     return set(got)
 
 
-def _in(col: str, values: set):
+def in_values(col: str, values: set):
     known = [v for v in values if v is not None]
     return (F.col(col).isin(known) if known else F.lit(False)) | (F.col(col).isNull() if None in values else F.lit(False))
 
 
+class KeyIndex:
+    """Which partitions of a table hold a key: rows (keys…, partition value),
+    in a folder that readers of the table do not see.
+
+    Rows lie in buckets by a hash of the key, about BUCKET_KEYS keys each, so a
+    lookup or an update reads and writes the buckets of the keys it is about
+    and no others.  A key's rows are added before its data moves and cleaned
+    after it, so a job lost in between leaves a place too many, never one too
+    few.  The index holds for tables that are changed through this module only.
+    """
+
+    BUCKET_KEYS, MAX_BUCKETS = 50_000, 8192
+    FOLDER = "_keys"
+
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], part_col: str, buckets: int):
+        self.spark, self.path, self.keys, self.part_col, self.buckets = spark, f"{path}/{self.FOLDER}", keys, part_col, buckets
+
+    @classmethod
+    def build(cls, spark: SparkSession, path: str, keys: list[str], part_col: str) -> KeyIndex:
+        """Index a table by one scan of its key columns."""
+        held = spark.read.parquet(path).select(*keys, part_col)
+        buckets = max(1, min(cls.MAX_BUCKETS, held.count() // cls.BUCKET_KEYS))
+        index = cls(spark, path, keys, part_col, buckets)
+        rows = index._rows(held).distinct()
+        rows.repartition("key_bucket").write.mode("overwrite").partitionBy("key_buckets", "key_bucket").parquet(index.path)
+        return index
+
+    @classmethod
+    def of(cls, spark: SparkSession, path: str, part_col: str) -> KeyIndex | None:
+        """The index of a table, if it has one."""
+        held = read_if_exists(spark, f"{path}/{cls.FOLDER}")
+        first = held.select("key_buckets").first() if held is not None else None
+        if not first:
+            return None
+        keys = [c for c in held.columns if c not in ("key_buckets", "key_bucket", "key_part")]
+        return cls(spark, path, keys, part_col, int(first["key_buckets"]))
+
+    def _rows(self, rows: DataFrame) -> DataFrame:
+        known = rows
+        for k in self.keys:
+            known = known.filter(F.col(k).isNotNull())              # a NULL key matches nothing
+        return known.select(*self.keys, F.col(self.part_col).alias("key_part"), F.lit(self.buckets).alias("key_buckets"),
+                            F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int").alias("key_bucket"))
+
+    def _read(self, rows: DataFrame) -> DataFrame:
+        """The index rows in the buckets of some rows (as _rows() gives them)."""
+        wanted = [r["key_bucket"] for r in rows.select("key_bucket").distinct().collect()]       # at most MAX_BUCKETS
+        return self.spark.read.parquet(self.path).filter(F.col("key_bucket").isin(wanted) if wanted else F.lit(False))
+
+    def partitions(self, src: DataFrame) -> set:
+        """Partition values that hold a key of `src`."""
+        rows = self._rows(src)
+        return values_of(self._read(rows).join(rows.select(*self.keys).distinct(), self.keys, "left_semi"), "key_part")
+
+    def add(self, rows: DataFrame) -> None:
+        """Rows' places, beside those known."""
+        self._rows(rows).distinct().repartition("key_bucket").write.mode("append").partitionBy("key_buckets", "key_bucket").parquet(self.path)
+
+    def settle(self, rows: DataFrame) -> None:
+        """Rows' places instead of those known of their keys, one file a bucket."""
+        new = self._rows(rows).distinct()
+        others = self._read(new).select(new.columns).join(new.select(*self.keys).distinct(), self.keys, "left_anti")
+        both = others.unionByName(new).distinct().checkpoint(eager=True)
+        (both.repartition("key_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("key_buckets", "key_bucket").parquet(self.path))
+
+
+def _folders(now: DataFrame, part_col: str, values: set) -> list[str]:
+    """The folders of some partitions, as URIs named by whoever wrote them; no data column is read."""
+    folder = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]+$", 1)
+    return [r[0] for r in now.filter(in_values(part_col, values)).select(folder).distinct().collect()]
+
+
 def rewrite_partitions(spark: SparkSession, path: str, touched: set, fn: Callable[[DataFrame], DataFrame],
-                       part_col: str = "season") -> None:
+                       part_col: str = "season", index: KeyIndex | None = None, changed: DataFrame | None = None) -> None:
     """Replace the touched partitions of the table at `path` by fn(their rows).
 
     Only those partitions are read.  The new rows are checkpointed to the
     shared folder, which cuts them loose from the files about to be replaced,
-    then written by dynamic partition overwrite; touched partitions that have
-    no row any more are overwritten with nothing.
+    then written by dynamic partition overwrite (one commit); touched
+    partitions that have no row any more are deleted after it.  A driver lost
+    between the two leaves rows both in their new and in their old partition;
+    the same rewrite run again repairs that.
+
+    The table's key index, if it has one, learns the new places before the
+    data does: of the rows of `changed` (a subset of the new rows by key), or
+    of all new rows without it.
     """
     checkpoint_dir(spark)
     now = spark.read.parquet(path)
-    new = fn(now.filter(_in(part_col, touched))).checkpoint(eager=True)
-    kept = _values(new, part_col)
+    new = fn(now.filter(in_values(part_col, touched))).checkpoint(eager=True)
+    kept = values_of(new, part_col)
     if kept - touched:
         raise ValueError(f"rows moved outside the touched partitions: {sorted(map(str, kept - touched))[:5]}")
+    gone = _folders(now, part_col, touched - kept) if touched - kept else []
+    index = index or KeyIndex.of(spark, path, part_col)
+    if index:
+        index.add(new if changed is None else changed)
     columns = [c for c in new.columns if c != part_col]
     if kept:
         (new.select(*columns, part_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(part_col).parquet(path))
-    for value in touched - kept:
-        folder = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-        new.select(*columns).limit(0).write.mode("overwrite").parquet(f"{path}/{part_col}={folder}")
+    jvm = spark.sparkContext._jvm
+    for uri in gone:
+        folder = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    if index:
+        index.settle(new if changed is None else changed)
+
+
+def create_partitioned(df: DataFrame, path: str, keys, part_col: str = "season") -> None:
+    """Write a new table partitioned by `part_col`, with its key index, for upsert_partitions()."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    df.write.partitionBy(part_col).parquet(path)
+    KeyIndex.build(df.sparkSession, path, keys, part_col)
 
 
-def upsert_partitions(spark: SparkSession, path: str, src: DataFrame, keys, part_col: str = "season") -> list:
+def upsert_partitions(spark: SparkSession, path: str, src: DataFrame, keys, part_col: str = "season",
+                      part_from_keys: bool = False) -> list:
     """B6/B19 on a partitioned table: MERGE `src`, creating the table on first use.
 
     Touched are the partitions of the source and those that hold its keys now,
-    so a row whose partition value changes leaves its old partition.  Returns
-    the touched partitions.
+    so a row whose partition value changes leaves its old partition.  Where
+    these are is looked up in the key index beside the table (KeyIndex), in the
+    buckets of the source's keys; no other partition of the table is read.  A
+    table that was written without an index gets one at its first MERGE, by one
+    scan of its key columns.  With `part_from_keys` the partition is a function
+    of the keys, rows cannot move, and no index is kept.  Several source rows of
+    one key are an error.  Returns the touched partitions.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    touched = _values(src, part_col)
-    now = read_if_exists(spark, path)
-    if now is None:
-        src.write.partitionBy(part_col).parquet(path)
+    touched = values_of(src, part_col)
+    if read_if_exists(spark, path) is None:
+        unique_source(src, keys).filter("__checked = 0").drop("__checked").write.partitionBy(part_col).parquet(path)
+        if not part_from_keys:
+            KeyIndex.build(spark, path, keys, part_col)
         return sorted(touched, key=str)
-    held = now.select(*keys, part_col).join(src.select(*keys).distinct(), keys, "left_semi")
-    touched |= _values(held, part_col)
-    rewrite_partitions(spark, path, touched, lambda cur: merge_upsert(cur, src, keys), part_col)
+    index = None
+    if not part_from_keys:
+        index = KeyIndex.of(spark, path, part_col) or KeyIndex.build(spark, path, keys, part_col)
+        touched |= index.partitions(src)
+    rewrite_partitions(spark, path, touched, lambda cur: merge_upsert(cur, src, keys), part_col, index, src)
     return sorted(touched, key=str)

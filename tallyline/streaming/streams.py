@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.tables import read_if_exists, upsert_partitions
+from ..sources.tables import in_values, read_if_exists, upsert_partitions, values_of
 
 
 def _run(writer, trigger_once: bool = True):
@@ -71,9 +71,10 @@ def stream_dedup(stream: DataFrame, keys: Sequence[str], order: Sequence[str], p
                  part_col: str) -> None:
     """L2 `stream_quote_dedup`: one whole quote per key, the first by `order`
     whenever it arrives.  The table itself is the memory: a micro-batch is
-    compared with the stored quotes of the partitions it touches, so the
-    stream holds no state and late quotes are judged like all others.
-    `part_col` must be a function of the keys."""
+    compared with the stored quotes of the partitions its keys lie in and reads
+    no others, so the stream holds no state, late quotes are judged like all
+    others, and a batch's read does not grow with the table.  `part_col` must
+    be a function of the keys."""
     def apply(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
@@ -81,9 +82,10 @@ def stream_dedup(stream: DataFrame, keys: Sequence[str], order: Sequence[str], p
             new = first_per_key(batch, keys, order)
             now = read_if_exists(spark, path)
             if now is not None:
-                held = now.join(new.select(*keys), list(keys), "left_semi").select(*new.columns)
+                held = now.filter(in_values(part_col, values_of(new, part_col)))
+                held = held.join(new.select(*keys), list(keys), "left_semi").select(*new.columns)
                 new = first_per_key(new.unionByName(held), keys, order).checkpoint(eager=True)
-            upsert_partitions(spark, path, new, list(keys), part_col)
+            upsert_partitions(spark, path, new, list(keys), part_col, part_from_keys=True)
         finally:
             batch.unpersist()
     _run(stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint))
@@ -100,17 +102,54 @@ def windowed_upsert(agg: DataFrame, path: str, keys: Sequence[str], checkpoint:
         batch.persist()
         try:
             src = batch.withColumn("window_month", F.trunc(F.to_date(F.col(window_col)), "month"))
-            upsert_partitions(batch.sparkSession, path, src, list(keys), "window_month")
+            upsert_partitions(batch.sparkSession, path, src, list(keys), "window_month", part_from_keys=True)
         finally:
             batch.unpersist()
     _run(agg.writeStream.outputMode("update").foreachBatch(apply).option("checkpointLocation", checkpoint))
 
 
+def late_corrections(stream: DataFrame, ts: str, landed: str, key: str, value: str, counts: str, refused: str,
+                     checkpoint: str, days: int = 7) -> None:
+    """L3 `stream_late_correction`: per (day, key) counts and sums of the rows
+    that landed at most `days` days after their day; older ones go, whole, to a
+    side table.
+
+    Lateness is a row's own: its day against the day it landed, the cutoff of
+    the scheduled refresh (A8).  A watermark would measure it against the
+    newest row met so far, so that files read out of order would lose rows on
+    time.  A row without a time is refused; one without a landing day, or
+    landed before its day, is on time.  A batch writes its own partial counts
+    and refused rows under its number, so it costs what it carries and a batch
+    done again replaces itself; corrected_counts() adds the parts up.
+    """
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        day = F.to_date(ts)
+        kept = day.isNotNull() & F.coalesce(day >= F.date_sub(F.col(landed), days), F.lit(True))
+        batch.persist()
+        try:
+            part = batch.filter(kept).groupBy(day.alias("day"), key).agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"))
+            part.write.mode("overwrite").parquet(f"{counts}/batch={batch_id}")
+            batch.filter(~kept).write.mode("overwrite").parquet(f"{refused}/batch={batch_id}")
+        finally:
+            batch.unpersist()
+    _run(stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint))
+
+
+def corrected_counts(spark: SparkSession, counts: str, refused: str, ts: str, key: str) -> DataFrame:
+    """(window_start, key, n, total, n_refused) of late_corrections(): the batches' parts added up."""
+    late = spark.read.parquet(refused).groupBy(F.to_date(ts).alias("day"), key).agg(F.count(F.lit(1)).alias("n_refused"))
+    parts = spark.read.parquet(counts).select("day", key, "n", "total").unionByName(late, allowMissingColumns=True)
+    return parts.groupBy(F.col("day").cast("timestamp_ntz").alias("window_start"), key).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.sum("total").alias("total"),
+        F.coalesce(F.sum("n_refused"), F.lit(0)).alias("n_refused"))
+
+
 def late_tolerant_counts(stream: DataFrame, ts: str, key: str, value: str, lateness: str = "7 days",
                          window: str = "1 day") -> DataFrame:
-    """L3 `stream_late_correction`: per (day, key) count and sum; updates up
-    to `lateness` late are applied, older ones are dropped by the watermark
-    (and their state is evicted)."""
+    """Per (day, key) count and sum under a watermark: rows up to `lateness`
+    behind the newest row of earlier batches are applied, older ones are
+    dropped and their state is evicted.  For streams whose files arrive in
+    order of time; late_corrections() for others."""
     s = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, lateness)
     g = s.groupBy(F.window(ts, window).alias("w"), F.col(key)).agg(
         F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"))

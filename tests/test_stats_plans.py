@@ -230,6 +230,43 @@ def test_rolling_ignores_later_scores(spark):
 
 # ---------------------------------------------------------------- streaming
 
+def test_files_out_of_order_lose_no_row_on_time(spark, tmp_path):
+    """200 files in shuffled order of time; rows up to seven days late count, planted later ones are set aside."""
+    import datetime as dt
+    import random
+
+    from tallyline.streaming import streams as SS
+    rng, t0 = random.Random(5), dt.datetime(2024, 3, 1)
+    rows = []
+    for i in range(200):
+        for _ in range(5):
+            ts = t0 + dt.timedelta(days=i, hours=rng.randrange(24))
+            rows.append((ts, rng.choice("ab"), 1.0, (ts + dt.timedelta(days=rng.choice([0, 0, 1, 7, 8, 30]))).date(), i))
+    rows += [(None, "a", 1.0, dt.date(2024, 3, 1), 0), (t0, "a", 1.0, None, 0)]
+    order = list(range(200))
+    rng.shuffle(order)
+    schema = "ts timestamp_ntz, k string, v double, landed date"
+    for place, i in enumerate(order):
+        spark.createDataFrame([r[:4] for r in rows if r[4] == i], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/landing")
+        if place == 120:                                     # a first run, then the rest
+            break
+    def run():
+        stream = SS.read_landing(spark, f"{tmp_path}/landing", spark.read.parquet(f"{tmp_path}/landing").schema, max_files=50)
+        SS.late_corrections(stream, "ts", "landed", "k", "v", f"{tmp_path}/c", f"{tmp_path}/late", f"{tmp_path}/ckpt")
+    run()
+    rest = [r[:4] for r in rows if r[4] in order[121:]]
+    spark.createDataFrame(rest, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/landing")
+    run()
+    got = SS.corrected_counts(spark, f"{tmp_path}/c", f"{tmp_path}/late", "ts", "k").collect()
+    late = [r for r in rows if r[0] is None or r[3] is not None and (r[3] - r[0].date()).days > 7]
+    assert spark.read.parquet(f"{tmp_path}/late").count() == len(late) == sum(r.n_refused for r in got)
+    want = {}
+    for r in rows:
+        if r not in late:
+            want[r[0].date(), r[1]] = want.get((r[0].date(), r[1]), 0) + 1
+    assert {(r.window_start.date(), r.k): r.n for r in got if r.n} == want and sum(want.values()) + len(late) == len(rows)
+
+
 def test_late_data_dropped_after_watermark(spark):
     """Rows within the 7-day lateness are applied; older ones are dropped.
     Spark judges late rows against the watermark of the previous micro-batch

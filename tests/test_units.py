@@ -340,6 +340,63 @@ def test_partition_rewrites(spark, tmp_path):
         TB.rewrite_partitions(spark, path, {2002}, lambda cur: cur.withColumn("season", F.lit(1)))
 
 
+def test_merge_reads_touched_partitions_only(spark, tmp_path):
+    """With the data files of every untouched partition broken, a MERGE whose keys lie elsewhere still runs."""
+    import glob
+    from tallyline.sources import tables as TB
+    path = str(tmp_path / "t")
+    rows = spark.range(400).selectExpr("id", "0 AS v", "CAST(2000 + id % 8 AS INT) AS season")
+    TB.create_partitioned(rows, path, "id")
+    for season in (2001, 2002, 2004, 2005, 2006, 2007):
+        for f in glob.glob(f"{path}/season={season}/*.parquet"):
+            with open(f, "r+b") as h:
+                h.write(b"broken!!")
+                h.truncate(8)
+    for crc in glob.glob(f"{path}/*/.*.crc"):
+        import os
+        os.remove(crc)
+    src = spark.createDataFrame([(0, 1, 2000), (8, 1, 2003), (9000, 1, 2003)], "id long, v int, season int")
+    assert TB.upsert_partitions(spark, path, src, "id") == [2000, 2003]
+    got = {r.id: (r.v, r.season) for r in spark.read.parquet(path).filter("season IN (2000, 2003)").collect()}
+    assert got[0] == (1, 2000) and got[8] == (1, 2003) and got[9000] == (1, 2003) and got[16] == (0, 2000) and len(got) == 101
+    with pytest.raises(Exception):
+        spark.read.parquet(path).agg({"v": "sum"}).collect()
+    # a second move is found by the index, which holds one place a key again
+    assert TB.upsert_partitions(spark, path, spark.createDataFrame([(8, 2, 2000)], "id long, v int, season int"), "id") == [2000, 2003]
+    held = spark.read.parquet(f"{path}/_keys").filter("id IN (0, 8, 9000)").collect()
+    assert sorted((r.id, r.key_part) for r in held) == [(0, 2000), (8, 2000), (9000, 2003)]
+
+
+def test_partition_names_with_special_characters(spark, tmp_path):
+    """Partitions that empty are found under the names they were written by."""
+    from tallyline.sources import tables as TB
+    path, schema = str(tmp_path / "a b"), "id int, v int, p string"
+    names = ["x/y", "50%", "a:b", "é ü", None]
+    TB.upsert_partitions(spark, path, spark.createDataFrame([(i, 0, n) for i, n in enumerate(names)] + [(None, 7, "x/y")], schema), "id", "p")
+    TB.upsert_partitions(spark, path, spark.createDataFrame([(i, 1, "all") for i in range(5)], schema), "id", "p")
+    got = sorted(((r.id, r.v, r.p) for r in spark.read.parquet(path).collect()), key=str)
+    assert got == sorted([(i, 1, "all") for i in range(5)] + [(None, 7, "x/y")], key=str)
+
+
+def test_ambiguous_merge_sources_raise(spark, tmp_path):
+    from tallyline.operators import mutation as MU
+    from tallyline.sources import tables as TB
+    schema = "a int, b int, v int"
+    tgt = spark.createDataFrame([(1, 1, 0), (2, 1, 0), (None, 1, 0)], schema)
+    twice = spark.createDataFrame([(1, 1, 5), (1, 1, 6), (3, 1, 7)], schema)
+    for merge in (lambda s: MU.merge_upsert(tgt, s, ["a", "b"]), lambda s: MU.merge_update(tgt, s, ["a", "b"], ["v"]),
+                  lambda s: MU.fill_null(tgt, s, ["a", "b"], "v")):
+        with pytest.raises(Exception, match="MERGE: 2 source rows for a = 1, b = 1"):
+            merge(twice).collect()
+    with pytest.raises(Exception, match="MERGE: 2 source rows"):
+        TB.upsert_partitions(spark, str(tmp_path / "t"), twice, ["a"], "b")
+    latest = MU.assert_unique(twice, ["a", "b"], dedupe_by=["v"])
+    assert sorted((r.a, r.v) for r in MU.merge_update(tgt, latest, ["a", "b"], ["v"]).filter("a IS NOT NULL").collect()) == [(1, 6), (2, 0)]
+    # rows with a NULL key match nothing and are all inserted
+    nulls = spark.createDataFrame([(None, 1, 8), (None, 1, 9)], schema)
+    assert sorted(r.v for r in MU.merge_upsert(tgt, nulls, ["a", "b"]).collect()) == [0, 0, 0, 8, 9]
+
+
 def test_fixtures_reach_every_branch(spark):
     from tallyline.plans.catalog_features import feature_table_query
     sf = "/root/testdata/sf0.001"
