@@ -10,47 +10,48 @@ from pyspark.sql import functions as F
 from .mutation import update
 
 
-def _adj() -> Column:
-    return F.col("home_score") + (-F.col("spread_line"))
-
-
-def grade_scores(games: DataFrame, tol: float = 0.01) -> DataFrame:
-    """J10 `feat_result_nfl`: UPDATE ... WHERE both scores present: point
-    differential, total, game_result, spread_result (push within tol) and
-    over_under_result.  Rows without both scores keep their old values."""
-    h, a, s, t = F.col("home_score"), F.col("away_score"), F.col("spread_line"), F.col("total_line")
-    anynull_s = a.isNull() | h.isNull() | s.isNull()
-    anynull_t = a.isNull() | h.isNull() | t.isNull()
-    exprs = {
-        "point_differential": h - a,
-        "total_points": h + a,
-        "game_result": F.when(h > a, "home_win").when(a > h, "away_win").when(h == a, "tie"),
-        "spread_result": F.when(anynull_s, F.lit(None).cast("string"))
-                          .when(F.abs(_adj() - a) < tol, "push")
-                          .when(_adj() > a, "home_covered").otherwise("away_covered"),
-        "over_under_result": F.when(anynull_t, F.lit(None).cast("string"))
-                              .when((h + a) > t, "over").when((h + a) < t, "under").otherwise("push"),
-    }
-    return update(games, h.isNotNull() & a.isNotNull(), exprs)
-
-
-def ats_columns(tol: float = 0.01) -> dict[str, Column]:
-    """J11 `feat_ats_nfl` expressions (over source columns).  In `cover` the
-    HOME test precedes the PUSH test; in `ats_result` PUSH comes first - the
-    two orders are kept as the reference has them."""
-    h, a, s = F.col("home_score"), F.col("away_score"), F.col("spread_line")
-    anynull = a.isNull() | h.isNull() | s.isNull()
-    push = F.abs(_adj() - a) < tol
-    home = _adj() > a
-    return {
-        "home_covered": F.when(anynull, F.lit(None).cast("int")).when(home, 1).otherwise(0),
-        "cover": F.when(anynull, F.lit(None).cast("string")).when(home, "HOME").when(push, "PUSH").otherwise("AWAY"),
-        "ats_result": F.when(anynull, F.lit(None).cast("string")).when(push, "PUSH")
-                       .when(home, "HOME_COVERED").otherwise("AWAY_COVERED"),
-    }
-
-
-def grade_ats(games: DataFrame, tol: float = 0.01) -> DataFrame:
+# Fixed value: an edge smaller than this is a push.
+PUSH = 0.01
+
+
+def edge() -> Column:
+    """Points by which the home side beats the line; NULL without both scores and a line."""
+    return F.col("home_score") - F.col("spread_line") - F.col("away_score")
+
+
+def _by_sign(value: Column, below: str, even: str, above: str) -> Column:
+    """A label for the sign of `value`, NULL for NULL."""
+    return F.get(F.array(F.lit(below), F.lit(even), F.lit(above)), F.sign(value).cast("int") + 1)
+
+
+def _pushed(value: Column, tol: float) -> Column:
+    """`value`, 0 where it is a push."""
+    return F.when(F.abs(value) < tol, F.lit(0.0)).otherwise(value)
+
+
+def grade_scores(games: DataFrame, tol: float = PUSH) -> DataFrame:
+    """J10 `feat_result_nfl`: differential, total, and the results of the game,
+    against the line (a push within tol) and against the total, of the games
+    that have both scores; other rows keep their old values."""
+    difference, total = F.col("home_score") - F.col("away_score"), F.col("home_score") + F.col("away_score")
+    return update(games, difference.isNotNull(), {
+        "point_differential": difference, "total_points": total,
+        "game_result": _by_sign(difference, "away_win", "tie", "home_win"),
+        "spread_result": _by_sign(_pushed(edge(), tol), "away_covered", "push", "home_covered"),
+        "over_under_result": _by_sign(total - F.col("total_line"), "under", "push", "over")})
+
+
+def ats_columns(tol: float = PUSH) -> dict[str, Column]:
+    """J11 `feat_ats_nfl` expressions (over source columns).  The two labels
+    differ for an edge between 0 and tol: in `cover` any positive edge is HOME
+    (and only a negative one within tol a PUSH), in `ats_result` it is a PUSH."""
+    by = edge()
+    positive_first = _by_sign(F.when(by > -tol, F.greatest(by, F.lit(0.0))).otherwise(by), "AWAY", "PUSH", "HOME")
+    return {"home_covered": (by > 0).cast("int"), "cover": positive_first,
+            "ats_result": _by_sign(_pushed(by, tol), "AWAY_COVERED", "PUSH", "HOME_COVERED")}
+
+
+def grade_ats(games: DataFrame, tol: float = PUSH) -> DataFrame:
     return games.withColumns(ats_columns(tol))
 
 

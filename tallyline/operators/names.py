@@ -54,10 +54,7 @@ def normalize_columns(df: DataFrame, cols: list[str], dictionary: DataFrame,
     """J17 `odds_normalize`: add `<col>_norm` for each name column.  The
     resolution runs once over the distinct names of all columns, then is
     joined back per column (AQE broadcasts it when its measured size allows)."""
-    names = None
-    for c in cols:
-        part = df.select(F.col(c).alias("name"))
-        names = part if names is None else names.unionByName(part)
+    names = df.select(F.explode(F.array(*cols)).alias("name"))           # one scan for all columns
     res = resolve_names(names, dictionary, overrides).select("name", "canonical")
     out = df
     for c in cols:

@@ -31,31 +31,36 @@ def _sql_list(values) -> str:
 
 # ---------------------------------------------------------------- J17: three name columns with overrides
 
+# A game's feed names are those of the part of its customer's number (home) and of half that number (away), so the
+# names grow with the tables; every fifth part goes by a name of the override map.
 FEED_NAMES_SQL = f"""feed_names AS (
-  SELECT p_partkey - 1 AS team, if(p_partkey % 5 = 0,
+  SELECT p_partkey, if(p_partkey % 5 = 0,
     {_sql_list(n for n, _ in D.CFB_NAME_OVERRIDES)}[(p_partkey % {len(D.CFB_NAME_OVERRIDES)})::INTEGER + 1], p_name) AS name
-  FROM part WHERE p_partkey <= 40),
+  FROM part),
 raw_quotes AS (
   SELECT q.event_id, q.bookmaker, q.market, q.line_no, q.commence_time, q.outcome_price, q.outcome_point, q.last_update,
     h.name AS home_team, a.name AS away_team,
     CASE q.outcome_name WHEN q.home_team THEN h.name WHEN q.away_team THEN a.name ELSE q.outcome_name END AS outcome_name
-  FROM quotes_v AS q JOIN feed_names AS h ON h.team::VARCHAR = q.home_team JOIN feed_names AS a ON a.team::VARCHAR = q.away_team)"""
+  FROM quotes_v AS q JOIN orders ON o_orderkey = q.event_id
+  JOIN feed_names AS h ON h.p_partkey = o_custkey JOIN feed_names AS a ON a.p_partkey = o_custkey // 2 + 1)"""
 
 
 def feed_names(spark: SparkSession, sf: str) -> DataFrame:
-    """(team, name): the name a feed uses for each of the forty teams."""
-    p = table(spark, sf, "part").filter("p_partkey <= 40")
+    """(p_partkey, name): the names of the feed."""
     over = F.array(*[F.lit(n) for n, _ in D.CFB_NAME_OVERRIDES])
     pick = F.get(over, (F.col("p_partkey") % len(D.CFB_NAME_OVERRIDES)).cast("int"))
-    return p.select((F.col("p_partkey") - 1).cast("string").alias("team"),
-                    F.when(F.col("p_partkey") % 5 == 0, pick).otherwise(F.col("p_name")).alias("name"))
+    return table(spark, sf, "part").select(
+        "p_partkey", F.when(F.col("p_partkey") % 5 == 0, pick).otherwise(F.col("p_name")).alias("name"))
 
 
 def raw_quotes(spark: SparkSession, sf: str) -> DataFrame:
     """Quotes whose three name columns are feed names."""
-    q, n = quotes_v(spark, sf), feed_names(spark, sf)
-    q = q.join(n.select(F.col("team").alias("home_team"), F.col("name").alias("_h")), "home_team")
-    q = q.join(n.select(F.col("team").alias("away_team"), F.col("name").alias("_a")), "away_team")
+    n = feed_names(spark, sf)
+    games = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("event_id"), F.col("o_custkey").alias("_home"), F.expr("o_custkey div 2 + 1").alias("_away"))
+    games = games.join(n.select(F.col("p_partkey").alias("_home"), F.col("name").alias("_h")), "_home")
+    games = games.join(n.select(F.col("p_partkey").alias("_away"), F.col("name").alias("_a")), "_away")
+    q = quotes_v(spark, sf).join(games.select("event_id", "_h", "_a"), "event_id")
     name = (F.when(F.col("outcome_name") == F.col("home_team"), F.col("_h"))
             .when(F.col("outcome_name") == F.col("away_team"), F.col("_a")).otherwise(F.col("outcome_name")))
     return q.select("event_id", "bookmaker", "market", "line_no", "commence_time", "outcome_price", "outcome_point",

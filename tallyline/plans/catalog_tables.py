@@ -51,20 +51,20 @@ NFL_COLS = ("game_id, id, season, week, gameday, gametime, away_team, home_team,
             "spread_line, total_line")
 
 # Results by list position: the sign of a difference picks the label; NULL scores or lines give NULL.
+# Fixed value: an edge below 0.01 is a push.
 _EDGE = "(home_score - spread_line - away_score)"
 _LABEL = "[{0}][(sign({1}) + 2)::INTEGER]"
+_PUSHED = f"(CASE WHEN abs({_EDGE}) < 0.01 THEN 0 ELSE {_EDGE} END)"
 GRADE_SQL = ",\n  ".join([
     "home_score - away_score AS point_differential",
     "home_score + away_score AS total_points",
     _LABEL.format("'away_win', 'tie', 'home_win'", "home_score - away_score") + " AS game_result",
-    _LABEL.format("'away_covered', 'push', 'home_covered'",
-                  f"CASE WHEN {_EDGE} NOT BETWEEN -0.0099999 AND 0.0099999 THEN {_EDGE} ELSE 0 * {_EDGE} END")
-    + " AS spread_result",
+    _LABEL.format("'away_covered', 'push', 'home_covered'", _PUSHED) + " AS spread_result",
     _LABEL.format("'under', 'push', 'over'", "home_score + away_score - total_line") + " AS over_under_result"])
 ATS_SQL = ",\n  ".join([
     f"({_EDGE} > 0)::INTEGER AS home_covered",
-    f"if({_EDGE} > 0, 'HOME', if({_EDGE} > -0.0099999, 'PUSH', if({_EDGE} IS NOT NULL, 'AWAY', NULL))) AS cover",
-    f"if(abs({_EDGE}) < 0.0099999, 'PUSH', ['AWAY', 'HOME'][({_EDGE} > 0)::INTEGER + 1] || '_COVERED') AS ats_result"])
+    f"if({_EDGE} > 0, 'HOME', if({_EDGE} > -0.01, 'PUSH', if({_EDGE} IS NOT NULL, 'AWAY', NULL))) AS cover",
+    _LABEL.format("'AWAY_COVERED', 'PUSH', 'HOME_COVERED'", _PUSHED) + " AS ats_result"])
 
 
 @register("feat_result_nfl", _g(f"WITH {NFL_SQL}\nSELECT {NFL_COLS}, {GRADE_SQL} FROM nfl"))

@@ -26,6 +26,7 @@ def _f(name, t):
     return T.StructField(name, t, True)
 
 
+# Fixed values, down to NFL_CSV: the feeds' own keys and columns, in their order.
 # Game record as the feed delivers it (raw JSON keys, numbers may be text).
 GAME_JSON = T.StructType(
     [_f("id", _L), _f("season", _L), _f("week", _L), _f("seasonType", _S), _f("startDate", _S)]
