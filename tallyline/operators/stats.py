@@ -120,6 +120,7 @@ def season_drift(season_rates: DataFrame, high: float = 0.55, low: float = 0.50)
 NODES = 31                            # Gauss-Hermite nodes per group and cell
 SIDE = 36                             # (mu, sigma) nodes per axis
 POINTS = 4001                         # density points per group
+TOGETHER = 64                         # groups whose densities a task holds at a time
 
 
 def _log_expit(e: np.ndarray) -> np.ndarray:
@@ -163,10 +164,13 @@ def _moments(wins: pd.Series, n: pd.Series, mu: pd.Series, sigma: pd.Series) ->
 
 
 class Pooled:
-    """The (mu, sigma) nodes with their posterior weights, and (rule, cell, logl, m1, m2) of every group."""
+    """The (mu, sigma) nodes with their posterior weights, and (wins, n, times, cell, logl, m1, m2) of every
+    distinct pair of counts, `times` being the number of groups that have it: equal groups are one row a node."""
 
     def __init__(self, counts: DataFrame, p0: float, s_mu: float, s_sigma: float):
         mu0 = math.log(p0 / (1 - p0))
+        self.counts = counts.select("rule", "wins", "n")
+        counts = counts.groupBy("wins", "n").agg(F.count(F.lit(1)).alias("times"))
         box = (-7.0, 7.0, 0.0, 7.0)                         # u = (mu - mu0) / s_mu, v = sigma / s_sigma
         while True:
             half = [0.5 * (box[1] - box[0]), 0.5 * (box[3] - box[2])]
@@ -174,11 +178,14 @@ class Pooled:
             u, v = (x.ravel() for x in np.meshgrid(box[0] + half[0] * (1 + nodes), box[2] + half[1] * (1 + nodes)))
             du, dv = (math.pi * h / SIDE for h in half)     # distance of the nodes in the middle of the box
             self.mu, self.sigma = mu0 + s_mu * u, s_sigma * v
+            self.span = s_mu * (box[1] - box[0])
             self.cells = self._evaluate(counts)
-            sums = self.cells.groupBy("cell").agg(F.sum("logl").alias("s")).toPandas()       # SIDE^2 rows
-            lp = -0.5 * (u * u + v * v) + np.log(np.outer(gauss, gauss)).ravel()
+            sums = self.cells.groupBy("cell").agg(F.sum(F.col("times") * F.col("logl")).alias("s")).toPandas()   # SIDE^2 rows
+            lp = -0.5 * (u * u + v * v)
             lp[sums["cell"].to_numpy()] += sums["s"].to_numpy()
-            self.weight = np.exp(lp - lp.max())
+            self.log_posterior = lp - lp.max()
+            self.weight = np.exp(self.log_posterior) * np.outer(gauss, gauss).ravel()
+            self.weight_top = self.weight.max()
             self.weight /= self.weight.sum()
             means = [float(self.weight @ x) for x in (u, v)]
             sds = [float(np.sqrt(self.weight @ (x - c) ** 2)) for x, c in zip((u, v), means)]
@@ -193,16 +200,47 @@ class Pooled:
         checkpoint_dir(counts.sparkSession)
         nodes = F.lit(np.stack([self.mu, self.sigma], 1).ravel())
         cell = F.explode(F.sequence(F.lit(0), F.lit(len(self.mu) - 1))).alias("cell")
-        g = counts.select("rule", "wins", "n", cell)
+        g = counts.select("wins", "n", "times", cell)
         pick = lambda k: F.get(nodes, 2 * F.col("cell") + k)
-        g = g.select("rule", "wins", "n", "cell", _moments("wins", "n", pick(0), pick(1)).alias("r"))
-        return g.select("rule", "wins", "n", "cell", "r.*").checkpoint(eager=True)
+        g = g.select("wins", "n", "times", "cell", _moments("wins", "n", pick(0), pick(1)).alias("r"))
+        return g.select("wins", "n", "times", "cell", "r.*").checkpoint(eager=True)
+
+    def mixture(self) -> list[tuple[int, np.ndarray, np.ndarray, float, np.ndarray]]:
+        """The posterior as components N(mu, sigma) close enough to add up smoothly: per node of sigma
+        (its place, mu, weights, sigma, matrix from the nodes of mu to the components).
+
+        Where sigma is narrower than the nodes of mu lie apart, values between them come from the polynomial
+        through the nodes, which all these smooth functions of mu are close to.
+        """
+        nodes, gauss = np.polynomial.legendre.leggauss(SIDE)
+        centre = 0.5 * (self.mu[0] + self.mu[SIDE - 1])
+        pole = (-1.0) ** np.arange(SIDE) * np.sqrt((1 - nodes * nodes) * gauss)
+        out = []
+        for j in range(SIDE):
+            sigma = float(self.sigma[j * SIDE])
+            m = min(max(SIDE, math.ceil(2 * self.span / sigma)), 4000)
+            at, g = (nodes, gauss) if m == SIDE else np.polynomial.legendre.leggauss(m)
+            if m == SIDE:
+                matrix = np.eye(SIDE)
+            else:                                            # barycentric interpolation
+                gap = at[:, None] - nodes
+                gap[gap == 0] = 1e-300
+                matrix = pole / gap
+                matrix /= matrix.sum(1, keepdims=True)
+            logs = self.log_posterior[j * SIDE:(j + 1) * SIDE] @ matrix.T
+            weight = np.exp(logs) * g * gauss[j]
+            keep = weight > 1e-10 * self.weight_top
+            out.append((j, centre + 0.5 * self.span * at[keep], weight[keep], sigma, matrix[keep]))
+        return out
 
     def per_rule(self) -> DataFrame:
         """(rule, wins, n, m1, m2): posterior moments of every group's rate."""
         w = F.get(F.lit(self.weight), F.col("cell"))
-        return self.cells.groupBy("rule", "wins", "n").agg(F.sum(w * F.col("m1")).alias("m1"),
-                                                           F.sum(w * F.col("m2")).alias("m2"))
+        return self.of_rules(self.cells.groupBy("wins", "n").agg(F.sum(w * F.col("m1")).alias("m1"), F.sum(w * F.col("m2")).alias("m2")))
+
+    def of_rules(self, found: DataFrame) -> DataFrame:
+        """What was found for a pair of counts, for every group that has it."""
+        return self.counts.join(found, ["wins", "n"])
 
 
 def partial_pooling(counts: DataFrame, p0: float = BREAKEVEN, s_mu: float = 0.3, s_sigma: float = 0.4,
@@ -217,47 +255,66 @@ def partial_pooling(counts: DataFrame, p0: float = BREAKEVEN, s_mu: float = 0.3,
         F.round(F.lit(float(fit.weight @ fit.sigma)), digits).alias("sigma_mean"))
 
 
-def density_interval(wins: float, n: float, mean: float, sd: float, mu, sigma, weight, logl, mass: float) -> tuple:
-    """Ends of equal density that hold `mass` of one group's marginal posterior."""
-    t = np.linspace(max(mean - 9 * sd, 1e-12), min(mean + 9 * sd, 1 - 1e-12), POINTS)
+def density_intervals(wins, n, mean, sd, mixture, logl, mass: float) -> tuple[np.ndarray, np.ndarray]:
+    """Ends of equal density that hold `mass` of the marginal posteriors of a batch of groups (logl: groups x nodes)."""
+    wins, n, mean, sd = (np.asarray(v, float)[:, None] for v in (wins, n, mean, sd))
+    lo, hi = np.maximum(mean - 9 * sd, 1e-12), np.minimum(mean + 9 * sd, 1 - 1e-12)
+    h = (hi - lo) / (POINTS - 1)
+    t = lo + h * np.arange(POINTS)
     eta = np.log(t) - np.log1p(-t)
     base = wins * _log_expit(eta) + (n - wins) * _log_expit(-eta) - np.log(t) - np.log1p(-t)
-    f = np.zeros(POINTS)
-    for m, s, w, ll in zip(mu, sigma, weight, logl):
-        f += w * np.exp(base - 0.5 * ((eta - m) / s) ** 2 - math.log(s) - HALF_LN_2PI - ll)
-    h = t[1] - t[0]
-    cdf = np.concatenate([[0.0], np.cumsum(0.5 * h * (f[1:] + f[:-1]))])
-    f, cdf = f / cdf[-1], cdf / cdf[-1]
-    peak = int(f.argmax())
-    low, high = 0.0, float(f[peak])
-    for _ in range(200):                                    # the level whose interval holds the mass
+    f = np.zeros(t.shape)
+    for j, mu, weight, s, matrix in mixture:                             # over the components, all groups at once
+        own = logl[:, j * SIDE:(j + 1) * SIDE] @ matrix.T
+        for k, (m, w) in enumerate(zip(mu, weight)):
+            f += np.exp(base - 0.5 * ((eta - m) / s) ** 2 + (math.log(w / s) - own[:, k:k + 1]))
+    cdf = np.concatenate([np.zeros((len(f), 1)), np.cumsum(0.5 * h * (f[:, 1:] + f[:, :-1]), axis=1)], axis=1)
+    f, cdf = f / cdf[:, -1:], cdf / cdf[:, -1:]
+    row, peak = np.arange(len(f)), f.argmax(axis=1)
+    left = np.arange(POINTS) <= peak[:, None]
+    at = lambda x, k: x[row, k]
+
+    def crossing(level, side):
+        """Place and CDF where the density meets the level, on one side of the peak; at the range's end if it does not."""
+        below = f < level[:, None]
+        if side < 0:
+            inner = (below & left).sum(axis=1)                           # first point of the level or more
+            outer = np.maximum(inner - 1, 0)
+        else:
+            inner = POINTS - 1 - (below & ~left).sum(axis=1)
+            outer = np.minimum(inner + 1, POINTS - 1)
+        gap = at(f, inner) - at(f, outer)
+        share = np.where(gap > 0, (level - at(f, outer)) / np.where(gap > 0, gap, 1), 0.0)
+        return tuple(at(x, outer) + share * (at(x, inner) - at(x, outer)) for x in (t, cdf))
+
+    low, high = np.zeros(len(f)), at(f, peak)
+    for _ in range(200):                                                 # the levels whose intervals hold the mass
         level = 0.5 * (low + high)
-        a = np.interp(level, f[:peak + 1], t[:peak + 1])
-        b = np.interp(-level, -f[peak:], t[peak:])
-        inside = np.interp(b, t, cdf) - np.interp(a, t, cdf)
-        low, high = (level, high) if inside > mass else (low, level)
-    return float(a), float(b)
+        (a, ca), (b, cb) = crossing(level, -1), crossing(level, 1)
+        wide = cb - ca > mass
+        low, high = np.where(wide, level, low), np.where(wide, high, level)
+    return a, b
 
 
 def hdi(counts: DataFrame, mass: float = 0.94, p0: float = BREAKEVEN, s_mu: float = 0.3, s_sigma: float = 0.4,
         digits: int = 6) -> DataFrame:
     """M7 `stat_hdi`: the shortest interval holding `mass` of each group's pooled posterior (M6).
 
-    A group's row carries its log likelihood at the (mu, sigma) nodes of noticeable weight."""
+    A row per distinct pair of counts carries its log likelihood at the
+    (mu, sigma) nodes; TOGETHER rows are worked on at a time."""
     fit = Pooled(counts, p0, s_mu, s_sigma)
-    keep = np.flatnonzero(fit.weight > 1e-9 * fit.weight.max())
-    mu, sigma, weight = fit.mu[keep], fit.sigma[keep], fit.weight[keep]
-    rows = fit.cells.filter(F.col("cell").isin(keep.tolist())).groupBy("rule", "wins", "n").agg(
-        F.sort_array(F.collect_list(F.struct("cell", "logl", "m1", "m2"))).alias("c"))
+    weight, mixture = fit.weight, fit.mixture()
+    rows = fit.cells.groupBy("wins", "n").agg(F.sort_array(F.collect_list(F.struct("cell", "logl", "m1", "m2"))).alias("c"))
 
     @pandas_udf("lo double, hi double")
     def ends(wins: pd.Series, n: pd.Series, logl: pd.Series, m1: pd.Series, m2: pd.Series) -> pd.DataFrame:
         out = []
-        for w, k, ll, a, b in zip(wins, n, logl, m1, m2):
-            mean = float(weight @ np.asarray(a)) / weight.sum()
-            sd = math.sqrt(max(float(weight @ np.asarray(b)) / weight.sum() - mean * mean, 1e-300))
-            out.append(density_interval(w, k, mean, sd, mu, sigma, weight, np.asarray(ll), mass))
-        return pd.DataFrame(out, columns=["lo", "hi"])
-
-    r = rows.select("rule", ends("wins", "n", "c.logl", "c.m1", "c.m2").alias("r"))
+        for i in range(0, len(wins), TOGETHER):
+            w, k, ll, a, b = (np.stack(x[i:i + TOGETHER].to_numpy()) for x in (wins, n, logl, m1, m2))
+            mean = a @ weight
+            sd = np.sqrt(np.maximum(b @ weight - mean * mean, 1e-300))
+            out.append(np.stack(density_intervals(w, k, mean, sd, mixture, ll, mass), axis=1))
+        return pd.DataFrame(np.concatenate(out) if out else np.zeros((0, 2)), columns=["lo", "hi"])
+
+    r = fit.of_rules(rows.select("wins", "n", ends("wins", "n", "c.logl", "c.m1", "c.m2").alias("r")))
     return r.select("rule", F.round("r.lo", digits).alias("hdi_lo"), F.round("r.hi", digits).alias("hdi_hi"))

@@ -168,8 +168,11 @@ def q_drift(spark, sf):
 # The model on one fixed product grid of (mu, sigma, z), fine enough for the test tables' group sizes; half-normal
 # sigma on midpoints, which the even integrand makes as good as a full line.
 MU0 = math.log(BE / (1 - BE))
-NU, NV, NZ, SPAN = 48, 40, 96, 6.5
-POOL_SQL = f"""grid AS (
+NZ, SPAN = 96, 6.5
+
+
+def _pool_sql(NU, NV):
+    return f"""grid AS (
   SELECT (iu + 0.5) * {2 * SPAN / NU!r} - {SPAN} AS u, (iv + 0.5) * {SPAN / NV!r} AS v FROM range(0, {NU}) a(iu), range(0, {NV}) b(iv)),
 effects AS (SELECT (iz + 0.5) * {2 * 8.0 / NZ!r} - 8.0 AS z FROM range(0, {NZ}) c(iz)),
 rates AS (SELECT u, v, z, 1 / (1 + exp(-({MU0!r} + 0.3 * u + 0.4 * v * z))) AS th FROM grid, effects),
@@ -187,6 +190,9 @@ spread AS (
     - sum(w) FILTER (v BETWEEN {SPAN / NV!r} AND {2 * SPAN / NV!r})) / 8) / sum(w) AS sigma FROM post2)"""
 
 
+POOL_SQL = _pool_sql(48, 40)
+
+
 @register("stat_partial_pooling", _p(f"""WITH {COUNTS_SQL}, {POOL_SQL}
 SELECT rule, any_value(wins) AS wins, any_value(n) AS n, round(sum(w * t) / sum(w), 4) AS theta_mean,
   round(sum(w * ({MU0!r} + 0.3 * u)) / sum(w), 4) AS mu_mean, any_value(round(sigma, 4)) AS sigma_mean
@@ -195,7 +201,35 @@ def q_pool(spark, sf):
     return ST.partial_pooling(ST.win_counts(picks_v(spark, sf)), digits=4)
 
 
-@register("stat_hdi")
+# The marginal density on K points of nine deviations each way: for every point left of the peak the point of equal
+# density on the right (the nearest from above, then linear), and the mass between them.  The density needs a finer
+# grid of mu than the means do, as near sigma = 0 it is a sum of narrow peaks.
+HK = 2000
+HDI_SQL = f"""mids AS (
+  SELECT rule, wins, n, sum(w * t) / sum(w) AS m, sqrt(sum(w * t) / sum(w) * (1 - sum(w * t) / sum(w)) / n) AS sd
+  FROM given JOIN post2 USING (u, v) JOIN counts USING (rule) GROUP BY rule, wins, n),
+ends AS (SELECT rule, wins, n, greatest(1e-9, m - 9 * sd) AS lo, least(1 - 1e-9, m + 9 * sd) AS hi FROM mids),
+at_ AS (SELECT rule, wins, n, k, (hi - lo) / {HK} AS h, lo + k * (hi - lo) / {HK} AS th FROM ends, range(0, {HK + 1}) AS r(k)),
+own AS (SELECT rule, {MU0!r} + 0.3 * u AS mu, 0.4 * v AS s, w / l / v AS w FROM given JOIN post2 USING (u, v) WHERE w > 1e-8),
+f0 AS (
+  SELECT rule, k, h, th, sum(w * exp(-power((ln(th / (1 - th)) - mu) / s, 2) / 2)) / (th * (1 - th)) * exp(
+    if(wins > 0, wins * ln(th * n / greatest(wins, 1)), 0) + if(wins < n, (n - wins) * ln((1 - th) * n / greatest(n - wins, 1)), 0)) AS f
+  FROM at_ JOIN own USING (rule) GROUP BY rule, k, h, th, wins, n),
+f1 AS (SELECT *, h * (sum(f) OVER q - f / 2 - first_value(f) OVER q / 2) AS c, lead(f) OVER q AS nf,
+    sum(f) OVER (PARTITION BY rule) * h AS total, arg_max(th, f) OVER (PARTITION BY rule) AS peak
+  FROM f0 WINDOW q AS (PARTITION BY rule ORDER BY k)),
+sides AS (
+  SELECT l.rule, l.k, l.h, l.th AS a, r.th + (r.f - l.f) / (r.f - r.nf) * r.h AS b,
+    (r.c + (r.f - l.f) / (r.f - r.nf) * r.h * (r.f + l.f) / 2 - l.c) / l.total AS mass
+  FROM (SELECT * FROM f1 WHERE th < peak) AS l ASOF JOIN (SELECT * FROM f1 WHERE th >= peak AND nf < f) AS r
+    ON l.rule = r.rule AND l.f <= r.f),
+steps AS (SELECT *, lead(a) OVER q AS a2, lead(b) OVER q AS b2, lead(mass) OVER q AS mass2 FROM sides
+  WINDOW q AS (PARTITION BY rule ORDER BY k))"""
+
+
+@register("stat_hdi", _p(f"""WITH {COUNTS_SQL}, {_pool_sql(160, 64)}, {HDI_SQL}
+SELECT rule, round(a + (mass - 0.94) / (mass - mass2) * (a2 - a), 4) AS hdi_lo,
+  round(b + (mass - 0.94) / (mass - mass2) * (b2 - b), 4) AS hdi_hi
+FROM steps WHERE mass >= 0.94 AND mass2 < 0.94"""))
 def q_hdi(spark, sf):
-    """No oracle: ends of equal density have no SQL form at this accuracy; compared with brute force in the tests."""
-    return ST.hdi(ST.win_counts(picks_v(spark, sf)))
+    return ST.hdi(ST.win_counts(picks_v(spark, sf)), digits=4)

@@ -139,7 +139,7 @@ def test_hdi_is_the_shortest_interval(spark, n):
         eta = m + 1.3 * sd * rng.standard_normal(len(cell))
         lw = w * (eta - np.logaddexp(0, eta)) - (k - w) * np.logaddexp(0, eta) - 0.5 * ((eta - fit.mu[cell]) / fit.sigma[cell]) ** 2 \
             + 0.5 * ((eta - m) / (1.3 * sd)) ** 2
-        logl = dict(fit.cells.filter(F.col("rule") == r.rule).select("cell", "logl").collect())
+        logl = dict(fit.cells.filter((F.col("wins") == w) & (F.col("n") == k)).select("cell", "logl").collect())
         lw += np.log(sd) - np.log(fit.sigma[cell]) - np.array([logl[int(x)] for x in cell])
         wt = np.exp(lw - lw.max())
         th = 1 / (1 + np.exp(-eta))
@@ -151,6 +151,17 @@ def test_hdi_is_the_shortest_interval(spark, n):
         assert r.hdi_hi - r.hdi_lo <= shortest * 1.02
 
 
+def test_equal_groups_are_one_row_a_node(spark):
+    rows = [(f"r{i}", 60 + i % 2, 100) for i in range(40)]
+    df = spark.createDataFrame(rows, "rule string, wins bigint, n bigint")
+    fit = ST.Pooled(df, ST.BREAKEVEN, 0.3, 0.4)
+    assert fit.cells.count() == 2 * len(fit.mu) and {r[0] for r in fit.cells.select("times").distinct().collect()} == {20}
+    single = spark.createDataFrame(rows[:1], df.schema).unionByName(df.filter("rule <> 'r0'"))
+    got = {r.rule: r.theta_mean for r in ST.partial_pooling(single).collect()}
+    assert len(got) == 40 and len(set(got.values())) == 2
+    assert ST.hdi(df).count() == 40
+
+
 def test_hdi_contains_mean(counts):
     rules = counts.filter("rule != 'ALL'")
     h = {r.rule: r for r in ST.hdi(rules).collect()}
