@@ -30,9 +30,9 @@ def labelled(docs: DataFrame, labels: DataFrame, label_col: str, rows: int, max_
               .filter(F.col("doc_id").isNotNull() & F.col("y").isNotNull() & ~held_out(F.col("doc_id")))
               .groupBy("doc_id").agg(F.max("y").alias("y"))
               .select("doc_id", "y", order.alias("key")).orderBy("key", "doc_id").limit(rows))
-    texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")) \
-        .withColumn("hash", F.xxhash64("text"))
-    sizes = (texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "hash", "key", "y")
+    texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    hash_ = F.xxhash64("text").alias("hash")                                 # of chosen rows only: joins come first
+    sizes = (texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", hash_, "key", "y")
              .agg(F.max(F.octet_length("text")).cast("long").alias("size")))
     sizes = stored(sizes, "sizes")
     firsts = sizes.groupBy("doc_id").agg(F.min("hash").alias("first"))       # at most `rows` ids
@@ -40,7 +40,7 @@ def labelled(docs: DataFrame, labels: DataFrame, label_col: str, rows: int, max_
     line = sizes.filter(F.col("size") <= max_bytes).join(F.broadcast(firsts), "doc_id").orderBy(*turn).limit(rows) \
         .select("doc_id", "hash", "y", F.struct(*(F.col(c) if isinstance(c, str) else c for c in turn)).alias("turn"), "size")
     taken = _taken(line.withColumn("place", F.row_number().over(Window.orderBy("turn"))), max_bytes)
-    return (texts.join(F.broadcast(taken), ["doc_id", "hash"])
+    return (texts.join(F.broadcast(taken), (texts["doc_id"] == taken["doc_id"]) & (F.xxhash64(texts["text"]) == taken["hash"]))
             .groupBy("place", "y").agg(F.min("text").alias("text")))
 
 
