@@ -7,8 +7,9 @@ is merge-anti-joined with the settled rows of the runs so far (keys known to
 be common need no more counting), and what is left is written as a run of
 level 0.  As soon as a level has FANOUT runs they are compacted into one run of
 the next level, which adds up the counts, so n batches leave O(log n) runs.
-All runs have the same buckets: neither the anti-joins nor the compactions
-move the runs' rows between executors, only a new batch's distinct lines.
+A level is a bucketed table and all have the same buckets: neither the
+anti-joins nor the compactions move the runs' rows between executors, only a
+new batch's distinct lines.  The levels' sums are shuffled once, at the end.
 
 A key is common once its counts over all runs reach MIN_DOCS.  Common lines
 are dropped from every document: line hashes are joined with the common keys
@@ -67,65 +68,62 @@ def line_counts(docs: DataFrame, text_col: str = "text", min_chars: int = MIN_CH
 class LineRuns:
     """Levelled runs of line counts under the shared folder; the driver holds their names only.
 
-    `close()` deletes the runs.
+    A level is one bucketed table, a run one append to it, sorted in every
+    bucket.  `close()` deletes them.
     """
 
     def __init__(self, spark: SparkSession, min_docs: int = MIN_DOCS, fanout: int = FANOUT):
         self.spark, self.min_docs, self.fanout = spark, min_docs, fanout
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.levels: list[list[str]] = [[]]
-        self._paths: dict[str, str] = {}
-
-    def _write(self, rows: DataFrame) -> str:
-        name, path = f"line_run_{uuid.uuid4().hex}", scratch(self.spark, "line-run")
-        (rows.select(*HASH, "n").write.bucketBy(self.buckets, *HASH).sortBy(*HASH).option("path", path)
-         .saveAsTable(name))
-        self._paths[name] = path
-        return name
-
-    def _drop(self, names: list[str]) -> None:
-        for name in names:
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-            discard(self.spark, self._paths.pop(name))
-
-    def runs(self) -> list[DataFrame]:
-        return [self.spark.table(name) for level in self.levels for name in level]
-
-    def _merged(self, names: list[str]) -> DataFrame:
-        """Counts added up over some runs."""
-        rows = self.spark.table(names[0])
-        for name in names[1:]:
-            rows = rows.unionByName(self.spark.table(name))
-        return rows.groupBy(*HASH).agg(F.sum("n").alias("n"))
+        self.levels: list[int] = []                      # runs of each level
+        self._tables: list[tuple[str, str]] = []         # (name, path) of each level
+
+    def _append(self, level: int, rows: DataFrame) -> None:
+        if level == len(self.levels):
+            self.levels.append(0)
+            self._tables.append((f"line_level_{uuid.uuid4().hex}", scratch(self.spark, "line-level")))
+        name, path = self._tables[level]
+        (rows.select(*HASH, "n").write.mode("append").bucketBy(self.buckets, *HASH).sortBy(*HASH)
+         .option("path", path).saveAsTable(name))
+        self.levels[level] += 1
+
+    def _drop(self, level: int) -> None:
+        name, path = self._tables[level]
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        discard(self.spark, path)
+        self._tables[level], self.levels[level] = (f"line_level_{uuid.uuid4().hex}", scratch(self.spark, "line-level")), 0
+
+    def tables(self) -> list[DataFrame]:
+        """The runs of each level that has any."""
+        return [self.spark.table(name) for (name, _), n in zip(self._tables, self.levels) if n]
 
     def unsettled(self, counts: DataFrame) -> DataFrame:
-        """The rows of `counts` whose key no run has settled as common: one merge anti-join a run."""
-        for run in self.runs():
-            known = run.filter(F.col("n") >= self.min_docs).select(*HASH)
+        """The rows of `counts` whose key no run has settled as common: one merge anti-join a level."""
+        for level in self.tables():
+            known = level.filter(F.col("n") >= self.min_docs).select(*HASH)
             counts = counts.join(known.hint("merge"), HASH, "left_anti")
         return counts
 
     def add(self, counts: DataFrame) -> None:
         """Take a batch's line_counts()."""
-        self.levels[0].append(self._write(self.unsettled(counts)))
-        for k, level in enumerate(self.levels):                # grows while a level overflows into the next
-            if len(level) >= self.fanout:
-                if k + 1 == len(self.levels):
-                    self.levels.append([])
-                self.levels[k + 1].append(self._write(self._merged(level)))
-                self._drop(level)
-                self.levels[k] = []
+        self._append(0, self.unsettled(counts))
+        level = 0
+        while self.levels[level] >= self.fanout:
+            self._append(level + 1, self.spark.table(self._tables[level][0]).groupBy(*HASH).agg(F.sum("n").alias("n")))
+            self._drop(level)
+            level += 1
 
     def common(self) -> DataFrame:
         """(h1, h2) of the keys that at least min_docs documents hold."""
-        names = [name for level in self.levels for name in level]
-        if not names:
-            return self.spark.createDataFrame([], "h1 long, h2 long")
-        return self._merged(names).filter(F.col("n") >= self.min_docs).select(*HASH)
+        rows = self.spark.createDataFrame([], "h1 long, h2 long, n long")
+        for level in self.tables():
+            rows = rows.unionByName(level.groupBy(*HASH).agg(F.sum("n").alias("n")))
+        # repartitioned: a bucketed table below a union is not read by its buckets
+        return rows.repartition(*HASH).groupBy(*HASH).agg(F.sum("n").alias("n")).filter(F.col("n") >= self.min_docs).select(*HASH)
 
     def close(self) -> None:
-        self._drop([name for level in self.levels for name in level])
-        self.levels = [[]]
+        for level in range(len(self.levels)):
+            self._drop(level)
 
 
 def common_lines(spark: SparkSession, batches: list[DataFrame], text_col: str = "text", min_docs: int = MIN_DOCS,
