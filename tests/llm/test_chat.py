@@ -41,3 +41,30 @@ def test_long_conversations_and_a_common_first_turn(ready, monkeypatch):
     con = duckdb.connect()
     con.register("conversations", df.toPandas())
     assert sorted(spark_rows(chat.format_chats(df))[1]) == sorted(duck_rows(con, oracles.op3_snapshot_collapse)[1])
+
+
+def test_equal_hashes_of_different_turns_drop_nothing(ready, monkeypatch):
+    """Turn hashes modulo 2 make most prefixes meet; the turns decide."""
+    import random
+
+    import duckdb
+    monkeypatch.setattr(chat, "MODULUS", 2)
+    rng = random.Random(2)
+    rows = [r for i in range(120) for r in conv(i, *[rng.choice("abc") for _ in range(rng.randrange(1, 6))])]
+    df = turns(ready, rows)
+    con = duckdb.connect()
+    con.register("conversations", df.toPandas())
+    want = sorted(duck_rows(con, oracles.op3_snapshot_collapse)[1])
+    assert sorted(spark_rows(chat.format_chats(df))[1]) == want
+    read = chat.prefixes(df)
+    heads = read.groupBy("conv_id").agg({"pos": "max", "h1": "max", "h2": "max"}).toDF("conv_id", "a", "b", "c")
+    assert heads.groupBy("a", "b", "c").count().filter("count > 1").count() > 10     # hashes did meet
+
+
+def test_very_long_turns_and_clashing_columns(ready):
+    long = "word " * 500_000
+    rows = conv(1, long, "end") + conv(2, long) + conv(3, long, "end", "more") + conv(4, long + "x")
+    assert kept(ready, rows) == {3: (3, 1), 4: (1, 1)}
+    import pyspark.sql.functions as F
+    df = turns(ready, conv(1, "a") + conv(2, "a", "b")).withColumns({c: F.lit(c) for c in ("digest", "first", "at", "run", "nth")})
+    assert [tuple(r)[:3] for r in chat.format_chats(df).collect()] == [(2, 2, 1)]
