@@ -63,9 +63,12 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN cov USING (r) LEFT JOIN its USING (r)
 """
 
-# The same targets, quotas and seeded blocks; words are taken block by block and document by document.
+# The same targets and seeded blocks; seats go to the highest of all quotients, and words are taken block by block and
+# document by document.
 op6_sainte_lague = rf"""
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, len({TOKENS})::BIGINT AS size FROM documents),
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, len({TOKENS})::BIGINT AS size,
+    md5('mix-1:' || coalesce(doc_id::VARCHAR, '-') || ':' || md5(coalesce(text, ''))) AS key FROM documents),
 s0 AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 s1 AS (
   SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS pos, sum(source_size) OVER ()::BIGINT AS total FROM s0),
@@ -78,12 +81,13 @@ s3 AS (
 lv AS (SELECT coalesce(arg_min(lv, (ratio, pos)), 0) AS l FROM s3 WHERE lv <= ratio),
 s AS (
   SELECT source, pos, source_size, least(cap::DOUBLE, l * weight) AS target,
-    ceil(source_size / greatest(65536, ceil(total / 16384)))::BIGINT AS n_shards FROM s3, lv),
+    greatest(65536, ceil(total / 16384)) AS shard_words FROM s3, lv),
 dealt AS (
-  SELECT r, doc_id, size, pos, source_size, target, own,
-    ('0x' || substr(own, 1, 8))::BIGINT % greatest(n_shards, 1) AS shard
-  FROM (SELECT r, doc_id, size, source, md5('mix-1:' || coalesce(doc_id::VARCHAR, '-')) AS own FROM d) AS x
-  JOIN s ON x.source IS NOT DISTINCT FROM s.source),
+  SELECT *, ('0x' || substr(own, 1, 8))::BIGINT % greatest(ceil(source_size / shard_words)::BIGINT, 1) AS shard FROM (
+    SELECT r, doc_id, size, pos, source_size, target, shard_words, CASE WHEN sum(size) OVER c > shard_words
+      THEN md5('mix-1:' || key || ':' || (row_number() OVER c2 - 1)) ELSE key END AS own
+    FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source
+    WINDOW c AS (PARTITION BY pos, key), c2 AS (PARTITION BY pos, key ORDER BY r))),
 line AS (
   SELECT *, sum(size) OVER (PARTITION BY pos, shard ORDER BY own, doc_id, size ROWS UNBOUNDED PRECEDING)::BIGINT AS stop
   FROM dealt),
@@ -92,21 +96,12 @@ sh0 AS (
   FROM dealt GROUP BY pos, shard HAVING sum(size) > 0),
 sh1 AS (
   SELECT *, (words + 63) // 64 AS blocks, floor(target * ((words + 63) // 64) / ss * 1024)::BIGINT AS want FROM sh0),
-sh2 AS (
-  SELECT *, count(*) OVER () AS n, sum(want) OVER ()::BIGINT AS want_all, (sum(want) OVER ()::BIGINT + 512) // 1024 AS seats
-  FROM sh1),
-sh3 AS (
-  SELECT *,
-    least(greatest(floor(want * (seats - n / 2 - 1) / greatest(want_all, 1) + 0.5), 0), 2 * blocks)::BIGINT AS sure,
-    least(greatest(floor(want * (seats + n / 2 + 1) / greatest(want_all, 1) + 0.5), 0), 2 * blocks)::BIGINT AS most
-  FROM sh2),
-cand AS (
-  SELECT pos, shard, want, unnest(range(sure, most)) AS k, seats - (SELECT sum(sure) FROM sh3)::BIGINT AS o FROM sh3),
 won AS (
-  SELECT pos, shard, count(*) AS won FROM (
-    SELECT *, row_number() OVER (ORDER BY want / (2 * k + 1) DESC, pos, shard, k) AS rk FROM cand)
-  WHERE rk <= o GROUP BY pos, shard),
-q AS (SELECT sh3.pos, sh3.shard, words, blocks, sure + coalesce(won, 0) AS quota FROM sh3 LEFT JOIN won USING (pos, shard)),
+  SELECT pos, shard, count(*) AS quota FROM (
+    SELECT pos, shard, row_number() OVER (ORDER BY want / (2 * k + 1) DESC, pos, shard, k) AS rk
+    FROM (SELECT *, unnest(range(0, 2 * blocks)) AS k FROM sh1 WHERE want > 0))
+  WHERE rk <= (SELECT (sum(want)::BIGINT + 512) // 1024 FROM sh1) GROUP BY pos, shard),
+q AS (SELECT sh1.pos, sh1.shard, words, blocks, coalesce(quota, 0) AS quota FROM sh1 LEFT JOIN won USING (pos, shard)),
 b AS (
   SELECT *, row_number() OVER (PARTITION BY pos, shard ORDER BY md5('mix-1:' || pos || ':' || shard || ':' || block), block)
     AS turn FROM (SELECT *, unnest(range(0, blocks)) AS block FROM q)),

@@ -36,25 +36,48 @@ def test_targets(ready, sizes):
     assert [r.target for r in rows] == pytest.approx(fill(sizes))
 
 
-def test_quotas_are_sainte_lague(ready):
+@pytest.mark.parametrize("seed", range(6))
+def test_quotas_are_sainte_lague(ready, seed):
+    """Exactly the seats of a heap of highest quotients, with sources at, near and far below their caps."""
     import heapq
     import random
-    rng = random.Random(6)
-    shards = [(p, s, b, rng.randrange(2 * b * X.UNIT + 1)) for p in range(4) for s in range(9)
-              for b in [rng.choice([1, 3, 50, 1000])]]
+    rng = random.Random(seed)
+    full = rng.choice([1.0, 0.9, 0.5])
+    shards = []
+    for p in range(4):
+        share = [1.0, full, rng.random(), 0.0][p]
+        for s in range(rng.randrange(1, 12)):
+            b = rng.choice([1, 3, 50, 1000])
+            shards.append((p, s, b, int(2 * b * X.UNIT * share)))
     rows = X.quotas(ready.createDataFrame(shards, "pos long, shard long, blocks long, want long")).collect()
     seats = (sum(w for *_, w in shards) + X.UNIT // 2) // X.UNIT
     got = {(p, s): 0 for p, s, _, _ in shards}
     heap = [(-w, p, s, 0, w, b) for p, s, b, w in shards if w]
     heapq.heapify(heap)
     for _ in range(seats):
-        if heap:
-            _, p, s, k, w, b = heapq.heappop(heap)
-            got[p, s] += 1
-            if k + 1 < 2 * b:
-                heapq.heappush(heap, (-w / (2 * k + 3), p, s, k + 1, w, b))
-    assert sum(got.values()) - sum(r.quota for r in rows) in (0, 1)      # capped shards may leave a seat
-    assert all(abs(r.quota - got[r.pos, r.shard]) <= 1 for r in rows)
+        _, p, s, k, w, b = heapq.heappop(heap)
+        got[p, s] += 1
+        if k + 1 < 2 * b:
+            heapq.heappush(heap, (-w / (2 * k + 3), p, s, k + 1, w, b))
+    assert {(r.pos, r.shard): r.quota for r in rows} == got and sum(got.values()) == seats
+
+
+def test_copies_of_one_document_are_many_shards(ready, monkeypatch):
+    """A third of all rows are one row, of a null id in one source; a third more are empty."""
+    import duckdb
+    monkeypatch.setattr(X, "SHARD_WORDS", 2048)
+    docs = ready.range(0, 9000, 1, 6).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.lit("one").alias("source"),
+        F.when(F.col("id") % 3 == 0, F.lit("the same seven words in every row")).when(F.col("id") % 3 == 1, F.repeat(
+            F.lit("w "), (F.col("id") % 29).cast("int"))).alias("text"))
+    sizes = []
+    monkeypatch.setattr(X, "quotas", lambda s, f=X.quotas: (sizes.extend(r.words for r in s.collect()), f(s))[1])
+    rows = X.mix(docs)
+    con = duckdb.connect()
+    con.register("documents", docs.toArrow())
+    want = duck_rows(con, oracles.op6_sainte_lague.replace("65536", "2048"))[1]
+    assert sorted(spark_rows(rows)[1], key=str) == sorted(want, key=str)
+    assert max(sizes) < 2 * 2048
 
 
 def test_mix_comes_near_its_targets(ready):
