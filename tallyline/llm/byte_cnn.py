@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField
 
-from .common import map_texts
+from .common import map_texts, tidy
 from .training import fit_in_one_task, labelled
 
 STEP, EMBED, FILTERS = 4, 6, 24
@@ -171,6 +171,7 @@ def score_column(spark: SparkSession, model: bytes, text: Column) -> Column:
 
     @F.pandas_udf("double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        tidy()
         fn = scorer(shared.value)
         for s in batches:
             yield pd.Series(fn(s.tolist())[0], dtype="float64")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -104,6 +105,20 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+KEPT: list[Callable[[], None]] = []   # frees what a module keeps in a worker process between tasks
+
+
+def tidy() -> None:
+    """Called where a task begins or ends: gives back what operators of other stages left in this worker process."""
+    for free in KEPT:
+        free()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):                        # not glibc: nothing to give back
+        pass
+
+
 def map_texts(df: DataFrame, keep: list[str], text_col: str, fields: list[StructField],
               make: Callable[[], Callable[[list], list]]) -> DataFrame:
     """One output row per input row: the `keep` columns, then `fields`.
@@ -116,6 +131,7 @@ def map_texts(df: DataFrame, keep: list[str], text_col: str, fields: list[Struct
     arrow, n = to_arrow_schema(schema), len(keep)
 
     def run(batches):
+        tidy()
         fn = make()
         for b in batches:
             col = b.column(n)

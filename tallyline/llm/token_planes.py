@@ -43,7 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import scratch
+from .common import KEPT, scratch
 
 MAGIC = b"TLPLANE1"
 BLOCK, FILE_IDS, END_ID = 1 << 16, 1 << 20, 1
@@ -167,6 +167,9 @@ def encoder_of(path: str) -> PieceEncoder:
     return PieceEncoder(path)
 
 
+KEPT.append(encoder_of.cache_clear)   # stages of other operators need its memory
+
+
 def pack_block(ids: np.ndarray) -> list[bytes]:
     """Compressed bit planes of one block, lowest bit first, none above the highest set bit."""
     planes = max(1, int(ids.max()).bit_length()) if len(ids) else 0

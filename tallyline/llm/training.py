@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import held_out, stored
+from .common import held_out, stored, tidy
 
 LARGE = 16                            # a text above max_bytes / LARGE is taken after all smaller ones
 
@@ -65,10 +65,14 @@ def fit_in_one_task(sample: DataFrame, fit: Callable[[list[tuple[bytes, int]]],
     No rows give the untrained model.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         rows = sorted((k, t, y) for b in batches
                       for k, y, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(),
                                          b.column(2).cast(pa.binary()).to_pylist()))
-        yield pa.RecordBatch.from_arrays([pa.array([fit([(t, y) for _, t, y in rows])], pa.binary())], ["model"])
+        model = fit([(t, y) for _, t, y in rows])
+        del rows
+        tidy()
+        yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], ["model"])
 
     row = sample.repartition(1).mapInArrow(run, "model binary").first()
     return bytes(row["model"]) if row else fit([])          # an empty sample may start no task
