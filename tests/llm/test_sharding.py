@@ -42,12 +42,39 @@ def test_hot_text_is_subdivided(ready, hot):
 
 def test_no_range_stays_overfull(ready):
     keys = ready.range(20_000).select(F.lit(7).cast("long").alias("k"), F.xxhash64("id").alias("s"),
-                                      F.lit(10).cast("long").alias("size"))
+                                      F.lit(0).cast("long").alias("c"), F.lit(10).cast("long").alias("size"))
     cuts = S.splitters(keys, 200_000, 256)
-    placed = keys.withColumn("r", S._range_of(cuts)("k", "s")).groupBy("r").agg(F.sum("size").alias("b")).collect()
+    placed = keys.withColumn("r", S._range_of(cuts)).groupBy("r").agg(F.sum("size").alias("b")).collect()
     assert max(r.b for r in placed) <= 2 * 200_000 / 256 and len(placed) >= 200
 
 
+def test_copies_of_one_row_are_many_ranges(ready):
+    """A third of all rows are equal in id and text."""
+    docs = ready.range(9000).select(F.when(F.col("id") % 3 > 0, F.col("id")).otherwise(5).alias("doc_id"),
+                                    F.when(F.col("id") % 3 > 0, F.concat(F.lit("own text "), "id")).otherwise("one text").alias("text"))
+    by = check(S.shard(docs).collect())
+    assert max(len(part) for part in by.values()) < 1.5 * 9000 / 16
+    keys = ready.range(20_000).select(F.lit(7).cast("long").alias("k"), F.lit(9).cast("long").alias("s"), F.xxhash64("id").alias("c"),
+                                      F.lit(10).cast("long").alias("size"))
+    placed = keys.withColumn("r", S._range_of(S.splitters(keys, 200_000, 256))).groupBy("r").agg(F.sum("size").alias("b")).collect()
+    assert max(r.b for r in placed) <= 2 * 200_000 / 256
+
+
+def test_placement_against_a_slow_one(ready):
+    """Key order by a plain sort, shards by the place of each record's middle."""
+    docs = ready.range(700).select(F.col("id").alias("doc_id"), F.repeat(F.lit("é"), (F.col("id") % 13).cast("int")).alias("text"))
+    rows = S.shard(docs, shards=7).collect()
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("k"), F.xxhash64(F.lit(S.SEED), "doc_id").alias("s"),
+                        (F.octet_length("text") + 1).alias("size")).collect()
+    total, at, want, slots = sum(r["size"] for r in keyed), 0, {}, {}
+    for r in sorted(keyed, key=lambda r: (r.k, r.s)):
+        shard = min(int((at + r["size"] / 2) * 7 // total), 6)
+        want[r.doc_id] = shard, slots.get(shard, 0)
+        slots[shard] = slots.get(shard, 0) + 1
+        at += r["size"]
+    assert {r.doc_id: (r.shard, r.slot) for r in rows} == want
+
+
 def test_edges(ready):
     docs = docs_frame(ready)
     rows = S.shard(docs).collect()
