@@ -50,6 +50,7 @@ SIGNATURE = [StructField("n_shingles", LongType()), StructField("set_key", Binar
              StructField("bands", ArrayType(LongType())), StructField("bits", ArrayType(LongType()))]
 SET = [StructField("n_shingles", LongType()), StructField("key", BinaryType()),
        StructField("shingles", ArrayType(LongType()))]
+TEXT, TEXT_KEY = "__minhash_text", "__minhash_text_key"
 
 
 def shingles(text: bytes | None, k: int = SHINGLE) -> np.ndarray:
@@ -104,12 +105,13 @@ def _set_of(text, k):
 
 def _sets(docs: DataFrame, reps: DataFrame, rids: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
     """(rid, shingles) of the representatives named in `rids`, from their texts."""
-    want = reps.join(rids.select("rid").distinct(), "rid", "left_semi").select("rid", "first_doc", "set_key")
+    want = reps.join(rids.select("rid").distinct(), "rid", "left_semi").select("rid", "first_doc", "first_text", "set_key")
     want = stored(want, "want")
     if want.count() <= BROADCAST_ROWS:
         want = F.broadcast(want)
-    texts = docs.select(F.col(id_col).alias("first_doc"), F.col(text_col).alias("text")).join(want, "first_doc")
-    made = map_texts(texts, ["rid", "set_key"], "text", SET,
+    text = F.col(text_col).cast("string")
+    texts = docs.select(F.col(id_col).alias("first_doc"), F.xxhash64(text).alias("first_text"), text.alias("text"))
+    made = map_texts(texts.join(want, ["first_doc", "first_text"]), ["rid", "set_key"], "text", SET,
                      lambda: lambda batch: [list(c) for c in zip(*(_set_of(t, k) for t in batch))] or [[] for _ in SET])
     return stored(made.filter("key = set_key").select("rid", "shingles").dropDuplicates(["rid"]), "sets")
 
@@ -184,10 +186,12 @@ def _checked(pairs: DataFrame, docs, reps, id_col, text_col, k) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE) -> DataFrame:
     """(id, n_shingles, component_id, kept) for every row of `docs`, by shingles of `shingle` words."""
-    sig = stored(map_texts(docs, [id_col], text_col, SIGNATURE, lambda: signer(shingle)), "signatures")
+    keyed = docs.select(id_col, F.col(text_col).cast("string").alias(TEXT)).withColumn(TEXT_KEY, F.xxhash64(TEXT))
+    sig = stored(map_texts(keyed, [id_col, TEXT_KEY], TEXT, SIGNATURE, lambda: signer(shingle)), "signatures")
     reps = (sig.filter(F.col("set_key").isNotNull() & F.col(id_col).isNotNull())
-            .groupBy("set_key").agg(F.min(id_col).alias("first_doc"), F.first("n_shingles").alias("n"),
-                                    F.first("bands").alias("bands"), F.first("bits").alias("bits"))
+            .groupBy("set_key").agg(F.min(F.struct(F.col(id_col).alias("id"), F.col(TEXT_KEY).alias("text"))).alias("first"),
+                                    F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("bits").alias("bits"))
+            .select("set_key", F.col("first.id").alias("first_doc"), F.col("first.text").alias("first_text"), "n", "bands", "bits")
             .withColumn("rid", F.monotonically_increasing_id()))
     reps = stored(reps, "reps")
 
