@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.llm import byte_cnn, decontaminate, minhash, mixing, token_planes
-from tallyline.llm.common import ready, scratch, stored, table
+from tallyline.llm.common import cleared, discard, ready, scratch, stored, table
 from tallyline.llm.queries import tokenizer_path
 
 QUALITY_THRESHOLD = 0.3
@@ -30,11 +30,20 @@ def _key() -> Column:
     return F.struct(F.col("doc_id").alias("id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("hash"))
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """`name`, or a longer one that no column of `docs` has (column names differ by more than case)."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """The rows of `docs` whose key is not in `dropped`."""
-    dropped = stored(dropped.select(KEY).distinct(), "dropped")
+    key = _free(docs, KEY)
+    dropped = stored(dropped.select(F.col(KEY).alias(key)).distinct(), "dropped")
     few = dropped.count() <= BROADCAST_ROWS
-    return docs.withColumn(KEY, _key()).join(F.broadcast(dropped) if few else dropped, KEY, "left_anti") \
+    return docs.withColumn(key, _key()).join(F.broadcast(dropped) if few else dropped, key, "left_anti") \
         .select(docs.columns)
 
 
@@ -58,16 +67,17 @@ def one_row_each(docs: DataFrame) -> DataFrame:
     Only keys are counted over all rows, and only rows of repeated keys are aggregated, with a partial step,
     so a key that holds a third of all rows is a row a task by then.
     """
-    keyed = docs.withColumn(KEY, _key())
-    repeated = stored(keyed.groupBy(KEY).agg(F.count("*").alias("n")).filter("n > 1").select(KEY), "repeated")
+    key, whole = _free(docs, KEY), _free(docs, "__row")
+    keyed = docs.withColumn(key, _key())
+    repeated = stored(keyed.groupBy(key).agg(F.count("*").alias(whole)).filter(F.col(whole) > 1).select(key), "repeated")
     n = repeated.count()
     if not n:
         return docs
     known = F.broadcast(repeated) if n <= BROADCAST_ROWS else repeated
     others = [F.col(c) for c in docs.columns if c != "text"]
-    row, order = F.struct(*docs.columns), F.to_json(F.struct(F.col("text").isNull().alias("null_text"), *others))
-    first = keyed.join(known, KEY, "left_semi").groupBy(KEY).agg(F.min_by(row, order).alias(KEY + "_row"))
-    return keyed.join(known, KEY, "left_anti").select(docs.columns).unionByName(first.select(KEY + "_row.*"))
+    row, order = F.struct(*docs.columns), F.to_json(F.struct(F.col("text").isNull().alias(whole), *others))
+    first = keyed.join(known, key, "left_semi").groupBy(key).agg(F.min_by(row, order).alias(whole))
+    return keyed.join(known, key, "left_anti").select(docs.columns).unionByName(first.select(f"{whole}.*"))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -89,11 +99,12 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ready(spark)
     keyed = docs.select(_key().alias(KEY), "text", "source")
     u = F.pmod(F.xxhash64(F.lit(29), KEY), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    key, n, copy = _free(docs, KEY), _free(docs, "__times"), _free(docs, "__copy")
     times = mixing.mix(keyed, KEY).filter("taken > 0").select(
-        KEY, F.floor(F.col("taken") / F.greatest("size", F.lit(1)) + u).cast("int").alias("__times")).filter("__times > 0")
-    times = stored(times.groupBy(KEY).agg(F.max("__times").alias("__times")), "times")
-    return (docs.withColumn(KEY, _key()).join(times, KEY)
-            .withColumn("__copy", F.explode(F.sequence(F.lit(1), "__times"))).select(docs.columns))
+        F.col(KEY).alias(key), F.floor(F.col("taken") / F.greatest("size", F.lit(1)) + u).cast("int").alias(n)).filter(F.col(n) > 0)
+    times = stored(times.groupBy(key).agg(F.max(n).alias(n)), "times")
+    return (docs.withColumn(key, _key()).join(times, key)
+            .withColumn(copy, F.explode(F.sequence(F.lit(1), n))).select(docs.columns))
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -117,9 +128,13 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`, each written to the shared folder and reread."""
     ready(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
         path = scratch(spark, "stage")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with cleared(spark):                                 # a stage's own intermediate tables go with it
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if last:
+            discard(spark, last)
+        last = path
     return docs

@@ -49,3 +49,27 @@ def test_repeats_beyond_the_broadcast(ready, monkeypatch):
     monkeypatch.setattr(P, "BROADCAST_ROWS", 0)
     docs = docs_frame(ready)
     assert P.one_row_each(docs.unionAll(docs)).count() == 15
+
+
+def test_columns_of_any_name_survive(ready):
+    """Extra columns that bear the stages' own working names, in other case too, come back with their values."""
+    names = ["__document", "__DOCUMENT_", "__times", "__copy", "__row", "id", "hash", "size", "taken", "kept"]
+    docs = ready.read.parquet(f"{SF}/documents.parquet").select("*", *(
+        F.concat(F.lit(f"{n} of "), "doc_id").alias(n) for n in names))
+    for name, stage in P.STAGES[:4]:
+        got = stage(ready, docs, SF)
+        assert got.columns == docs.columns, name
+        rows = got.collect()
+        assert rows and all(r[n] == f"{n} of {r.doc_id}" for r in rows for n in names), name
+
+
+def test_run_leaves_only_its_output(ready, tmp_path, monkeypatch):
+    import os
+
+    from tallyline.llm import common
+    monkeypatch.setattr(common, "checkpoint_dir", lambda spark: str(tmp_path))
+    rows = P.run(ready, SF)
+    left = sorted(os.listdir(tmp_path))
+    assert rows.count() > 0 and len([x for x in left if x.startswith("llm-stage")]) == 1
+    # what the last stage's lazy result reads is its own written output
+    assert [x.split("-")[1] for x in left] == ["stage"], left
