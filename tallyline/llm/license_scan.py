@@ -3,10 +3,11 @@
 All templates and base phrases go into one automaton (a few thousand states,
 shipped with the task).  Streaming a document's words through it gives the
 matching statistics: at each word, the longest suffix read so far that occurs
-in any template.  Runs of at least MIN_RUN words that cannot be extended are
-long matches; matches that keep their order in a template, at most MAX_GAP
+in any template.  Runs of at least MIN_RUN words that cannot be extended within
+a template are its long matches; matches that keep their order in a template, at most MAX_GAP
 words apart, are chained into covered spans.  A template counts as found when
-a chain covers at least MIN_COVER of its words.  Base phrases are read off the
+a chain covers at least MIN_COVER of its words.  Templates are opening notices
+and whole short licences, so a body whose heading was cut is found too.  Base phrases are read off the
 automaton too: a phrase ends at a word when its state lies on the suffix path
 of the current state.
 
@@ -22,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import (ArrayType, DoubleType, LongType, StringType, StructField, StructType)
 
 from .common import map_texts, words_of
+from .license_texts import WHOLE
 
 # Base phrases and their labels.
 BASE_PHRASES = (
@@ -130,28 +132,35 @@ class Automaton:
         return new
 
     def scan(self, words: list[bytes]) -> tuple[list, list]:
-        """Phrase places (start, phrase) and unextendable runs (end, length, state)."""
-        step, link, size, out, known = self.step, self.link, self.size, self.out, self.vocabulary
+        """Phrase places (start, phrase) and long matches (end, length, state, next state).
+
+        A match ends where no template goes on (next state None) or, for the templates of its state that are
+        not in the next one's, where others do.
+        """
+        step, link, size, out, known, ends = self.step, self.link, self.size, self.out, self.vocabulary, self.ends
         places, runs, v, n = [], [], 0, 0
         for i, w in enumerate(words):
             if w not in known:
                 if n >= MIN_RUN:
-                    runs.append((i, n, v))
+                    runs.append((i, n, v, None))
                 v = n = 0
                 continue
             if w not in step[v]:
                 if n >= MIN_RUN:
-                    runs.append((i, n, v))
+                    runs.append((i, n, v, None))
                 while v and w not in step[v]:
                     v = link[v]
                 n = size[v]
+            u = v
             v = step[v][w]
+            if n >= MIN_RUN and len(ends[v]) < len(ends[u]):
+                runs.append((i, n, u, v))
             n += 1
             for length, p in out[v]:
                 if n >= length:
                     places.append((i - length + 1, p))
         if n >= MIN_RUN:
-            runs.append((len(words), n, v))
+            runs.append((len(words), n, v, None))
         return places, runs
 
 
@@ -159,8 +168,11 @@ def _chains(runs: list[tuple], automaton: Automaton, lengths: list[int]) -> dict
     """Per template its best chain: (covered words, start, end) in the document."""
     best: dict[int, tuple] = {}
     open_: dict[int, list] = {}
-    for end, n, v in runs:
+    for end, n, v, after in runs:
+        on = automaton.ends[after] if after is not None else ()
         for t, at in automaton.ends[v].items():
+            if t in on:
+                continue
             live = [c for c in open_.get(t, ()) if c[2] >= end - n - MAX_GAP]
             now = (n, end - n, end, at)
             for covered, start, stop, upto in live:
@@ -173,9 +185,9 @@ def _chains(runs: list[tuple], automaton: Automaton, lengths: list[int]) -> dict
     return {t: (min(c, lengths[t]), a, b) for t, (c, a, b) in best.items()}
 
 
-def scanner(templates=TEMPLATES, phrases=BASE_PHRASES):
+def scanner(templates=(*TEMPLATES, *WHOLE), phrases=BASE_PHRASES):
     """A function from a batch of texts to the columns of FIELDS."""
-    texts = [p.encode().split() for p, _ in phrases] + [t.encode().split() for _, t in templates]
+    texts = [words_of(p.encode()) for p, _ in phrases] + [words_of(t.encode()) for _, t in templates]
     names = [label for _, label in phrases] + [label for label, _ in templates]
     n_phrases, lengths = len(phrases), [len(t) for t in texts]
     automaton = Automaton(texts, list(range(n_phrases)))

@@ -74,6 +74,76 @@ def test_gradients_against_differences():
         assert abs((up - down) / 2e-6 - g[name][at]) < 1e-4 * max(1, abs(g[name][at]))
 
 
+def test_forward_pass_against_a_slow_one():
+    """Every window by plain loops, for texts of many lengths in one batch."""
+    import io
+    rng = np.random.default_rng(5)
+    model = byte_cnn.fit([(bytes(rng.integers(32, 120, 700, np.uint8)), i % 2) for i in range(40)], epochs=1)
+    p = np.load(io.BytesIO(model))
+    texts = [bytes(rng.integers(0, 256, n, np.uint8)) for n in (0, 1, 7, 9, 511, 513, 1021, 140_000)] + [None]
+
+    def slow(text):
+        raw, step = text or b"", byte_cnn.CHUNK - byte_cnn.STEP
+        pooled = []
+        for start in range(0, max(1, len(raw) - byte_cnn.STEP), step):
+            chunk = raw[start:start + byte_cnn.CHUNK].ljust(byte_cnn.CHUNK, b"\0")
+            values = [p["emb"][list(chunk[i:i + byte_cnn.WIDTH])].reshape(-1) @ p["w"]
+                      for i in range(0, byte_cnn.CHUNK - byte_cnn.WIDTH + 1, byte_cnn.STEP)]
+            pooled.append(np.maximum(np.max(values, axis=0) + p["b"], 0))
+        return 1 / (1 + np.exp(-(np.concatenate([np.mean(pooled, axis=0), np.max(pooled, axis=0)]) @ p["v"] + p["c"][0])))
+
+    got = byte_cnn.scorer(model)(texts)[0]
+    assert np.allclose(got, [slow(t) for t in texts], atol=1e-5)
+
+
+def test_memory_does_not_grow_with_the_text():
+    """A 30 MB text, and 64 texts of 1 MB in one training batch, stay below 200 MB beside the texts themselves."""
+    import tracemalloc
+    rng = np.random.default_rng(6)
+    model = byte_cnn.fit([])
+    big = rng.integers(32, 120, 30_000_000, np.uint8).tobytes()
+    many = [(rng.integers(32, 120, 1_000_000, np.uint8).tobytes(), i % 2) for i in range(64)]
+    for work in (lambda: byte_cnn.scorer(model)([big]), lambda: byte_cnn.fit(many, epochs=1)):
+        tracemalloc.start()
+        work()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 200e6
+
+
+def test_ftrl_against_a_slow_one():
+    """Weights by the per-coordinate rule with dictionaries, and scores from them."""
+    import io
+    import math
+    texts = [(f"good text number {i % 5} here", 0) for i in range(30)] + [(f"vile awful words {i % 4} there", 1) for i in range(30)]
+    rows = [(t.encode(), y) for t, y in texts]
+    z, n, zb, nb = {}, {}, 0.0, 0.0
+    l1 = toxicity.L1_PER_ROW * len(rows)
+
+    def weight(k):
+        if abs(z.get(k, 0.0)) <= l1:
+            return 0.0
+        return -(z[k] - math.copysign(l1, z[k])) / ((toxicity.BETA + math.sqrt(n[k])) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(3):
+        for raw, y in rows:
+            places = sorted(set(toxicity.features(raw).tolist()))
+            w, bias = {k: weight(k) for k in places}, -zb / ((toxicity.BETA + math.sqrt(nb)) / toxicity.ALPHA)
+            g = (1 / (1 + math.exp(-(sum(w.values()) + bias))) - y) * (toxicity.TOXIC_WEIGHT if y else 1)
+            for k in places:
+                was = n.get(k, 0.0)
+                z[k] = z.get(k, 0.0) + g - (math.sqrt(was + g * g) - math.sqrt(was)) / toxicity.ALPHA * w[k]
+                n[k] = was + g * g
+            zb, nb = zb + g - (math.sqrt(nb + g * g) - math.sqrt(nb)) / toxicity.ALPHA * bias, nb + g * g
+    want = {k: weight(k) for k in z if weight(k)}
+    model = np.load(io.BytesIO(toxicity.fit(rows, epochs=3)))
+    assert dict(zip(model["places"].tolist(), model["weights"].tolist())) == pytest.approx(want, abs=1e-9) and want
+    bias = -zb / ((toxicity.BETA + math.sqrt(nb)) / toxicity.ALPHA)
+    for raw, score in zip([r for r, _ in rows], toxicity.scorer(toxicity.fit(rows, epochs=3))([r for r, _ in rows])[0]):
+        total = sum(want.get(k, 0.0) for k in set(toxicity.features(raw).tolist())) + bias
+        assert score == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-9)
+
+
 @pytest.mark.parametrize("module,column", [(toxicity, "toxic"), (byte_cnn, "quality")])
 def test_edges(ready, module, column):
     docs = docs_frame(ready)
