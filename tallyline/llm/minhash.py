@@ -22,7 +22,10 @@ one text cost a row each, not a pair each, and no link is capped.
 Defined results: a text without words has an empty set and no links: its
 component is its own id.  A row with a null id has its counts, a null
 component and kept true; it links with nothing.  Rows that repeat an id with
-equal text are one document: equal results.  Empty table: empty result.
+equal text are one document: equal results.  The smallest id names a component,
+so no ties are left.  A text of any length makes its whole set.  Only the two
+columns named are read, so extra columns of any name do no harm.  Empty table:
+empty result.
 """
 
 from __future__ import annotations
@@ -116,12 +119,14 @@ def _sets(docs: DataFrame, reps: DataFrame, rids: DataFrame, id_col: str, text_c
     return stored(made.filter("key = set_key").select("rid", "shingles").dropDuplicates(["rid"]), "sets")
 
 
-def _may_link(x: str, y: str) -> Column:
-    """False only where sizes or one-bit coordinates rule the similarity out."""
+def _may_link(x: str, y: str, bits: int | None) -> Column:
+    """False only where sizes, or more than `bits` differing one-bit coordinates, rule the similarity out."""
     c = lambda side, name: F.col(f"{side}.{name}")
+    sizes = 100 * F.least(c(x, "n"), c(y, "n")) >= PERCENT * F.greatest(c(x, "n"), c(y, "n"))
+    if bits is None:
+        return sizes
     differing = sum((F.bit_count(c(x, "bits")[i].bitwiseXOR(c(y, "bits")[i])) for i in range(3)), F.lit(0))
-    return ((100 * F.least(c(x, "n"), c(y, "n")) >= PERCENT * F.greatest(c(x, "n"), c(y, "n")))
-            & (differing <= MAX_DIFFERING_BITS))
+    return sizes & (differing <= bits)
 
 
 def _bitmap(hashes: Column) -> Column:
@@ -183,9 +188,12 @@ def _checked(pairs: DataFrame, docs, reps, id_col, text_col, k) -> DataFrame:
                              F.array_except("sb", "sa").alias("extra")), "checked")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    shingle: int = SHINGLE) -> DataFrame:
-    """(id, n_shingles, component_id, kept) for every row of `docs`, by shingles of `shingle` words."""
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                    differing_bits: int | None = MAX_DIFFERING_BITS) -> DataFrame:
+    """(id, n_shingles, component_id, kept) for every row of `docs`, by shingles of `shingle` words.
+
+    `differing_bits` None checks every pair of a bucket that sizes and pivots do not rule out.
+    """
     keyed = docs.select(id_col, F.col(text_col).cast("string").alias(TEXT)).withColumn(TEXT_KEY, F.xxhash64(TEXT))
     sig = stored(map_texts(keyed, [id_col, TEXT_KEY], TEXT, SIGNATURE, lambda: signer(shingle)), "signatures")
     reps = (sig.filter(F.col("set_key").isNotNull() & F.col(id_col).isNotNull())
@@ -205,7 +213,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pivots = members.groupBy("bucket").agg(F.min(F.struct(
         (-F.col("met")).alias("rank"), "rid", "n", "bits")).alias("p")).select("bucket", "p.*").drop("rank")
     first = (members.alias("x").join(pivots.alias("y"), "bucket")
-             .filter((F.col("x.rid") != F.col("y.rid")) & ((F.col("x.members") >= LARGE_BUCKET) | _may_link("x", "y")))
+             .filter((F.col("x.rid") != F.col("y.rid")) & ((F.col("x.members") >= LARGE_BUCKET) | _may_link("x", "y", differing_bits)))
              .select(F.col("y.rid").alias("a"), F.col("x.rid").alias("b")))
     checked = _checked(first, docs, reps, id_col, text_col, shingle)
     links = checked.filter("linked").select("a", "b")
@@ -231,7 +239,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     left = stored(left.join(seen, "rid", "left"), "left")
     outside = left.filter("comp <> main")
     rest = (outside.alias("x").join(left.alias("y"), "bucket")
-            .filter((F.col("x.comp") != F.col("y.comp")) & _may_link("x", "y") & _may_link_beside_pivot("x", "y")
+            .filter((F.col("x.comp") != F.col("y.comp")) & _may_link("x", "y", differing_bits) & _may_link_beside_pivot("x", "y")
                     & ((F.col("y.comp") == F.col("y.main")) | (F.col("x.rid") < F.col("y.rid"))))
             .select(F.least("x.rid", "y.rid").alias("a"), F.greatest("x.rid", "y.rid").alias("b")))
     more = _checked(rest, docs, reps, id_col, text_col, shingle).filter("linked").select("a", "b")

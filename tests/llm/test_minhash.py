@@ -127,3 +127,29 @@ def test_one_text_a_third_of_all_rows(ready):
         F.concat_ws(" ", *(F.xxhash64("id", F.lit(i)).cast("string") for i in range(8)))).alias("text"))
     got = M.near_duplicates(docs)
     assert got.filter("component_id = 0").count() == 1000 and got.filter("kept").count() == 2001
+
+
+def test_recall_just_above_the_threshold(ready):
+    """800 planted pairs of Jaccard 0.80 to 0.82, each of its own words, with the one-bit filter and without."""
+    import random
+    rng, rows, pairs = random.Random(31), [], 0
+    for p in range(800):
+        n = rng.randrange(120, 400)
+        own = [f"w{p}x{i}" for i in range(n)]
+        other, at = list(own), rng.randrange(20, n - 20)
+        while True:                                          # replace words one after another until the similarity is reached
+            a, b = ({tuple(t[i:i + 4]) for i in range(len(t) - 3)} for t in (own, other))
+            if 100 * len(a & b) <= 82 * len(a | b):
+                break
+            other[at], at = f"y{p}x{at}", at + 1
+            if at == n:
+                at = 0
+        if 100 * len(a & b) >= 80 * len(a | b):
+            rows += [(2 * p, " ".join(own)), (2 * p + 1, " ".join(other))]
+            pairs += 1
+    docs = ready.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    assert pairs > 700
+    for bits in (M.MAX_DIFFERING_BITS, None):
+        got = {r.doc_id: r.component_id for r in M.near_duplicates(docs, differing_bits=bits).collect()}
+        found = sum(got[i + 1] == i for i, _ in rows if i % 2 == 0)
+        assert found == pairs                                # expected misses: 0.002
