@@ -17,8 +17,9 @@ way to it.  A node gets one row a level, so this takes log2(D) jobs and
 O(n log D) short rows.
 
 No job gathers a conversation or a group: names are minima with a partial
-step, joined back on a key that AQE splits where a third of all conversations
-share a prefix; a conversation that holds a third of all turns is rows spread
+step, written, and joined back on a key that AQE splits where a third of all
+conversations share a prefix (it can where both sides are plain shuffles); a
+conversation that holds a third of all turns is rows spread
 over all tasks.  Only the list of the conversations that end at a node, whose
 SHA-256 is wanted, has to be read in order; it streams through one task in
 bounded memory.  Every level is a table in the shared folder, so a lost
@@ -132,7 +133,7 @@ def named(turns: DataFrame, n_levels: int) -> DataFrame:
                 "conv_id", (F.col("depth") + half).alias("depth"), F.col("name").alias("root"))
             cuts = cuts.join(roots, NODE, "left").withColumn("root", F.coalesce("root", F.lit(0)))
         own = ["depth", "root", "digest"]
-        names = cuts.groupBy(*own).agg(F.min("conv_id").alias("name"))
+        names = stored(cuts.groupBy(*own).agg(F.min("conv_id").alias("name")), "prefixes")
         cuts.join(names, own).select("conv_id", "depth", "name", "words").write.parquet(f"{path}/{j}")
     return _levels(spark, path, n_levels, 1, schema)
 
@@ -148,6 +149,7 @@ def _grafted(names: DataFrame, own: DataFrame, n_levels: int) -> DataFrame:
         heads = _levels(spark, path, j - 1, 0, schema).filter(first).groupBy(*NODE).agg(*totals)
         cut = (heads.join(own.filter(first).select(*NODE, "parent"), NODE)
                .groupBy(F.col("parent").alias("conv_id"), (F.expr(f"(depth - 1) div {half}") - 1).alias("piece")).agg(*totals))
+        cut = stored(cut, "cuts")
         way = names.withColumn("piece", F.expr(f"(depth - 1) div {half}")).filter("piece % 2 = 0")
         (way.join(cut, ["conv_id", "piece"]).groupBy(F.col("name").alias("conv_id"), "depth").agg(*totals)
          .write.parquet(f"{path}/{j}"))
