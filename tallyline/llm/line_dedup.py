@@ -147,6 +147,7 @@ def drop_lines(docs: DataFrame, common: DataFrame, id_col: str = "doc_id", text_
         .select("r1", "r2", "place", *_hashes(F.col("key")))
     found = (places.join(F.broadcast(common) if few else common, HASH)
              .groupBy("r1", "r2").agg(F.collect_set("place").alias("dropped")))
+    found = stored(found, "found")                           # so that AQE can split a row that a third of all rows are
     lines = F.split("kept", "\n", -1)
     others = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("dropped"))
     rest = F.transform("places", lambda i: F.get(F.col("lines"), i))
