@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import new_path
+
 
 def word_prefixes(name: Column) -> Column:
     """Array of the first-k-words prefixes of `name`, k = 1 .. words-1."""
@@ -52,10 +54,14 @@ def resolve_names(names: DataFrame, dictionary: DataFrame, overrides: DataFrame
 def normalize_columns(df: DataFrame, cols: list[str], dictionary: DataFrame,
                       overrides: DataFrame | None = None, suffix: str = "_norm") -> DataFrame:
     """J17 `odds_normalize`: add `<col>_norm` for each name column.  The
-    resolution runs once over the distinct names of all columns, then is
-    joined back per column (AQE broadcasts it when its measured size allows)."""
-    names = df.select(F.explode(F.array(*cols)).alias("name"))           # one scan for all columns
+    distinct names of all columns are taken in one scan, resolved and written
+    to the shared folder when the plan is built, one row a name; they are then
+    joined back per column (broadcast where the written size allows)."""
+    names = df.select(F.explode(F.array(*cols)).alias("name"))
     res = resolve_names(names, dictionary, overrides).select("name", "canonical")
+    path = new_path(df.sparkSession, "names")
+    res.write.parquet(path)
+    res = df.sparkSession.read.schema(res.schema).parquet(path)
     out = df
     for c in cols:
         r = res.select(F.col("name").alias(c), F.col("canonical").alias(c + suffix))
