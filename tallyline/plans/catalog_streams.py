@@ -57,8 +57,9 @@ def q_stream_dedup(spark, sf):
         .write.partitionBy("landed").parquet(f"{root}/landing")
     schema = spark.read.parquet(f"{root}/landing").schema
     stream = SS.read_landing(spark, f"{root}/landing", schema, max_files=8).drop("landed")
-    SS.stream_dedup(stream, ["event_id", "bookmaker", "market"], QUOTE_ORDER, f"{root}/out", f"{root}/ckpt", "part")
-    return spark.read.parquet(f"{root}/out").select(*o.columns)
+    keys = ["event_id", "bookmaker", "market"]
+    SS.stream_dedup(stream, keys, QUOTE_ORDER, f"{root}/out", f"{root}/ckpt", "part")
+    return SS.first_quotes(spark, f"{root}/out", keys, QUOTE_ORDER).select(*o.columns)
 
 
 @register("stream_late_correction", """

@@ -278,6 +278,33 @@ def test_files_out_of_order_lose_no_row_on_time(spark, tmp_path):
     assert {(r.window_start.date(), r.k): r.n for r in got if r.n} == want and sum(want.values()) + len(late) == len(rows)
 
 
+def test_stream_dedup_writes_only_what_a_batch_carries(spark, tmp_path):
+    """Later batches leave the files of earlier ones alone; a stream of another checkpoint adds to them."""
+    import glob
+    from tallyline.streaming import streams as SS
+    schema = "k long, at int, v string, part long"
+    land, keys, order = f"{tmp_path}/landing", ["k"], ["at", "v"]
+    quotes = [[(1, 5, "a", 1), (1, 5, "b", 1), (2, 3, None, 0), (None, 1, "n", None)],
+              [(1, 4, "c", 1), (2, 3, "x", 0), (3, 9, "y", 1)], [(1, 8, "d", 1), (None, 0, "m", None)]]
+    run = lambda n: SS.stream_dedup(
+        SS.read_landing(spark, land, spark.read.parquet(land).schema, max_files=1), keys, order,
+        f"{tmp_path}/t", f"{tmp_path}/ckpt{n}", "part")
+    seen = {}
+    for n, rows in enumerate(quotes):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(land)
+        run(0)
+        files = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{tmp_path}/t/**/*.parquet", recursive=True)}
+        assert seen.items() <= files.items() and len(files) > len(seen)
+        seen = files
+    got = lambda: sorted((tuple(r) for r in SS.first_quotes(spark, f"{tmp_path}/t", keys, order)
+                          .select("k", "at", "v", "part").collect()), key=str)
+    want = sorted([(1, 4, "c", 1), (2, 3, None, 0), (3, 9, "y", 1), (None, 0, "m", None)], key=str)
+    assert got() == want
+    spark.createDataFrame([(3, 1, "z", 1)], schema).write.mode("append").parquet(land)
+    run(1)
+    assert got() == sorted([(3, 1, "z", 1) if r[0] == 3 else r for r in want], key=str)
+
+
 def test_late_data_dropped_after_watermark(spark):
     """Rows within the 7-day lateness are applied; older ones are dropped.
     Spark judges late rows against the watermark of the previous micro-batch
