@@ -9,7 +9,10 @@ through a checkpoint in the shared folder (`rewrite_partitions`).
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections import Counter
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +30,23 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _delete(spark: SparkSession, folder) -> None:
+    """Delete a folder, given as a Hadoop path."""
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def written(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """`df` computed once: its rows lie in the shared folder until the block ends."""
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        _delete(spark, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path))
+
+
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
@@ -83,7 +103,7 @@ class KeyIndex:
     few.  The index holds for tables that are changed through this module only.
     """
 
-    BUCKET_KEYS, MAX_BUCKETS = 50_000, 8192
+    BUCKET_KEYS, MAX_BUCKETS, MAX_FILES = 50_000, 8192, 16
     FOLDER = "_keys"
 
     def __init__(self, spark: SparkSession, path: str, keys: list[str], part_col: str, buckets: int):
@@ -121,22 +141,40 @@ class KeyIndex:
         wanted = [r["key_bucket"] for r in rows.select("key_bucket").distinct().collect()]       # at most MAX_BUCKETS
         return self.spark.read.parquet(self.path).filter(F.col("key_bucket").isin(wanted) if wanted else F.lit(False))
 
-    def partitions(self, src: DataFrame) -> set:
-        """Partition values that hold a key of `src`."""
-        rows = self._rows(src)
-        return values_of(self._read(rows).join(rows.select(*self.keys).distinct(), self.keys, "left_semi"), "key_part")
+    def places(self, src: DataFrame) -> DataFrame:
+        """The places `src` gives its keys (`key_part`, `given`) and those known of them (`known`), one row a place."""
+        given = self._rows(src).distinct().withColumn("given", F.lit(True))
+        known = self._read(given).select(*self.keys, "key_part", F.lit(True).alias("known"))
+        known = known.join(given.select(*self.keys).distinct(), self.keys, "left_semi")
+        both = given.select(*self.keys, "key_part", "given").unionByName(known, allowMissingColumns=True)
+        return both.groupBy(*self.keys, "key_part").agg(F.max("given").alias("given"), F.max("known").alias("known"))
+
+    def _compact(self) -> None:
+        """Buckets of more than MAX_FILES files get one file again."""
+        files = Counter(unquote(f).rsplit("/", 2)[1] for f in self.spark.read.parquet(self.path).inputFiles())
+        full = [int(b.split("=")[1]) for b, n in files.items() if n > self.MAX_FILES]
+        if full:
+            held = self.spark.read.parquet(self.path).filter(F.col("key_bucket").isin(full)).distinct()
+            self._replace(held.checkpoint(eager=True))
+
+    def _replace(self, rows: DataFrame) -> None:
+        (rows.repartition("key_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("key_buckets", "key_bucket").parquet(self.path))
 
     def add(self, rows: DataFrame) -> None:
-        """Rows' places, beside those known."""
-        self._rows(rows).distinct().repartition("key_bucket").write.mode("append").partitionBy("key_buckets", "key_bucket").parquet(self.path)
+        """Rows' places, beside those known, in one more file a bucket."""
+        new = self._rows(rows).distinct()
+        if not new.isEmpty():
+            new.repartition("key_bucket").write.mode("append").partitionBy("key_buckets", "key_bucket").parquet(self.path)
+            self._compact()
 
     def settle(self, rows: DataFrame) -> None:
         """Rows' places instead of those known of their keys, one file a bucket."""
         new = self._rows(rows).distinct()
+        if new.isEmpty():
+            return
         others = self._read(new).select(new.columns).join(new.select(*self.keys).distinct(), self.keys, "left_anti")
-        both = others.unionByName(new).distinct().checkpoint(eager=True)
-        (both.repartition("key_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("key_buckets", "key_bucket").parquet(self.path))
+        self._replace(others.unionByName(new).distinct().checkpoint(eager=True))
 
 
 def _folders(now: DataFrame, part_col: str, values: set) -> list[str]:
@@ -146,7 +184,8 @@ def _folders(now: DataFrame, part_col: str, values: set) -> list[str]:
 
 
 def rewrite_partitions(spark: SparkSession, path: str, touched: set, fn: Callable[[DataFrame], DataFrame],
-                       part_col: str = "season", index: KeyIndex | None = None, changed: DataFrame | None = None) -> None:
+                       part_col: str = "season", index: KeyIndex | None = None, placed: DataFrame | None = None,
+                       moved: DataFrame | None = None) -> None:
     """Replace the touched partitions of the table at `path` by fn(their rows).
 
     Only those partitions are read.  The new rows are checkpointed to the
@@ -157,8 +196,9 @@ def rewrite_partitions(spark: SparkSession, path: str, touched: set, fn: Callabl
     the same rewrite run again repairs that.
 
     The table's key index, if it has one, learns the new places before the
-    data does: of the rows of `changed` (a subset of the new rows by key), or
-    of all new rows without it.
+    data does and forgets old ones after it: of all new rows, or of `placed`
+    (rows whose place it lacks) and `moved` (rows of which it has other places)
+    where these are known.
     """
     checkpoint_dir(spark)
     now = spark.read.parquet(path)
@@ -169,17 +209,16 @@ def rewrite_partitions(spark: SparkSession, path: str, touched: set, fn: Callabl
     gone = _folders(now, part_col, touched - kept) if touched - kept else []
     index = index or KeyIndex.of(spark, path, part_col)
     if index:
-        index.add(new if changed is None else changed)
+        index.add(new if placed is None else placed)
     columns = [c for c in new.columns if c != part_col]
     if kept:
         (new.select(*columns, part_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(part_col).parquet(path))
     jvm = spark.sparkContext._jvm
     for uri in gone:
-        folder = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        _delete(spark, jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri)))
     if index:
-        index.settle(new if changed is None else changed)
+        index.settle(new if moved is None else moved)
 
 
 def create_partitioned(df: DataFrame, path: str, keys, part_col: str = "season") -> None:
@@ -196,9 +235,10 @@ def upsert_partitions(spark: SparkSession, path: str, src: DataFrame, keys, part
     Touched are the partitions of the source and those that hold its keys now,
     so a row whose partition value changes leaves its old partition.  Where
     these are is looked up in the key index beside the table (KeyIndex), in the
-    buckets of the source's keys; no other partition of the table is read.  A
-    table that was written without an index gets one at its first MERGE, by one
-    scan of its key columns.  With `part_from_keys` the partition is a function
+    buckets of the source's keys; no other partition of the table is read, and
+    the index is written only for keys that are new or move.  A table that was
+    written without an index gets one at its first MERGE, by one scan of its
+    key columns.  With `part_from_keys` the partition is a function
     of the keys, rows cannot move, and no index is kept.  Several source rows of
     one key are an error.  Returns the touched partitions.
     """
@@ -209,9 +249,16 @@ def upsert_partitions(spark: SparkSession, path: str, src: DataFrame, keys, part
         if not part_from_keys:
             KeyIndex.build(spark, path, keys, part_col)
         return sorted(touched, key=str)
-    index = None
-    if not part_from_keys:
-        index = KeyIndex.of(spark, path, part_col) or KeyIndex.build(spark, path, keys, part_col)
-        touched |= index.partitions(src)
-    rewrite_partitions(spark, path, touched, lambda cur: merge_upsert(cur, src, keys), part_col, index, src)
+    merge = lambda cur: merge_upsert(cur, src, keys)
+    if part_from_keys:
+        rewrite_partitions(spark, path, touched, merge, part_col)
+        return sorted(touched, key=str)
+    index = KeyIndex.of(spark, path, part_col) or KeyIndex.build(spark, path, keys, part_col)
+    with written(index.places(src), "places") as places:
+        touched |= values_of(places.filter("known"), "key_part")
+        given = places.filter("given")
+        given = given if part_col in keys else given.withColumnRenamed("key_part", part_col)
+        placed = given.filter("known IS NULL")
+        moved = given.join(places.filter("given IS NULL").select(*keys).distinct(), keys, "left_semi")
+        rewrite_partitions(spark, path, touched, merge, part_col, index, placed, moved)
     return sorted(touched, key=str)

@@ -1,6 +1,7 @@
 """Operator units on small literal frames, one per semantics trap."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import Row
@@ -367,6 +368,33 @@ def test_merge_reads_touched_partitions_only(spark, tmp_path):
     assert sorted((r.id, r.key_part) for r in held) == [(0, 2000), (8, 2000), (9000, 2003)]
 
 
+def test_key_index_is_written_for_new_and_moved_keys_only(spark, tmp_path, monkeypatch):
+    """A MERGE in place leaves the index files alone; one that inserts adds a file to its keys' buckets, up to a bound."""
+    import glob
+    from tallyline.sources import tables as TB
+    monkeypatch.setattr(TB.KeyIndex, "BUCKET_KEYS", 50)
+    monkeypatch.setattr(TB.KeyIndex, "MAX_FILES", 2)
+    path, schema = str(tmp_path / "t"), "id long, v int, season int"
+    TB.create_partitioned(spark.range(400).selectExpr("id", "0 AS v", "CAST(2000 + id % 8 AS INT) AS season"), path, "id")
+    files = lambda: {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/_keys/**/*.parquet", recursive=True)}
+    first = files()
+    assert len(first) == 8
+    TB.upsert_partitions(spark, path, spark.range(400).selectExpr("id", "1 AS v", "CAST(2000 + id % 8 AS INT) AS season"), "id")
+    assert files() == first
+    assert TB.upsert_partitions(spark, path, spark.createDataFrame([(900, 1, 2000)], schema), "id") == [2000]
+    assert first.items() < files().items() and len(files()) == 9
+    for i in range(901, 904):
+        TB.upsert_partitions(spark, path, spark.range(i * 100, i * 100 + 99).selectExpr("id", "1 AS v", "2001 AS season"), "id")
+    assert len(files()) <= 16
+    # a place too many, as a job lost before its clean-up leaves it, is found and cleaned
+    index = TB.KeyIndex.of(spark, path, "season")
+    index.add(spark.createDataFrame([(0, 0, 2005)], schema))
+    assert TB.upsert_partitions(spark, path, spark.createDataFrame([(0, 7, 2000)], schema), "id") == [2000, 2005]
+    held = spark.read.parquet(f"{path}/_keys")
+    assert [r.key_part for r in held.filter("id = 0").collect()] == [2000] and held.count() == 400 + 1 + 3 * 99
+    assert spark.read.parquet(path).agg({"v": "sum"}).first()[0] == 399 + 7 + 1 + 3 * 99
+
+
 def test_partition_names_with_special_characters(spark, tmp_path):
     """Partitions that empty are found under the names they were written by."""
     from tallyline.sources import tables as TB
