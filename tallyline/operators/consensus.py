@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .aggregates import mode_or_median, mode_value
+from .joins import spread_out
 
 ORDER = ("last_update", "outcome_price", "outcome_point", "line_no")
 
@@ -91,19 +92,23 @@ def quote_summary(cons: DataFrame) -> DataFrame:
 
 
 def live_spread(quotes: DataFrame, teams: DataFrame, order: Sequence[str] = ("bookmaker", "line_no"),
-                team_key: str = "team", abbr: str = "abbr") -> DataFrame:
+                team_key: str = "team", abbr: str = "abbr", extra: Sequence[Column] = ()) -> DataFrame:
     """J21 `odds_live_spread`: per event, the away side's spread (mode, or
     median when all quotes differ; E9), the number of distinct books over
     all the event's quotes; unknown teams dropped (D15 inner lookup);
-    events with no away-side spread quote dropped."""
+    events with no away-side spread quote dropped.  `extra` are more
+    aggregates over all the event's quotes.  Events and lines are each spread
+    over all shuffle partitions before they meet, so that no task holds the
+    aggregates and the joins of one event range together."""
     t = teams.select(F.col(team_key).alias("_k"), F.col(abbr).alias("_abbr"))
     # one aggregate per event for its teams and book count (one pass)
     ev = quotes.groupBy("event_id").agg(F.min("home_team").alias("home_team"), F.min("away_team").alias("away_team"),
-                                        F.count_distinct("bookmaker").alias("num_books"))
+                                        F.count_distinct("bookmaker").alias("num_books"), *extra)
+    more = [c for c in ev.columns if c not in ("event_id", "home_team", "away_team", "num_books")]
     ev = (ev.join(t.withColumnRenamed("_k", "home_team").withColumnRenamed("_abbr", "home_team_abbr"), "home_team")
             .join(t.withColumnRenamed("_k", "away_team").withColumnRenamed("_abbr", "away_team_abbr"), "away_team"))
     away_q = quotes.filter((F.col("market") == "spreads") & (F.col("outcome_name") == F.col("away_team")))
     line = mode_or_median(away_q, "event_id", "outcome_point", order, name="spread_line").drop("n_quotes")
-    return (ev.join(line, "event_id")
+    return (spread_out(ev, "event_id").join(spread_out(line, "event_id"), "event_id")
             .select("event_id", "away_team_abbr", "home_team_abbr", "away_team", "home_team",
-                    "spread_line", "num_books"))
+                    "spread_line", "num_books", *more))

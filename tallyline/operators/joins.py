@@ -13,6 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def spread_out(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition by number: AQE joins partitions by their compressed size, and rows that compress to a few
+    bytes would meet by the million in one task."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def join_left(left: DataFrame, right: DataFrame, on: Sequence[str] | str, keep: Sequence[str] | None = None) -> DataFrame:
     """Left equi join; the right side is pre-projected to the key +
     `keep` columns so nothing collides and nothing unused is shuffled."""

@@ -191,8 +191,7 @@ def live_lines(spark: SparkSession, sf: str) -> DataFrame:
                          .otherwise(F.col("outcome_name")),
         "home_team": team_name(F.col("home_team")), "away_team": team_name(F.col("away_team"))})
     teams = D.nfl_abbr_dim(spark).withColumnRenamed("full_name", "team")
-    start = q.groupBy("event_id").agg(F.max("commence_time").alias("commence_time"))
-    return C.live_spread(q, teams).join(start, "event_id")
+    return C.live_spread(q, teams, extra=[F.max("commence_time").alias("commence_time")])
 
 
 def write_back(live: DataFrame, historical: DataFrame, complete: DataFrame, enhanced: DataFrame, report: DataFrame,

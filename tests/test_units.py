@@ -395,6 +395,29 @@ def test_key_index_is_written_for_new_and_moved_keys_only(spark, tmp_path, monke
     assert spark.read.parquet(path).agg({"v": "sum"}).first()[0] == 399 + 7 + 1 + 3 * 99
 
 
+def test_live_lines_meet_in_all_shuffle_partitions(spark):
+    """Events and lines too many to broadcast are joined where their hash puts them, however few bytes they take; more
+    aggregates ride along."""
+    from tallyline.operators import consensus as C
+    schema = "event_id long, home_team string, away_team string, bookmaker string, market string, outcome_name string, " \
+             "outcome_point double, line_no int, commence_time int"
+    quotes = spark.createDataFrame([(e, "h", "a", f"b{n}", "spreads", "a", 1.0 + n % 2, n, e + n)
+                                    for e in range(40) for n in range(3)], schema)
+    teams = spark.createDataFrame([("h", "H"), ("a", "A")], "team string, abbr string")
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    was = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        got = C.live_spread(quotes, teams, extra=[F.max("commence_time").alias("commence_time")])
+        rows = got.collect()
+        assert got.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    finally:
+        spark.conf.set(limit, was)
+    assert sorted((r.event_id, r.away_team_abbr, r.spread_line, r.num_books, r.commence_time) for r in rows) == [
+        (e, "A", 1.0, 3, e + 2) for e in range(40)]
+    assert "commence_time" not in C.live_spread(quotes, teams).columns
+
+
 def test_partition_names_with_special_characters(spark, tmp_path):
     """Partitions that empty are found under the names they were written by."""
     from tallyline.sources import tables as TB
