@@ -35,9 +35,11 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -47,6 +49,7 @@ from .common import KEPT, scratch
 
 MAGIC = b"TLPLANE1"
 BLOCK, FILE_IDS, END_ID = 1 << 16, 1 << 20, 1
+BATCH_BYTES = 8 << 20                 # text that is encoded together
 CACHE_PIECES = 250_000                # pieces in each of the two generations a worker remembers
 
 
@@ -55,15 +58,17 @@ class PieceEncoder:
 
     A tokenizer whose file says that it normalises by NFC, one space for white
     space and lower case, cuts by PATTERN and closes words with an end token
-    treats every piece of that pattern on its own.  Texts of ASCII and of
-    letters and signs that NFC leaves alone (PLAIN) are lower-cased and cut
-    here by the same pattern, and each piece's ids are taken from the library
-    once and remembered (pieces not met since the last change of generation
-    are forgotten).  In other texts this holds for their plain words between
-    ASCII white space; their other words, and words that may hold a special
-    token, are given to the library as they stand.  A run of letters is one
-    piece, closed by one end token, so many of them are encoded as one text and
-    told apart; ASCII letters need the model alone, no normaliser.
+    treats every word between white space, and every piece of that pattern, on
+    its own.  Texts of ASCII and of letters and signs that NFC leaves alone
+    (PLAIN) are lower-cased and cut by the same pattern in Arrow, which also finds
+    the different pieces of a batch; each piece's ids are taken from the library
+    once and remembered (pieces not met since the last change of generation are
+    forgotten), and the batch's ids are put together from them by place.  In other
+    texts this holds for their plain words between ASCII white space; their other
+    words, and words that may hold a special token, are given to the library as
+    they stand.  A run of letters is one piece, closed by one end token, so many of
+    them are encoded as one text and told apart; ASCII letters need the model
+    alone, no normaliser.
 
     Any other tokenizer encodes whole texts.  Memory: about 200 bytes for each
     of the two generations' CACHE_PIECES pieces, 100 MB.
@@ -81,13 +86,16 @@ class PieceEncoder:
     # PATTERN for lower-cased plain text.
     _piece = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{LETTERS}]+|[0-9]|[^\t-\r 0-9a-z{LETTERS}]+")
 
+    # All but runs of letters: what white space is put around before a plain text is split at white space.
+    _between = f"('s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\t-\r 0-9a-z{LETTERS}]+)"
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         self.by_piece = self._is_known(json.loads(self.tokenizer.to_str()))
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         if self.by_piece:
             self.letters = Tokenizer(self.tokenizer.model)
             self.letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
@@ -113,52 +121,67 @@ class PieceEncoder:
     def _ids(tokenizer, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn_together(self, tokenizer, runs: list[str]) -> None:
+    def _learn_together(self, tokenizer, runs: list[bytes]) -> None:
         """Learn runs of letters, many to a text; those of a text with other pieces stay unknown."""
         for i in range(0, len(runs), 256):
             some = runs[i:i + 256]
-            ids = self._ids(tokenizer, [" ".join(some)])[0]
+            ids = self._ids(tokenizer, [b" ".join(some).decode()])[0]
             cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
             if len(cuts) == len(some):
                 raw = ids.tobytes()
                 self.known.update((w, raw[4 * a:4 * b]) for w, a, b in zip(some, [0, *cuts], cuts))
 
-    def _learn(self, new: set[str]) -> None:
+    def _again(self, new: set[bytes]) -> set[bytes]:
+        """Those of `new` that the older generation does not hold either; the others are known again."""
         again = new & self.older.keys()
         self.known.update((p, self.older[p]) for p in again)
-        runs = [p for p in new - again if p.isalpha()]
-        self._learn_together(self.letters, [p for p in runs if p.isascii()])
-        self._learn_together(self.tokenizer, [p for p in runs if not p.isascii() and self._plain.fullmatch(p)])
-        rest = [p for p in new if p not in self.known]
-        self.known.update((p, x.tobytes()) for p, x in zip(rest, self._ids(self.tokenizer, rest)))
-
-    def _pieces(self, text: bytes | None) -> list[str]:
-        """What the text's ids are put together from."""
-        if not text:
-            return []
-        whole = text.decode()
-        if self._plain.fullmatch(whole) and "<|" not in whole:
-            return self._piece.findall(whole.lower())
-        out: list[str] = []
-        for word in text.split():
-            word = word.decode()
-            if self._plain.fullmatch(word) and "<|" not in word:
-                out += self._piece.findall(word.lower())
-            else:
-                out.append(word)
-        return out
+        return new - again
+
+    def _learn(self, pieces: set[bytes]) -> None:
+        pieces = self._again(pieces)
+        self._learn_together(self.letters, [p for p in pieces if p.isalpha() and p.islower()])
+        beyond = [p for p in pieces if not p.isascii() and (t := p.decode()).isalpha() and self._plain.fullmatch(t)]
+        self._learn_together(self.tokenizer, beyond)
+        rest = [p for p in pieces if p not in self.known]
+        self.known.update((p, x.tobytes()) for p, x in zip(rest, self._ids(self.tokenizer, [p.decode() for p in rest])))
+
+    def _pieces(self, word: bytes) -> list[bytes]:
+        """What the word's ids are put together from."""
+        if word.isalpha():
+            return [word.lower()]
+        text = word.decode()
+        if "<|" in text or not self._plain.fullmatch(text):
+            return [word]
+        return [p.encode() for p in self._piece.findall(text.lower())]
+
+    def _ids_of_words(self, words: list[bytes]) -> list[bytes]:
+        new = set(filterfalse(self.known.__contains__, words))
+        if new:
+            cut = {w: self._pieces(w) for w in self._again(new)}
+            self._learn(set().union(*cut.values()).difference(self.known))
+            known = self.known.__getitem__
+            self.known.update([(w, b"".join(map(known, p))) for w, p in cut.items() if w not in self.known])
+        return list(map(self.known.__getitem__, words))
 
     def batch(self, texts: list[bytes | None]) -> list[bytes]:
         if not self.by_piece:
             return [x.tobytes() for x in self._ids(self.tokenizer, [(t or b"").decode() for t in texts])]
         if len(self.known) > CACHE_PIECES:
             self.older, self.known = self.known, {}
-        split = [self._pieces(t) for t in texts]
-        new = set().union(*split).difference(self.known)
-        if new:
-            self._learn(new)
-        known = self.known.__getitem__
-        return [b"".join(map(known, pieces)) for pieces in split]
+        whole = pc.fill_null(pa.array(texts, pa.large_string()), "")
+        plain = pc.and_(pc.match_substring_regex(whole, f"\\A{self._plain.pattern}\\z"),
+                        pc.invert(pc.match_substring(whole, "<|")))
+        apart = pc.replace_substring_regex(pc.utf8_lower(whole), self._between, r" \1 ")
+        split = pc.ascii_split_whitespace(pc.if_else(plain, apart, whole))
+        words = split.values.dictionary_encode()
+        ids = self._ids_of_words(words.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist())
+        made = pa.array(ids, pa.large_binary()).take(words.indices)          # the batch's ids, word by word
+        _, places, data = made.buffers()
+        if data is None:
+            return [b""] * len(texts)
+        cuts = np.frombuffer(places, np.int64, len(made) + 1)[split.offsets.to_numpy()].tolist()
+        raw = data.to_pybytes()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 @lru_cache(maxsize=2)
@@ -170,25 +193,41 @@ def encoder_of(path: str) -> PieceEncoder:
 KEPT.append(encoder_of.cache_clear)   # stages of other operators need its memory
 
 
+def _turned(octets: np.ndarray) -> np.ndarray:
+    """Every eight bytes as an 8 x 8 matrix of bits, highest bit first, mirrored on its second diagonal.
+
+    Row p of the answer is bit p of the eight bytes, the first byte's on top; applied twice it gives its input.
+    """
+    x = np.ascontiguousarray(octets.reshape(-1, 8)[:, ::-1]).view("<u8")
+    for shift, mask in ((7, 0x00AA00AA00AA00AA), (14, 0x0000CCCC0000CCCC), (28, 0x00000000F0F0F0F0)):
+        t = (x ^ (x >> np.uint64(shift))) & np.uint64(mask)
+        x = x ^ t ^ (t << np.uint64(shift))
+    return x.view(np.uint8)
+
+
 def pack_block(ids: np.ndarray) -> list[bytes]:
     """Compressed bit planes of one block, lowest bit first, none above the highest set bit."""
     planes = max(1, int(ids.max()).bit_length()) if len(ids) else 0
-    octets = ids.astype("<u4").view(np.uint8).reshape(-1, 4)
+    octets = np.zeros((-len(ids) % 8 + len(ids), 4), np.uint8)
+    octets[:len(ids)] = ids.astype("<u4").view(np.uint8).reshape(-1, 4)
     squeeze = zstandard.ZstdCompressor(level=1).compress
     out = []
     for p in range(planes):
         if p % 8 == 0:
-            bits = np.unpackbits(np.ascontiguousarray(octets[:, p // 8])[:, None], axis=1, bitorder="little")
-        out.append(squeeze(np.packbits(bits[:, p % 8]).tobytes()))
+            bits = _turned(octets[:, p // 8])
+        out.append(squeeze(bits[:, p % 8].tobytes()))
     return out
 
 
 def unpack_block(planes: list[bytes], n: int) -> np.ndarray:
-    octets = np.zeros((4, n), np.uint8)
+    octets = np.zeros((-(-n // 8) * 8, 4), np.uint8)
     expand = zstandard.ZstdDecompressor().decompress
-    for p, raw in enumerate(planes):
-        octets[p // 8] |= np.unpackbits(np.frombuffer(expand(raw), np.uint8), count=n) << np.uint8(p % 8)
-    return np.ascontiguousarray(octets.T).reshape(-1).view("<u4")
+    for k in range(0, len(planes), 8):
+        bits = np.zeros((len(octets) // 8, 8), np.uint8)
+        for p, raw in enumerate(planes[k:k + 8]):
+            bits[:, p] = np.frombuffer(expand(raw), np.uint8)
+        octets[:, k // 8] = _turned(bits[:, ::-1])[:, ::-1].reshape(-1)
+    return octets[:n].reshape(-1).view("<u4")
 
 
 def pack_file(ids: np.ndarray, doc_ids: list[int | None], lengths: list[int]) -> bytes:
@@ -269,14 +308,21 @@ def write_files(df: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id"
             seq, first, docs, streams, held = seq + 1, first + len(ids), [], [], 0
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(row, arrow)], schema=arrow)
 
-        for b in batches:
-            texts = encoder.batch(b.column(1).cast(pa.binary()).to_pylist())
-            for d, ids in zip(b.column(0).to_pylist(), texts):
+        waiting, texts, held_bytes = [], [], 0
+        for b in chain(batches, [None]):
+            if b is not None:
+                waiting += b.column(0).to_pylist()
+                texts += b.column(1).cast(pa.binary()).to_pylist()
+                held_bytes += b.nbytes
+                if held_bytes < BATCH_BYTES:
+                    continue
+            for d, ids in zip(waiting, encoder.batch(texts)):
                 docs.append(d)
                 streams.append(ids + end)
                 held += len(ids) // 4 + 1
                 if held >= FILE_IDS:
                     yield close()
+            waiting, texts, held_bytes = [], [], 0
         if docs:
             yield close()
 

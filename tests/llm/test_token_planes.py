@@ -39,6 +39,28 @@ def test_cache_is_bounded_and_harmless(monkeypatch):
     assert [e.batch([t.encode()])[0] for t in texts] == [b[:-1].tobytes() for b in direct(texts)]
 
 
+def test_a_batch_looks_up_each_different_piece_once():
+    class Counted(dict):
+        asked = 0
+
+        def __getitem__(self, key):
+            self.asked += 1
+            return super().__getitem__(key)
+
+    e = T.PieceEncoder(tokenizer_path())
+    e.known = Counted()
+    texts = ["To be, or not to be. " * 500, "it's 10 to 1; \u00e9t\u00e9\n" * 500, None, ""] * 3
+    made = e.batch([None if t is None else t.encode() for t in texts])
+    assert made == [b[:-1].tobytes() for b in direct(texts)]
+    assert e.known.asked < 100
+
+
+def test_planes_are_the_bits_of_the_ids():
+    ids = np.random.default_rng(1).integers(0, 1 << 17, 1003).astype("<u4")
+    planes = [np.packbits((ids >> np.uint32(p) & 1).astype(np.uint8)).tobytes() for p in range(17)]
+    assert [T.zstandard.ZstdDecompressor().decompress(b) for b in T.pack_block(ids)] == planes
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1), max_size=300), st.sampled_from([0, 1, 1 << 16]))
 def test_block_round_trip(ids, top):
