@@ -80,14 +80,14 @@ for _key, _cols in {
 @register("win_sos_cumulative", O.sql(O.RECENT, O.STRENGTH, select=
           "SELECT id, team, rating AS sos_rating, sample AS sos_sample_size FROM strength"))
 def q_sos_cum(spark, sf):
-    st = FT.with_sos(FT.team_stage(_base(spark, sf)))
+    st = FT.with_sos(FT.schedule_stage(_base(spark, sf)))
     return st.select("id", "team", "sos_rating", "sos_sample_size")
 
 
 @register("join_opponent_inner", O.sql(O.RECENT, O.STRENGTH, select=
           "SELECT id, team, rival_pct AS opp_win_pct FROM strength"))
 def q_opp(spark, sf):
-    st = FT.with_sos(FT.team_stage(_base(spark, sf)))
+    st = FT.with_sos(FT.schedule_stage(_base(spark, sf)))
     return st.select("id", "team", "opp_win_pct")
 
 
