@@ -108,7 +108,7 @@ def _games_sides(base: DataFrame, cols: list[str], mode: str = "compat") -> Data
     """Per-team features pivoted to one row per game id; a side's are NULL where no row of it has a team and a season.
 
     The long rows are shuffled by id as they are, one side's columns each, and pivoted there."""
-    long = B.team_rolling(to_long(base, mode=mode)).select("id", "side", "located", *cols).filter("id IS NOT NULL")
+    long = B.team_figures(to_long(base, mode=mode)).select("id", "side", "located", *cols).filter("id IS NOT NULL")
     wide = pivot_sides(long.repartition("id"), "id", ["located", *cols])
     return wide.select("id", *(F.when(F.col(f"{s}_located"), F.col(f"{s}_{c}")).alias(f"{s}_{c}")
                                for s in ("home", "away") for c in cols))
